@@ -72,3 +72,263 @@ FLAGSHIP_SQL = O.with_inv(
 def q_late_invoice_risk(spark, sf_dir):
     """Flagship: valid late invoices graded by the rule."""
     return late_invoice_risk(invoice_adapter(spark, sf_dir))
+
+# ---------------------------------------------------------------- decode
+
+from payguard.functions.coerce import bad_float, bad_int, lenient_float, lenient_int  # noqa: E402
+from payguard.operators.decode import decode_invoice, decode_raw, normalise_datetime  # noqa: E402
+from payguard.operators.encode import (binary_attributes, binary_events,  # noqa: E402
+                                       name_based_id, parse_structured_events,
+                                       structured_risk_events)
+from payguard.schemas import RAW_FIELDS  # noqa: E402
+from payguard.sources.adapter import raw_payloads, raw_text_adapter, raw_text_view, to_payload  # noqa: E402
+from payguard.sources.tables import read_table  # noqa: E402
+
+NULL_S = "CAST(NULL AS VARCHAR)"
+
+
+@register("raw_events", O.with_raw(f"SELECT {O.RAW_TYPED_COLS}, {NULL_S} AS _error FROM raw"))
+def q_raw_events(spark, sf_dir):
+    """Raw JSON payloads decoded to 35 typed columns (quarantine column kept)."""
+    return decode_raw(raw_payloads(spark, sf_dir))
+
+
+@register("invoice_projection", O.with_raw(
+    "SELECT Invoice_ID, cast(Invoice_Amount AS FLOAT) AS Invoice_Amount, Invoice_Due_Date, Pay_Type, "
+    f"cast(Pay_Delay AS INT) AS Pay_Delay, {NULL_S} AS Risk, {NULL_S} AS Model_Name, {NULL_S} AS _error FROM raw"))
+def q_invoice_projection(spark, sf_dir):
+    """Same payloads decoded to the 7-column invoice; unknown fields ignored."""
+    return decode_invoice(raw_payloads(spark, sf_dir))
+
+
+_LENIENT_SQL = """
+WITH t AS (
+  SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN ''
+              WHEN l_returnflag = 'A' THEN concat(' ', cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), ' ')
+              ELSE cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount_text,
+         CASE WHEN l_returnflag = 'N' THEN NULL
+              WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN cast(l_quantity AS VARCHAR)
+              ELSE cast(cast(l_quantity AS INT) * 4 AS VARCHAR) END AS delay_text
+  FROM lineitem)
+SELECT Invoice_ID, amount_text, delay_text,
+       coalesce(try_cast(nullif(trim(amount_text), '') AS FLOAT), CAST(0 AS FLOAT)) AS Invoice_Amount,
+       coalesce(CASE WHEN regexp_full_match(trim(delay_text), '[+-]?[0-9]+') THEN try_cast(trim(delay_text) AS INTEGER) END, 0) AS Pay_Delay,
+       coalesce(nullif(trim(amount_text), '') IS NOT NULL AND try_cast(trim(amount_text) AS FLOAT) IS NULL, false) AS bad_amount,
+       coalesce(nullif(trim(delay_text), '') IS NOT NULL AND NOT (regexp_full_match(trim(delay_text), '[+-]?[0-9]+')
+                AND try_cast(trim(delay_text) AS INTEGER) IS NOT NULL), false) AS bad_delay
+FROM t
+"""
+
+
+@register("lenient_coercion", _LENIENT_SQL)
+def q_lenient_coercion(spark, sf_dir):
+    """Text -> FLOAT/INT: blank or missing -> 0, padded text trimmed, '17.0' is not an int."""
+    li = read_table(spark, sf_dir, "lineitem")
+    rf, ls = F.col("l_returnflag"), F.col("l_linestatus")
+    dec = F.col("l_extendedprice").cast("decimal(15,2)").cast("string")
+    t = li.select(
+        F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"),
+                 F.lit("_IT10")).alias("Invoice_ID"),
+        F.when((ls == "O") & (rf == "N"), F.lit("")).when(rf == "A", F.concat(F.lit(" "), dec, F.lit(" ")))
+         .otherwise(dec).alias("amount_text"),
+        F.when(rf == "N", F.lit(None).cast("string"))
+         .when((rf == "A") & (ls == "F"), F.col("l_quantity").cast("string"))
+         .otherwise((F.col("l_quantity").cast("int") * 4).cast("string")).alias("delay_text"),
+    )
+    a, d = F.col("amount_text"), F.col("delay_text")
+    return t.select("Invoice_ID", "amount_text", "delay_text",
+                    lenient_float(a).alias("Invoice_Amount"), lenient_int(d).alias("Pay_Delay"),
+                    bad_float(a).alias("bad_amount"), F.coalesce(bad_int(d), F.lit(False)).alias("bad_delay"))
+
+
+_QUARANTINE_SQL = """
+SELECT src_key,
+       CASE WHEN err IS NULL THEN Invoice_ID END AS Invoice_ID,
+       CASE WHEN err IS NULL THEN cast(amount_text AS FLOAT) END AS Invoice_Amount,
+       CASE WHEN err IS NULL THEN Pay_Delay END AS Pay_Delay,
+       err AS _error
+FROM (
+  SELECT concat(cast(l_orderkey AS VARCHAR), '-', cast(l_linenumber AS VARCHAR)) AS src_key,
+         concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN '0'
+              ELSE cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount_text,
+         cast(l_quantity AS INT) * 4 AS Pay_Delay,
+         CASE WHEN l_tax = 0 THEN 'malformed json'
+              WHEN l_discount > 0.08 THEN 'bad int Pay_Delay' END AS err
+  FROM lineitem) q
+"""
+
+
+@register("quarantine", _QUARANTINE_SQL)
+def q_quarantine(spark, sf_dir):
+    """Malformed payloads (cut-off JSON, '17.0' as an int) set aside with a reason; good ones decoded.
+
+    The feed is the raw payload of every line item, with two defects planted
+    from the data: lines with zero tax carry a cut-off JSON object, lines with
+    a discount above 8% carry their quantity text ('17.0') as the delay.
+    """
+    from payguard.sources.adapter import raw_text_columns
+    li = read_table(spark, sf_dir, "lineitem")
+    cols = raw_text_columns()
+    cols["Pay_Delay"] = (F.when(F.col("l_discount") > 0.08, F.col("l_quantity").cast("string"))
+                         .otherwise(cols["Pay_Delay"]))
+    src_key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    staged = li.select(src_key.alias("src_key"), "l_tax", *[c.alias(n) for n, c in cols.items()])
+    payload = F.to_json(F.struct(*RAW_FIELDS))
+    feed = staged.select("src_key", F.when(F.col("l_tax") == 0, F.substring(payload, 1, 40))
+                         .otherwise(payload).alias("value"))
+    dec = decode_invoice(feed, keep=("src_key",))
+    ok = F.col("_error").isNull()
+    return dec.select("src_key", *[F.when(ok, F.col(c)).alias(c)
+                                   for c in ("Invoice_ID", "Invoice_Amount", "Pay_Delay")], "_error")
+
+
+@register("normalise_datetime", """
+SELECT event_id, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS DateTime,
+       date_trunc('minute', ts) AS event_time, false AS _time_error
+FROM events""")
+def q_normalise_datetime(spark, sf_dir):
+    """Sample-file time text (M/d/yy H:mm) -> RFC3339 UTC text and timestamp."""
+    from payguard.functions.timefmt import sample_time_text
+    ev = read_table(spark, sf_dir, "events")
+    return normalise_datetime(ev.select("event_id", sample_time_text(F.col("ts")).alias("DateTime")))
+
+
+# ---------------------------------------------------------------- envelopes
+
+
+def _event_id_sql() -> str:
+    return "md5(concat_ws('|', Invoice_ID, DateTime, Req_Line_ID))"
+
+
+@register("event_attributes", O.with_raw(f"""
+SELECT {_event_id_sql()} AS key, {_event_id_sql()} AS ce_id, 'urn:payguard:producer' AS ce_source,
+       '1.0' AS ce_specversion, 'procure.events.sample' AS ce_type, DateTime AS ce_time,
+       'application/json' AS content_type, Invoice_ID, cast(Pay_Delay AS INT) AS Pay_Delay
+FROM raw"""))
+def q_event_attributes(spark, sf_dir):
+    """Binary-mode events built from raw rows, then their header attributes read back."""
+    raw = raw_text_adapter(spark, sf_dir)
+    events = binary_events(raw, id_col=name_based_id("Invoice_ID", "DateTime", "Req_Line_ID"))
+    attrs = binary_attributes(events)
+    inv = decode_invoice(attrs, keep=("key", "ce_id", "ce_source", "ce_specversion", "ce_type",
+                                      "ce_time", "content_type"))
+    return inv.select("key", "ce_id", "ce_source", "ce_specversion", "ce_type", "ce_time",
+                      "content_type", "Invoice_ID", "Pay_Delay")
+
+
+@register("risk_event_encode", O.with_inv(
+    "SELECT '1.0' AS specversion, Invoice_ID AS id, 'urn:payguard:producer' AS source, "
+    "'procure.risk' AS type, 'application/json' AS datacontenttype, "
+    f"{INV_COLS}, {O.RULE_RISK_SQL} AS Risk, {NULL_S} AS Model_Name "
+    f"FROM inv WHERE {O.VALID_SQL} AND Pay_Type = 'Late'"))
+def q_risk_event_encode(spark, sf_dir):
+    """Flagship rows as structured risk events, parsed back by the risk-topic decoder."""
+    return parse_structured_events(structured_risk_events(late_invoice_risk(invoice_adapter(spark, sf_dir))))
+
+# ---------------------------------------------------------------- scoring
+
+from payguard.functions.scoring import (decode_predictions, int64_le_bytes, linear_score,  # noqa: E402
+                                        model_risk, round_up, signed_first_byte)
+from payguard.operators.risk import grade_by_score  # noqa: E402
+from payguard.operators.score import LinearScorer, score_invoices  # noqa: E402
+
+_MODEL_SQL_COLS = (f"{INV_COLS}, " + O.MODEL_RISK_SQL.format(o=O.ROUND_UP_SQL.format(x=O.LINEAR_SCORE_SQL.format(d="Pay_Delay")))
+                   + " AS Risk, 'anomaly-classifier-predictor' AS Model_Name")
+
+
+@register("risk_model", O.with_inv(
+    f"SELECT {_MODEL_SQL_COLS}, {O.ROUND_UP_SQL.format(x=O.LINEAR_SCORE_SQL.format(d='Pay_Delay'))} AS output "
+    f"FROM inv WHERE {O.VALID_SQL} AND Pay_Type = 'Late'"))
+def q_risk_model(spark, sf_dir):
+    """Model grading of valid late invoices with the surrogate score as a column
+    expression (no Python): output > 100 High, > 50 Medium, else Low; default model name."""
+    inv = late_invoices(valid_invoices(invoice_adapter(spark, sf_dir)))
+    graded = grade_by_score(inv.withColumn("score", linear_score(F.col("Pay_Delay"))))
+    return graded.select(*INV_COLS.split(", "), "Risk", "Model_Name", "output")
+
+
+@register("model_scoring_batch", O.with_inv(
+    f"SELECT {_MODEL_SQL_COLS} FROM inv WHERE {O.VALID_SQL} AND Pay_Type = 'Late'"))
+def q_model_scoring_batch(spark, sf_dir):
+    """Flagship on the model path: valid late invoices scored in Arrow batches
+    by a scorer session per partition (surrogate linear model)."""
+    return late_invoice_risk(invoice_adapter(spark, sf_dir), scorer=LinearScorer())
+
+
+_PRED_SCORE = O.LINEAR_SCORE_SQL.format(d="Pay_Delay")
+
+
+@register("predictions_decode", O.with_inv(f"""
+SELECT Invoice_ID, Pay_Delay,
+       CASE WHEN Pay_Type <> '' THEN CAST({_PRED_SCORE} AS DOUBLE) END AS score,
+       CASE WHEN Pay_Type <> '' THEN {O.ROUND_UP_SQL.format(x=_PRED_SCORE)} END AS output,
+       CASE WHEN Pay_Type <> '' THEN {O.MODEL_RISK_SQL.format(o=O.ROUND_UP_SQL.format(x=_PRED_SCORE))} END AS Risk,
+       CASE WHEN Pay_Type = '' THEN 'empty predictions' END AS _error
+FROM inv"""))
+def q_predictions_decode(spark, sf_dir):
+    """Model responses (JSON text) decoded: predictions[0][0] as a decimal, rounded
+    away from zero, graded; an empty prediction list is an error. Responses come
+    from the surrogate model, which has no prediction for a blank payment type."""
+    inv = invoice_adapter(spark, sf_dir)
+    resp = F.when(F.col("Pay_Type") == "", F.lit('{"predictions":[]}')).otherwise(
+        F.format_string('{"predictions":[[%s]]}', linear_score(F.col("Pay_Delay")).cast("string")))
+    s = decode_predictions(resp)
+    out = round_up(s)
+    return inv.select("Invoice_ID", "Pay_Delay", s.cast("double").alias("score"), out.alias("output"),
+                      model_risk(out).alias("Risk"),
+                      F.when(s.isNull(), F.lit("empty predictions")).alias("_error"))
+
+
+_ROUND_X = "CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(0.01 AS DECIMAL(3,2)) - 250"
+
+
+@register("round_up", f"""
+SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+       CAST({_ROUND_X} AS DOUBLE) AS x, {O.ROUND_UP_SQL.format(x=_ROUND_X)} AS output
+FROM lineitem""")
+def q_round_up(spark, sf_dir):
+    """Round away from zero on exact decimals (50.0001 -> 51, -0.2 -> -1)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    x = F.col("l_extendedprice").cast("decimal(15,2)") * F.lit("0.01").cast("decimal(3,2)") - F.lit(250)
+    return li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"),
+                              F.lit("_IT10")).alias("Invoice_ID"),
+                     x.cast("double").alias("x"), round_up(x).alias("output"))
+
+
+def _tensor_out_sql(v: str) -> str:
+    return O.ROUND_UP_SQL.format(x=O.LINEAR_SCORE_SQL.format(d=v))
+
+
+_SWEEP_V = "CAST(l_partkey % 500 + 1 AS INTEGER)"
+_BYTE_SQL = "CASE WHEN ({o}) % 256 > 127 THEN ({o}) % 256 - 256 ELSE ({o}) % 256 END"
+
+
+@register("raw_tensor_risk", f"""
+SELECT l_orderkey, l_linenumber, {_SWEEP_V} AS Value,
+       {_BYTE_SQL.format(o=_tensor_out_sql(_SWEEP_V))} AS out,
+       {O.MODEL_RISK_SQL.format(o=_BYTE_SQL.format(o=_tensor_out_sql(_SWEEP_V)))} AS Risk
+FROM lineitem""")
+def q_raw_tensor_risk(spark, sf_dir):
+    """Binary model output (INT64 tensor, little-endian): first byte read as a
+    signed int8, so outputs above 127 wrap negative and grade Low."""
+    li = read_table(spark, sf_dir, "lineitem")
+    v = (F.col("l_partkey") % 500 + 1).cast("int")
+    tensor = int64_le_bytes(round_up(linear_score(v)))
+    b = signed_first_byte(tensor)
+    return li.select("l_orderkey", "l_linenumber", v.alias("Value"), b.alias("out"), model_risk(b).alias("Risk"))
+
+
+@register("score_sweep", f"""
+SELECT DISTINCT {_SWEEP_V} AS Value,
+       {O.MODEL_RISK_SQL.format(o=_BYTE_SQL.format(o=_tensor_out_sql(_SWEEP_V)))} AS Risk
+FROM lineitem""")
+def q_score_sweep(spark, sf_dir):
+    """Model audit: every distinct input value scored once, emitted as (Value, Risk).
+    Inputs are part keys folded into 1..500; distinct is a partial (map-side)
+    aggregate, so only distinct values cross the shuffle."""
+    li = read_table(spark, sf_dir, "lineitem")
+    vals = li.select((F.col("l_partkey") % 500 + 1).cast("int").alias("Value")).distinct()
+    b = signed_first_byte(int64_le_bytes(round_up(linear_score(F.col("Value")))))
+    return vals.select("Value", model_risk(b).alias("Risk"))

@@ -60,3 +60,18 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("file:"):
         os.makedirs(path[len("file:"):], exist_ok=True)
     return path
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a frame whose input has fewer partitions than the cluster
+    can run at once; leave it alone otherwise.
+
+    For CPU-heavy narrow stages (JSON, Python scoring) a single huge split
+    would idle the cluster. With many input splits, as at scale, the check
+    is false and no shuffle is added.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -53,7 +53,7 @@ def invoice_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoice_view(read_table(spark, sf_dir, "lineitem"))
 
 
-def _raw_text_cols() -> dict[str, Column]:
+def raw_text_columns() -> dict[str, Column]:
     ok, ln, pk, sk = (F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
     rf, ls, ship = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate")
     inv = _invoice_cols()
@@ -105,7 +105,7 @@ def _raw_text_cols() -> dict[str, Column]:
 
 def raw_text_view(lineitem: DataFrame) -> DataFrame:
     """All 35 raw fields as text, in wire order."""
-    return lineitem.select(*[c.alias(n) for n, c in _raw_text_cols().items()])
+    return lineitem.select(*[c.alias(n) for n, c in raw_text_columns().items()])
 
 
 def raw_text_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -332,3 +332,217 @@ def q_score_sweep(spark, sf_dir):
     vals = li.select((F.col("l_partkey") % 500 + 1).cast("int").alias("Value")).distinct()
     b = signed_first_byte(int64_le_bytes(round_up(linear_score(F.col("Value")))))
     return vals.select("Value", model_risk(b).alias("Risk"))
+
+# ---------------------------------------------------------------- stream job, sinks, readback
+
+from payguard.operators.decode import ERROR_COL  # noqa: E402
+from payguard.operators.encode import anomaly_documents, raw_documents  # noqa: E402
+from payguard.operators.forward import delivery_attributes, new_records, retention_window  # noqa: E402
+from payguard.operators.readback import clear_table, index_total, search  # noqa: E402
+from payguard.operators.replay import Pacing, pace, repeat  # noqa: E402
+from payguard.schemas import INVOICE_FIELDS, INVOICE_SCHEMA, RAW_SCHEMA  # noqa: E402
+from payguard.session import scratch_dir  # noqa: E402
+from payguard.sources.adapter import invoice_view  # noqa: E402
+from payguard.sources.files import read_sample_csv, write_sample_csv  # noqa: E402
+from payguard.streaming.fanout import process_batch, read_sink, start_fanout  # noqa: E402
+from payguard.streaming.scenario import run_scenario  # noqa: E402
+from payguard.streaming.topic import read_topic, stream_topic, write_topic  # noqa: E402
+
+_FLAG_COUNT = f"(SELECT count(*) FROM ({FLAGSHIP_SQL}) f)"
+_RAW_TYPED_SQL = O.with_raw(f"SELECT {O.RAW_TYPED_COLS} FROM raw")
+
+
+@register("fanout", f"""
+SELECT 'raw_index' AS sink, (SELECT count(*) FROM lineitem) AS total
+UNION ALL SELECT 'anomaly_index', {_FLAG_COUNT}
+UNION ALL SELECT 'risk_topic', {_FLAG_COUNT}
+UNION ALL SELECT 'quarantine', 0""")
+def q_fanout(spark, sf_dir):
+    """One read of the raw topic fanned out to raw index, anomaly index, risk
+    topic and quarantine by the stream job; rows per sink."""
+    res = run_scenario(spark, sf_dir)
+    s = res.sinks
+    parts = [
+        read_sink(spark, s.raw, RAW_SCHEMA).select(F.lit("raw_index").alias("sink")),
+        read_sink(spark, s.anomaly, INVOICE_SCHEMA).select(F.lit("anomaly_index").alias("sink")),
+        read_topic(spark, s.risk_topic).select(F.lit("risk_topic").alias("sink")),
+        read_sink(spark, s.quarantine, "x STRING").select(F.lit("quarantine").alias("sink")),
+    ]
+    counts = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]) \
+        .groupBy("sink").agg(F.count(F.lit(1)).alias("total"))
+    names = spark.createDataFrame([("raw_index",), ("anomaly_index",), ("risk_topic",), ("quarantine",)], "sink STRING")
+    return names.join(counts, "sink", "left").select("sink", F.coalesce("total", F.lit(0)).alias("total"))
+
+
+@register("raw_index_docs", _RAW_TYPED_SQL)
+def q_raw_index_docs(spark, sf_dir):
+    """Raw index documents written by the stream job: all 35 fields, every event once."""
+    return raw_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.raw, RAW_SCHEMA))
+
+
+@register("anomaly_index_docs", FLAGSHIP_SQL)
+def q_anomaly_index_docs(spark, sf_dir):
+    """Anomaly index documents written by the stream job (7 fields)."""
+    return anomaly_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.anomaly, INVOICE_SCHEMA))
+
+
+@register("stream_raw", _RAW_TYPED_SQL)
+def q_stream_raw(spark, sf_dir):
+    """Raw topic read as a stream from the earliest record, decoded to 35 typed
+    columns, written by the file sink and read back."""
+    res = run_scenario(spark, sf_dir)
+    out = scratch_dir(spark, "stream_raw")
+    decoded = decode_raw(stream_topic(spark, res.raw_topic))
+    q = (decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL).writeStream.format("parquet")
+         .option("path", f"{out}/data").option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("stream_risk", FLAGSHIP_SQL)
+def q_stream_risk(spark, sf_dir):
+    """The flagship transforms on a streaming frame: the line-item file as a
+    stream, graded by the same code as the batch query."""
+    from payguard.sources.tables import table_path
+    li_schema = read_table(spark, sf_dir, "lineitem").schema
+    out = scratch_dir(spark, "stream_risk")
+    src = (spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet")
+           .parquet(sf_dir.rstrip("/")))
+    assert table_path(sf_dir, "lineitem").endswith("lineitem.parquet")
+    q = (late_invoice_risk(invoice_view(src)).writeStream.format("parquet")
+         .option("path", f"{out}/data").option("checkpointLocation", f"{out}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/data")
+
+
+@register("stream_restart", FLAGSHIP_SQL)
+def q_stream_restart(spark, sf_dir):
+    """Exactly-once across restarts and retries: two waves with a restart in
+    between, one more restart with nothing new, and the last batch written a
+    second time as a failed-and-retried batch would. Every risk event once."""
+    res = run_scenario(spark, sf_dir)
+    s = res.sinks
+    q = start_fanout(stream_topic(spark, res.raw_topic), s)
+    q.awaitTermination()
+    last = spark.read.parquet(s.raw).agg(F.max("batch_id")).first()[0]
+    wave2 = spark.read.parquet(res.raw_topic).where(F.col("batch_id") == 1).drop("batch_id")
+    process_batch(wave2, int(last), s, __import__("payguard.config", fromlist=["RunSettings"]).RunSettings(),
+                  topic_partitions=4)
+    return anomaly_documents(read_sink(spark, s.anomaly, INVOICE_SCHEMA))
+
+
+@register("forward_new", O.with_inv(f"""
+SELECT '/apis/v1/sources/subscriber#procure-risk' AS ce_source, 'dev.knative.kafka.event' AS ce_type,
+       '1.0' AS ce_specversion, true AS id_ok, {INV_COLS}, {O.RULE_RISK_SQL} AS Risk
+FROM (SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+             cast(l_extendedprice AS FLOAT) AS Invoice_Amount,
+             strftime(l_shipdate + INTERVAL 30 DAY, '%-m/%-d/%y') AS Invoice_Due_Date,
+             'Late' AS Pay_Type, cast(l_quantity AS INT) * 4 AS Pay_Delay
+      FROM lineitem WHERE l_returnflag = 'R' AND NOT coalesce(l_linestatus = 'F', false)
+        AND l_extendedprice > 0) w"""))
+def q_forward_new(spark, sf_dir):
+    """Subscriber sees only risk events published after it subscribed (the
+    second wave), each with delivery attributes partition:P/offset:O."""
+    from payguard.operators.encode import parse_structured_events
+    res = run_scenario(spark, sf_dir)
+    fresh = new_records(read_topic(spark, res.sinks.risk_topic), res.subscribed_high_water)
+    att = delivery_attributes(fresh)
+    ev = parse_structured_events(att.withColumnRenamed("data", "value"),
+                                 keep=("ce_id", "ce_subject", "ce_source", "ce_type", "ce_specversion",
+                                       "partition", "offset"))
+    id_ok = (F.col("ce_id") == F.concat(F.lit("partition:"), F.col("partition").cast("string"), F.lit("/offset:"),
+                                         F.col("offset").cast("string"))) & \
+            (F.col("ce_subject") == F.concat(F.lit("partition:"), F.col("partition").cast("string"), F.lit("#"),
+                                              F.col("offset").cast("string")))
+    return ev.select("ce_source", "ce_type", "ce_specversion", id_ok.alias("id_ok"), *INV_COLS.split(", "), "Risk")
+
+
+@register("retention_prune", "SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+def q_retention_prune(spark, sf_dir):
+    """Seven-day retention: events no older than 7 days before the newest."""
+    return retention_window(read_table(spark, sf_dir, "events"), "ts")
+
+
+@register("replay_repeat", O.with_inv(f"SELECT {INV_COLS}, CAST(r.rep AS INTEGER) AS rep FROM inv CROSS JOIN range(3) AS r(rep)"))
+def q_replay_repeat(spark, sf_dir):
+    """The sample sent three times, each row tagged with its repetition."""
+    return repeat(invoice_adapter(spark, sf_dir), 3)
+
+
+@register("replay_pacing", """
+WITH s AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS seq, count(*) OVER () AS n FROM events)
+SELECT event_id, CAST(r.rep AS INTEGER) AS rep, seq,
+       CAST(1 * (r.rep * (n // 10) + seq // 10) AS BIGINT) AS send_offset_s
+FROM s CROSS JOIN range(2) AS r(rep)""")
+def q_replay_pacing(spark, sf_dir):
+    """Send schedule of the events sample: groups of 10, 1 s pause, 2 passes."""
+    ev = read_table(spark, sf_dir, "events").select("event_id")
+    return pace(ev, ["event_id"], Pacing.from_text("10", "1", "2"))
+
+
+@register("csv_source", O.with_raw("SELECT * FROM raw"))
+def q_csv_source(spark, sf_dir):
+    """Sample CSV with its columns in another order, bound by header name;
+    event time text normalised to RFC3339."""
+    from payguard.functions.timefmt import sample_time_text
+    raw = raw_text_adapter(spark, sf_dir)
+    raw = raw.withColumn("DateTime", sample_time_text(F.to_timestamp(F.col("DateTime"),
+                                                                     "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    path = f"{scratch_dir(spark, 'sample_csv')}/sample"
+    write_sample_csv(raw.select(*reversed(RAW_FIELDS)), path)
+    return normalise_datetime(read_sample_csv(spark, path)).select(*RAW_FIELDS)
+
+
+@register("event_publish", O.with_raw("""
+SELECT 'procure.events.sample' AS ce_type, 'urn:payguard:producer' AS ce_source, '1.0' AS ce_specversion,
+       DateTime AS ce_time, 'application/json' AS content_type, Invoice_ID, true AS id_ok
+FROM raw"""))
+def q_event_publish(spark, sf_dir):
+    """Producer: each row as a binary-mode event with a random UUID id (written
+    once, so retries resend the same id), key = id, time from the row."""
+    raw = raw_text_adapter(spark, sf_dir)
+    topic = f"{scratch_dir(spark, 'publish')}/raw_topic"
+    write_topic(binary_events(raw), topic, "procure-raw", 0, partitions=4)
+    attrs = binary_attributes(read_topic(spark, topic))
+    inv = decode_invoice(attrs, keep=("key", "ce_id", "ce_source", "ce_specversion", "ce_type", "ce_time",
+                                      "content_type"))
+    uuid_re = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+    id_ok = (F.col("key") == F.col("ce_id")) & F.col("ce_id").rlike(uuid_re)
+    return inv.select("ce_type", "ce_source", "ce_specversion", "ce_time", "content_type", "Invoice_ID",
+                      id_ok.alias("id_ok"))
+
+
+@register("index_count", f"""
+SELECT 'procure_raw' AS index_name, (SELECT count(*) FROM lineitem) AS total
+UNION ALL SELECT 'procure_risk', {_FLAG_COUNT}""")
+def q_index_count(spark, sf_dir):
+    """Total documents per index after the stream job."""
+    s = run_scenario(spark, sf_dir).sinks
+    return index_total(read_sink(spark, s.raw, RAW_SCHEMA), "procure_raw").unionByName(
+        index_total(read_sink(spark, s.anomaly, INVOICE_SCHEMA), "procure_risk"))
+
+
+_SEARCH_ORDER = ["Invoice_ID", "Invoice_Amount", "Pay_Delay", "Invoice_Due_Date", "Risk"]
+
+
+@register("index_search", f"""
+WITH f AS ({FLAGSHIP_SQL.replace("WITH inv AS", "WITH inv2 AS").replace("FROM inv WHERE", "FROM inv2 WHERE")})
+SELECT *, (SELECT count(*) FROM f) AS total FROM f ORDER BY {", ".join(_SEARCH_ORDER)} LIMIT 10""")
+def q_index_search(spark, sf_dir):
+    """Search without a predicate: the index total and its first 10 documents."""
+    docs = anomaly_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.anomaly, INVOICE_SCHEMA))
+    return search(docs, _SEARCH_ORDER, 10)
+
+
+@register("index_clear", f"SELECT 'procure_risk' AS index_name, {_FLAG_COUNT} AS total")
+def q_index_clear(spark, sf_dir):
+    """Clear before a new run: load, clear, load again; the index holds one run."""
+    from payguard.streaming.fanout import write_batch_partition
+    path = f"{scratch_dir(spark, 'index_clear')}/procure_risk"
+    risk = late_invoice_risk(invoice_adapter(spark, sf_dir))
+    write_batch_partition(risk, path, 0)
+    clear_table(spark, path, INVOICE_SCHEMA)
+    write_batch_partition(risk, path, 0)
+    return index_total(read_sink(spark, path, INVOICE_SCHEMA), "procure_risk")

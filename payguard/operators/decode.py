@@ -65,8 +65,15 @@ def decode(df: DataFrame, fields: tuple[str, ...], value_col: str = "value",
         return staged.select(*cols)
     err = _error_expr(p, F.col("_payload"), fields)
     if mode == "strict":
-        guard = F.when(err.isNotNull(), F.raise_error(F.concat(F.lit("malformed event: "), err)))
-        return staged.select(*cols, guard.alias("_guard")).drop("_guard")
+        # The guard wraps the parsed struct, so whatever field a later step
+        # reads (a filter, a sink column) forces the check; a separate guard
+        # column would be pruned away by the optimizer.
+        schema = text_schema(fields, corrupt=True)
+        guarded = F.when(err.isNotNull(),
+                         F.raise_error(F.concat(F.lit("malformed event: "), err)).cast(schema)).otherwise(p)
+        g = F.col("_guarded")
+        return staged.select(*keep, guarded.alias("_guarded")).select(
+            *[F.col(k) for k in keep], *[_typed(g, f) for f in fields])
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     return staged.select(*cols, err.alias(ERROR_COL))

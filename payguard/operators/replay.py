@@ -46,22 +46,30 @@ class Pacing:
         return cls(max(g, 1), _to_int(seconds_to_pause, 0), _to_int(repetitions, 1))
 
 
-def dense_index(df: DataFrame, order: list[str], group: str | None = None,
+def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None,
                 partitions: int | None = None, index_col: str = "_idx",
                 total_col: str | None = "_total") -> DataFrame:
     """0-based position of each row in ``order`` (within ``group`` if given),
     plus the group's row count. Order keys should be unique for a
-    reproducible numbering; ties get adjacent indexes in arbitrary order."""
+    reproducible numbering; ties get adjacent indexes in arbitrary order.
+
+    With ``order=None`` any dense numbering will do (e.g. log offsets): rows
+    keep their partitions, only sorted by group inside each, so there is no
+    shuffle at all.
+    """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ([group] if group else []) + order
+    keys = ([group] if group else []) + (order or [])
     g = F.col(group) if group else F.lit(0)
+    if order:
+        df = df.repartitionByRange(n, *keys)
+    if keys:
+        df = df.sortWithinPartitions(*keys)
     # The ids depend on physical partitioning, which AQE may coalesce
     # differently for each consumer of a shuffle; a reliable checkpoint (in
     # the cluster's shared checkpoint folder) stores them once, so the counts
     # and the rows agree and a lost executor cannot renumber anything.
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_mid", F.monotonically_increasing_id())
+    ranged = (df.withColumn("_mid", F.monotonically_increasing_id())
                 .checkpoint(eager=True)
                 .withColumn("_sp", F.shiftright(F.col("_mid"), _LOCAL_BITS))
                 .withColumn("_grp", g))

@@ -169,7 +169,7 @@ def q_quarantine(spark, sf_dir):
     a discount above 8% carry their quantity text ('17.0') as the delay.
     """
     from payguard.sources.adapter import raw_text_columns
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
     cols = raw_text_columns()
     cols["Pay_Delay"] = (F.when(F.col("l_discount") > 0.08, F.col("l_quantity").cast("string"))
                          .otherwise(cols["Pay_Delay"]))

@@ -108,8 +108,8 @@ def raw_text_view(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(*[c.alias(n) for n, c in raw_text_columns().items()])
 
 
-def raw_text_adapter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_text_view(read_table(spark, sf_dir, "lineitem"))
+def raw_text_adapter(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    return raw_text_view(read_table(spark, sf_dir, "lineitem", spread=spread))
 
 
 def to_payload(df: DataFrame, fields: tuple[str, ...] = RAW_FIELDS, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -9,5 +9,12 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read a table. ``spread=True`` for CPU-heavy row work (JSON, Python):
+    a table stored as fewer splits than the cluster has cores is spread
+    round-robin first; a large table is left as it is (no shuffle)."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    if spread:
+        from payguard.session import spread as _spread
+        df = _spread(df)
+    return df

@@ -45,9 +45,9 @@ def write_topic(df: DataFrame, path: str, topic: str, batch_id: int, partitions:
         df = df.withColumn("headers", F.lit(None).cast(TOPIC_SCHEMA["headers"].dataType))
     keyed = df.select(
         F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"), "headers",
-        F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.col("value"))), F.lit(partitions)).cast("int").alias("partition"),
-        F.xxhash64(F.col("value")).alias("_vh"))
-    indexed = dense_index(keyed, ["_vh", "key"], group="partition", index_col="_i", total_col=None)
+        F.pmod(F.xxhash64(F.coalesce(F.col("key"), F.col("value"))), F.lit(partitions)).cast("int").alias("partition"))
+    # Offsets only need to be dense per partition (arrival order is arbitrary).
+    indexed = dense_index(keyed, None, group="partition", index_col="_i", total_col=None)
     base = high_water(spark, path, before_batch=batch_id)
     rows = (indexed.join(F.broadcast(base), "partition", "left")
             .select("key", "value", "headers", F.lit(topic).alias("topic"), "partition",

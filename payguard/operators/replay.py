@@ -81,7 +81,11 @@ def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None
         "_sp", "_grp", "_first",
         (F.sum("_cnt").over(w) - F.col("_cnt")).alias("_start"),
         F.sum("_cnt").over(Window.partitionBy("_grp")).alias("_gtotal"))
-    out = ranged.join(F.broadcast(starts), ["_sp", "_grp"])
+    # The start table is small by construction but grows with partitions x
+    # groups: store it, count it, and broadcast only within the threshold.
+    starts = starts.checkpoint(eager=True)
+    from payguard.session import broadcast_if_small
+    out = ranged.join(broadcast_if_small(starts, starts.count()), ["_sp", "_grp"])
     out = out.withColumn(index_col, F.col("_start") + F.col("_mid") - F.col("_first"))
     if total_col:
         out = out.withColumn(total_col, F.col("_gtotal"))

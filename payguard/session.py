@@ -70,8 +70,23 @@ def spread(df, min_partitions: int | None = None):
     would idle the cluster. With many input splits, as at scale, the check
     is false and no shuffle is added.
     """
+    if df.isStreaming:  # micro-batches get their parallelism from the source
+        return df
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def broadcast_if_small(df, rows: int, row_bytes: int = 64):
+    """Broadcast hint only when ``rows`` (already counted) fits the session's
+    broadcast threshold; otherwise leave the join to a shuffle."""
+    from pyspark.sql import functions as F
+    spark = df.sparkSession
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit_b = int(str(limit).lower().rstrip("b"))
+    except ValueError:
+        limit_b = 10 * 1024 * 1024
+    return F.broadcast(df) if 0 <= rows * row_bytes <= limit_b else df

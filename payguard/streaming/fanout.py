@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from payguard.config import RunSettings
 from payguard.operators.decode import decode, split_errors
 from payguard.operators.encode import anomaly_documents, raw_documents, structured_risk_events
-from payguard.plans.risk_job import late_invoice_risk
+from payguard.plans.risk_job import grade_late_invoices
 from payguard.schemas import INVOICE_FIELDS, RAW_FIELDS
 from payguard.streaming.topic import write_topic
 
@@ -74,15 +74,21 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
     try:
         good, bad = split_errors(decoded)
         write_batch_partition(raw_documents(good), sinks.raw, batch_id)
-        risk = late_invoice_risk(good.select(*INVOICE_FIELDS), settings, scorer)
-        risk = risk.persist(StorageLevel.MEMORY_AND_DISK)
+        graded = grade_late_invoices(good.select(*INVOICE_FIELDS), settings, scorer)
+        graded = graded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            risk = graded.where(F.col("_error").isNull())
             write_batch_partition(anomaly_documents(risk), sinks.anomaly, batch_id)
             write_topic(structured_risk_events(risk, settings), sinks.risk_topic, settings.risk_topic,
                         batch_id, topic_partitions)
+            # Events the model could not grade join the malformed ones.
+            unscored = graded.where(F.col("_error").isNotNull()).select(
+                F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
+                *[F.col(f) if f in INVOICE_FIELDS else F.lit(None).cast(bad.schema[f].dataType).alias(f)
+                  for f in ALL_FIELDS], "_error")
+            write_batch_partition(bad.unionByName(unscored), sinks.quarantine, batch_id)
         finally:
-            risk.unpersist()
-        write_batch_partition(bad, sinks.quarantine, batch_id)
+            graded.unpersist()
     finally:
         decoded.unpersist()
 

@@ -56,6 +56,8 @@ def write_topic(df: DataFrame, path: str, topic: str, batch_id: int, partitions:
                     F.lit(batch_id).alias("batch_id")))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
+    if not _path_exists(spark, f"{path.rstrip('/')}/batch_id={batch_id}"):
+        return  # an empty batch moves no high-water mark
     written = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
     marks = (written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))
              .withColumn("batch_id", F.lit(batch_id)))

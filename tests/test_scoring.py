@@ -107,3 +107,27 @@ def test_model_path_filters_before_scoring(spark):
                                                          "Pay_Type STRING, Pay_Delay INT")
     plan = late_invoice_risk(df, scorer=LinearScorer())._jdf.queryExecution().executedPlan().toString()
     assert plan.index("MapInPandas") < plan.index("Filter")  # printed top-down: filter is below
+
+
+def test_flagship_model_path_fails_on_missing_prediction(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from payguard.plans.risk_job import late_invoice_risk
+    df = spark.createDataFrame([("a", 10.0, "Late", 5)], "Invoice_ID STRING, Invoice_Amount FLOAT, "
+                                                         "Pay_Type STRING, Pay_Delay INT")
+    with pytest.raises(PySparkException):
+        late_invoice_risk(df, scorer=EmptyScorer()).collect()
+
+
+def test_stream_batch_sets_unscored_aside(spark):
+    from payguard.config import RunSettings
+    from payguard.schemas import INVOICE_SCHEMA
+    from payguard.session import scratch_dir
+    from payguard.streaming.fanout import Sinks, process_batch, read_sink
+    rows = [(0, 0, json.dumps({"Invoice_ID": "A", "Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"}))]
+    batch = spark.createDataFrame(rows, "partition INT, offset BIGINT, value STRING")
+    sinks = Sinks(scratch_dir(spark, "t_unscored"))
+    process_batch(batch, 0, sinks, RunSettings(), scorer=EmptyScorer())
+    assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 0
+    q = spark.read.parquet(sinks.quarantine).collect()
+    assert [(r.Invoice_ID, r._error) for r in q] == [("A", "empty predictions")]

@@ -335,6 +335,7 @@ def q_score_sweep(spark, sf_dir):
 
 # ---------------------------------------------------------------- stream job, sinks, readback
 
+from payguard.config import RunSettings  # noqa: E402
 from payguard.operators.decode import ERROR_COL  # noqa: E402
 from payguard.operators.encode import anomaly_documents, raw_documents  # noqa: E402
 from payguard.operators.forward import delivery_attributes, new_records, retention_window  # noqa: E402
@@ -404,12 +405,10 @@ def q_stream_raw(spark, sf_dir):
 def q_stream_risk(spark, sf_dir):
     """The flagship transforms on a streaming frame: the line-item file as a
     stream, graded by the same code as the batch query."""
-    from payguard.sources.tables import table_path
     li_schema = read_table(spark, sf_dir, "lineitem").schema
     out = scratch_dir(spark, "stream_risk")
     src = (spark.readStream.schema(li_schema).option("pathGlobFilter", "lineitem.parquet")
            .parquet(sf_dir.rstrip("/")))
-    assert table_path(sf_dir, "lineitem").endswith("lineitem.parquet")
     q = (late_invoice_risk(invoice_view(src)).writeStream.format("parquet")
          .option("path", f"{out}/data").option("checkpointLocation", f"{out}/_checkpoint")
          .trigger(availableNow=True).start())
@@ -428,8 +427,7 @@ def q_stream_restart(spark, sf_dir):
     q.awaitTermination()
     last = spark.read.parquet(s.raw).agg(F.max("batch_id")).first()[0]
     wave2 = spark.read.parquet(res.raw_topic).where(F.col("batch_id") == 1).drop("batch_id")
-    process_batch(wave2, int(last), s, __import__("payguard.config", fromlist=["RunSettings"]).RunSettings(),
-                  topic_partitions=4)
+    process_batch(wave2, int(last), s, RunSettings(), topic_partitions=4)
     return anomaly_documents(read_sink(spark, s.anomaly, INVOICE_SCHEMA))
 
 

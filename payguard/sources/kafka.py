@@ -41,3 +41,10 @@ def publish_stream(df: DataFrame, topic: str, security: KafkaSecurity, checkpoin
     return (df.writeStream.format("kafka").options(**security.options()).option("topic", topic)
             .option("kafka.acks", "all").option("kafka.retries", "10")
             .option("checkpointLocation", checkpoint).start())
+
+
+def paced_options(group_size: int, pause_s: int) -> tuple[dict[str, str], str]:
+    """Live pacing on a Kafka source: at most ``group_size`` records per
+    micro-batch, one micro-batch per ``pause_s`` seconds. Returns (source
+    options, processing-time trigger interval)."""
+    return {"maxOffsetsPerTrigger": str(max(group_size, 1))}, f"{max(pause_s, 0)} seconds"

@@ -35,6 +35,7 @@ ALL_FIELDS = RAW_FIELDS + ("Risk", "Model_Name")
 @dataclass(frozen=True)
 class Sinks:
     root: str
+    checkpoint_name: str = "_checkpoint"
 
     @property
     def raw(self) -> str:
@@ -54,7 +55,7 @@ class Sinks:
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/_checkpoint"
+        return f"{self.root}/{self.checkpoint_name}"
 
 
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
@@ -77,16 +78,20 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
         graded = grade_late_invoices(good.select(*INVOICE_FIELDS), settings, scorer)
         graded = graded.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # A risk event is keyed by its Invoice_ID: a NULL id cannot be
+            # published (a blank one can), and an ungraded invoice has no risk.
+            reason = (F.when(F.col("_error").isNotNull(), F.col("_error"))
+                      .when(F.col("Invoice_ID").isNull(), F.lit("null event id")))
+            graded = graded.withColumn("_error", reason)
             risk = graded.where(F.col("_error").isNull())
             write_batch_partition(anomaly_documents(risk), sinks.anomaly, batch_id)
             write_topic(structured_risk_events(risk, settings), sinks.risk_topic, settings.risk_topic,
                         batch_id, topic_partitions)
-            # Events the model could not grade join the malformed ones.
-            unscored = graded.where(F.col("_error").isNotNull()).select(
+            set_aside = graded.where(F.col("_error").isNotNull()).select(
                 F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
                 *[F.col(f) if f in INVOICE_FIELDS else F.lit(None).cast(bad.schema[f].dataType).alias(f)
                   for f in ALL_FIELDS], "_error")
-            write_batch_partition(bad.unionByName(unscored), sinks.quarantine, batch_id)
+            write_batch_partition(bad.unionByName(set_aside), sinks.quarantine, batch_id)
         finally:
             graded.unpersist()
     finally:
@@ -95,10 +100,22 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
 
 def start_fanout(source: DataFrame, sinks: Sinks, settings: RunSettings | None = None,
                  scorer=None, mode: str = "quarantine", available_now: bool = True,
-                 topic_partitions: int = 1):
+                 topic_partitions: int = 1, replay: bool = False):
     """Start the fan-out stream over a Kafka-shaped source (needs ``value``,
-    ``partition``, ``offset``). Returns the StreamingQuery."""
+    ``partition``, ``offset``). Returns the StreamingQuery.
+
+    ``replay=True`` starts over: the sinks are emptied and a new checkpoint
+    reads the source from its first record.
+    """
     settings = settings or RunSettings()
+    if replay:
+        import uuid
+        from payguard.operators.readback import clear_table
+        from payguard.schemas import INVOICE_SCHEMA, RAW_SCHEMA
+        spark = source.sparkSession
+        for path, schema in ((sinks.raw, RAW_SCHEMA), (sinks.anomaly, INVOICE_SCHEMA)):
+            clear_table(spark, path, schema)
+        sinks = Sinks(sinks.root, checkpoint_name=f"_checkpoint-{uuid.uuid4().hex[:8]}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, sinks, settings, scorer, mode, topic_partitions)

@@ -150,3 +150,22 @@ def test_strict_mode_fails_even_when_only_filter_columns_are_read(spark):
     bad = spark.createDataFrame([('{"Invoice_Amount":"abc","Pay_Type":"On Time"}',)], "value STRING")
     with pytest.raises(PySparkException):
         decode_invoice(bad, mode="strict").where(F.col("Pay_Type") == "Late").count()
+
+
+def test_null_invoice_id_set_aside_blank_kept(spark):
+    rows = [(0, 0, json.dumps({"Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"})),
+            (0, 1, json.dumps({"Invoice_ID": "", "Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"}))]
+    batch = spark.createDataFrame(rows, "partition INT, offset BIGINT, value STRING")
+    sinks = Sinks(scratch_dir(spark, "t_nullid"))
+    process_batch(batch, 0, sinks, RunSettings())
+    assert [r.Invoice_ID for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()] == [""]
+    assert [r._error for r in spark.read.parquet(sinks.quarantine).collect()] == ["null event id"]
+
+
+def test_replay_starts_over_without_duplicates(spark):
+    topic = _topic(spark, "t_replay")
+    sinks = Sinks(scratch_dir(spark, "t_replay_out"))
+    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()
+    start_fanout(stream_topic(spark, topic), sinks, replay=True).awaitTermination()
+    assert read_sink(spark, sinks.raw, RAW_SCHEMA).count() == 4
+    assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 2

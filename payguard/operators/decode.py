@@ -28,7 +28,7 @@ _PARSED = "_parsed"
 def _error_expr(parsed: Column, payload: Column, fields: tuple[str, ...]) -> Column:
     checks = [
         (payload.isNull() | (F.trim(payload) == ""), "empty payload"),
-        (~F.ltrim(payload).startswith("{") | parsed[CORRUPT_COL].isNotNull(), "malformed json"),
+        (~payload.rlike(r"^\s*\{") | parsed[CORRUPT_COL].isNotNull(), "malformed json"),
     ]
     for f in fields:
         if f in FLOAT_FIELDS:

@@ -131,17 +131,35 @@ def _score_partition(scorer: Scorer, delay_col: str, batch_size: int):
 
 def score_invoices(df: DataFrame, scorer: Scorer, delay_col: str = "Pay_Delay",
                    batch_size: int = 256, model_name: str | None = None,
-                   min_partitions: int | None = None) -> DataFrame:
+                   min_partitions: int | None = None, dedupe: str = "batch") -> DataFrame:
     """Add ``score`` (DECIMAL(38,18)), ``output`` (INT), ``Risk`` and ``Model_Name``.
 
+    ``dedupe="batch"`` (default): score inside each partition, each distinct
+    delay once per Arrow batch; no shuffle. ``dedupe="global"`` (batch frames,
+    deterministic scorer): score each distinct delay once for the whole
+    input and join the scores back. The distinct set is a map-side combined
+    aggregate; it is broadcast only when its counted size fits the broadcast
+    threshold. Pays off when every model call is expensive.
+
     A missing prediction leaves score, output and Risk NULL and sets
     ``_error``. ``model_name`` is the response's model name when the server
     reports one; otherwise the default name is used.
     """
-    from payguard.session import spread
-    src = spread(df, min_partitions)
-    schema = T.StructType(src.schema.fields + [T.StructField("score", SCORE_TYPE, True)])
-    scored = src.mapInPandas(_score_partition(scorer, delay_col, batch_size), schema)
+    from payguard.session import broadcast_if_small, spread
+    if dedupe == "global" and not df.isStreaming:
+        dk = F.coalesce(F.col(delay_col), F.lit(0)).cast("int")  # a missing delay scores as 0
+        keys = df.select(dk.alias("_dk")).distinct()
+        kschema = T.StructType(keys.schema.fields + [T.StructField("score", SCORE_TYPE, True)])
+        table = spread(keys, min_partitions).mapInPandas(
+            _score_partition(scorer, "_dk", batch_size), kschema).checkpoint(eager=True)
+        scored = df.withColumn("_dk", dk).join(broadcast_if_small(table, table.count()), "_dk", "left")
+        scored = scored.select(*df.columns, "score")
+    elif dedupe in ("batch", "global"):
+        src = spread(df, min_partitions)
+        schema = T.StructType(src.schema.fields + [T.StructField("score", SCORE_TYPE, True)])
+        scored = src.mapInPandas(_score_partition(scorer, delay_col, batch_size), schema)
+    else:
+        raise ValueError(f"unknown dedupe {dedupe!r}")
     graded = grade_by_score(scored, model_name=None,
                             default_name=model_name or C.DEFAULT_MODEL_NAME)
     return graded.withColumn("_error", F.when(F.col("score").isNull(), F.lit("empty predictions")))

@@ -131,3 +131,24 @@ def test_stream_batch_sets_unscored_aside(spark):
     assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 0
     q = spark.read.parquet(sinks.quarantine).collect()
     assert [(r.Invoice_ID, r._error) for r in q] == [("A", "empty predictions")]
+
+
+def test_global_dedupe_matches_batch(spark):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("Invoice_ID"),
+                                  (F.col("id") % 150).cast("int").alias("Pay_Delay"))
+    a = score_invoices(df, LinearScorer(), dedupe="batch").select("Invoice_ID", "output", "Risk")
+    b = score_invoices(df, LinearScorer(), dedupe="global").select("Invoice_ID", "output", "Risk")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert a.count() == 2000
+
+
+def test_payload_with_leading_newline_is_an_object(spark):
+    from payguard.operators.decode import decode_invoice
+    df = spark.createDataFrame([('\n\t {"Invoice_Amount":"5"}',)], "value STRING")
+    assert decode_invoice(df).first()._error is None
+
+
+def test_global_dedupe_null_delay_scores_as_zero(spark):
+    df = spark.createDataFrame([("a", None), ("b", 0)], "Invoice_ID STRING, Pay_Delay INT")
+    out = {r.Invoice_ID: r.output for r in score_invoices(df, LinearScorer(), dedupe="global").collect()}
+    assert out == {"a": 1, "b": 1}

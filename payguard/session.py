@@ -32,14 +32,40 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return prepare(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin UTC (event times are UTC text) and make sure a checkpoint dir exists."""
+    """Pin UTC (event times are UTC text), make sure a checkpoint dir exists,
+    and ship this package to the Python workers."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     scratch_root(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Add this package to the Python workers' path (like ``--py-files``), once
+    per application: Python steps (model scoring) import it in the workers."""
+    import zipfile
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    # The archive is the driver's own upload, served to executors by Spark.
+    fd, path = tempfile.mkstemp(prefix="payguard-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir()

@@ -12,11 +12,28 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from payguard.operators.risk import grade_by_rule, late_invoices, valid_invoices
+from payguard.config import RunSettings
+from payguard.functions.coerce import bad_float, bad_int, lenient_float, lenient_int
+from payguard.functions.scoring import (decode_predictions, int64_le_bytes, linear_score, model_risk,
+                                        round_up, signed_first_byte)
+from payguard.operators.decode import ERROR_COL, decode_invoice, decode_raw, normalise_datetime
+from payguard.operators.encode import (anomaly_documents, binary_attributes, binary_events, name_based_id,
+                                       parse_structured_events, raw_documents, structured_risk_events)
+from payguard.operators.forward import delivery_attributes, new_records, retention_window
+from payguard.operators.readback import clear_table, index_total, search
+from payguard.operators.replay import Pacing, pace, repeat
+from payguard.operators.risk import grade_by_rule, grade_by_score, late_invoices, valid_invoices
+from payguard.operators.score import LinearScorer
 from payguard.plans import oracle as O
 from payguard.plans.risk_job import late_invoice_risk
-from payguard.session import prepare
-from payguard.sources.adapter import invoice_adapter
+from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from payguard.session import prepare, scratch_dir
+from payguard.sources.adapter import invoice_adapter, invoice_view, raw_payloads, raw_text_adapter
+from payguard.sources.files import read_sample_csv, write_sample_csv
+from payguard.sources.tables import read_table
+from payguard.streaming.fanout import process_batch, read_sink, start_fanout
+from payguard.streaming.scenario import run_scenario
+from payguard.streaming.topic import read_topic, stream_topic, write_topic
 
 
 @dataclass(frozen=True)
@@ -75,14 +92,6 @@ def q_late_invoice_risk(spark, sf_dir):
 
 # ---------------------------------------------------------------- decode
 
-from payguard.functions.coerce import bad_float, bad_int, lenient_float, lenient_int  # noqa: E402
-from payguard.operators.decode import decode_invoice, decode_raw, normalise_datetime  # noqa: E402
-from payguard.operators.encode import (binary_attributes, binary_events,  # noqa: E402
-                                       name_based_id, parse_structured_events,
-                                       structured_risk_events)
-from payguard.schemas import RAW_FIELDS  # noqa: E402
-from payguard.sources.adapter import raw_payloads, raw_text_adapter, raw_text_view, to_payload  # noqa: E402
-from payguard.sources.tables import read_table  # noqa: E402
 
 NULL_S = "CAST(NULL AS VARCHAR)"
 
@@ -229,10 +238,6 @@ def q_risk_event_encode(spark, sf_dir):
 
 # ---------------------------------------------------------------- scoring
 
-from payguard.functions.scoring import (decode_predictions, int64_le_bytes, linear_score,  # noqa: E402
-                                        model_risk, round_up, signed_first_byte)
-from payguard.operators.risk import grade_by_score  # noqa: E402
-from payguard.operators.score import LinearScorer, score_invoices  # noqa: E402
 
 _MODEL_SQL_COLS = (f"{INV_COLS}, " + O.MODEL_RISK_SQL.format(o=O.ROUND_UP_SQL.format(x=O.LINEAR_SCORE_SQL.format(d="Pay_Delay")))
                    + " AS Risk, 'anomaly-classifier-predictor' AS Model_Name")
@@ -335,19 +340,6 @@ def q_score_sweep(spark, sf_dir):
 
 # ---------------------------------------------------------------- stream job, sinks, readback
 
-from payguard.config import RunSettings  # noqa: E402
-from payguard.operators.decode import ERROR_COL  # noqa: E402
-from payguard.operators.encode import anomaly_documents, raw_documents  # noqa: E402
-from payguard.operators.forward import delivery_attributes, new_records, retention_window  # noqa: E402
-from payguard.operators.readback import clear_table, index_total, search  # noqa: E402
-from payguard.operators.replay import Pacing, pace, repeat  # noqa: E402
-from payguard.schemas import INVOICE_FIELDS, INVOICE_SCHEMA, RAW_SCHEMA  # noqa: E402
-from payguard.session import scratch_dir  # noqa: E402
-from payguard.sources.adapter import invoice_view  # noqa: E402
-from payguard.sources.files import read_sample_csv, write_sample_csv  # noqa: E402
-from payguard.streaming.fanout import process_batch, read_sink, start_fanout  # noqa: E402
-from payguard.streaming.scenario import run_scenario  # noqa: E402
-from payguard.streaming.topic import read_topic, stream_topic, write_topic  # noqa: E402
 
 _FLAG_COUNT = f"(SELECT count(*) FROM ({FLAGSHIP_SQL}) f)"
 _RAW_TYPED_SQL = O.with_raw(f"SELECT {O.RAW_TYPED_COLS} FROM raw")

@@ -169,3 +169,13 @@ def test_replay_starts_over_without_duplicates(spark):
     start_fanout(stream_topic(spark, topic), sinks, replay=True).awaitTermination()
     assert read_sink(spark, sinks.raw, RAW_SCHEMA).count() == 4
     assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 2
+
+
+def test_model_path_runs_in_a_stream(spark):
+    from payguard.operators.score import LinearScorer
+    topic = _topic(spark, "t_model_stream")
+    sinks = Sinks(scratch_dir(spark, "t_model_stream_out"))
+    start_fanout(stream_topic(spark, topic), sinks, scorer=LinearScorer()).awaitTermination()
+    got = {r.Invoice_ID: (r.Risk, r.Model_Name) for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
+    # delay 18 -> 13.6 -> 14 Low; delay 120 -> 90.1 -> 91 Medium (amount is not used)
+    assert got == {"I3": ("Low", "anomaly-classifier-predictor"), "I4": ("Medium", "anomaly-classifier-predictor")}

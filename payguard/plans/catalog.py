@@ -171,10 +171,10 @@ FROM (
 
 @register("quarantine", _QUARANTINE_SQL)
 def q_quarantine(spark, sf_dir):
-    """Malformed payloads (cut-off JSON, '17.0' as an int) set aside with a reason; good ones decoded.
+    """Malformed payloads (broken JSON, '17.0' as an int) set aside with a reason; good ones decoded.
 
     The feed is the raw payload of every line item, with two defects planted
-    from the data: lines with zero tax carry a cut-off JSON object, lines with
+    from the data: lines with zero tax carry broken JSON syntax, lines with
     a discount above 8% carry their quantity text ('17.0') as the delay.
     """
     from payguard.sources.adapter import raw_text_columns
@@ -185,7 +185,8 @@ def q_quarantine(spark, sf_dir):
     src_key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
     staged = li.select(src_key.alias("src_key"), "l_tax", *[c.alias(n) for n, c in cols.items()])
     payload = F.to_json(F.struct(*RAW_FIELDS))
-    feed = staged.select("src_key", F.when(F.col("l_tax") == 0, F.substring(payload, 1, 40))
+    # A stray opening brace breaks the JSON syntax; the whole payload is kept.
+    feed = staged.select("src_key", F.when(F.col("l_tax") == 0, F.concat(F.lit("{"), payload))
                          .otherwise(payload).alias("value"))
     dec = decode_invoice(feed, keep=("src_key",))
     ok = F.col("_error").isNull()

@@ -47,21 +47,29 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def ship_package(spark: SparkSession) -> None:
     """Add this package to the Python workers' path (like ``--py-files``), once
-    per application: Python steps (model scoring) import it in the workers."""
+    per application: Python steps (model scoring) import it in the workers.
+    The archive is written into the shared scratch folder."""
+    import io
     import zipfile
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    # The archive is the driver's own upload, served to executors by Spark.
-    fd, path = tempfile.mkstemp(prefix="payguard-", suffix=".zip")
-    os.close(fd)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg_dir):
-            for f in files:
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    path = f"{scratch_root(spark).rstrip('/')}/payguard-{uuid.uuid4().hex[:12]}.zip"
+    jvm = sc._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
 

@@ -66,7 +66,11 @@ def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSettings,
-                  scorer=None, mode: str = "quarantine", topic_partitions: int = 1) -> None:
+                  scorer=None, mode: str = "quarantine", topic_partitions: int = 1,
+                  risk_writer=None) -> None:
+    """One micro-batch. ``risk_writer(events_df, batch_id)`` publishes the
+    structured risk events (default: the topic twin under ``sinks``; use
+    :func:`kafka_risk_writer` on a cluster with the Kafka connector)."""
     decoded = decode(batch, ALL_FIELDS, "value", mode=mode if mode != "strict" else "strict",
                      keep=("partition", "offset"))
     if mode == "strict":
@@ -85,8 +89,11 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
             graded = graded.withColumn("_error", reason)
             risk = graded.where(F.col("_error").isNull())
             write_batch_partition(anomaly_documents(risk), sinks.anomaly, batch_id)
-            write_topic(structured_risk_events(risk, settings), sinks.risk_topic, settings.risk_topic,
-                        batch_id, topic_partitions)
+            events = structured_risk_events(risk, settings)
+            if risk_writer is None:
+                write_topic(events, sinks.risk_topic, settings.risk_topic, batch_id, topic_partitions)
+            else:
+                risk_writer(events, batch_id)
             set_aside = graded.where(F.col("_error").isNotNull()).select(
                 F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
                 *[F.col(f) if f in INVOICE_FIELDS else F.lit(None).cast(bad.schema[f].dataType).alias(f)
@@ -100,7 +107,7 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
 
 def start_fanout(source: DataFrame, sinks: Sinks, settings: RunSettings | None = None,
                  scorer=None, mode: str = "quarantine", available_now: bool = True,
-                 topic_partitions: int = 1, replay: bool = False):
+                 topic_partitions: int = 1, replay: bool = False, risk_writer=None):
     """Start the fan-out stream over a Kafka-shaped source (needs ``value``,
     ``partition``, ``offset``). Returns the StreamingQuery.
 
@@ -118,7 +125,7 @@ def start_fanout(source: DataFrame, sinks: Sinks, settings: RunSettings | None =
         sinks = Sinks(sinks.root, checkpoint_name=f"_checkpoint-{uuid.uuid4().hex[:8]}")
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, sinks, settings, scorer, mode, topic_partitions)
+        process_batch(batch, batch_id, sinks, settings, scorer, mode, topic_partitions, risk_writer)
 
     w = source.writeStream.foreachBatch(run).option("checkpointLocation", sinks.checkpoint) \
         .queryName(f"fanout_{abs(hash(sinks.root)) % 10**8}")
@@ -141,3 +148,13 @@ def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
         except AnalysisException:  # folder exists but no batch wrote rows
             pass
     return spark.createDataFrame([], schema)
+
+
+def kafka_risk_writer(settings: RunSettings, security):
+    """Risk events to a Kafka topic. Kafka's sink is at-least-once: a re-run
+    batch publishes its events again (the index tables stay exactly-once)."""
+    from payguard.sources.kafka import publish
+
+    def write(events: DataFrame, batch_id: int) -> None:
+        publish(events.select("key", "value"), settings.risk_topic, security)
+    return write

@@ -179,3 +179,16 @@ def test_model_path_runs_in_a_stream(spark):
     got = {r.Invoice_ID: (r.Risk, r.Model_Name) for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
     # delay 18 -> 13.6 -> 14 Low; delay 120 -> 90.1 -> 91 Medium (amount is not used)
     assert got == {"I3": ("Low", "anomaly-classifier-predictor"), "I4": ("Medium", "anomaly-classifier-predictor")}
+
+
+def test_pluggable_risk_writer(spark):
+    topic = _topic(spark, "t_writer")
+    root = scratch_dir(spark, "t_writer_out")
+    seen = f"{root}/published"
+
+    def writer(events, batch_id):
+        events.withColumn("b", F.lit(batch_id)).write.mode("append").parquet(seen)
+
+    start_fanout(stream_topic(spark, topic), Sinks(f"{root}/s"), risk_writer=writer).awaitTermination()
+    ids = sorted(json.loads(bytes(r.value))["id"] for r in spark.read.parquet(seen).collect())
+    assert ids == ["I3", "I4"]

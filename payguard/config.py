@@ -57,6 +57,29 @@ class RunSettings:
         clean = {k: v for k, v in kwargs.items() if not _blank(v)}
         return cls(**{**base.__dict__, **clean})
 
+    # Job argument names (``--name value``) -> fields.
+    ARG_NAMES = {"groupId": "group_id", "rawTopic": "raw_topic", "riskTopic": "risk_topic",
+                 "esRawIndex": "raw_table", "esRiskIndex": "risk_table",
+                 "modelPredictorURL": "model_predictor_url"}
+
+    @classmethod
+    def from_argv(cls, argv: list[str]) -> "RunSettings":
+        """Parse ``--name value`` job arguments; unknown names are ignored and
+        a blank value keeps the default."""
+        vals: dict[str, str] = {}
+        i = 0
+        while i < len(argv):
+            a = argv[i]
+            if a.startswith("-"):
+                name = a.lstrip("-")
+                value = argv[i + 1] if i + 1 < len(argv) and not argv[i + 1].startswith("--") else ""
+                if name in cls.ARG_NAMES:
+                    vals[cls.ARG_NAMES[name]] = value
+                i += 2 if value else 1
+            else:
+                i += 1
+        return cls.from_args(**vals)
+
     @property
     def uses_model(self) -> bool:
         return not _blank(self.model_predictor_url)

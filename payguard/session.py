@@ -124,3 +124,10 @@ def broadcast_if_small(df, rows: int, row_bytes: int = 64):
     except ValueError:
         limit_b = 10 * 1024 * 1024
     return F.broadcast(df) if 0 <= rows * row_bytes <= limit_b else df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on any Hadoop-supported file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

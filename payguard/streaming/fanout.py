@@ -141,8 +141,8 @@ def read_table_dir(spark: SparkSession, path: str) -> DataFrame:
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
     """Read a fan-out table; an empty (never written) table reads as no rows."""
     from pyspark.errors import AnalysisException
-    from payguard.streaming.topic import _path_exists
-    if _path_exists(spark, path):
+    from payguard.session import path_exists
+    if path_exists(spark, path):
         try:
             return read_table_dir(spark, path)
         except AnalysisException:  # folder exists but no batch wrote rows

@@ -16,21 +16,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from payguard.operators.replay import dense_index
+from payguard.session import path_exists
 from payguard.schemas import TOPIC_SCHEMA
 
 OFFSETS = "_offsets"
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def high_water(spark: SparkSession, path: str, before_batch: int | None = None) -> DataFrame:
     """(partition, next_offset) over the batches written so far (or before one)."""
     off = f"{path.rstrip('/')}/{OFFSETS}"
-    if not _path_exists(spark, off):
+    if not path_exists(spark, off):
         return spark.createDataFrame([], "partition INT, next_offset BIGINT")
     hw = spark.read.parquet(off)
     if before_batch is not None:
@@ -56,7 +51,7 @@ def write_topic(df: DataFrame, path: str, topic: str, batch_id: int, partitions:
                     F.lit(batch_id).alias("batch_id")))
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(path))
-    if not _path_exists(spark, f"{path.rstrip('/')}/batch_id={batch_id}"):
+    if not path_exists(spark, f"{path.rstrip('/')}/batch_id={batch_id}"):
         return  # an empty batch moves no high-water mark
     written = spark.read.parquet(path).where(F.col("batch_id") == batch_id)
     marks = (written.groupBy("partition").agg((F.max("offset") + 1).alias("next_offset"))

@@ -27,3 +27,10 @@ def test_incomplete_security_fails_fast():
         KafkaSecurity(scram_username="u").options()
     with pytest.raises(ValueError):
         KafkaSecurity(tls_version="TLSv1.2").options()
+
+
+def test_from_argv():
+    s = RunSettings.from_argv(["--groupId", "g2", "--rawTopic", "", "--modelPredictorURL", "http://m/p",
+                               "--unknown", "x"])
+    assert (s.group_id, s.raw_topic, s.model_predictor_url) == ("g2", "procure-raw", "http://m/p")
+    assert s.uses_model

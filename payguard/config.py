@@ -41,6 +41,7 @@ class RunSettings:
     raw_table: str = "procure_raw"
     risk_table: str = "procure_risk"
     model_predictor_url: str = ""
+    model_ca_file: str = ""         # CA bundle for an https model server
     model_name: str = DEFAULT_MODEL_NAME
     # Envelope attributes of what we publish. They are settings, not logic.
     event_source: str = "urn:payguard:producer"

@@ -72,18 +72,26 @@ class LinearScorer:
 class HttpScorer:
     """REST model server client; one keep-alive connection per partition."""
 
-    def __init__(self, url: str, timeout_s: float = 30.0, retries: int = 3):
+    def __init__(self, url: str, timeout_s: float = 30.0, retries: int = 3,
+                 tls: bool | None = None, ca_file: str | None = None):
         if not url:
             raise ValueError("a model predictor URL is required")
-        self.url, self.timeout_s, self.retries = url, timeout_s, retries
+        self.tls = url.lower().startswith("https") if tls is None else tls
+        if self.tls and not ca_file:
+            raise ValueError("TLS to the model server needs a CA file")
+        self.url, self.timeout_s, self.retries, self.ca_file = url, timeout_s, retries, ca_file
         self._conn = None
 
     def open(self) -> None:
         import http.client
         from urllib.parse import urlsplit
         u = urlsplit(self.url)
-        cls = http.client.HTTPSConnection if u.scheme == "https" else http.client.HTTPConnection
-        self._conn = cls(u.netloc, timeout=self.timeout_s)
+        if self.tls:
+            import ssl
+            ctx = ssl.create_default_context(cafile=self.ca_file)
+            self._conn = http.client.HTTPSConnection(u.netloc, timeout=self.timeout_s, context=ctx)
+        else:
+            self._conn = http.client.HTTPConnection(u.netloc, timeout=self.timeout_s)
         self._path = (u.path or "/") + (f"?{u.query}" if u.query else "")
 
     def predict(self, delays: list[int]) -> str:

@@ -152,3 +152,11 @@ def test_global_dedupe_null_delay_scores_as_zero(spark):
     df = spark.createDataFrame([("a", None), ("b", 0)], "Invoice_ID STRING, Pay_Delay INT")
     out = {r.Invoice_ID: r.output for r in score_invoices(df, LinearScorer(), dedupe="global").collect()}
     assert out == {"a": 1, "b": 1}
+
+
+def test_http_scorer_tls_needs_ca_file():
+    import pytest
+    with pytest.raises(ValueError):
+        HttpScorer("https://model:8443/v1/models/m:predict")
+    with pytest.raises(ValueError):
+        HttpScorer("")

@@ -13,6 +13,9 @@ def rule_risk(amount: Column, delay: Column) -> Column:
     ``amount`` must already be FLOAT: 5000.0001 is 5000.0 in 32 bits, so Low.
     NaN is above every number in Spark, as ``NaN <= x`` is false in Java.
     """
+    # Missing values count as 0, like primitive fields.
+    amount = F.coalesce(amount, F.lit(0.0).cast("float"))
+    delay = F.coalesce(delay, F.lit(0))
     return (
         F.when(amount <= F.lit(C.RULE_AMOUNT_LIMIT).cast("float"), F.lit(C.RISK_LOW))
         .when(delay <= F.lit(C.RULE_DELAY_LIMIT), F.lit(C.RISK_MEDIUM))
@@ -33,9 +36,13 @@ def model_risk(output: Column) -> Column:
 def round_up(x: Column) -> Column:
     """Round away from zero to an INT (50.0001 -> 51, -0.2 -> -1).
 
-    Exact on DECIMAL input: no detour through DOUBLE.
+    Exact on DECIMAL input: no detour through DOUBLE. Beyond the INT range
+    the value wraps to its low 32 bits, as a big decimal's int conversion
+    does, instead of failing.
     """
-    return F.when(x < 0, -F.ceil(-x)).otherwise(F.ceil(x)).try_cast("int")
+    whole = F.when(x < 0, -F.ceil(-x)).otherwise(F.ceil(x))
+    low = F.pmod(whole, F.lit(2**32))
+    return F.when(low >= F.lit(2**31), low - F.lit(2**32)).otherwise(low).cast("int")
 
 
 def signed_first_byte(b: Column) -> Column:

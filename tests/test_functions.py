@@ -62,3 +62,16 @@ def test_normalise_datetime_strict(spark):
     df = spark.createDataFrame([("2019-03-18 12:45:00",)], "DateTime STRING")
     with pytest.raises(PySparkException):
         normalise_datetime(df, strict=True).collect()
+
+
+@pytest.mark.parametrize("x,expected", [("4294967297.5", 2), ("2147483648", -2147483648), ("-2147483649", 2147483647),
+                                        ("2147483647", 2147483647), ("-0.0001", -1)])
+def test_round_up_wraps_like_int_conversion(spark, x, expected):
+    df = spark.range(1).select(F.lit(x).cast("decimal(38,18)").alias("x"))
+    assert df.select(round_up(F.col("x")).alias("o")).first().o == expected
+
+
+def test_rule_treats_missing_as_zero(spark):
+    from payguard.functions.scoring import rule_risk
+    df = spark.createDataFrame([(9000.0, None), (None, 200)], "a FLOAT, d INT")
+    assert [r.k for r in df.select(rule_risk(F.col("a"), F.col("d")).alias("k")).collect()] == ["Medium", "Low"]

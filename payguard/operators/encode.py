@@ -35,15 +35,18 @@ def name_based_id(*cols: str) -> Column:
 
 def binary_events(df: DataFrame, fields: tuple[str, ...] = RAW_FIELDS, id_col: Column | None = None,
                   time_col: str = "DateTime", settings: C.RunSettings | None = None,
-                  keep: tuple[str, ...] = ()) -> DataFrame:
+                  keep: tuple[str, ...] = (), value_col: str | None = None) -> DataFrame:
     """Text columns -> Kafka-shaped binary-mode events (key, value, headers).
 
-    ``id_col`` defaults to a random UUID per row; random ids differ on every
-    recomputation, so write the result once before publishing it.
+    The value is the JSON object of ``fields``, or the ready-made text in
+    ``value_col``. ``id_col`` defaults to a random UUID per row; random ids
+    differ on every recomputation, so write the result once before
+    publishing it.
     """
     s = settings or C.RunSettings()
     eid = id_col if id_col is not None else F.expr("uuid()")
-    staged = df.select(*keep, *fields, eid.alias("_id"))
+    body = F.col(value_col) if value_col else F.to_json(F.struct(*fields))
+    staged = df.select(*keep, *fields, eid.alias("_id"), body.alias("_body"))
     heads = make_headers({
         "ce_id": F.col("_id"),
         "ce_source": F.lit(s.event_source),
@@ -53,7 +56,7 @@ def binary_events(df: DataFrame, fields: tuple[str, ...] = RAW_FIELDS, id_col: C
         "ce_time": F.col(time_col),
     })
     return staged.select(*keep, F.col("_id").cast("binary").alias("key"),
-                         F.to_json(F.struct(*fields)).cast("binary").alias("value"),
+                         F.col("_body").cast("binary").alias("value"),
                          heads.alias("headers"))
 
 

@@ -28,7 +28,8 @@ from payguard.plans import oracle as O
 from payguard.plans.risk_job import late_invoice_risk
 from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 from payguard.session import prepare, scratch_dir
-from payguard.sources.adapter import invoice_adapter, invoice_view, raw_payloads, raw_text_adapter
+from payguard.sources.adapter import (defective_payloads, invoice_adapter, invoice_view, raw_payloads,
+                                      raw_text_adapter)
 from payguard.sources.files import read_sample_csv, write_sample_csv
 from payguard.sources.tables import read_table
 from payguard.streaming.fanout import process_batch, read_sink, start_fanout
@@ -177,17 +178,9 @@ def q_quarantine(spark, sf_dir):
     from the data: lines with zero tax carry broken JSON syntax, lines with
     a discount above 8% carry their quantity text ('17.0') as the delay.
     """
-    from payguard.sources.adapter import raw_text_columns
     li = read_table(spark, sf_dir, "lineitem", spread=True)
-    cols = raw_text_columns()
-    cols["Pay_Delay"] = (F.when(F.col("l_discount") > 0.08, F.col("l_quantity").cast("string"))
-                         .otherwise(cols["Pay_Delay"]))
     src_key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-    staged = li.select(src_key.alias("src_key"), "l_tax", *[c.alias(n) for n, c in cols.items()])
-    payload = F.to_json(F.struct(*RAW_FIELDS))
-    # A stray opening brace breaks the JSON syntax; the whole payload is kept.
-    feed = staged.select("src_key", F.when(F.col("l_tax") == 0, F.concat(F.lit("{"), payload))
-                         .otherwise(payload).alias("value"))
+    feed = defective_payloads(li.withColumn("src_key", src_key), keep=("src_key",)).select("src_key", "value")
     dec = decode_invoice(feed, keep=("src_key",))
     ok = F.col("_error").isNull()
     return dec.select("src_key", *[F.when(ok, F.col(c)).alias(c)
@@ -537,3 +530,27 @@ def q_index_clear(spark, sf_dir):
     clear_table(spark, path, INVOICE_SCHEMA)
     write_batch_partition(risk, path, 0)
     return index_total(read_sink(spark, path, INVOICE_SCHEMA), "procure_risk")
+
+
+_PAY_TYPE_SQL = "CASE l_returnflag WHEN 'R' THEN 'Late' WHEN 'A' THEN 'On Time' ELSE '' END"
+
+
+@register("stream_quarantine", f"""
+SELECT CASE WHEN l_tax = 0 THEN NULL
+            ELSE concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') END AS Invoice_ID,
+       CASE WHEN l_tax = 0 THEN NULL ELSE {_PAY_TYPE_SQL} END AS Pay_Type,
+       CASE WHEN l_tax = 0 THEN 'malformed json' ELSE 'bad int Pay_Delay' END AS _error
+FROM lineitem WHERE l_tax = 0 OR l_discount > 0.08""")
+def q_stream_quarantine(spark, sf_dir):
+    """The stream job sets malformed events aside: every line item is
+    published with the planted defects, and the quarantine sink holds exactly
+    the defective events with their reason (broken JSON keeps no fields)."""
+    from payguard.streaming.fanout import Sinks
+    root = scratch_dir(spark, "stream_quarantine")
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    events = binary_events(defective_payloads(li), id_col=name_based_id("Invoice_ID", "DateTime", "Req_Line_ID"),
+                           value_col="value")
+    write_topic(events, f"{root}/raw_topic", "procure-raw", 0, partitions=4)
+    sinks = Sinks(f"{root}/sinks")
+    start_fanout(stream_topic(spark, f"{root}/raw_topic"), sinks, topic_partitions=4).awaitTermination()
+    return spark.read.parquet(sinks.quarantine).select("Invoice_ID", "Pay_Type", "_error")

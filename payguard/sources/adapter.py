@@ -119,3 +119,18 @@ def to_payload(df: DataFrame, fields: tuple[str, ...] = RAW_FIELDS, keep: tuple[
 
 def raw_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_payload(raw_text_adapter(spark, sf_dir))
+
+
+def defective_payloads(lineitem: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Raw payloads with two defects planted from the data, for quarantine
+    checks: zero-tax lines carry broken JSON syntax (a stray opening brace;
+    the whole payload is kept), lines with a discount above 8% carry their
+    quantity text ('17.0') as the delay. Returns ``keep`` + the 35 text
+    fields + ``value``."""
+    cols = raw_text_columns()
+    cols["Pay_Delay"] = (F.when(F.col("l_discount") > 0.08, F.col("l_quantity").cast(S))
+                         .otherwise(cols["Pay_Delay"]))
+    staged = lineitem.select(*keep, "l_tax", *[c.alias(n) for n, c in cols.items()])
+    payload = F.to_json(F.struct(*RAW_FIELDS))
+    return staged.select(*keep, *RAW_FIELDS, F.when(F.col("l_tax") == 0, F.concat(F.lit("{"), payload))
+                         .otherwise(payload).alias("value"))

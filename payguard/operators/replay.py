@@ -23,6 +23,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from payguard.session import materialise
+
 INT32_MAX = 2**31 - 1
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
@@ -46,17 +48,6 @@ class Pacing:
         return cls(max(g, 1), _to_int(seconds_to_pause, 0), _to_int(repetitions, 1))
 
 
-def _reliable(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint computed once: the checkpoint job would otherwise
-    recompute the whole lineage after the first pass."""
-    from pyspark import StorageLevel
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return staged.checkpoint(eager=True)
-    finally:
-        staged.unpersist()
-
-
 def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None,
                 partitions: int | None = None, index_col: str = "_idx",
                 total_col: str | None = "_total") -> DataFrame:
@@ -77,10 +68,11 @@ def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None
     if keys:
         df = df.sortWithinPartitions(*keys)
     # The ids depend on physical partitioning, which AQE may coalesce
-    # differently for each consumer of a shuffle; a reliable checkpoint (in
-    # the cluster's shared checkpoint folder) stores them once, so the counts
-    # and the rows agree and a lost executor cannot renumber anything.
-    ranged = (_reliable(df.withColumn("_mid", F.monotonically_increasing_id()))
+    # differently for each consumer of a shuffle; writing the numbered rows
+    # once (a table in the cluster's shared checkpoint folder) fixes them, so
+    # the counts and the rows agree and a lost executor cannot renumber
+    # anything. The count pass then reads two columns only.
+    ranged = (materialise(df.withColumn("_mid", F.monotonically_increasing_id()), "dense-index")
                 .withColumn("_sp", F.shiftright(F.col("_mid"), _LOCAL_BITS))
                 .withColumn("_grp", g))
     # One row per (input partition, group): bounded by partitions x groups.
@@ -93,7 +85,7 @@ def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None
         F.sum("_cnt").over(Window.partitionBy("_grp")).alias("_gtotal"))
     # The start table is small by construction but grows with partitions x
     # groups: store it, count it, and broadcast only within the threshold.
-    starts = _reliable(starts)
+    starts = materialise(starts, "dense-index-starts")
     from payguard.session import broadcast_if_small
     out = ranged.join(broadcast_if_small(starts, starts.count()), ["_sp", "_grp"])
     out = out.withColumn(index_col, F.col("_start") + F.col("_mid") - F.col("_first"))

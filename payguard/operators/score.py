@@ -158,9 +158,9 @@ def score_invoices(df: DataFrame, scorer: Scorer, delay_col: str = "Pay_Delay",
         dk = F.coalesce(F.col(delay_col), F.lit(0)).cast("int")  # a missing delay scores as 0
         keys = df.select(dk.alias("_dk")).distinct()
         kschema = T.StructType(keys.schema.fields + [T.StructField("score", SCORE_TYPE, True)])
-        from payguard.operators.replay import _reliable
-        table = _reliable(spread(keys, min_partitions).mapInPandas(
-            _score_partition(scorer, "_dk", batch_size), kschema))
+        from payguard.session import materialise
+        table = materialise(spread(keys, min_partitions).mapInPandas(
+            _score_partition(scorer, "_dk", batch_size), kschema), "scores")
         scored = df.withColumn("_dk", dk).join(broadcast_if_small(table, table.count()), "_dk", "left")
         scored = scored.select(*df.columns, "score")
     elif dedupe in ("batch", "global"):

@@ -131,3 +131,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialise(df, name: str):
+    """Write ``df`` once as a parquet table under the shared scratch folder
+    and read it back: cuts lineage, survives lost executors, and later
+    passes read only the columns they need."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -20,7 +20,7 @@ from payguard.operators.decode import ERROR_COL, decode_invoice, decode_raw, nor
 from payguard.operators.encode import (anomaly_documents, binary_attributes, binary_events, name_based_id,
                                        parse_structured_events, raw_documents, structured_risk_events)
 from payguard.operators.forward import delivery_attributes, new_records, retention_window
-from payguard.operators.readback import clear_table, index_total, search
+from payguard.operators.readback import clear_table, index_total, init_tables, search
 from payguard.operators.replay import Pacing, pace, repeat
 from payguard.operators.risk import grade_by_rule, grade_by_score, late_invoices, valid_invoices
 from payguard.operators.score import LinearScorer
@@ -532,6 +532,24 @@ def q_index_clear(spark, sf_dir):
     return index_total(read_sink(spark, path, INVOICE_SCHEMA), "procure_risk")
 
 
+@register("init_tables", FLAGSHIP_SQL)
+def q_init_tables(spark, sf_dir):
+    """Index initialisation: both typed tables created if absent (a second and
+    third init change nothing and raise nothing), the risk rows written into
+    the typed anomaly table and read back through the catalog."""
+    import uuid
+    root = scratch_dir(spark, "init_tables")
+    tag = uuid.uuid4().hex[:10]
+    raw_t, risk_t = f"procure_raw_{tag}", f"procure_risk_{tag}"
+    tables = {raw_t: RAW_SCHEMA, risk_t: INVOICE_SCHEMA}
+    init_tables(spark, tables, root)
+    init_tables(spark, tables, root)
+    risk = late_invoice_risk(invoice_adapter(spark, sf_dir))
+    risk.select(*INVOICE_SCHEMA.fieldNames()).write.insertInto(risk_t)
+    init_tables(spark, tables, root)
+    return spark.table(risk_t)
+
+
 _PAY_TYPE_SQL = "CASE l_returnflag WHEN 'R' THEN 'Late' WHEN 'A' THEN 'On Time' ELSE '' END"
 
 

@@ -38,7 +38,10 @@ def _invoice_cols() -> dict[str, Column]:
         "Invoice_Amount": F.when((ls == "O") & (rf == "N"), F.lit(0.0))
                            .otherwise(F.col("l_extendedprice")).cast("float"),
         "Invoice_Due_Date": F.date_format(F.date_add(F.col("l_shipdate"), 30), "M/d/yy"),
-        "Pay_Type": F.when(rf == "R", "Late").when(rf == "A", "On Time").otherwise(""),
+        # Nested null-safe branches: Catalyst folds ``Pay_Type = 'Late'`` into
+        # ``l_returnflag <=> 'R'`` and pushes it to the parquet scan.
+        "Pay_Type": F.when(rf.eqNullSafe("R"), "Late").otherwise(
+            F.when(rf.eqNullSafe("A"), "On Time").otherwise("")),
         "Pay_Delay": F.col("l_quantity").cast("int") * 4,
     }
 

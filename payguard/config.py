@@ -51,6 +51,13 @@ class RunSettings:
     bulk_rows: int = 3000
     bulk_mb: int = 50
     bulk_interval_ms: int = 3000
+    # Micro-batch cap for the stream job's source. A fresh checkpoint reads
+    # the topic from its first record; without a cap the whole backlog would
+    # be one batch, and the fan-out keeps each batch's decode while it
+    # writes the sinks. 20M events of ~1 KB is ~20 GB per batch over the
+    # whole cluster, so batch memory stays fixed however long the topic is.
+    max_records_per_trigger: int = 20_000_000
+    max_files_per_trigger: int = 1000
 
     @classmethod
     def from_args(cls, **kwargs: str | None) -> "RunSettings":

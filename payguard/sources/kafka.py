@@ -14,13 +14,15 @@ from payguard.config import KafkaSecurity, RunSettings
 
 def raw_stream(spark: SparkSession, settings: RunSettings, security: KafkaSecurity,
                max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Raw topic from the earliest offset (a fresh checkpoint replays everything)."""
-    r = (spark.readStream.format("kafka").options(**security.options())
-         .option("subscribe", settings.raw_topic).option("startingOffsets", "earliest")
-         .option("includeHeaders", "true").option("kafka.group.id", settings.group_id))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return r.load()
+    """Raw topic from the earliest offset (a fresh checkpoint replays everything),
+    at most ``max_offsets_per_trigger`` records per micro-batch (default
+    ``settings.max_records_per_trigger``), so a long backlog is read in
+    bounded batches."""
+    cap = max_offsets_per_trigger or settings.max_records_per_trigger
+    return (spark.readStream.format("kafka").options(**security.options())
+            .option("subscribe", settings.raw_topic).option("startingOffsets", "earliest")
+            .option("includeHeaders", "true").option("kafka.group.id", settings.group_id)
+            .option("maxOffsetsPerTrigger", str(cap)).load())
 
 
 def risk_stream_new_only(spark: SparkSession, settings: RunSettings, security: KafkaSecurity) -> DataFrame:

@@ -67,9 +67,10 @@ def read_topic(spark: SparkSession, path: str) -> DataFrame:
 
 def stream_topic(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming read from the earliest record, like a consumer that starts
-    from the beginning on every fresh checkpoint."""
-    r = spark.readStream.schema(TOPIC_SCHEMA).option("recursiveFileLookup", "true") \
-        .option("pathGlobFilter", "*.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(path)
+    from the beginning on every fresh checkpoint; at most
+    ``max_files_per_trigger`` files per micro-batch (default from
+    :class:`RunSettings`), so a backlog is read in bounded batches."""
+    from payguard.config import RunSettings
+    cap = max_files_per_trigger or RunSettings().max_files_per_trigger
+    return (spark.readStream.schema(TOPIC_SCHEMA).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").option("maxFilesPerTrigger", cap).parquet(path))

@@ -54,6 +54,31 @@ def test_retried_batch_does_not_duplicate(spark):
     assert t.count() == 2 and t.select("partition", "offset").distinct().count() == 2
 
 
+def test_backlog_read_in_bounded_batches(spark):
+    """One file per micro-batch: several batches, the same sinks as one batch,
+    and dense, unique risk-topic offsets across the batches."""
+    topic = _topic(spark, "t_bounded")
+    files = spark.read.parquet(topic).inputFiles()
+    assert len(files) > 1
+    sinks = Sinks(scratch_dir(spark, "t_bounded_out"))
+    start_fanout(stream_topic(spark, topic, max_files_per_trigger=1), sinks,
+                 topic_partitions=2).awaitTermination()
+    raw, bad = spark.read.parquet(sinks.raw), spark.read.parquet(sinks.quarantine)
+    batches = raw.select("batch_id").union(bad.select("batch_id")).distinct().count()
+    assert batches == len(files)  # one file per batch; a batch may hold only a bad event
+    assert raw.count() == 4
+    anomalies = {r.Invoice_ID: r.Risk for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
+    assert anomalies == {"I3": "Low", "I4": "High"}
+    assert [r._error for r in spark.read.parquet(sinks.quarantine).collect()] == ["malformed json"]
+    t = read_topic(spark, sinks.risk_topic)
+    assert t.count() == 2 and t.select("partition", "offset").distinct().count() == 2
+
+
+def test_kafka_source_caps_records_per_batch():
+    from payguard.config import RunSettings as RS
+    assert RS().max_records_per_trigger > 0 and RS().max_files_per_trigger > 0
+
+
 def test_restart_processes_only_new_records(spark):
     topic = _topic(spark, "t_restart")
     sinks = Sinks(scratch_dir(spark, "t_restart_out"))

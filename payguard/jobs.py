@@ -114,9 +114,11 @@ def produce_job(argv: list[str], spark: SparkSession | None = None) -> int:
     # unique key, so even a single step with every row is split evenly across
     # tasks; random ids are fixed before any send, and each step's filter
     # skips the row groups of other steps.
+    from payguard.operators.replay import range_partitions
     key = ("send_offset_s", "rep", "seq")
-    schedule = materialise(producer_schedule(read_sample_csv(spark, opts["sample"]), pacing, settings)
-                           .repartitionByRange(*key).sortWithinPartitions(*key), "producer-schedule")
+    events = producer_schedule(read_sample_csv(spark, opts["sample"]), pacing, settings)
+    schedule = materialise(events.repartitionByRange(range_partitions(events), *key).sortWithinPartitions(*key),
+                           "producer-schedule")
     last = schedule.agg(F.max("send_offset_s")).first()[0]
     if last is None:
         return 0

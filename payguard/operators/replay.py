@@ -48,6 +48,13 @@ class Pacing:
         return cls(max(g, 1), _to_int(seconds_to_pause, 0), _to_int(repetitions, 1))
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Partition count for a range shuffle of ``df``: its input split count,
+    but at least ``spark.sql.shuffle.partitions``."""
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(shuffle, df.rdd.getNumPartitions())
+
+
 def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None,
                 partitions: int | None = None, index_col: str = "_idx",
                 total_col: str | None = "_total") -> DataFrame:
@@ -59,9 +66,10 @@ def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None
     keep their partitions, only sorted by group inside each, so there is no
     shuffle at all.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = ([group] if group else []) + (order or [])
+    # As many range partitions as the input has splits (at least the shuffle
+    # setting): a fixed 200 would put hundreds of GB in each task at scale.
+    n = partitions or (range_partitions(df) if order else None)
     g = F.col(group) if group else F.lit(0)
     if order:
         df = df.repartitionByRange(n, *keys)

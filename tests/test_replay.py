@@ -41,3 +41,16 @@ def test_dense_index_matches_row_number(spark):
     j = got.join(ref, ["g", "k"])
     assert j.count() == 5000
     assert j.where((F.col("_idx") != F.col("_ref")) | (F.col("_total") != F.col("_rt"))).count() == 0
+
+
+def test_range_shuffle_sized_to_input_splits(spark):
+    """More input splits than shuffle partitions: the range shuffle keeps the
+    split count, and the numbering is still dense and in order."""
+    from payguard.operators.replay import range_partitions
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = spark.range(0, 5000, 1, numPartitions=shuffle * 3).select((F.col("id") * 7 % 5000).alias("k"))
+    assert range_partitions(df) == shuffle * 3
+    assert range_partitions(df.coalesce(1)) == shuffle
+    got = dense_index(df, ["k"], total_col="n")
+    bad = got.where((F.col("_idx") != F.col("k")) | (F.col("n") != 5000)).count()
+    assert bad == 0 and got.count() == 5000

@@ -32,7 +32,10 @@ def parse_options(argv: list[str], names: tuple[str, ...]) -> dict[str, str]:
     out: dict[str, str] = {}
     i = 0
     while i < len(argv):
-        name = argv[i].lstrip("-") if argv[i].startswith("--") else None
+        if not argv[i].startswith("--"):  # a stray word, e.g. a flag's "true"
+            i += 1
+            continue
+        name = argv[i][2:]
         if name in _FLAGS:
             out[name] = "true"
             i += 1

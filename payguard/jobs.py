@@ -103,7 +103,7 @@ def produce_job(argv: list[str], spark: SparkSession | None = None) -> int:
     """Publish the sample: ids written once, then one publish per pacing
     step, each step a distributed write of the rows due at that second.
     Returns the number of publish steps."""
-    from payguard.operators.replay import Pacing
+    from payguard.operators.replay import Pacing, range_partitions
     from payguard.session import materialise
     from payguard.sources.files import read_sample_csv
     spark = spark or _session()
@@ -117,7 +117,6 @@ def produce_job(argv: list[str], spark: SparkSession | None = None) -> int:
     # unique key, so even a single step with every row is split evenly across
     # tasks; random ids are fixed before any send, and each step's filter
     # skips the row groups of other steps.
-    from payguard.operators.replay import range_partitions
     key = ("send_offset_s", "rep", "seq")
     events = producer_schedule(read_sample_csv(spark, opts["sample"]), pacing, settings)
     schedule = materialise(events.repartitionByRange(range_partitions(events), *key).sortWithinPartitions(*key),

@@ -12,17 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 from payguard.config import KafkaSecurity, RunSettings
 
 
-def raw_stream(spark: SparkSession, settings: RunSettings, security: KafkaSecurity,
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Raw topic from the earliest offset (a fresh checkpoint replays everything),
-    at most ``max_offsets_per_trigger`` records per micro-batch (default
+def raw_stream_options(settings: RunSettings, security: KafkaSecurity,
+                       max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+    """Source options of the raw topic: from the earliest offset (a fresh
+    checkpoint replays everything), headers included, at most
+    ``max_offsets_per_trigger`` records per micro-batch (default
     ``settings.max_records_per_trigger``), so a long backlog is read in
     bounded batches."""
     cap = max_offsets_per_trigger or settings.max_records_per_trigger
-    return (spark.readStream.format("kafka").options(**security.options())
-            .option("subscribe", settings.raw_topic).option("startingOffsets", "earliest")
-            .option("includeHeaders", "true").option("kafka.group.id", settings.group_id)
-            .option("maxOffsetsPerTrigger", str(cap)).load())
+    return {**security.options(), "subscribe": settings.raw_topic, "startingOffsets": "earliest",
+            "includeHeaders": "true", "kafka.group.id": settings.group_id, "maxOffsetsPerTrigger": str(cap)}
+
+
+def raw_stream(spark: SparkSession, settings: RunSettings, security: KafkaSecurity,
+               max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Raw topic as a stream (see :func:`raw_stream_options`)."""
+    opts = raw_stream_options(settings, security, max_offsets_per_trigger)
+    return spark.readStream.format("kafka").options(**opts).load()
 
 
 def risk_stream_new_only(spark: SparkSession, settings: RunSettings, security: KafkaSecurity) -> DataFrame:

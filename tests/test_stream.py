@@ -75,8 +75,12 @@ def test_backlog_read_in_bounded_batches(spark):
 
 
 def test_kafka_source_caps_records_per_batch():
-    from payguard.config import RunSettings as RS
-    assert RS().max_records_per_trigger > 0 and RS().max_files_per_trigger > 0
+    from payguard.config import KafkaSecurity
+    from payguard.sources.kafka import raw_stream_options
+    opts = raw_stream_options(RunSettings(), KafkaSecurity())
+    assert opts["maxOffsetsPerTrigger"] == str(RunSettings().max_records_per_trigger)
+    assert opts["startingOffsets"] == "earliest" and opts["includeHeaders"] == "true"
+    assert raw_stream_options(RunSettings(), KafkaSecurity(), 500)["maxOffsetsPerTrigger"] == "500"
 
 
 def test_restart_processes_only_new_records(spark):

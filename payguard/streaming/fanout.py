@@ -92,8 +92,12 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
             events = structured_risk_events(risk, settings)
             if risk_writer is None:
                 write_topic(events, sinks.risk_topic, settings.risk_topic, batch_id, topic_partitions)
-            else:
+            elif not _published(batch, sinks, batch_id):
+                # An external sink (Kafka) cannot overwrite a batch: publish
+                # each batch id once, then record it, so a batch Spark re-runs
+                # after the publish finished is not sent again.
                 risk_writer(events, batch_id)
+                _mark_published(batch, sinks, batch_id)
             set_aside = graded.where(F.col("_error").isNotNull()).select(
                 F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
                 *[F.col(f) if f in INVOICE_FIELDS else F.lit(None).cast(bad.schema[f].dataType).alias(f)
@@ -105,6 +109,22 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
         decoded.unpersist()
 
 
+def _published_marker(sinks: Sinks, batch_id: int) -> str:
+    # Batch ids restart with each checkpoint (replay starts a new one).
+    return f"{sinks.root}/_published/{sinks.checkpoint_name}/batch_id={batch_id}"
+
+
+def _published(df: DataFrame, sinks: Sinks, batch_id: int) -> bool:
+    from payguard.session import path_exists
+    return path_exists(df.sparkSession, _published_marker(sinks, batch_id))
+
+
+def _mark_published(df: DataFrame, sinks: Sinks, batch_id: int) -> None:
+    sc = df.sparkSession.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(_published_marker(sinks, batch_id))
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True).close()
+
+
 def start_fanout(source: DataFrame, sinks: Sinks, settings: RunSettings | None = None,
                  scorer=None, mode: str = "quarantine", available_now: bool = True,
                  topic_partitions: int = 1, replay: bool = False, risk_writer=None):
@@ -151,8 +171,10 @@ def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def kafka_risk_writer(settings: RunSettings, security):
-    """Risk events to a Kafka topic. Kafka's sink is at-least-once: a re-run
-    batch publishes its events again (the index tables stay exactly-once)."""
+    """Risk events to a Kafka topic. The fan-out publishes each batch id once
+    and records it; only a failure between the publish and the record sends
+    a batch again (Kafka's sink is at-least-once; the index tables are
+    exactly-once)."""
     from payguard.sources.kafka import publish
 
     def write(events: DataFrame, batch_id: int) -> None:

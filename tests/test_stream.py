@@ -221,3 +221,33 @@ def test_pluggable_risk_writer(spark):
     start_fanout(stream_topic(spark, topic), Sinks(f"{root}/s"), risk_writer=writer).awaitTermination()
     ids = sorted(json.loads(bytes(r.value))["id"] for r in spark.read.parquet(seen).collect())
     assert ids == ["I3", "I4"]
+
+
+def test_external_risk_writer_gets_each_batch_once(spark):
+    """A batch re-run after its publish finished does not publish again."""
+    topic = _topic(spark, "t_once")
+    sinks = Sinks(scratch_dir(spark, "t_once_out"))
+    calls = []
+
+    def writer(events, batch_id):
+        calls.append((batch_id, events.count()))
+
+    batch = read_topic(spark, topic)
+    for _ in range(2):  # the same batch id twice, as after a failure
+        process_batch(batch, 0, sinks, RunSettings(), topic_partitions=2, risk_writer=writer)
+    process_batch(batch, 1, sinks, RunSettings(), topic_partitions=2, risk_writer=writer)
+    assert calls == [(0, 2), (1, 2)]
+
+
+def test_replay_publishes_again_through_external_writer(spark):
+    topic = _topic(spark, "t_once_replay")
+    sinks = Sinks(scratch_dir(spark, "t_once_replay_out"))
+    calls = []
+
+    def writer(events, batch_id):
+        calls.append(events.count())
+
+    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer).awaitTermination()
+    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer).awaitTermination()  # nothing new
+    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer, replay=True).awaitTermination()
+    assert sum(calls) == 4  # two risk events, sent once per run from the start

@@ -10,9 +10,11 @@ argument names (``groupId rawTopic riskTopic esRawIndex esRiskIndex
 modelPredictorURL``; blank -> default) plus our own: ``tableRoot`` (index
 tables; default ``<spark.checkpoint.dir>/tables``), Kafka connection and
 security (``bootstrapServers scramUser scramPasswordFile truststore
-truststorePasswordFile``), ``topicPath`` (a file twin of the raw topic
-instead of Kafka), ``availableNow`` (drain what is there and stop) and
-``replay`` (start over from the first record).
+truststorePasswordFile``), the per-batch cap (``maxOffsetsPerTrigger``,
+or ``maxFilesPerTrigger`` for the twin; defaults in :class:`RunSettings`),
+``topicPath`` (a file twin of the raw topic instead of Kafka),
+``availableNow`` (drain what is there and stop) and ``replay`` (start over
+from the first record).
 """
 
 from __future__ import annotations
@@ -68,15 +70,19 @@ def stream_job(argv: list[str], spark: SparkSession | None = None):
     from payguard.streaming.fanout import Sinks, kafka_risk_writer, start_fanout
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, _SECURITY + ("tableRoot", "topicPath"))
+    opts = parse_options(argv, _SECURITY + ("tableRoot", "topicPath", "maxOffsetsPerTrigger",
+                                            "maxFilesPerTrigger"))
     sinks = Sinks(opts.get("tableRoot") or f"{scratch_root(spark).rstrip('/')}/tables")
     if opts.get("topicPath"):
         from payguard.streaming.topic import stream_topic
-        source, risk_writer = stream_topic(spark, opts["topicPath"]), None
+        files = int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None
+        source, risk_writer = stream_topic(spark, opts["topicPath"], files), None
     else:
         from payguard.sources.kafka import raw_stream
         security = security_from(opts)
-        source, risk_writer = raw_stream(spark, settings, security), kafka_risk_writer(settings, security)
+        cap = int(opts["maxOffsetsPerTrigger"]) if opts.get("maxOffsetsPerTrigger") else None
+        source = raw_stream(spark, settings, security, cap)
+        risk_writer = kafka_risk_writer(settings, security)
     return start_fanout(source, sinks, settings, available_now="availableNow" in opts,
                         replay="replay" in opts, risk_writer=risk_writer)
 

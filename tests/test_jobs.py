@@ -43,10 +43,12 @@ def test_produce_then_stream(spark):
     assert all(r.c == r.m + 1 for r in per)
 
     root = scratch_dir(spark, "t_jobs_tables")
-    stream_job(["--topicPath", topic, "--tableRoot", root, "--availableNow", "--modelPredictorURL", ""],
-               spark).awaitTermination()
+    stream_job(["--topicPath", topic, "--tableRoot", root, "--availableNow", "--modelPredictorURL", "",
+                "--maxFilesPerTrigger", "2"], spark).awaitTermination()
     sinks = Sinks(root)
-    assert spark.read.parquet(sinks.raw).count() == n
+    raw = spark.read.parquet(sinks.raw)
+    assert raw.count() == n
+    assert raw.select("batch_id").distinct().count() > 1  # two files per micro-batch
     got = read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).drop("batch_id")
     want = late_invoice_risk(invoice_adapter(spark, SMOKE))
     assert got.count() == want.count() > 0

@@ -24,6 +24,10 @@ def test_parse_options_flags_and_values():
     opts = parse_options(["--tableRoot", "/t", "--availableNow", "--rawTopic", "x", "--replay"],
                          ("tableRoot",))
     assert opts == {"tableRoot": "/t", "availableNow": "true", "replay": "true"}
+    # A flag given a value ("true") and a blank value both parse as meant.
+    opts = parse_options(["--availableNow", "true", "--modelPredictorURL", "", "--tableRoot", "/t"],
+                         ("tableRoot", "modelPredictorURL"))
+    assert opts == {"availableNow": "true", "modelPredictorURL": "", "tableRoot": "/t"}
 
 
 def test_produce_then_stream(spark):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from payguard.session import materialise, prepare
 
@@ -54,4 +54,51 @@ def crc_mod_col(col: str, mod: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")), F.lit(mod))
 
 
-__all__ = ["attach", "crc_mod", "crc_mod_col", "materialise", "table"]
+def map_text(df: DataFrame, text: str, keep: list[str], added: T.StructType, make) -> DataFrame:
+    """``keep`` columns of ``df`` plus the columns ``added``, computed from ``text`` in
+    Arrow batches inside the tasks.
+
+    ``make()`` runs once per task and returns a function from a list of texts
+    (None for null) to a dict of lists, one per added column. The batches are
+    cut to ``BATCH_CHARS`` characters, so very long texts come a few at a time.
+    """
+    cols = [F.col(text).alias("_text"), *[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)]]
+    kinds = {f.name: f for f in df.schema.fields}
+    schema = T.StructType([T.StructField(f"k_{i}", kinds[c].dataType) for i, c in enumerate(keep)] + added.fields)
+    names = [f.name for f in added.fields]
+
+    def run(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        fn, out = make(), to_arrow_schema(schema)
+        for batch in batches:
+            for start, stop in cuts(batch.column(0)):
+                part = batch.slice(start, stop - start)
+                got = fn(part.column(0).to_pylist())
+                arrays = [part.column(1 + i).cast(out.field(i).type) for i in range(len(keep))]
+                arrays += [pa.array(got[n], type=out.field(len(keep) + i).type) for i, n in enumerate(names)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=out)
+
+    mapped = df.select(*cols).mapInArrow(run, schema)
+    return mapped.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], *names)
+
+
+BATCH_CHARS = 4_000_000
+
+
+def cuts(texts):
+    """(start, stop) of runs of rows with about BATCH_CHARS bytes together."""
+    import numpy as np
+    import pyarrow.compute as pc
+    sizes = np.asarray(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype="int64")
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if held and held + n > BATCH_CHARS:
+            yield start, i
+            start, held = i, 0
+        held += n + 16
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+__all__ = ["attach", "crc_mod", "crc_mod_col", "cuts", "map_text", "materialise", "table"]

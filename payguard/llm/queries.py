@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payguard.llm import mixing, secrets
+from payguard.llm import langid, licenses, mixing, quality, secrets
 from payguard.llm.common import table
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -15,10 +15,25 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices and expressions in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to the square roots of the sources' sizes."""
     return mixing.mix(table(spark, sf_dir, "documents", *DOCUMENTS))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op5_poisson_mix)}
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    return langid.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+QUERIES = {q.__name__: q for q in (op1_secret_scan, op3_license_scan, op5_poisson_mix, op8_language_id, op9_quality)}
 ORACLE = {"op5_poisson_mix": mixing.SQL}

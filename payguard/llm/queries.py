@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payguard.llm import langid, licenses, mixing, quality, secrets
+from payguard.llm import langid, licenses, mixing, quality, secrets, simhash
 from payguard.llm.common import table
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -20,6 +20,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to the square roots of the sources' sizes."""
     return mixing.mix(table(spark, sf_dir, "documents", *DOCUMENTS))
@@ -35,5 +40,6 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
-QUERIES = {q.__name__: q for q in (op1_secret_scan, op3_license_scan, op5_poisson_mix, op8_language_id, op9_quality)}
+QUERIES = {q.__name__: q for q in (
+    op1_secret_scan, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op8_language_id, op9_quality)}
 ORACLE = {"op5_poisson_mix": mixing.SQL}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payguard.llm import langid, licenses, mixing, quality, secrets, simhash
+from payguard.llm import ann, langid, licenses, mixing, quality, secrets, simhash
 from payguard.llm.common import table
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -30,6 +30,11 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", *DOCUMENTS))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every 20th vector."""
+    return ann.neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return langid.identify(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
@@ -41,5 +46,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_secret_scan, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op8_language_id, op9_quality)}
+    op1_secret_scan, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op7_ann, op8_language_id, op9_quality)}
 ORACLE = {"op5_poisson_mix": mixing.SQL}

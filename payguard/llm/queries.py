@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payguard.llm import ann, langid, licenses, mixing, quality, secrets, simhash
+from payguard.llm import ann, html, langid, licenses, mixing, quality, secrets, simhash
 from payguard.llm.common import table
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -15,6 +15,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices and expressions in every document."""
     return licenses.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -46,5 +51,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_secret_scan, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op7_ann, op8_language_id, op9_quality)}
+    op1_secret_scan, op2_html_text, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op7_ann, op8_language_id, op9_quality)}
 ORACLE = {"op5_poisson_mix": mixing.SQL}

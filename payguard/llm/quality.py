@@ -150,14 +150,10 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
                       (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def filtered(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
+def filtered(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without those the classifier rejects, in the columns of ``docs``."""
-    return score(docs, train(train_docs, labels), docs.columns).filter(F.col("score") >= THRESHOLD).drop("score") \
-        if "score" not in docs.columns else _clash(docs, train_docs, labels)
-
-
-def _clash(docs: DataFrame, train_docs: DataFrame, labels: DataFrame) -> DataFrame:
     names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
     plain = docs.select(*[F.col(c).alias(n) for c, n in names.items()])
-    kept = score(plain, train(train_docs, labels), plain.columns, names["text"]).filter(F.col("score") >= THRESHOLD)
+    model = train(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), labels)
+    kept = score(plain, model, plain.columns, names[text]).filter(F.col("score") >= THRESHOLD)
     return kept.select(*[F.col(n).alias(c) for c, n in names.items()])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payguard.llm import ann, html, langid, licenses, mixing, quality, secrets, simhash
+from payguard.llm import ann, decontaminate, html, langid, licenses, mixing, quality, secrets, simhash, toxicity
 from payguard.llm.common import table
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -35,6 +35,11 @@ def op5_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents", *DOCUMENTS))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    return toxicity.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic"))
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows of every 20th vector."""
     return ann.neighbours(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
@@ -50,6 +55,13 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a test item, with the item and the overlaps."""
+    return decontaminate.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 QUERIES = {q.__name__: q for q in (
-    op1_secret_scan, op2_html_text, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op7_ann, op8_language_id, op9_quality)}
+    op1_secret_scan, op2_html_text, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op6_toxicity, op7_ann,
+    op8_language_id, op9_quality, op10_decontamination)}
+#: Which results DuckDB can state; the others are tested against brute force in tests/llm.
 ORACLE = {"op5_poisson_mix": mixing.SQL}

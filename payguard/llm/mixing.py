@@ -10,7 +10,8 @@ hashed keys, which shuffles them globally.
 Defined cases: a null source is a source of its own; a null text has size 0
 (each document weighs its characters plus one); rows with equal ids draw the
 same number (a null id is the text ``null``); a source without a weight is left
-out; an empty table gives an empty table.
+out; input columns named ``copy_no`` or ``shuffle_key`` are replaced; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
         F.count(F.lit(1)).alias("n_rows"), F.sum("size").alias("size"))
     stats = materialise(with_cdf(rates(sizes, weights, temperature)), "mix-rates")
     name = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
-    cols = df.columns
+    cols = [c for c in df.columns if c not in ("copy_no", "shuffle_key")]
     rows = df.select(F.struct(*[F.col(c) for c in cols]).alias("_row"), src.alias("src"), name.alias("_id"))
     rows = attach(rows, stats, "src", "n_rows", F.xxhash64("_id"))
     count = F.aggregate(F.sequence(F.lit(0), F.col("parts") - 1), F.lit(0), lambda acc, j: acc + F.size(

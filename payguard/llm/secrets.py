@@ -161,11 +161,15 @@ def redact(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
     column) counted again for masked texts. Texts without any candidate, null
     ones included, go through untouched and unshuffled."""
     cols = df.columns
-    test = has_candidate(F.coalesce(F.col(text), F.lit("")))
-    found = judged(df.filter(test), text, owner, doc_id, cols, max_owners)
-    new = masked(F.col(text), F.col("spans"))
-    found = found.withColumn("_new", F.when(F.size("spans") > 0, new).otherwise(F.col(text)))
-    count = F.when(F.size("spans") > 0, F.char_length("_new")).otherwise(F.col(chars)) if chars in cols else None
-    kind = dict(df.dtypes)
-    found = found.select(*[F.col("_new").alias(c) if c == text else count.cast(kind[c]).alias(c) if c == chars else F.col(c) for c in cols])
-    return df.filter(~test).unionByName(found)
+    names = {c: f"in_{i}" for i, c in enumerate(cols)}
+    plain = df.select(*[F.col(c).alias(n) for c, n in names.items()])
+    body = F.col(names[text])
+    test = has_candidate(F.coalesce(body, F.lit("")))
+    found = judged(plain.filter(test), names[text], names[owner], names[doc_id], plain.columns, max_owners)
+    found = found.withColumn("_new", F.when(F.size("spans") > 0, masked(body, F.col("spans"))).otherwise(body))
+    out = {names[text]: F.col("_new")}
+    if chars in names:
+        held = F.col(names[chars])
+        out[names[chars]] = F.when(F.size("spans") > 0, F.char_length("_new")).otherwise(held).cast(plain.schema[names[chars]].dataType)
+    found = found.select(*[out.get(n, F.col(n)).alias(n) for n in plain.columns])
+    return plain.filter(~test).unionByName(found).toDF(*cols)

@@ -47,15 +47,16 @@ class RunSettings:
     event_source: str = "urn:payguard:producer"
     raw_event_type: str = "procure.events.sample"
     risk_event_type: str = "procure.risk"
-    # Sink batching: bulk flush after this many rows / MB / ms.
-    bulk_rows: int = 3000
-    bulk_mb: int = 50
+    # The stream job starts a micro-batch, which flushes every sink, this often.
+    # Row and size limits of a bulk request have no use here: a batch's rows go
+    # to files, whose number follows Spark's partitions.
     bulk_interval_ms: int = 3000
-    # Micro-batch cap for the stream job's source. A fresh checkpoint reads
-    # the topic from its first record; without a cap the whole backlog would
-    # be one batch, and the fan-out keeps each batch's decode while it
-    # writes the sinks. 20M events of ~1 KB is ~20 GB per batch over the
-    # whole cluster, so batch memory stays fixed however long the topic is.
+    # Index tables: days that are kept (None: all).
+    retention_days: int | None = None
+    # Bound of a micro-batch. A fresh checkpoint reads the topic from its first
+    # record, and the fan-out keeps a batch's decode while it writes the sinks:
+    # 20M events of ~1 KB is ~20 GB over the whole cluster, however long the
+    # topic is. What is stored doesn't depend on where batches end.
     max_records_per_trigger: int = 20_000_000
     max_files_per_trigger: int = 1000
 
@@ -68,7 +69,7 @@ class RunSettings:
     # Job argument names (``--name value``) -> fields.
     ARG_NAMES = {"groupId": "group_id", "rawTopic": "raw_topic", "riskTopic": "risk_topic",
                  "esRawIndex": "raw_table", "esRiskIndex": "risk_table",
-                 "modelPredictorURL": "model_predictor_url"}
+                 "modelPredictorURL": "model_predictor_url", "modelName": "model_name", "modelCaFile": "model_ca_file"}
 
     @classmethod
     def from_argv(cls, argv: list[str]) -> "RunSettings":
@@ -92,6 +93,13 @@ class RunSettings:
     def uses_model(self) -> bool:
         return not _blank(self.model_predictor_url)
 
+    def ca_data(self) -> str | None:
+        """The PEM text of the model server's authorities, read on the driver."""
+        if _blank(self.model_ca_file):
+            return None
+        with open(self.model_ca_file, encoding="ascii") as f:
+            return f.read()
+
     @property
     def trigger_interval(self) -> str:
         return f"{self.bulk_interval_ms} milliseconds"

@@ -14,8 +14,12 @@ from pyspark.sql import Column, functions as F
 INT_TEXT = r"^[+-]?[0-9]+$"
 
 
+# White space that may surround a number.
+PADDING = " \t\n\r\f"
+
+
 def _clean(c: Column) -> Column:
-    return F.nullif(F.trim(c), F.lit(""))
+    return F.nullif(F.btrim(c, F.lit(PADDING)), F.lit(""))
 
 
 def lenient_float(c: Column) -> Column:

@@ -57,12 +57,37 @@ def int64_le_bytes(v: Column) -> Column:
     return F.unhex(F.concat(*[F.substring(h, 15 - 2 * i, 2) for i in range(8)]))
 
 
+PREDICTION = r'"predictions"\s*:\s*\[\s*\[\s*([-+0-9.eE]+)'
+
+
 def decode_predictions(resp: Column) -> Column:
-    """``predictions[0][0]`` of a model response as DECIMAL(38,18); NULL if absent."""
-    from payguard.schemas import PREDICTIONS_SCHEMA
+    """``predictions[0][0]`` of a model response as the text of the number, NULL if
+    it is absent or null. The text is taken as it stands: JSON parsing would put
+    the number through a DOUBLE and lose digits that rounding up needs."""
+    return F.nullif(F.regexp_extract(resp, PREDICTION, 1), F.lit(""))
+
+
+NUMBER_TEXT = r"^\s*([+-]?)([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,9}))?\s*$"
 
-    p = F.from_json(resp, PREDICTIONS_SCHEMA)
-    return F.get(F.get(p["predictions"], 0), 0)
+
+def round_up_text(s: Column) -> Column:
+    """:func:`round_up` of a number given as text, with all its digits and any
+    exponent; NULL if it is no number.
+
+    The decimal point is moved through the digits. Of the whole part the last
+    32 digits are enough for the low 32 bits, as 10**32 is a multiple of 2**32.
+    """
+    part = lambda n: F.regexp_extract(s, NUMBER_TEXT, n)
+    digits = F.concat(part(2), part(3))
+    point = F.length(part(2)) + F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
+    more = F.least(point - F.length(digits), F.lit(32))
+    whole = F.when(point <= 0, F.lit("0")).when(more >= 0, F.concat(F.right(digits, F.lit(32)), F.repeat(F.lit("0"), more))) \
+        .otherwise(F.substring(digits, F.lit(1), point))
+    rest = F.when(point <= 0, digits).when(more >= 0, F.lit("")).otherwise(F.substring(digits, point + 1, F.length(digits)))
+    size = F.right(whole, F.lit(32)).cast("decimal(38,0)") + F.when(rest.rlike("[1-9]"), 1).otherwise(0)
+    low = F.pmod(F.when(part(1) == "-", -size).otherwise(size), F.lit(2**32).cast("decimal(38,0)"))
+    out = F.when(low >= F.lit(2**31), low - F.lit(2**32)).otherwise(low).cast("int")
+    return F.when(s.rlike(NUMBER_TEXT) & (F.length(digits) > 0), out)
 
 
 def linear_score(delay: Column, slope: str = "0.75", intercept: str = "0.1") -> Column:

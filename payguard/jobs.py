@@ -1,32 +1,36 @@
-"""Submit-able jobs: the stream processor and the sample producer.
+"""Submit-able jobs: the stream processor, the sample producer, the forwarder, table upkeep.
 
     spark-submit payguard_job.py stream  --rawTopic procure-raw --riskTopic procure-risk \\
-        --modelPredictorURL https://... --tableRoot s3://bucket/tables --bootstrapServers host:9093
+        --modelPredictorURL https://... --modelCaFile ca.pem --tableRoot s3://bucket/tables --bootstrapServers host:9093
     spark-submit payguard_job.py produce --sample s3://bucket/sample.csv \\
         --messagesPerGroup 10 --secondsToPause 1 --repetitions 1 --bootstrapServers host:9093
+    spark-submit payguard_job.py forward --riskTopic procure-risk --subscriberURL http://... --bootstrapServers host:9093
+    spark-submit payguard_job.py upkeep  --tableRoot s3://bucket/tables --retentionDays 7
 
 (or ``python -m payguard.jobs ...``). The processor takes the original job's
 argument names (``groupId rawTopic riskTopic esRawIndex esRiskIndex
-modelPredictorURL``; blank -> default) plus our own: ``tableRoot`` (index
-tables; default ``<spark.checkpoint.dir>/tables``), Kafka connection and
-security (``bootstrapServers scramUser scramPasswordFile truststore
-truststorePasswordFile``), the per-batch cap (``maxOffsetsPerTrigger``,
-or ``maxFilesPerTrigger`` for the twin; defaults in :class:`RunSettings`),
-``topicPath`` (a file twin of the raw topic instead of Kafka),
-``availableNow`` (drain what is there and stop) and ``replay`` (start over
-from the first record).
+modelPredictorURL``; blank -> default) plus our own: ``tableRoot`` (where the
+index tables are; default ``<spark.checkpoint.dir>/tables``; ``esRawIndex`` and
+``esRiskIndex`` name them), ``modelName``, ``modelCaFile``, Kafka connection
+and security (``bootstrapServers scramUser scramPasswordFile truststore
+truststorePasswordFile``), the bound of a micro-batch (``maxOffsetsPerTrigger``),
+``availableNow`` (drain what is there and stop) and ``replay`` (start over from
+the first record). Archived records stand in for Kafka where they are named:
+``recordsPath`` (Kafka-shaped parquet to read, with ``maxFilesPerTrigger``) and
+``riskPath`` or ``outPath`` (a table for what would be published).
+``repetitions`` below 0 replays without end.
 """
 
 from __future__ import annotations
 
 import sys
-import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from payguard.config import KafkaSecurity, RunSettings
 
-_FLAGS = ("availableNow", "replay")
+_FLAGS = ("availableNow", "replay", "compact")
 
 
 def parse_options(argv: list[str], names: tuple[str, ...]) -> dict[str, str]:
@@ -64,101 +68,154 @@ def _session() -> SparkSession:
     return prepare(SparkSession.builder.appName("payguard").getOrCreate())
 
 
-def stream_job(argv: list[str], spark: SparkSession | None = None):
-    """Start the processor; returns the StreamingQuery."""
+def _limit(opts: dict[str, str], name: str) -> int | None:
+    return int(opts[name]) if opts.get(name) else None
+
+
+def _tables(spark: SparkSession, settings: RunSettings, opts: dict[str, str]):
     from payguard.session import scratch_root
-    from payguard.streaming.fanout import Sinks, kafka_risk_writer, start_fanout
+    from payguard.streaming.fanout import Sinks
+    return Sinks(opts.get("tableRoot") or f"{scratch_root(spark).rstrip('/')}/tables", settings.raw_table, settings.risk_table)
+
+
+def stream_job(argv: list[str], spark: SparkSession | None = None, scorer=None):
+    """Start the processor; returns the StreamingQuery."""
+    from payguard.streaming.fanout import RiskEventTable, create_index_tables, kafka_risk_sink, refresh_index_tables, start_fanout
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, _SECURITY + ("tableRoot", "topicPath", "maxOffsetsPerTrigger",
-                                            "maxFilesPerTrigger"))
-    sinks = Sinks(opts.get("tableRoot") or f"{scratch_root(spark).rstrip('/')}/tables")
-    if opts.get("topicPath"):
-        from payguard.streaming.topic import stream_topic
-        files = int(opts["maxFilesPerTrigger"]) if opts.get("maxFilesPerTrigger") else None
-        source, risk_writer = stream_topic(spark, opts["topicPath"], files), None
+    settings.ca_data()  # a missing file is an error now, not in the first batch
+    opts = parse_options(argv, _SECURITY + ("tableRoot", "recordsPath", "riskPath", "maxOffsetsPerTrigger", "maxFilesPerTrigger"))
+    sinks = _tables(spark, settings, opts)
+    create_index_tables(spark, sinks)
+    refresh_index_tables(spark, sinks)
+    if opts.get("recordsPath"):
+        from payguard.sources.records import stream_records
+        source = stream_records(spark, opts["recordsPath"], _limit(opts, "maxFilesPerTrigger"))
     else:
         from payguard.sources.kafka import raw_stream
-        security = security_from(opts)
-        cap = int(opts["maxOffsetsPerTrigger"]) if opts.get("maxOffsetsPerTrigger") else None
-        source = raw_stream(spark, settings, security, cap)
-        risk_writer = kafka_risk_writer(settings, security)
-    return start_fanout(source, sinks, settings, available_now="availableNow" in opts,
-                        replay="replay" in opts, risk_writer=risk_writer)
-
+        source = raw_stream(spark, settings, security_from(opts), _limit(opts, "maxOffsetsPerTrigger"))
+    risk = RiskEventTable(opts["riskPath"]) if opts.get("riskPath") else kafka_risk_sink(settings, security_from(opts), sinks)
+    return start_fanout(source, sinks, risk, settings, scorer, available_now="availableNow" in opts, replay="replay" in opts)
 
-def producer_schedule(sample: DataFrame, pacing, settings: RunSettings) -> DataFrame:
-    """Sample rows -> binary-mode events with their send offsets (seconds).
 
-    Event time text becomes RFC3339 (a bad time fails the job, as in the
-    original producer); each send gets its own random id.
-    """
-    from payguard.operators.decode import normalise_datetime
+def producer_events(rows: DataFrame, settings: RunSettings, seed: str) -> DataFrame:
+    """Paced rows (``rep``, ``seq``, ``step``) as binary-mode events. An event's id
+    is a UUID made of the producer's seed, its pass and its position, so a step
+    that is sent again sends the same ids."""
     from payguard.operators.encode import binary_events
-    from payguard.operators.replay import pace
     from payguard.schemas import RAW_FIELDS
-    rows = normalise_datetime(sample, strict=True).drop("event_time")
-    # File order: a file read's partitions follow the file's splits, so these
-    # ids increase in file order and are the same on every recomputation.
-    rows = rows.withColumn("_row", F.monotonically_increasing_id())
-    paced = pace(rows, ["_row"], pacing, rep_col="rep", seq_col="seq")
-    return binary_events(paced, RAW_FIELDS, settings=settings, keep=("rep", "seq", "send_offset_s"))
-
-
-def produce_job(argv: list[str], spark: SparkSession | None = None) -> int:
-    """Publish the sample: ids written once, then one publish per pacing
-    step, each step a distributed write of the rows due at that second.
-    Returns the number of publish steps."""
-    from payguard.operators.replay import Pacing, range_partitions
-    from payguard.session import materialise
-    from payguard.sources.files import read_sample_csv
+    h = F.md5(F.concat_ws(":", F.lit(seed), F.col("rep").cast("string"), F.col("seq").cast("string")).cast("binary"))
+    eid = F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return binary_events(rows, RAW_FIELDS, id_col=eid, settings=settings, keep=("rep", "seq", "step"))
+
+
+def produce_job(argv: list[str], spark: SparkSession | None = None, tick_s: float = 1.0):
+    """Publish the sample, paced by one streaming query. Returns that query; it
+    ends by itself after the last step of a finite replay (:func:`finish`)."""
+    from payguard.operators.decode import normalise_datetime
+    from payguard.operators.replay import Pacing, last_step, paced_stream
+    from payguard.session import materialise, scratch_dir
+    from payguard.sources.files import POSITION, read_sample_csv
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, _SECURITY + ("sample", "topicPath", "messagesPerGroup", "secondsToPause",
-                                            "repetitions", "topicPartitions"))
+    opts = parse_options(argv, _SECURITY + ("sample", "outPath", "messagesPerGroup", "secondsToPause", "repetitions", "checkpoint"))
     pacing = Pacing.from_text(opts.get("messagesPerGroup"), opts.get("secondsToPause"), opts.get("repetitions"))
-    if pacing.repetitions < 0:
-        raise ValueError("endless replay is a stream: use operators.replay.repeat_forever")
-    # Written once, range-partitioned on (send time, repetition, position), a
-    # unique key, so even a single step with every row is split evenly across
-    # tasks; random ids are fixed before any send, and each step's filter
-    # skips the row groups of other steps.
-    key = ("send_offset_s", "rep", "seq")
-    events = producer_schedule(read_sample_csv(spark, opts["sample"]), pacing, settings)
-    schedule = materialise(events.repartitionByRange(range_partitions(events), *key).sortWithinPartitions(*key),
-                           "producer-schedule")
-    last = schedule.agg(F.max("send_offset_s")).first()[0]
+    # The rows' order is their place in the files; a bad time fails the job.
+    sample = normalise_datetime(read_sample_csv(spark, opts["sample"], position=True), strict=True).drop("event_time")
+    sample = materialise(sample, "producer-sample")
+    send = _sender(settings, opts)
+    checkpoint = opts.get("checkpoint") or scratch_dir(spark, "producer")
+    seed = f"{settings.event_source}|{checkpoint}"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        send(producer_events(batch, settings, seed), batch_id)
+
+    ticks = paced_stream(sample, list(POSITION), pacing, tick_s)
+    query = ticks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).queryName(f"produce_{uuid.uuid4().hex[:8]}").start()
+    return query, last_step(sample.count(), pacing), pacing
+
+
+def finish(query, last: int | None, pacing, tick_s: float = 1.0) -> None:
+    """Wait for a producer: until its last step is sent, or for ever."""
     if last is None:
-        return 0
-    steps = list(range(0, int(last) + 1, pacing.pause_s)) if pacing.pause_s > 0 else [0]
-    send = _sender(spark, settings, opts)
-    start = time.monotonic()
-    for step in steps:
-        due = schedule.where(F.col("send_offset_s") == step) if pacing.pause_s > 0 else schedule
-        wait = step - (time.monotonic() - start)
-        if wait > 0:
-            time.sleep(wait)
-        send(due.select("key", "value", "headers"))
-    return len(steps)
-
-
-def _sender(spark: SparkSession, settings: RunSettings, opts: dict[str, str]):
-    """A function publishing one frame of events: to Kafka, or as the next
-    producer batch of a file-twin topic."""
-    if not opts.get("topicPath"):
-        from payguard.sources.kafka import publish
-        security = security_from(opts)
-        return lambda events: publish(events, settings.raw_topic, security)
-    from payguard.session import path_exists
-    from payguard.streaming.topic import write_topic
-    path, parts = opts["topicPath"], int(opts.get("topicPartitions", "1"))
-    prior = spark.read.parquet(path).agg(F.max("batch_id")).first()[0] if path_exists(spark, path) else None
-    batch = [0 if prior is None else int(prior) + 1]
-
-    def send(events: DataFrame) -> None:
-        write_topic(events, path, settings.raw_topic, batch[0], parts)
-        batch[0] += 1
-    return send
+        query.awaitTermination()
+        return
+    pause = max(pacing.pause_s * tick_s, 0.001)
+    need = last * int(pause) if pause > 1 else last
+    while query.isActive:
+        done = query.lastProgress
+        end = done["sources"][0].get("endOffset") if done else None
+        # The rate source's offset is in whole seconds.
+        if end is not None and int(end) * (1 if pause > 1 else max(int(1 / pause), 1)) > need:
+            query.stop()
+            return
+        query.awaitTermination(0.2)
+
+
+def _sender(settings: RunSettings, opts: dict[str, str]):
+    """Publishes a step's events: to the raw topic, or to the table named by ``outPath``."""
+    if opts.get("outPath"):
+        from payguard.streaming.tables import write_batch
+        return lambda events, n: write_batch(events.withColumn("day", F.current_date()), opts["outPath"], "produced", n)
+    from payguard.sources.kafka import publish
+    security = security_from(opts)
+    return lambda events, n: publish(events.select("key", "value", "headers"), settings.raw_topic, security)
+
+
+def forward_job(argv: list[str], spark: SparkSession | None = None, connect=None):
+    """Forward risk events that arrive from now on to a subscriber's URL; returns the StreamingQuery."""
+    from payguard.session import scratch_dir
+    from payguard.streaming.forward import forward_stream, post_to
+    spark = spark or _session()
+    settings = RunSettings.from_argv(argv)
+    opts = parse_options(argv, _SECURITY + ("subscriberURL", "outPath", "recordsPath", "sourcePrefix", "checkpoint"))
+    if opts.get("outPath"):
+        from payguard.streaming.tables import write_batch
+        deliver = lambda batch, n: write_batch(batch.withColumn("day", F.current_date()), opts["outPath"], "forwarded", n)
+    elif opts.get("subscriberURL"):
+        deliver = post_to(opts["subscriberURL"], ca_data=settings.ca_data(), connect=connect)
+    else:
+        raise ValueError("forward needs --subscriberURL or --outPath")
+    marks = None
+    if opts.get("recordsPath"):
+        from payguard.session import materialise
+        from payguard.sources.records import next_offsets, read_records, stream_records
+        records = stream_records(spark, opts["recordsPath"])
+        marks = materialise(next_offsets(read_records(spark, opts["recordsPath"])), "subscription")
+    else:
+        from payguard.sources.kafka import risk_stream_new_only
+        records = risk_stream_new_only(spark, settings, security_from(opts))
+    more = {"source_prefix": opts["sourcePrefix"]} if opts.get("sourcePrefix") else {}
+    return forward_stream(records, deliver, opts.get("checkpoint") or scratch_dir(spark, "forward"), marks, available_now="availableNow" in opts, **more)
+
+
+def upkeep_job(argv: list[str], spark: SparkSession | None = None) -> dict[str, list]:
+    """Retention and compaction of the index tables; returns the days dropped of each.
+
+    Run it beside the stream job: only days before the newest one are
+    compacted (``compact``), which no batch writes any more once the topic's
+    records have moved on to the newest.
+    """
+    import datetime as dt
+
+    from payguard.schemas import INVOICE_SCHEMA, RAW_SCHEMA
+    from payguard.streaming import tables
+    from payguard.streaming.fanout import QUARANTINE_SCHEMA, active_run
+    spark = spark or _session()
+    settings = RunSettings.from_argv(argv)
+    opts = parse_options(argv, ("tableRoot", "retentionDays"))
+    sinks = _tables(spark, settings, opts)
+    keep = _limit(opts, "retentionDays")
+    gone = {}
+    for path, schema in ((sinks.raw, RAW_SCHEMA), (sinks.anomaly, INVOICE_SCHEMA), (sinks.quarantine, QUARANTINE_SCHEMA)):
+        gone[path.rsplit("/", 1)[1]] = tables.drop_old_days(spark, path, keep) if keep is not None else []
+        if "compact" in opts:
+            run = active_run(spark, sinks)
+            days = sorted(dt.date.fromisoformat(f.rsplit("=", 1)[1]) for f in tables.folders(spark, f"{path}/day=[0-9]*"))
+            for day in days[:-1]:
+                if len(tables.folders(spark, f"{path}/day={day}/run={run}/batch_id=*")) > 1 or tables.folders(spark, f"{path}/day={day}/{tables.STAGED}"):
+                    tables.compact_day(spark, path, schema, day, run)
+    return gone
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -167,9 +224,14 @@ def main(argv: list[str] | None = None) -> None:
     if role == "stream":
         stream_job(argv).awaitTermination()
     elif role == "produce":
-        produce_job(argv)
+        query, last, pacing = produce_job(argv)
+        finish(query, last, pacing)
+    elif role == "forward":
+        forward_job(argv).awaitTermination()
+    elif role == "upkeep":
+        upkeep_job(argv)
     else:
-        raise SystemExit("usage: payguard.jobs stream|produce [--name value ...]")
+        raise SystemExit("usage: payguard.jobs stream|produce|forward|upkeep [--name value ...]")
 
 
 if __name__ == "__main__":

@@ -19,12 +19,12 @@ from payguard.functions.envelope import header, make_headers
 from payguard.schemas import INVOICE_FIELDS, INVOICE_SCHEMA, RAW_FIELDS
 
 
-def raw_documents(df: DataFrame) -> DataFrame:
-    return df.select(*RAW_FIELDS)
+def raw_documents(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*RAW_FIELDS, *keep)
 
 
-def anomaly_documents(df: DataFrame) -> DataFrame:
-    return df.select(*INVOICE_FIELDS)
+def anomaly_documents(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*INVOICE_FIELDS, *keep)
 
 
 def name_based_id(*cols: str) -> Column:

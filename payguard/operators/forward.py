@@ -39,7 +39,9 @@ def retention_window(df: DataFrame, ts_col: str = "ts", retention_ms: int = C.RE
     """Rows no older than ``retention_ms`` before the newest row.
 
     The newest time is a scalar subquery (one partial max per task, then one
-    value), so the filter itself is a narrow pass over the data.
+    value), so the filter itself is a narrow pass over the data. On a dated
+    table :func:`payguard.streaming.tables.drop_old_days` removes whole days
+    without reading any row; this filter is then exact within the oldest one.
     """
     newest = df.select(F.max(ts_col)).scalar()
     span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),

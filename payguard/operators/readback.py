@@ -26,12 +26,21 @@ def clear_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def init_tables(spark: SparkSession, tables: dict[str, T.StructType], location_root: str | None = None) -> list[str]:
-    """CREATE TABLE IF NOT EXISTS for each (name -> schema); existing tables are left alone."""
+def init_tables(spark: SparkSession, tables: dict[str, T.StructType], location_root: str | None = None,
+                partitioned_by: T.StructType | None = None) -> list[str]:
+    """Create each missing table (name -> schema) at ``<location_root>/<name>``;
+    existing ones are left alone. Returns the names that were created, as they
+    are in the catalog (other characters than letters and digits become ``_``)."""
     from payguard.schemas import table_ddl
+    from payguard.streaming.tables import catalog_name
     created = []
-    for name, schema in tables.items():
-        loc = f" LOCATION '{location_root.rstrip('/')}/{name}'" if location_root else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({table_ddl(schema)}) USING parquet{loc}")
+    for folder, schema in tables.items():
+        name = catalog_name(folder)
+        if spark.catalog.tableExists(name):
+            continue
+        columns = T.StructType(schema.fields + (partitioned_by.fields if partitioned_by else []))
+        parts = f" PARTITIONED BY ({', '.join(partitioned_by.names)})" if partitioned_by else ""
+        place = f" LOCATION '{location_root.rstrip('/')}/{folder}'" if location_root else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({table_ddl(columns)}) USING parquet{parts}{place}")
         created.append(name)
     return created

@@ -49,10 +49,12 @@ class Pacing:
 
 
 def range_partitions(df: DataFrame) -> int:
-    """Partition count for a range shuffle of ``df``: its input split count,
-    but at least ``spark.sql.shuffle.partitions``."""
+    """Partition count for a range shuffle of ``df``: one for each read split's
+    worth of estimated bytes, but at least ``spark.sql.shuffle.partitions``.
+    Nothing runs for it."""
+    from payguard.session import SPLIT_BYTES, plan_bytes
     shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, df.rdd.getNumPartitions())
+    return max(shuffle, min(plan_bytes(df) // SPLIT_BYTES + 1, 200_000))
 
 
 def dense_index(df: DataFrame, order: list[str] | None, group: str | None = None,
@@ -123,15 +125,44 @@ def pace(df: DataFrame, order: list[str], pacing: Pacing, rep_col: str = "rep",
     return reps.withColumn(offset_col, offset.cast("bigint")).drop("_n")
 
 
-def repeat_forever(static: DataFrame, order: list[str], rows_per_second: int = 1000) -> DataFrame:
-    """Endless replay as a stream: a ``rate`` source numbers the sends, and a
-    stream-static join picks row ``value mod N`` of the sample."""
+def paced_stream(static: DataFrame, order: list[str], pacing: Pacing, tick_s: float = 1.0) -> DataFrame:
+    """The paced replay as a stream, also endless (``repetitions`` below 0).
+
+    A ``rate`` source counts the steps: step ``t`` comes ``t`` pauses after the
+    start. Row ``i`` of pass ``r`` is due at step ``r * (N div g) + i div g``, so
+    a step finds its rows by an equi-join on the step modulo ``N div g``. A sample
+    shorter than a group has all its passes at step 0 if they are finite, and one
+    pass a step if they are endless. Adds ``rep``, ``seq`` and ``step``.
+    """
     spark = static.sparkSession
-    indexed = dense_index(static, order, index_col="_i", total_col="_n")
-    n = indexed.select(F.max("_n")).first()[0] or 0
-    if n == 0:
-        raise ValueError("empty sample")
-    ticks = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-             .select((F.col("value") % n).alias("_i"), (F.col("value") / n).cast("bigint").alias("rep"),
-                     F.col("timestamp").alias("send_time")))
-    return ticks.join(indexed.drop("_n"), "_i")
+    rows = materialise(dense_index(static, order, index_col="seq", total_col="_n"), "paced-sample")
+    n = rows.select(F.max("_n")).first()[0] or 0
+    pass_steps = n // pacing.group_size
+    endless = pacing.repetitions < 0
+    rows = rows.drop("_n").withColumn("_k", F.floor(F.col("seq") / F.lit(pacing.group_size)).cast("bigint"))
+    if pass_steps == 0 and not endless:
+        rows = repeat(rows, pacing.repetitions).withColumn("_k", F.lit(0).cast("bigint")).withColumnRenamed("rep", "_rep")
+    cycle = pass_steps or 1
+    pause = max(pacing.pause_s * tick_s, 0.001)
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", max(int(1 / pause), 1)).load()
+    if pause > 1:  # the source counts whole seconds
+        ticks = ticks.where(F.col("value") % int(pause) == 0).select((F.col("value") / int(pause)).cast("bigint").alias("step"))
+    else:
+        ticks = ticks.select(F.col("value").alias("step"))
+    ticks = ticks.withColumn("_slot", F.col("step") % cycle)
+    due = ticks.join(rows.withColumn("_slot", F.col("_k") % cycle), "_slot")
+    if pass_steps == 0 and not endless:
+        return due.where(F.col("step") == 0).withColumnRenamed("_rep", "rep").drop("_slot", "_k")
+    due = due.withColumn("rep", ((F.col("step") - F.col("_k")) / cycle).cast("bigint")).where(F.col("step") >= F.col("_k"))
+    if not endless:
+        due = due.where(F.col("rep") < pacing.repetitions)
+    return due.drop("_slot", "_k")
+
+
+def last_step(n: int, pacing: Pacing) -> int | None:
+    """The step of the last row of a finite replay, None if it is endless."""
+    if pacing.repetitions < 0:
+        return None
+    if n == 0 or pacing.repetitions == 0:
+        return -1
+    return (pacing.repetitions - 1) * (n // pacing.group_size) + (n - 1) // pacing.group_size

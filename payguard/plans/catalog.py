@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from payguard.config import RunSettings
 from payguard.functions.coerce import bad_float, bad_int, lenient_float, lenient_int
 from payguard.functions.scoring import (decode_predictions, int64_le_bytes, linear_score, model_risk,
-                                        round_up, signed_first_byte)
+                                        round_up, round_up_text, signed_first_byte)
 from payguard.operators.decode import ERROR_COL, decode_invoice, decode_raw, normalise_datetime
 from payguard.operators.encode import (anomaly_documents, binary_attributes, binary_events, name_based_id,
                                        parse_structured_events, raw_documents, structured_risk_events)
 from payguard.operators.forward import delivery_attributes, new_records, retention_window
-from payguard.operators.readback import clear_table, index_total, init_tables, search
+from payguard.operators.readback import clear_table, index_total, search
 from payguard.operators.replay import Pacing, pace, repeat
 from payguard.operators.risk import grade_by_rule, grade_by_score, late_invoices, valid_invoices
-from payguard.operators.score import LinearScorer
+from payguard.operators.score import EmptyScorer, LinearScorer
 from payguard.plans import oracle as O
 from payguard.plans.risk_job import late_invoice_risk
 from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
@@ -32,9 +32,10 @@ from payguard.sources.adapter import (defective_payloads, invoice_adapter, invoi
                                       raw_text_adapter)
 from payguard.sources.files import read_sample_csv, write_sample_csv
 from payguard.sources.tables import read_table
-from payguard.streaming.fanout import process_batch, read_sink, start_fanout
+from payguard.sources.records import as_records, next_offsets, stream_records
+from payguard.streaming import scenario, tables
+from payguard.streaming.fanout import active_run, process_batch, read_anomaly, read_quarantine, read_raw
 from payguard.streaming.scenario import run_scenario
-from payguard.streaming.topic import read_topic, stream_topic, write_topic
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,7 @@ def q_invoice_projection(spark, sf_dir):
 
 _LENIENT_SQL = """
 WITH t AS (
-  SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+  SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_L1') AS Invoice_ID,
          CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN ''
               WHEN l_returnflag = 'A' THEN concat(' ', cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR), ' ')
               ELSE cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount_text,
@@ -139,7 +140,7 @@ def q_lenient_coercion(spark, sf_dir):
     dec = F.col("l_extendedprice").cast("decimal(15,2)").cast("string")
     t = li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"),
-                 F.lit("_IT10")).alias("Invoice_ID"),
+                 F.lit("_L1")).alias("Invoice_ID"),
         F.when((ls == "O") & (rf == "N"), F.lit("")).when(rf == "A", F.concat(F.lit(" "), dec, F.lit(" ")))
          .otherwise(dec).alias("amount_text"),
         F.when(rf == "N", F.lit(None).cast("string"))
@@ -160,7 +161,7 @@ SELECT src_key,
        err AS _error
 FROM (
   SELECT concat(cast(l_orderkey AS VARCHAR), '-', cast(l_linenumber AS VARCHAR)) AS src_key,
-         concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+         concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_L1') AS Invoice_ID,
          CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN '0'
               ELSE cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount_text,
          cast(l_quantity AS INT) * 4 AS Pay_Delay,
@@ -256,35 +257,47 @@ def q_model_scoring_batch(spark, sf_dir):
     return late_invoice_risk(invoice_adapter(spark, sf_dir), scorer=LinearScorer())
 
 
+# The forms in which a model server may write its scores, by delay: an exponent,
+# more digits than a decimal holds, tiny, huge, and none.
+_FORM = "CAST(Pay_Delay / 4 AS INTEGER) % 6"
 _PRED_SCORE = O.LINEAR_SCORE_SQL.format(d="Pay_Delay")
+_PRED_WHOLE = "CAST(CAST(Pay_Delay AS DECIMAL(18,2)) * 3 / 4 AS BIGINT)"
+_HUGE_OUT = (10**25) % 2**32 - (2**32 if (10**25) % 2**32 >= 2**31 else 0)
+_PRED_OUT = f"""CASE WHEN Pay_Type = '' THEN NULL WHEN {_FORM} = 2 THEN {_PRED_WHOLE} + 1 WHEN {_FORM} = 3 THEN 1
+  WHEN {_FORM} = 4 THEN {_HUGE_OUT} WHEN {_FORM} = 5 THEN NULL ELSE {O.ROUND_UP_SQL.format(x=_PRED_SCORE)} END"""
 
 
 @register("predictions_decode", O.with_inv(f"""
-SELECT Invoice_ID, Pay_Delay,
-       CASE WHEN Pay_Type <> '' THEN CAST({_PRED_SCORE} AS DOUBLE) END AS score,
-       CASE WHEN Pay_Type <> '' THEN {O.ROUND_UP_SQL.format(x=_PRED_SCORE)} END AS output,
-       CASE WHEN Pay_Type <> '' THEN {O.MODEL_RISK_SQL.format(o=O.ROUND_UP_SQL.format(x=_PRED_SCORE))} END AS Risk,
-       CASE WHEN Pay_Type = '' THEN 'empty predictions' END AS _error
-FROM inv"""))
+SELECT Invoice_ID, Pay_Delay, score, CAST(output AS INTEGER) AS output, CASE WHEN output IS NOT NULL THEN {O.MODEL_RISK_SQL.format(o="output")} END AS Risk,
+       CASE WHEN output IS NULL THEN 'empty predictions' END AS _error
+FROM (SELECT *, {_PRED_OUT} AS output,
+        CASE WHEN Pay_Type = '' THEN NULL WHEN {_FORM} = 2 THEN CAST({_PRED_WHOLE} AS DOUBLE) WHEN {_FORM} = 3 THEN 1.2345678e-12
+          WHEN {_FORM} = 4 THEN 1e25 WHEN {_FORM} = 5 THEN NULL ELSE CAST({_PRED_SCORE} AS DOUBLE) END AS score FROM inv) q"""))
 def q_predictions_decode(spark, sf_dir):
-    """Model responses (JSON text) decoded: predictions[0][0] as a decimal, rounded
-    away from zero, graded; an empty prediction list is an error. Responses come
-    from the surrogate model, which has no prediction for a blank payment type."""
+    """Model responses (JSON text) decoded: predictions[0][0] with all its digits
+    and any exponent, rounded away from zero, cut to 32 bits and graded; an empty
+    or null prediction is an error. Responses come from the surrogate model,
+    written in the forms that servers use; it has none for a blank payment type."""
     inv = invoice_adapter(spark, sf_dir)
+    score, delay = linear_score(F.col("Pay_Delay")), F.col("Pay_Delay")
+    form = (delay / 4).cast("int") % 6
+    whole = (delay.cast("decimal(18,2)") * 3 / 4).cast("bigint").cast("string")
+    number = (F.when(form == 1, F.concat((score * 100).cast("bigint").cast("string"), F.lit("e-2")))
+              .when(form == 2, F.concat(whole, F.lit("." + "0" * 24 + "1"))).when(form == 3, F.lit("1.2345678E-12"))
+              .when(form == 4, F.lit("1e+25")).when(form == 5, F.lit("null")).otherwise(score.cast("string")))
     resp = F.when(F.col("Pay_Type") == "", F.lit('{"predictions":[]}')).otherwise(
-        F.format_string('{"predictions":[[%s]]}', linear_score(F.col("Pay_Delay")).cast("string")))
-    s = decode_predictions(resp)
-    out = round_up(s)
-    return inv.select("Invoice_ID", "Pay_Delay", s.cast("double").alias("score"), out.alias("output"),
-                      model_risk(out).alias("Risk"),
-                      F.when(s.isNull(), F.lit("empty predictions")).alias("_error"))
+        F.concat(F.lit('{"predictions":[['), number, F.lit("]]}")))
+    text = decode_predictions(resp)
+    out = round_up_text(text)
+    return inv.select("Invoice_ID", "Pay_Delay", text.cast("double").alias("score"), out.alias("output"),
+                      model_risk(out).alias("Risk"), F.when(out.isNull(), F.lit("empty predictions")).alias("_error"))
 
 
 _ROUND_X = "CAST(l_extendedprice AS DECIMAL(15,2)) * CAST(0.01 AS DECIMAL(3,2)) - 250"
 
 
 @register("round_up", f"""
-SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
+SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_L1') AS Invoice_ID,
        CAST({_ROUND_X} AS DOUBLE) AS x, {O.ROUND_UP_SQL.format(x=_ROUND_X)} AS output
 FROM lineitem""")
 def q_round_up(spark, sf_dir):
@@ -292,7 +305,7 @@ def q_round_up(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     x = F.col("l_extendedprice").cast("decimal(15,2)") * F.lit("0.01").cast("decimal(3,2)") - F.lit(250)
     return li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("_"), F.col("l_linenumber").cast("string"),
-                              F.lit("_IT10")).alias("Invoice_ID"),
+                              F.lit("_L1")).alias("Invoice_ID"),
                      x.cast("double").alias("x"), round_up(x).alias("output"))
 
 
@@ -339,47 +352,63 @@ _FLAG_COUNT = f"(SELECT count(*) FROM ({FLAGSHIP_SQL}) f)"
 _RAW_TYPED_SQL = O.with_raw(f"SELECT {O.RAW_TYPED_COLS} FROM raw")
 
 
+def _sink_rows(spark, run) -> DataFrame:
+    """Every row of the four sinks as (sink, row): its columns as JSON text."""
+    def rows(name, df):
+        return df.select(F.lit(name).alias("sink"), F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])).alias("row"))
+    events = parse_structured_events(run.events.read(spark)).select(*INV_COLS.split(", "), "Risk")
+    return (rows("raw_index", read_raw(spark, run.sinks).select("Invoice_ID", "DateTime", "Pay_Type", "Pay_Delay", "Order_Vendor"))
+            .unionByName(rows("anomaly_index", read_anomaly(spark, run.sinks).select("Invoice_ID", "Invoice_Due_Date", "Pay_Type", "Pay_Delay", "Risk")))
+            .unionByName(rows("risk_topic", events.select("Invoice_ID", "Invoice_Due_Date", "Pay_Type", "Pay_Delay", "Risk")))
+            .unionByName(rows("quarantine", read_quarantine(spark, run.sinks).select("topic", "partition", "offset", "payload", "reason"))))
+
+
+def _row_sql(cols: str) -> str:
+    return "md5(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols.split(", ")) + "))"
+
+
+_RISK_ROW = _row_sql("Invoice_ID, Invoice_Due_Date, Pay_Type, Pay_Delay, Risk")
+_SINKS_SQL = f"""
+SELECT 'raw_index' AS sink, {_row_sql("Invoice_ID, DateTime, Pay_Type, Pay_Delay, Order_Vendor")} AS row FROM ({_RAW_TYPED_SQL}) r
+UNION ALL SELECT 'anomaly_index', {_RISK_ROW} FROM ({FLAGSHIP_SQL}) f
+UNION ALL SELECT 'risk_topic', {_RISK_ROW} FROM ({FLAGSHIP_SQL}) f"""
+
+
 @register("fanout", f"""
-SELECT 'raw_index' AS sink, (SELECT count(*) FROM lineitem) AS total
-UNION ALL SELECT 'anomaly_index', {_FLAG_COUNT}
-UNION ALL SELECT 'risk_topic', {_FLAG_COUNT}
-UNION ALL SELECT 'quarantine', 0""")
+SELECT sink, count(*) AS total, count(DISTINCT row) AS different, min(row) AS first_row, max(row) AS last_row
+FROM ({_SINKS_SQL}) s GROUP BY sink
+UNION ALL SELECT 'quarantine', 0, 0, NULL, NULL""")
 def q_fanout(spark, sf_dir):
     """One read of the raw topic fanned out to raw index, anomaly index, risk
-    topic and quarantine by the stream job; rows per sink."""
-    res = run_scenario(spark, sf_dir)
-    s = res.sinks
-    parts = [
-        read_sink(spark, s.raw, RAW_SCHEMA).select(F.lit("raw_index").alias("sink")),
-        read_sink(spark, s.anomaly, INVOICE_SCHEMA).select(F.lit("anomaly_index").alias("sink")),
-        read_topic(spark, s.risk_topic).select(F.lit("risk_topic").alias("sink")),
-        read_sink(spark, s.quarantine, "x STRING").select(F.lit("quarantine").alias("sink")),
-    ]
-    counts = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]) \
-        .groupBy("sink").agg(F.count(F.lit(1)).alias("total"))
+    events and quarantine by the stream job; per sink its rows, different rows,
+    and the first and last of their hashes."""
+    counts = _sink_rows(spark, run_scenario(spark, sf_dir)).groupBy("sink").agg(
+        F.count(F.lit(1)).alias("total"), F.countDistinct("row").alias("different"), F.min("row").alias("first_row"), F.max("row").alias("last_row"))
     names = spark.createDataFrame([("raw_index",), ("anomaly_index",), ("risk_topic",), ("quarantine",)], "sink STRING")
-    return names.join(counts, "sink", "left").select("sink", F.coalesce("total", F.lit(0)).alias("total"))
+    return names.join(counts, "sink", "left").select("sink", F.coalesce("total", F.lit(0)).alias("total"),
+                                                     F.coalesce("different", F.lit(0)).alias("different"), "first_row", "last_row")
 
 
 @register("raw_index_docs", _RAW_TYPED_SQL)
 def q_raw_index_docs(spark, sf_dir):
     """Raw index documents written by the stream job: all 35 fields, every event once."""
-    return raw_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.raw, RAW_SCHEMA))
+    return read_raw(spark, run_scenario(spark, sf_dir).sinks)
 
 
 @register("anomaly_index_docs", FLAGSHIP_SQL)
 def q_anomaly_index_docs(spark, sf_dir):
     """Anomaly index documents written by the stream job (7 fields)."""
-    return anomaly_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.anomaly, INVOICE_SCHEMA))
+    return read_anomaly(spark, run_scenario(spark, sf_dir).sinks)
 
 
 @register("stream_raw", _RAW_TYPED_SQL)
 def q_stream_raw(spark, sf_dir):
     """Raw topic read as a stream from the earliest record, decoded to 35 typed
     columns, written by the file sink and read back."""
-    res = run_scenario(spark, sf_dir)
-    out = scratch_dir(spark, "stream_raw")
-    decoded = decode_raw(stream_topic(spark, res.raw_topic))
+    run = scenario.new_run(spark, "stream_raw")
+    scenario.append(scenario.raw_records(read_table(spark, sf_dir, "lineitem", spread=True), RunSettings()), run)
+    out = scratch_dir(spark, "stream_raw_out")
+    decoded = decode_raw(stream_records(spark, run.topic))
     q = (decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL).writeStream.format("parquet")
          .option("path", f"{out}/data").option("checkpointLocation", f"{out}/_checkpoint")
          .trigger(availableNow=True).start())
@@ -407,45 +436,86 @@ def q_stream_restart(spark, sf_dir):
     """Exactly-once across restarts and retries: two waves with a restart in
     between, one more restart with nothing new, and the last batch written a
     second time as a failed-and-retried batch would. Every risk event once."""
-    res = run_scenario(spark, sf_dir)
-    s = res.sinks
-    q = start_fanout(stream_topic(spark, res.raw_topic), s)
-    q.awaitTermination()
-    last = spark.read.parquet(s.raw).agg(F.max("batch_id")).first()[0]
-    wave2 = spark.read.parquet(res.raw_topic).where(F.col("batch_id") == 1).drop("batch_id")
-    process_batch(wave2, int(last), s, RunSettings(), topic_partitions=4)
-    return anomaly_documents(read_sink(spark, s.anomaly, INVOICE_SCHEMA))
-
-
-@register("forward_new", O.with_inv(f"""
-SELECT '/apis/v1/sources/subscriber#procure-risk' AS ce_source, 'dev.knative.kafka.event' AS ce_type,
-       '1.0' AS ce_specversion, true AS id_ok, {INV_COLS}, {O.RULE_RISK_SQL} AS Risk
-FROM (SELECT concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') AS Invoice_ID,
-             cast(l_extendedprice AS FLOAT) AS Invoice_Amount,
-             strftime(l_shipdate + INTERVAL 30 DAY, '%-m/%-d/%y') AS Invoice_Due_Date,
-             'Late' AS Pay_Type, cast(l_quantity AS INT) * 4 AS Pay_Delay
-      FROM lineitem WHERE l_returnflag = 'R' AND NOT coalesce(l_linestatus = 'F', false)
-        AND l_extendedprice > 0) w"""))
+    run = run_scenario(spark, sf_dir, reuse=False)
+    run.drain(spark)
+    name = active_run(spark, run.sinks)
+    last = tables.read_index(spark, run.sinks.raw, RAW_SCHEMA).agg(F.max("batch_id")).first()[0]
+    second = scenario.raw_records(scenario.waves(read_table(spark, sf_dir, "lineitem"))[1], RunSettings())
+    process_batch(second, int(last), run.sinks, RunSettings(), run.events, name)
+    return read_anomaly(spark, run.sinks)
+
+
+@register("stream_replay_restart", _SINKS_SQL)
+def q_stream_replay_restart(spark, sf_dir):
+    """A replay from the first record with other batch bounds, then records that
+    come in later and a plain start: every row of every sink once, whatever the
+    runs before it left. Rows of all sinks, as hashes of their columns."""
+    run = scenario.new_run(spark, "replay_restart")
+    first, second = scenario.waves(read_table(spark, sf_dir, "lineitem", spread=True))
+    scenario.append(scenario.raw_records(first, RunSettings()), run)
+    run.drain(spark)
+    run.drain(spark, max_files=3, replay=True)
+    scenario.append(scenario.raw_records(second, RunSettings()), run)
+    run.drain(spark, max_files=5)
+    return _sink_rows(spark, run)
+
+
+@register("stream_retry_empty", O.with_inv(f"""
+SELECT 'anomaly_index' AS sink, 0 AS total UNION ALL SELECT 'risk_topic', 0 UNION ALL SELECT 'raw_index', (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'quarantine', (SELECT count(*) FROM inv WHERE {O.VALID_SQL} AND Pay_Type = 'Late')"""))
+def q_stream_retry_empty(spark, sf_dir):
+    """A batch that runs again and grades nothing the second time (the model
+    answers with empty predictions) leaves nothing of its first attempt: all late
+    invoices are in quarantine, none in the anomaly index or the risk events."""
+    run = scenario.new_run(spark, "retry_empty")
+    records = scenario.raw_records(read_table(spark, sf_dir, "lineitem", spread=True), RunSettings())
+    for scorer in (LinearScorer(), EmptyScorer()):
+        process_batch(records, 0, run.sinks, RunSettings(), run.events, "run-0", scorer)
+    counts = _sink_rows(spark, run).groupBy("sink").agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([("raw_index",), ("anomaly_index",), ("risk_topic",), ("quarantine",)], "sink STRING")
+    return names.join(counts, "sink", "left").select("sink", F.coalesce("n", F.lit(0)).alias("total"))
+
+
+_MARK = "TIMESTAMP '2024-01-15 00:00:00'"
+_PART_SQL = "user_id % 4"
+
+
+@register("forward_new", f"""
+WITH marks AS (SELECT {_PART_SQL} AS partition, max(event_id) + 1 AS next_offset FROM events WHERE ts < {_MARK} GROUP BY 1)
+SELECT 'partition:' || ({_PART_SQL}) || '/offset:' || event_id AS ce_id, 'partition:' || ({_PART_SQL}) || '#' || event_id AS ce_subject,
+       '/apis/v1/sources/subscriber#procure-risk' AS ce_source, 'dev.knative.kafka.event' AS ce_type, '1.0' AS ce_specversion,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ce_time, event_type || ' ' || event_id AS data
+FROM events LEFT JOIN marks ON marks.partition = {_PART_SQL} WHERE event_id >= coalesce(next_offset, 0)""")
 def q_forward_new(spark, sf_dir):
-    """Subscriber sees only risk events published after it subscribed (the
-    second wave), each with delivery attributes partition:P/offset:O."""
-    from payguard.operators.encode import parse_structured_events
-    res = run_scenario(spark, sf_dir)
-    fresh = new_records(read_topic(spark, res.sinks.risk_topic), res.subscribed_high_water)
-    att = delivery_attributes(fresh)
-    ev = parse_structured_events(att.withColumnRenamed("data", "value"),
-                                 keep=("ce_id", "ce_subject", "ce_source", "ce_type", "ce_specversion",
-                                       "partition", "offset"))
-    id_ok = (F.col("ce_id") == F.concat(F.lit("partition:"), F.col("partition").cast("string"), F.lit("/offset:"),
-                                         F.col("offset").cast("string"))) & \
-            (F.col("ce_subject") == F.concat(F.lit("partition:"), F.col("partition").cast("string"), F.lit("#"),
-                                              F.col("offset").cast("string")))
-    return ev.select("ce_source", "ce_type", "ce_specversion", id_ok.alias("id_ok"), *INV_COLS.split(", "), "Risk")
-
-
-@register("retention_prune", "SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+    """A subscriber sees only records past the offsets at which it subscribed, each
+    with delivery attributes. The topic is the ``events`` table: a user's events
+    are in one partition, the event id is the offset, and the subscription
+    started on 15 January."""
+    from payguard.config import RunSettings as S
+    ev = read_table(spark, sf_dir, "events")
+    body = ev.withColumn("key", F.lit(None)).withColumn("value", F.concat_ws(" ", "event_type", F.col("event_id").cast("string")))
+    topic = as_records(body, S.risk_topic, F.pmod("user_id", F.lit(4)), F.col("event_id"), F.col("ts"))
+    marks = next_offsets(topic.where(F.col("timestamp") < F.lit("2024-01-15 00:00:00").cast("timestamp")))
+    got = delivery_attributes(new_records(topic, marks))
+    return got.select("ce_id", "ce_subject", "ce_source", "ce_type", "ce_specversion",
+                      F.date_format("ce_time", "yyyy-MM-dd HH:mm:ss").alias("ce_time"), "data")
+
+
+@register("retention_prune", """
+SELECT * FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) FROM events) - INTERVAL 7 DAY""")
 def q_retention_prune(spark, sf_dir):
-    """Seven-day retention: events no older than 7 days before the newest."""
+    """Retention on a dated table: the events are stored by day, whole days more
+    than seven days before the newest are dropped, and the rest is read back."""
+    ev = read_table(spark, sf_dir, "events")
+    path = f"{scratch_dir(spark, 'retention')}/events"
+    tables.write_batch(ev.withColumn("day", F.to_date("ts")), path, "run-0", 0)
+    tables.drop_old_days(spark, path, keep_days=7)
+    return tables.read_index(spark, path, ev.schema).select(*ev.columns)
+
+
+@register("retention_window", "SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+def q_retention_window(spark, sf_dir):
+    """Retention to the millisecond: events no older than 7 days before the newest."""
     return retention_window(read_table(spark, sf_dir, "events"), "ts")
 
 
@@ -466,36 +536,42 @@ def q_replay_pacing(spark, sf_dir):
     return pace(ev, ["event_id"], Pacing.from_text("10", "1", "2"))
 
 
-@register("csv_source", O.with_raw("SELECT * FROM raw"))
+_CSV_TEXT_SQL = "concat('say \"', Role, '\", ', Activity, chr(10), Plant, chr(92))"
+
+
+@register("csv_source", O.with_raw(f"SELECT * REPLACE ({_CSV_TEXT_SQL} AS Activity, '' AS UserType) FROM raw"))
 def q_csv_source(spark, sf_dir):
-    """Sample CSV with its columns in another order, bound by header name;
+    """Sample CSV with its columns in another order and one missing, bound by
+    header name; quotes, commas, line breaks and a trailing backslash in a field;
     event time text normalised to RFC3339."""
     from payguard.functions.timefmt import sample_time_text
     raw = raw_text_adapter(spark, sf_dir)
-    raw = raw.withColumn("DateTime", sample_time_text(F.to_timestamp(F.col("DateTime"),
-                                                                     "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    raw = raw.withColumn("DateTime", sample_time_text(F.to_timestamp(F.col("DateTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    raw = raw.withColumn("Activity", F.concat(F.lit('say "'), "Role", F.lit('", '), "Activity", F.lit("\n"), "Plant", F.lit("\\")))
     path = f"{scratch_dir(spark, 'sample_csv')}/sample"
-    write_sample_csv(raw.select(*reversed(RAW_FIELDS)), path)
+    write_sample_csv(raw.select(*[c for c in reversed(RAW_FIELDS) if c != "UserType"]), path)
     return normalise_datetime(read_sample_csv(spark, path)).select(*RAW_FIELDS)
 
 
 @register("event_publish", O.with_raw("""
-SELECT 'procure.events.sample' AS ce_type, 'urn:payguard:producer' AS ce_source, '1.0' AS ce_specversion,
-       DateTime AS ce_time, 'application/json' AS content_type, Invoice_ID, true AS id_ok
-FROM raw"""))
+SELECT ce_type, ce_source, ce_specversion, ce_time, content_type, Invoice_ID, true AS id_ok,
+       (SELECT count(*) FROM lineitem) AS different_ids
+FROM (SELECT 'procure.events.sample' AS ce_type, 'urn:payguard:producer' AS ce_source, '1.0' AS ce_specversion,
+       DateTime AS ce_time, 'application/json' AS content_type, Invoice_ID FROM raw) q"""))
 def q_event_publish(spark, sf_dir):
     """Producer: each row as a binary-mode event with a random UUID id (written
-    once, so retries resend the same id), key = id, time from the row."""
-    raw = raw_text_adapter(spark, sf_dir)
-    topic = f"{scratch_dir(spark, 'publish')}/raw_topic"
-    write_topic(binary_events(raw), topic, "procure-raw", 0, partitions=4)
-    attrs = binary_attributes(read_topic(spark, topic))
+    once, so retries resend the same id), key = id, time from the row; all ids
+    differ."""
+    path = f"{scratch_dir(spark, 'publish')}/events"
+    binary_events(raw_text_adapter(spark, sf_dir)).write.parquet(path)
+    attrs = binary_attributes(spark.read.parquet(path))
     inv = decode_invoice(attrs, keep=("key", "ce_id", "ce_source", "ce_specversion", "ce_type", "ce_time",
                                       "content_type"))
     uuid_re = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
     id_ok = (F.col("key") == F.col("ce_id")) & F.col("ce_id").rlike(uuid_re)
+    different = attrs.select(F.countDistinct("ce_id")).scalar()
     return inv.select("ce_type", "ce_source", "ce_specversion", "ce_time", "content_type", "Invoice_ID",
-                      id_ok.alias("id_ok"))
+                      id_ok.alias("id_ok"), different.alias("different_ids"))
 
 
 @register("index_count", f"""
@@ -503,9 +579,9 @@ SELECT 'procure_raw' AS index_name, (SELECT count(*) FROM lineitem) AS total
 UNION ALL SELECT 'procure_risk', {_FLAG_COUNT}""")
 def q_index_count(spark, sf_dir):
     """Total documents per index after the stream job."""
-    s = run_scenario(spark, sf_dir).sinks
-    return index_total(read_sink(spark, s.raw, RAW_SCHEMA), "procure_raw").unionByName(
-        index_total(read_sink(spark, s.anomaly, INVOICE_SCHEMA), "procure_risk"))
+    sinks = run_scenario(spark, sf_dir).sinks
+    return index_total(read_raw(spark, sinks), sinks.raw_table).unionByName(
+        index_total(read_anomaly(spark, sinks), sinks.risk_table))
 
 
 _SEARCH_ORDER = ["Invoice_ID", "Invoice_Amount", "Pay_Delay", "Invoice_Due_Date", "Risk"]
@@ -516,59 +592,52 @@ WITH f AS ({FLAGSHIP_SQL.replace("WITH inv AS", "WITH inv2 AS").replace("FROM in
 SELECT *, (SELECT count(*) FROM f) AS total FROM f ORDER BY {", ".join(_SEARCH_ORDER)} LIMIT 10""")
 def q_index_search(spark, sf_dir):
     """Search without a predicate: the index total and its first 10 documents."""
-    docs = anomaly_documents(read_sink(spark, run_scenario(spark, sf_dir).sinks.anomaly, INVOICE_SCHEMA))
-    return search(docs, _SEARCH_ORDER, 10)
+    return search(read_anomaly(spark, run_scenario(spark, sf_dir).sinks), _SEARCH_ORDER, 10)
 
 
 @register("index_clear", f"SELECT 'procure_risk' AS index_name, {_FLAG_COUNT} AS total")
 def q_index_clear(spark, sf_dir):
     """Clear before a new run: load, clear, load again; the index holds one run."""
-    from payguard.streaming.fanout import write_batch_partition
     path = f"{scratch_dir(spark, 'index_clear')}/procure_risk"
     risk = late_invoice_risk(invoice_adapter(spark, sf_dir))
-    write_batch_partition(risk, path, 0)
+    risk.write.parquet(path)
     clear_table(spark, path, INVOICE_SCHEMA)
-    write_batch_partition(risk, path, 0)
-    return index_total(read_sink(spark, path, INVOICE_SCHEMA), "procure_risk")
+    risk.write.mode("append").parquet(path)
+    return index_total(spark.read.parquet(path), "procure_risk")
 
 
 @register("init_tables", FLAGSHIP_SQL)
 def q_init_tables(spark, sf_dir):
-    """Index initialisation: both typed tables created if absent (a second and
-    third init change nothing and raise nothing), the risk rows written into
-    the typed anomaly table and read back through the catalog."""
+    """Index initialisation: the typed, dated tables created if absent under the
+    names of the settings (a second init changes nothing), the stream job run
+    into them, and the risk rows read back through the catalog by name."""
     import uuid
-    root = scratch_dir(spark, "init_tables")
-    tag = uuid.uuid4().hex[:10]
-    raw_t, risk_t = f"procure_raw_{tag}", f"procure_risk_{tag}"
-    tables = {raw_t: RAW_SCHEMA, risk_t: INVOICE_SCHEMA}
-    init_tables(spark, tables, root)
-    init_tables(spark, tables, root)
-    risk = late_invoice_risk(invoice_adapter(spark, sf_dir))
-    risk.select(*INVOICE_SCHEMA.fieldNames()).write.insertInto(risk_t)
-    init_tables(spark, tables, root)
-    return spark.table(risk_t)
 
-
-_PAY_TYPE_SQL = "CASE l_returnflag WHEN 'R' THEN 'Late' WHEN 'A' THEN 'On Time' ELSE '' END"
+    from payguard.streaming.fanout import Sinks, create_index_tables, refresh_index_tables
+    tag = uuid.uuid4().hex[:10]
+    run = scenario.new_run(spark, "init_tables")
+    run = scenario.Run(Sinks(run.sinks.root, f"procure_raw_{tag}", f"procure_risk_{tag}", f"quarantine_{tag}"), run.events, run.topic)
+    made = create_index_tables(spark, run.sinks)
+    again = create_index_tables(spark, run.sinks)
+    assert len(made) == 3 and not again
+    scenario.append(scenario.raw_records(read_table(spark, sf_dir, "lineitem", spread=True), RunSettings()), run)
+    run.drain(spark)
+    refresh_index_tables(spark, run.sinks)
+    return anomaly_documents(spark.table(run.sinks.risk_table))
 
 
 @register("stream_quarantine", f"""
-SELECT CASE WHEN l_tax = 0 THEN NULL
-            ELSE concat(cast(l_orderkey AS VARCHAR), '_', cast(l_linenumber AS VARCHAR), '_IT10') END AS Invoice_ID,
-       CASE WHEN l_tax = 0 THEN NULL ELSE {_PAY_TYPE_SQL} END AS Pay_Type,
-       CASE WHEN l_tax = 0 THEN 'malformed json' ELSE 'bad int Pay_Delay' END AS _error
-FROM lineitem WHERE l_tax = 0 OR l_discount > 0.08""")
+SELECT topic, partition, "offset", reason, length(payload) AS payload_size, right(payload, 60) AS payload_end
+FROM (SELECT 'procure-raw' AS topic, CAST(l_orderkey % 4 AS INTEGER) AS partition, l_orderkey * 10 + l_linenumber AS "offset",
+        CASE WHEN l_tax = 0 THEN 'malformed json' ELSE 'bad int Pay_Delay' END AS reason, {O.DEFECTIVE_PAYLOAD_SQL} AS payload
+      FROM ({O.DEFECTIVE_SQL}) r WHERE l_tax = 0 OR l_discount > 0.08) q""")
 def q_stream_quarantine(spark, sf_dir):
-    """The stream job sets malformed events aside: every line item is
-    published with the planted defects, and the quarantine sink holds exactly
-    the defective events with their reason (broken JSON keeps no fields)."""
-    from payguard.streaming.fanout import Sinks
-    root = scratch_dir(spark, "stream_quarantine")
-    li = read_table(spark, sf_dir, "lineitem", spread=True)
-    events = binary_events(defective_payloads(li), id_col=name_based_id("Invoice_ID", "DateTime", "Req_Line_ID"),
-                           value_col="value")
-    write_topic(events, f"{root}/raw_topic", "procure-raw", 0, partitions=4)
-    sinks = Sinks(f"{root}/sinks")
-    start_fanout(stream_topic(spark, f"{root}/raw_topic"), sinks, topic_partitions=4).awaitTermination()
-    return spark.read.parquet(sinks.quarantine).select("Invoice_ID", "Pay_Type", "_error")
+    """The stream job sets malformed events aside: every line item is published
+    with the planted defects, and the quarantine table holds exactly the
+    defective records: where they came from, their payload (its size and its
+    last 60 characters) and the reason."""
+    run = scenario.new_run(spark, "stream_quarantine")
+    scenario.append(scenario.raw_records(read_table(spark, sf_dir, "lineitem", spread=True), RunSettings(), defective=True), run)
+    run.drain(spark)
+    return read_quarantine(spark, run.sinks).select(
+        "topic", "partition", "offset", "reason", F.length("payload").cast("bigint").alias("payload_size"), F.right("payload", F.lit(60)).alias("payload_end"))

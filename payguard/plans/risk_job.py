@@ -28,7 +28,7 @@ def grade_late_invoices(invoices: DataFrame, settings: RunSettings | None = None
             candidates = candidates.withColumn(c, F.lit(None).cast("string"))
     if settings.uses_model or scorer is not None:
         from payguard.operators.score import HttpScorer, score_invoices
-        scorer = scorer or HttpScorer(settings.model_predictor_url, ca_file=settings.model_ca_file or None)
+        scorer = scorer or HttpScorer(settings.model_predictor_url, ca_data=settings.ca_data())
         return score_invoices(candidates.drop("Model_Name"), scorer, model_name=settings.model_name)
     return grade_by_rule(candidates).withColumn(ERROR_COL, F.lit(None).cast("string"))
 

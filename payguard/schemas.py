@@ -73,9 +73,6 @@ TOPIC_SCHEMA = T.StructType([
     T.StructField("headers", HEADER_SCHEMA, True),
 ])
 
-# Model exchange.
-PREDICTIONS_SCHEMA = "predictions ARRAY<ARRAY<DECIMAL(38,18)>>"
-
 # Index (table) column types: keyword -> STRING, float -> FLOAT, integer -> INT.
 def table_ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)

@@ -63,9 +63,8 @@ def ship_package(spark: SparkSession) -> None:
                     full = os.path.join(root, f)
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     path = f"{scratch_root(spark).rstrip('/')}/payguard-{uuid.uuid4().hex[:12]}.zip"
-    jvm = sc._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    fs, p = file_system(spark, path)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(buf.getvalue()))
     finally:
@@ -75,13 +74,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
+    """The shared scratch folder: ``spark.checkpoint.dir``, or on a local master
+    a folder of this machine. A cluster must name one: executors write there
+    and the driver reads it back."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        # Local runs only: a cluster always names a shared folder.
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="payguard-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir()
@@ -89,28 +92,43 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch root (never reused)."""
-    root = scratch_root(spark)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
+    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = file_system(spark, path)
+    fs.mkdirs(p)
     return path
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin a frame whose input has fewer partitions than the cluster
-    can run at once; leave it alone otherwise.
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path on any supported store."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
-    For CPU-heavy narrow stages (JSON, Python scoring) a single huge split
-    would idle the cluster. With many input splits, as at scale, the check
-    is false and no shuffle is added.
+
+def free(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, or anything else under a path of ours."""
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def plan_bytes(df) -> int:
+    """Catalyst's estimate of the frame's size; nothing runs for it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+#: The default size of a read split.
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def spread(df, partitions: int | None = None):
+    """Deal out a frame that is at most one read split over the cores.
+
+    For CPU-heavy narrow stages (JSON, Python scoring) a single small file
+    would be a single task. What is shuffled is at most SPLIT_BYTES; anything
+    larger has splits of its own and stays as it is.
     """
-    if df.isStreaming:  # micro-batches get their parallelism from the source
-        return df
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    if df.isStreaming or plan_bytes(df) > SPLIT_BYTES:
         return df
-    return df.repartition(target)
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
 
 
 def broadcast_if_small(df, rows: int, row_bytes: int = 64):
@@ -118,19 +136,16 @@ def broadcast_if_small(df, rows: int, row_bytes: int = 64):
     broadcast threshold; otherwise leave the join to a shuffle."""
     from pyspark.sql import functions as F
     spark = df.sparkSession
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit_b = int(str(limit).lower().rstrip("b"))
-    except ValueError:
-        limit_b = 10 * 1024 * 1024
+    jvm = spark.sparkContext._jvm
+    limit_b = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")))
     return F.broadcast(df) if 0 <= rows * row_bytes <= limit_b else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, on any Hadoop-supported file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
 
 
 def materialise(df, name: str):

@@ -4,7 +4,7 @@ One line item stands for one invoice line. The mapping is ours (the sample
 file the event model comes from is not available) and is mirrored in the
 DuckDB oracle (``payguard.plans.oracle``):
 
-* ``Invoice_ID``  = ``<orderkey>_<linenumber>_IT10`` (not unique, like the source)
+* ``Invoice_ID``  = ``<orderkey>_<linenumber>_L1`` (not unique, like the source)
 * ``Invoice_Amount`` = extended price, or 0 for open non-returned lines
 * ``Pay_Type``    = ``Late`` for returned lines, ``On Time`` for accepted, else blank
 * ``Pay_Delay``   = quantity x 4 days
@@ -34,7 +34,7 @@ def _s(c: Column) -> Column:
 def _invoice_cols() -> dict[str, Column]:
     ok, ln, rf, ls = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
     return {
-        "Invoice_ID": F.concat(_s(ok), F.lit("_"), _s(ln), F.lit("_IT10")),
+        "Invoice_ID": F.concat(_s(ok), F.lit("_"), _s(ln), F.lit("_L1")),
         "Invoice_Amount": F.when((ls == "O") & (rf == "N"), F.lit(0.0))
                            .otherwise(F.col("l_extendedprice")).cast("float"),
         "Invoice_Due_Date": F.date_format(F.date_add(F.col("l_shipdate"), 30), "M/d/yy"),
@@ -61,33 +61,33 @@ def raw_text_columns() -> dict[str, Column]:
     rf, ls, ship = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_shipdate")
     inv = _invoice_cols()
     billed = ls == "F"
-    vendor = F.concat(F.lit("VND"), F.lpad(_s(sk), 5, "0"))
+    vendor = F.concat(F.lit("SUP"), F.lpad(_s(sk), 5, "0"))
     amount_text = F.when((ls == "O") & (rf == "N"), F.lit("0")).otherwise(
         _s(F.col("l_extendedprice").cast("decimal(15,2)")))
     year = _s(F.year(ship))
     cols = {
         "Req_Line_ID": F.concat(_s(ok), F.lit("_"), _s(ln * 10)),
-        "Order_Line_ID": F.concat(F.lit("45"), _s(ok), F.lit("_"), _s(ln * 10)),
+        "Order_Line_ID": F.concat(F.lit("PO"), _s(ok), F.lit("_"), _s(ln * 10)),
         "Goods_ID": F.concat(_s(pk), F.lit("_"), _s(ln), F.lit("_"), year),
         "Invoice_ID": inv["Invoice_ID"],
-        "Activity": F.when(billed, "Invoice Cleared").otherwise("Order Line Created"),
+        "Activity": F.when(billed, "Settled").otherwise("Ordered"),
         "DateTime": F.date_format(ship, RFC3339_FORMAT),
-        "Resource": F.concat(F.lit("DST"), F.lpad(_s(sk % 100), 2, "0")),
-        "Role": F.when(billed, "Accounts Payable").otherwise("Procurement"),
+        "Resource": F.concat(F.lit("DESK"), F.lpad(_s(sk % 100), 2, "0")),
+        "Role": F.when(billed, "Ledger").otherwise("Buyer"),
         "Requisition_Vendor": F.lit(""),
         "Order_Vendor": vendor,
         "Invoice_Vendor": F.when(billed, vendor).otherwise(""),
         "Pay_Vendor": F.when(billed, vendor).otherwise(""),
-        "Requisition_Type": F.lit("Direct"),
-        "Order_Type": F.lit("Standard Order"),
-        "Purchasing_Group": F.concat(F.lit("ID"), _s(sk % 10)),
-        "Purchasing_Organization": F.lit("IT10"),
-        "Material_Group": F.concat(F.lit("D"), F.lpad(_s(pk % 1000), 3, "0")),
+        "Requisition_Type": F.lit("Plain"),
+        "Order_Type": F.lit("Usual"),
+        "Purchasing_Group": F.concat(F.lit("PG"), _s(sk % 10)),
+        "Purchasing_Organization": F.lit("ORG1"),
+        "Material_Group": F.concat(F.lit("MAT"), F.lpad(_s(pk % 1000), 3, "0")),
         "Material_Number": _s(pk),
-        "Plant": F.lit("IT01"),
+        "Plant": F.lit("SITE1"),
         "Good_ReferenceNumber": F.lit(""),
         "Requisition_Header": _s(ok),
-        "Order_Header": F.concat(F.lit("45"), _s(ok)),
+        "Order_Header": F.concat(F.lit("PO"), _s(ok)),
         "Invoice_Header": F.when(billed, _s(ok)).otherwise(""),
         "ClearDoc_Header": F.lit(""),
         "Good_Year": year,
@@ -99,7 +99,7 @@ def raw_text_columns() -> dict[str, Column]:
         "Invoice_Due_Date": inv["Invoice_Due_Date"],
         "Pay_Type": inv["Pay_Type"],
         "Pay_Delay": _s(inv["Pay_Delay"]),
-        "UserType": F.lit("HUMAN"),
+        "UserType": F.lit("PERSON"),
         "Invoice_Is_Overdue": F.when(rf == "R", "yes").otherwise(""),
     }
     assert tuple(cols) == RAW_FIELDS

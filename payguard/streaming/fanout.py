@@ -1,182 +1,216 @@
 """The stream job: one read of the raw topic, fanned out to every sink.
 
-Per micro-batch (``foreachBatch``) the payload is decoded once into the 35
-raw fields plus ``Risk``/``Model_Name`` and kept for the batch, then:
-
-* good rows -> raw index table (35 columns, unfiltered),
-* good rows -> valid -> late -> graded -> anomaly index table (7 columns)
-  and the risk topic (structured events),
-* malformed rows -> quarantine table with the reason.
-
-Every table write is a dynamic overwrite of the partition ``batch_id=<id>``:
-when Spark re-runs a batch after a failure (same id, same offsets), the
-rerun replaces what the failed attempt wrote, so nothing is duplicated.
-The checkpoint records progress; ``replay=True`` starts over from the first
-record with a fresh checkpoint.
+Per micro-batch (``foreachBatch``) the payload is decoded once and kept for
+the batch, then:
+
+* good rows -> the raw index table (35 columns, unfiltered),
+* good rows -> valid -> late -> graded -> the risk index table (7 columns)
+  and the risk sink (structured events),
+* rows that can't be decoded, graded or published -> the quarantine table,
+  with the payload, its topic, partition and offset, and the reason.
+
+What is stored depends only on the records read. Every sink is keyed by the
+run and the batch number: a batch that Spark runs again replaces all that its
+earlier attempt wrote, also where it has no rows now. A run is named in a
+pointer file beside the tables and owns a checkpoint; plain starts go on with
+that run. ``replay`` starts a new run from the first record: it becomes the
+pointer's run, and every start removes what other runs left in any sink.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from payguard.config import RunSettings
-from payguard.operators.decode import decode, split_errors
+from payguard.operators.decode import ERROR_COL, decode
 from payguard.operators.encode import anomaly_documents, raw_documents, structured_risk_events
 from payguard.plans.risk_job import grade_late_invoices
-from payguard.schemas import INVOICE_FIELDS, RAW_FIELDS
-from payguard.streaming.topic import write_topic
+from payguard.schemas import INVOICE_FIELDS, INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
+from payguard.session import path_exists
+from payguard.streaming import tables
 
 ALL_FIELDS = RAW_FIELDS + ("Risk", "Model_Name")
+#: Where a record came from, kept beside what was decoded from it.
+ORIGIN = ("topic", "partition", "offset", "timestamp")
+QUARANTINE_SCHEMA = T.StructType([
+    T.StructField("topic", T.StringType()), T.StructField("partition", T.IntegerType()), T.StructField("offset", T.LongType()),
+    T.StructField("payload", T.StringType()), T.StructField("reason", T.StringType())])
+EVENT_SCHEMA = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType())])
 
 
 @dataclass(frozen=True)
 class Sinks:
+    """Where a job's tables are; their names are settings of the job."""
+
     root: str
-    checkpoint_name: str = "_checkpoint"
+    raw_table: str = RunSettings.raw_table
+    risk_table: str = RunSettings.risk_table
+    quarantine_table: str = "quarantine"
 
     @property
     def raw(self) -> str:
-        return f"{self.root}/raw_index"
+        return f"{self.root}/{self.raw_table}"
 
     @property
     def anomaly(self) -> str:
-        return f"{self.root}/anomaly_index"
-
-    @property
-    def risk_topic(self) -> str:
-        return f"{self.root}/risk_topic"
+        return f"{self.root}/{self.risk_table}"
 
     @property
     def quarantine(self) -> str:
-        return f"{self.root}/quarantine"
+        return f"{self.root}/{self.quarantine_table}"
 
     @property
-    def checkpoint(self) -> str:
-        return f"{self.root}/{self.checkpoint_name}"
-
-
-def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent append: replace partition ``batch_id`` of the table at ``path``."""
-    (df.withColumn("batch_id", F.lit(batch_id))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("batch_id").parquet(path))
-
-
-def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSettings,
-                  scorer=None, mode: str = "quarantine", topic_partitions: int = 1,
-                  risk_writer=None) -> None:
-    """One micro-batch. ``risk_writer(events_df, batch_id)`` publishes the
-    structured risk events (default: the topic twin under ``sinks``; use
-    :func:`kafka_risk_writer` on a cluster with the Kafka connector)."""
-    decoded = decode(batch, ALL_FIELDS, "value", mode=mode if mode != "strict" else "strict",
-                     keep=("partition", "offset"))
-    if mode == "strict":
-        decoded = decoded.withColumn("_error", F.lit(None).cast("string"))
-    decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good, bad = split_errors(decoded)
-        write_batch_partition(raw_documents(good), sinks.raw, batch_id)
-        graded = grade_late_invoices(good.select(*INVOICE_FIELDS), settings, scorer)
-        graded = graded.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # A risk event is keyed by its Invoice_ID: a NULL id cannot be
-            # published (a blank one can), and an ungraded invoice has no risk.
-            reason = (F.when(F.col("_error").isNotNull(), F.col("_error"))
-                      .when(F.col("Invoice_ID").isNull(), F.lit("null event id")))
-            graded = graded.withColumn("_error", reason)
-            risk = graded.where(F.col("_error").isNull())
-            write_batch_partition(anomaly_documents(risk), sinks.anomaly, batch_id)
-            events = structured_risk_events(risk, settings)
-            if risk_writer is None:
-                write_topic(events, sinks.risk_topic, settings.risk_topic, batch_id, topic_partitions)
-            elif not _published(batch, sinks, batch_id):
-                # An external sink (Kafka) cannot overwrite a batch: publish
-                # each batch id once, then record it, so a batch Spark re-runs
-                # after the publish finished is not sent again.
-                risk_writer(events, batch_id)
-                _mark_published(batch, sinks, batch_id)
-            set_aside = graded.where(F.col("_error").isNotNull()).select(
-                F.lit(None).cast("int").alias("partition"), F.lit(None).cast("bigint").alias("offset"),
-                *[F.col(f) if f in INVOICE_FIELDS else F.lit(None).cast(bad.schema[f].dataType).alias(f)
-                  for f in ALL_FIELDS], "_error")
-            write_batch_partition(bad.unionByName(set_aside), sinks.quarantine, batch_id)
-        finally:
-            graded.unpersist()
-    finally:
-        decoded.unpersist()
+    def pointer(self) -> str:
+        return f"{self.root}/_active_run"
+
+    def checkpoint(self, run: str) -> str:
+        return f"{self.root}/_checkpoints/{run}"
+
+
+class RiskSink(Protocol):
+    """Where risk events go. ``write`` may be called again for a batch that was written before."""
+
+    def write(self, events: DataFrame, run: str, batch_id: int) -> None: ...
+    def keep_only(self, spark: SparkSession, run: str) -> None: ...
+
+
+class RiskEventTable:
+    """Risk events as a dated table (columns ``key`` and ``value``)."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, events: DataFrame, run: str, batch_id: int) -> None:
+        tables.write_batch(events, self.path, run, batch_id)
+
+    def keep_only(self, spark: SparkSession, run: str) -> None:
+        tables.drop_other_runs(spark, self.path, run)
 
+    def read(self, spark: SparkSession) -> DataFrame:
+        return tables.read_index(spark, self.path, EVENT_SCHEMA)
 
-def _published_marker(sinks: Sinks, batch_id: int) -> str:
-    # Batch ids restart with each checkpoint (replay starts a new one).
-    return f"{sinks.root}/_published/{sinks.checkpoint_name}/batch_id={batch_id}"
 
+class PublishOnce:
+    """Risk events through ``send(events, batch_id)``, to a store that can't take
+    a batch back (a Kafka topic). A batch is recorded after it is sent and not
+    sent again in its run; only a failure between the two sends it twice. Only
+    the newest record of a run is kept: Spark never runs an earlier batch again."""
 
-def _published(df: DataFrame, sinks: Sinks, batch_id: int) -> bool:
-    from payguard.session import path_exists
-    return path_exists(df.sparkSession, _published_marker(sinks, batch_id))
+    def __init__(self, send, markers: str):
+        self.send, self.markers = send, markers
 
+    def write(self, events: DataFrame, run: str, batch_id: int) -> None:
+        spark, here = events.sparkSession, f"{self.markers}/{run}"
+        last = tables.read_text(spark, here)
+        if last is not None and int(last) >= batch_id:
+            return
+        self.send(events.select("key", "value"), batch_id)
+        tables.write_text(spark, here, str(batch_id))
 
-def _mark_published(df: DataFrame, sinks: Sinks, batch_id: int) -> None:
-    sc = df.sparkSession.sparkContext
-    p = sc._jvm.org.apache.hadoop.fs.Path(_published_marker(sinks, batch_id))
-    p.getFileSystem(sc._jsc.hadoopConfiguration()).create(p, True).close()
+    def keep_only(self, spark: SparkSession, run: str) -> None:
+        for found in tables.folders(spark, f"{self.markers}/*"):
+            if not found.endswith(f"/{run}"):
+                tables.drop(spark, found)
 
 
-def start_fanout(source: DataFrame, sinks: Sinks, settings: RunSettings | None = None,
-                 scorer=None, mode: str = "quarantine", available_now: bool = True,
-                 topic_partitions: int = 1, replay: bool = False, risk_writer=None):
-    """Start the fan-out stream over a Kafka-shaped source (needs ``value``,
-    ``partition``, ``offset``). Returns the StreamingQuery.
+def kafka_risk_sink(settings: RunSettings, security, sinks: Sinks) -> PublishOnce:
+    """Risk events to the risk topic (at least once; see :class:`PublishOnce`)."""
+    from payguard.sources.kafka import publish
+    return PublishOnce(lambda events, _: publish(events, settings.risk_topic, security), f"{sinks.root}/_published")
+
+
+def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSettings, risk_sink: RiskSink, run: str = "run-0",
+                  scorer=None, mode: str = "quarantine") -> None:
+    """One micro-batch: four writes, one decode."""
+    uses_model = settings.uses_model or scorer is not None
+    for c in set(ORIGIN) - set(batch.columns):
+        batch = batch.withColumn(c, F.lit(None))
+    kept = [F.col(c).cast(t).alias(c) for c, t in zip(ORIGIN, ("string", "int", "bigint", "timestamp"))]
+    batch = batch.select("value", *kept, F.col("value").cast("string").alias("payload"))
+    decoded = decode(batch, ALL_FIELDS, "value", mode=mode, keep=(*ORIGIN, "payload"))
+    if ERROR_COL not in decoded.columns:
+        decoded = decoded.withColumn(ERROR_COL, F.lit(None).cast("string"))
+    # A record without a time counts for the first day of all.
+    decoded = decoded.withColumn("day", F.coalesce(F.to_date("timestamp"), F.to_date(F.lit("1970-01-01")))).persist(StorageLevel.MEMORY_AND_DISK)
+    graded = None
+    try:
+        good = decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL)
+        tables.write_batch(raw_documents(good, ("day",)), sinks.raw, run, batch_id)
+        graded = grade_late_invoices(good.select(*ORIGIN, "payload", "day", *INVOICE_FIELDS), settings, scorer)
+        # A risk event is keyed by its Invoice_ID: a NULL id can't be
+        # published (a blank one can), and an ungraded invoice has no risk.
+        graded = graded.withColumn(ERROR_COL, F.coalesce(ERROR_COL, F.when(F.col("Invoice_ID").isNull(), F.lit("null event id"))))
+        if uses_model:  # the rule is a projection of what is kept already
+            graded = graded.persist(StorageLevel.MEMORY_AND_DISK)
+        risk = graded.where(F.col(ERROR_COL).isNull())
+        tables.write_batch(anomaly_documents(risk, ("day",)), sinks.anomaly, run, batch_id)
+        risk_sink.write(structured_risk_events(risk, settings, keep=("day",)), run, batch_id)
+        aside = [df.where(F.col(ERROR_COL).isNotNull()).select(*ORIGIN[:3], "payload", F.col(ERROR_COL).alias("reason"), "day")
+                 for df in (decoded, graded)]
+        tables.write_batch(aside[0].unionByName(aside[1]), sinks.quarantine, run, batch_id)
+    finally:
+        if uses_model and graded is not None:
+            graded.unpersist()
+        decoded.unpersist()
+
+
+def active_run(spark: SparkSession, sinks: Sinks, replay: bool = False) -> str:
+    """The run to go on with; a new one if there is none or on ``replay``."""
+    run = None if replay else tables.read_text(spark, sinks.pointer)
+    if run is None:
+        run = f"run-{uuid.uuid4().hex[:12]}"
+        tables.write_text(spark, sinks.pointer, run)
+    return run
+
 
-    ``replay=True`` starts over: the sinks are emptied and a new checkpoint
-    reads the source from its first record.
-    """
+def start_fanout(source: DataFrame, sinks: Sinks, risk_sink: RiskSink, settings: RunSettings | None = None,
+                 scorer=None, mode: str = "quarantine", available_now: bool = True, replay: bool = False):
+    """Start the fan-out stream over a Kafka-shaped source. Returns the StreamingQuery."""
     settings = settings or RunSettings()
-    if replay:
-        import uuid
-        from payguard.operators.readback import clear_table
-        from payguard.schemas import INVOICE_SCHEMA, RAW_SCHEMA
-        spark = source.sparkSession
-        for path, schema in ((sinks.raw, RAW_SCHEMA), (sinks.anomaly, INVOICE_SCHEMA)):
-            clear_table(spark, path, schema)
-        sinks = Sinks(sinks.root, checkpoint_name=f"_checkpoint-{uuid.uuid4().hex[:8]}")
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, sinks, settings, scorer, mode, topic_partitions, risk_writer)
-
-    w = source.writeStream.foreachBatch(run).option("checkpointLocation", sinks.checkpoint) \
-        .queryName(f"fanout_{abs(hash(sinks.root)) % 10**8}")
+    spark = source.sparkSession
+    run = active_run(spark, sinks, replay)
+    for path in (sinks.raw, sinks.anomaly, sinks.quarantine):
+        tables.drop_other_runs(spark, path, run)
+    risk_sink.keep_only(spark, run)
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, sinks, settings, risk_sink, run, scorer, mode)
+
+    w = source.writeStream.foreachBatch(work).option("checkpointLocation", sinks.checkpoint(run)).queryName(f"fanout_{uuid.uuid4().hex[:8]}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=settings.trigger_interval)
     return w.start()
 
 
-def read_table_dir(spark: SparkSession, path: str) -> DataFrame:
-    """Read an index table written by the fan-out (drops the batch column)."""
-    return spark.read.parquet(path).drop("batch_id")
+def create_index_tables(spark: SparkSession, sinks: Sinks) -> list[str]:
+    """The index tables in the catalog, typed and dated, at the folders the job writes."""
+    from payguard.operators.readback import init_tables
+    return init_tables(spark, {sinks.raw_table: RAW_SCHEMA, sinks.risk_table: INVOICE_SCHEMA, sinks.quarantine_table: QUARANTINE_SCHEMA},
+                       sinks.root, tables.PARTS)
 
 
-def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Read a fan-out table; an empty (never written) table reads as no rows."""
-    from pyspark.errors import AnalysisException
-    from payguard.session import path_exists
-    if path_exists(spark, path):
-        try:
-            return read_table_dir(spark, path)
-        except AnalysisException:  # folder exists but no batch wrote rows
-            pass
-    return spark.createDataFrame([], schema)
+def refresh_index_tables(spark: SparkSession, sinks: Sinks) -> None:
+    """Make the catalog's tables see the folders that batches have added or dropped."""
+    for name in (sinks.raw_table, sinks.risk_table, sinks.quarantine_table):
+        spark.sql(f"MSCK REPAIR TABLE {tables.catalog_name(name)} SYNC PARTITIONS")
 
 
-def kafka_risk_writer(settings: RunSettings, security):
-    """Risk events to a Kafka topic. The fan-out publishes each batch id once
-    and records it; only a failure between the publish and the record sends
-    a batch again (Kafka's sink is at-least-once; the index tables are
-    exactly-once)."""
-    from payguard.sources.kafka import publish
+def read_raw(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    return raw_documents(tables.read_index(spark, sinks.raw, RAW_SCHEMA))
+
+
+def read_anomaly(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    return anomaly_documents(tables.read_index(spark, sinks.anomaly, INVOICE_SCHEMA))
+
+
+def read_quarantine(spark: SparkSession, sinks: Sinks) -> DataFrame:
+    return tables.read_index(spark, sinks.quarantine, QUARANTINE_SCHEMA).select(*QUARANTINE_SCHEMA.names)
+
 
-    def write(events: DataFrame, batch_id: int) -> None:
-        publish(events.select("key", "value"), settings.risk_topic, security)
-    return write
+__all__ = ["PublishOnce", "RiskEventTable", "RiskSink", "Sinks", "active_run", "create_index_tables", "kafka_risk_sink", "path_exists",
+           "process_batch", "refresh_index_tables", "read_anomaly", "read_quarantine", "read_raw", "start_fanout"]

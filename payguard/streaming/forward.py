@@ -1,31 +1,49 @@
 """Forward new risk events to a subscriber as a stream.
 
-``subscribe`` records the risk topic's high-water marks; the stream then
-reads the topic and hands each micro-batch of records past those marks,
-with delivery attributes, to ``callback(batch_df, batch_id)``. With Kafka,
-``startingOffsets=latest`` on a fresh checkpoint does the same.
+A subscription sees only what arrives after it started. On Kafka that is
+``startingOffsets=latest`` on a fresh checkpoint; on archived records it is a
+table of the offsets that each partition had then. Every micro-batch of new
+records goes, with its delivery attributes, to ``deliver(batch, batch_id)``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from payguard.config import JSON_CONTENT_TYPE
 from payguard.operators.forward import delivery_attributes, new_records
-from payguard.streaming.topic import high_water, stream_topic
 
+ATTRIBUTES = ("ce_id", "ce_subject", "ce_source", "ce_type", "ce_specversion", "ce_time")
 
-def subscribe(spark: SparkSession, topic_path: str, at_path: str) -> DataFrame:
-    """Record (and store) the high-water marks at subscription time."""
-    high_water(spark, topic_path).write.mode("overwrite").parquet(at_path)
-    return spark.read.parquet(at_path)
 
-
-def forward_stream(spark: SparkSession, topic_path: str, marks: DataFrame,
-                   callback: Callable[[DataFrame, int], None], checkpoint: str,
+def forward_stream(records: DataFrame, deliver: Callable[[DataFrame, int], None], checkpoint: str, marks: DataFrame | None = None,
                    source_prefix: str = "/apis/v1/sources/subscriber", available_now: bool = True):
-    fresh = delivery_attributes(new_records(stream_topic(spark, topic_path), marks), source_prefix)
-    w = fresh.writeStream.foreachBatch(callback).option("checkpointLocation", checkpoint)
+    """Start forwarding ``records`` (those past ``marks``, if given). Returns the StreamingQuery."""
+    fresh = records if marks is None else new_records(records, marks)
+    w = delivery_attributes(fresh, source_prefix).writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()
+
+
+def post_to(url: str, timeout_s: float = 30.0, retries: int = 5, ca_data: str | None = None, connect=None) -> Callable[[DataFrame, int], None]:
+    """A ``deliver`` that posts each event to a subscriber's URL: the attributes as
+    ``ce-`` headers, the data as the body. One connection per task; an answer other
+    than 2xx is tried again with a growing pause and fails the batch in the end,
+    so Spark runs the batch again (at least once)."""
+    def rows(batches):
+        from payguard.operators.score import HttpClient
+        client = HttpClient(url, timeout_s, retries, ca_data, connect)
+        try:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    heads = {a.replace("ce_", "ce-"): str(row[a]) for a in ATTRIBUTES if row[a] is not None}
+                    client.post(row["data"] or "", heads | {"Content-Type": JSON_CONTENT_TYPE})
+                yield batch.slice(0, 0)
+        finally:
+            client.close()
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        batch.mapInArrow(rows, batch.schema).write.format("noop").mode("overwrite").save()
+    return deliver

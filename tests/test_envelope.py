@@ -11,14 +11,14 @@ from payguard.schemas import INVOICE_SCHEMA
 
 
 def test_structured_event_text(spark):
-    df = spark.createDataFrame([("2519002133_2019_IT10", 1625.0, "2/28/19", "Late", 18, "Low", None)], INVOICE_SCHEMA)
+    df = spark.createDataFrame([("INV-7", 820.5, "6/1/22", "Late", 41, "Low", None)], INVOICE_SCHEMA)
     text = bytes(structured_risk_events(df, RunSettings(event_source="urn:s")).first().value).decode()
-    assert text == ('{"specversion":"1.0","id":"2519002133_2019_IT10","source":"urn:s","type":"procure.risk",'
-                    '"datacontenttype":"application/json","data":{"Invoice_ID":"2519002133_2019_IT10",'
-                    '"Invoice_Amount":1625.0,"Invoice_Due_Date":"2/28/19","Pay_Type":"Late","Pay_Delay":18,'
+    assert text == ('{"specversion":"1.0","id":"INV-7","source":"urn:s","type":"procure.risk",'
+                    '"datacontenttype":"application/json","data":{"Invoice_ID":"INV-7",'
+                    '"Invoice_Amount":820.5,"Invoice_Due_Date":"6/1/22","Pay_Type":"Late","Pay_Delay":41,'
                     '"Risk":"Low","Model_Name":null}}')
     back = parse_structured_events(structured_risk_events(df)).first()
-    assert (back.id, back.Invoice_Amount, back.Risk, back.Model_Name) == ("2519002133_2019_IT10", 1625.0, "Low", None)
+    assert (back.id, back.Invoice_Amount, back.Risk, back.Model_Name) == ("INV-7", 820.5, "Low", None)
 
 
 def test_binary_events_attributes(spark):

@@ -1,13 +1,12 @@
 """Column functions: rounding, tensor bytes, predictions, event time."""
 
-from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from payguard.functions.scoring import (decode_predictions, int64_le_bytes, model_risk, round_up,
-                                        signed_first_byte)
+                                        round_up_text, signed_first_byte)
 from payguard.operators.decode import normalise_datetime
 
 
@@ -19,8 +18,9 @@ def test_round_up_and_model_risk(spark, score, output, risk):
     resp = f'{{"predictions":[[{score}]]}}'
     df = spark.createDataFrame([(resp,)], "r STRING")
     s = decode_predictions(F.col("r"))
-    r = df.select(s.alias("s"), round_up(s).alias("o"), model_risk(round_up(s)).alias("k")).first()
-    assert r.s == Decimal(score) and (r.o, r.k) == (output, risk)
+    number = F.lit(score).cast("decimal(38,18)")
+    r = df.select(s.alias("s"), round_up_text(s).alias("o"), model_risk(round_up_text(s)).alias("k"), round_up(number).alias("d")).first()
+    assert r.s == score and (r.o, r.k) == (output, risk) and r.d == output
 
 
 def test_empty_predictions_is_null(spark):

@@ -1,12 +1,17 @@
 """Submit-able jobs: producer from a sample CSV, then the stream processor."""
 
+import time
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMOKE
-from payguard.jobs import parse_options, produce_job, stream_job
-from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS
+from payguard.jobs import finish, forward_job, parse_options, produce_job, stream_job, upkeep_job
+from payguard.schemas import RAW_FIELDS
 from payguard.session import scratch_dir
-from payguard.streaming.fanout import Sinks, read_sink
+from payguard.sources.records import as_records
+from payguard.streaming.fanout import RiskEventTable, Sinks, read_raw, refresh_index_tables
 
 
 def _sample_csv(spark):
@@ -30,38 +35,89 @@ def test_parse_options_flags_and_values():
     assert opts == {"availableNow": "true", "modelPredictorURL": "", "tableRoot": "/t"}
 
 
+def _produce(spark, sample, out, *args, tick_s=0.25):
+    query, last, pacing = produce_job(["--sample", sample, "--outPath", out, *args], spark, tick_s)
+    finish(query, last, pacing, tick_s)
+    return spark.read.parquet(out)
+
+
 def test_produce_then_stream(spark):
     from payguard.plans.risk_job import late_invoice_risk
     from payguard.sources.adapter import invoice_adapter
     sample, n = _sample_csv(spark)
-    topic = f"{scratch_dir(spark, 't_jobs_topic')}/raw_topic"
-    group = (n + 2) // 3  # three groups -> sends at 0 s, 1 s, 2 s
-    steps = produce_job(["--sample", sample, "--topicPath", topic, "--messagesPerGroup", str(group),
-                         "--secondsToPause", "1", "--repetitions", "1", "--topicPartitions", "2"], spark)
-    assert steps == 3
-    t = spark.read.parquet(topic)
-    assert t.count() == n and t.select("key").distinct().count() == n
-    assert sorted(r.batch_id for r in t.select("batch_id").distinct().collect()) == [0, 1, 2]
-    # Offsets dense per partition across the three producer batches.
-    per = t.groupBy("partition").agg(F.count("*").alias("c"), F.max("offset").alias("m")).collect()
-    assert all(r.c == r.m + 1 for r in per)
-
-    root = scratch_dir(spark, "t_jobs_tables")
-    stream_job(["--topicPath", topic, "--tableRoot", root, "--availableNow", "--modelPredictorURL", "",
-                "--maxFilesPerTrigger", "2"], spark).awaitTermination()
-    sinks = Sinks(root)
-    raw = spark.read.parquet(sinks.raw)
-    assert raw.count() == n
-    assert raw.select("batch_id").distinct().count() > 1  # two files per micro-batch
-    got = read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).drop("batch_id")
+    root = scratch_dir(spark, "t_jobs")
+    group = (n + 2) // 3  # three groups: three steps
+    sent = _produce(spark, sample, f"{root}/sent", "--messagesPerGroup", str(group), "--secondsToPause", "1", "--repetitions", "1")
+    assert sent.count() == n and sent.select("key").distinct().count() == n
+    as_records(sent.select("key", "value", "headers"), "raw", F.lit(0), F.monotonically_increasing_id(),
+               F.lit("2024-01-01").cast("timestamp")).repartition(4).write.parquet(f"{root}/topic")
+
+    tag = uuid.uuid4().hex[:8]
+    args = ["--recordsPath", f"{root}/topic", "--riskPath", f"{root}/risk", "--tableRoot", f"{root}/tables", "--availableNow",
+            "--modelPredictorURL", "", "--maxFilesPerTrigger", "2", "--esRawIndex", f"raw-{tag}", "--esRiskIndex", f"risk-{tag}"]
+    stream_job(args, spark).awaitTermination()
+    sinks = Sinks(f"{root}/tables", f"raw-{tag}", f"risk-{tag}")
+    assert read_raw(spark, sinks).count() == n
+    refresh_index_tables(spark, sinks)
+    got = spark.table(f"risk_{tag}").drop("day", "run", "batch_id")
     want = late_invoice_risk(invoice_adapter(spark, SMOKE))
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert RiskEventTable(f"{root}/risk").read(spark).count() == want.count()
+    assert upkeep_job(["--tableRoot", f"{root}/tables", "--retentionDays", "7", "--compact", "--esRawIndex", f"raw-{tag}"], spark)[f"raw-{tag}"] == []
 
 
-def test_produce_without_pause_is_one_send(spark):
+def test_produce_without_pause_sends_all_passes(spark):
     sample, n = _sample_csv(spark)
-    topic = f"{scratch_dir(spark, 't_jobs_topic1')}/raw_topic"
-    assert produce_job(["--sample", sample, "--topicPath", topic, "--repetitions", "2"], spark) == 1
-    t = spark.read.parquet(topic)
-    assert t.count() == 2 * n and t.select("key").distinct().count() == 2 * n
+    sent = _produce(spark, sample, f"{scratch_dir(spark, 't_jobs1')}/sent", "--repetitions", "2")
+    assert sent.count() == 2 * n and sent.select("key").distinct().count() == 2 * n
+
+
+def test_endless_replay_starts_and_stops(spark):
+    sample, n = _sample_csv(spark)
+    out = f"{scratch_dir(spark, 't_jobs2')}/sent"
+    query, last, _ = produce_job(["--sample", sample, "--outPath", out, "--repetitions", "-1"], spark, 0.25)
+    assert last is None
+    deadline = time.time() + 90
+    while time.time() < deadline and query.isActive:
+        time.sleep(1)
+        done = query.lastProgress
+        if done and (done["sources"][0].get("endOffset") or 0) and int(done["sources"][0]["endOffset"]) >= 3:
+            break
+    query.stop()
+    sent = spark.read.parquet(out)
+    assert sent.count() >= 2 * n and sent.count() == sent.select("key").distinct().count()
+
+
+def test_a_missing_ca_file_fails_at_the_start(spark):
+    with pytest.raises(FileNotFoundError):
+        stream_job(["--modelPredictorURL", "https://model:8443/v1", "--modelCaFile", "/nowhere/ca.pem", "--recordsPath", "/nowhere"], spark)
+
+
+def test_forward_job_posts_new_events(spark):
+    root = scratch_dir(spark, "t_jobs_fwd")
+    rows = spark.createDataFrame([("k", f'{{"n":{i}}}', i) for i in range(3)], "key STRING, value STRING, at BIGINT")
+    as_records(rows, "risk", F.lit(0), F.col("at"), F.lit("2024-01-01").cast("timestamp")).write.parquet(f"{root}/topic")
+    job = ["--recordsPath", f"{root}/topic", "--outPath", f"{root}/got", "--checkpoint", f"{root}/ck", "--availableNow"]
+    forward_job(job, spark).awaitTermination()  # nothing is new yet
+    with pytest.raises(ValueError):
+        forward_job(["--recordsPath", f"{root}/topic"], spark)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from payguard.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError):
+        scratch_root(Session())

@@ -6,8 +6,10 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from payguard.operators.score import HttpScorer, LinearScorer, random_sweep_values, read_predictions, \
-    request_body, score_invoices
+import pytest
+
+from payguard.operators.score import (EmptyScorer, HttpClient, HttpScorer, LinearScorer, ModelError, outputs, random_sweep_values,
+                                      read_predictions, request_body, score_invoices)
 
 
 class CountingScorer(LinearScorer):
@@ -19,19 +21,35 @@ class CountingScorer(LinearScorer):
         return super().predict(delays)
 
 
-class EmptyScorer(LinearScorer):
-    def predict(self, delays):
-        return '{"predictions":[]}'
-
-
 # Python workers cannot import this test module: ship its classes by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def test_request_and_response_format():
     assert json.loads(request_body([18])) == {"instances": [{"Pay_Delay": 18}]}
-    assert [str(x) for x in read_predictions('{"predictions":[[50.2],[7]]}', 2)] == ["50.2", "7"]
+    assert read_predictions('{"predictions":[[50.2],[7]]}', 2) == [51, 7]
     assert read_predictions('{"predictions":[]}', 1) == [None]
+    assert read_predictions('{"predictions":[[null],[],[3]]}', 3) == [None, None, 3]
+
+
+@pytest.mark.parametrize("text,output", [
+    ("1.2345678e-12", 1), ("-1e-300", -1), ("50.0000000000000000000000000001", 51), ("-50.5", -51), ("1e25", (10**25 + 2**31) % 2**32 - 2**31),
+    ("2147483648", -2147483648), ("4294967297.5", 2), ("0.0", 0), ("-0.0", 0), ("1e300", 0), ("5E+1", 50), ("123456789012345678901234567890.1", None)])
+def test_scores_round_up_with_all_digits(spark, text, output):
+    from payguard.functions.scoring import decode_predictions, round_up_text
+    if output is None:
+        low = (123456789012345678901234567890 + 1) % 2**32
+        output = low - 2**32 if low >= 2**31 else low
+    answer = '{"predictions":[[%s]]}' % text
+    assert read_predictions(answer, 1) == [output]
+    got = spark.createDataFrame([(answer,)], "r STRING").select(round_up_text(decode_predictions(F.col("r")))).first()[0]
+    assert got == output
+
+
+@pytest.mark.parametrize("answer", ['{"error":"x"}', "<html>", '{"predictions":[[1]]}', '{"predictions":[["a"],[1]]}', '{"predictions":{"a":1}}', "[]"])
+def test_unusable_answers_are_errors(answer):
+    with pytest.raises(ModelError):
+        read_predictions(answer, 2)
 
 
 def test_score_invoices_grades_and_names(spark):
@@ -48,51 +66,70 @@ def test_score_invoices_grades_and_names(spark):
 def test_empty_predictions_flagged(spark):
     df = spark.createDataFrame([("a", 1)], "Invoice_ID STRING, Pay_Delay INT")
     r = score_invoices(df, EmptyScorer()).first()
-    assert r.score is None and r.Risk is None and r._error == "empty predictions"
+    assert r.output is None and r.Risk is None and r._error == "empty predictions"
 
 
-def test_distinct_delays_scored_once_per_batch():
+def test_each_delay_is_asked_for_once_in_a_task():
     import pandas as pd
-    from payguard.operators.score import _score_partition
-    s = CountingScorer()
     CountingScorer.calls = []
-    pdf = pd.DataFrame({"Pay_Delay": [5, 5, 5, 7, 7, 9] * 100})
-    out = list(_score_partition(s, "Pay_Delay", 2)(iter([pdf])))[0]
-    assert CountingScorer.calls == [[5, 7], [9]]
-    assert len(out) == 600 and str(out.score.iloc[0]) == "3.85"
+    batches = [pd.Series([5, 5, 7, 9] * 100), pd.Series([9, 5, None, 11])]
+    out = [x.tolist() for x in outputs(CountingScorer(), 2)(iter(batches))]
+    assert CountingScorer.calls == [[5, 7], [9], [0, 11]]
+    assert out[0][:4] == [4, 4, 6, 7] and out[1] == [7, 4, 1, 9]
 
 
-def test_http_scorer_with_fake_connection(monkeypatch):
-    sent = []
+class Answers:
+    """A connection that gives prepared answers: a status and a body, or an error."""
 
-    class FakeResp:
-        status = 200
+    def __init__(self, *answers):
+        self.answers, self.sent, self.opened = list(answers), [], 0
 
-        def read(self):
-            body = json.loads(sent[-1])
-            return json.dumps({"predictions": [[i["Pay_Delay"] * 2] for i in body["instances"]]}).encode()
+    def __call__(self, netloc, timeout):
+        self.opened += 1
+        return self
 
-    class FakeConn:
-        def __init__(self, netloc, timeout):
-            self.netloc = netloc
+    def request(self, method, path, body, headers):
+        self.sent.append((method, path, body.decode(), headers["Content-Type"]))
 
-        def request(self, method, path, body, headers):
-            assert method == "POST" and path == "/v1/models/m:predict"
-            assert headers["Content-Type"] == "application/json"
-            sent.append(body)
+    def getresponse(self):
+        answer = self.answers.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        self.status, self.body = answer
+        return self
 
-        def getresponse(self):
-            return FakeResp()
+    def read(self):
+        return self.body.encode()
 
-        def close(self):
-            pass
+    def close(self):
+        pass
 
-    import http.client
-    monkeypatch.setattr(http.client, "HTTPConnection", FakeConn)
-    s = HttpScorer("http://model:8080/v1/models/m:predict")
+
+def test_http_scorer():
+    server = Answers((200, '{"predictions":[[6],[8.5]]}'), (200, '{"predictions":[[1]]}'))
+    s = HttpScorer("http://model:8080/v1/models/m:predict", connect=server)
     s.open()
-    assert [int(x) for x in read_predictions(s.predict([3, 4]), 2)] == [6, 8]
+    assert read_predictions(s.predict([3, 4]), 2) == [6, 9] and read_predictions(s.predict([1]), 1) == [1]
     s.close()
+    assert server.opened == 1
+    assert server.sent[0] == ("POST", "/v1/models/m:predict", request_body([3, 4]), "application/json")
+
+
+def test_transient_failures_are_tried_again():
+    import http.client
+    server = Answers((503, ""), (429, ""), http.client.IncompleteRead(b""), OSError("gone"), (200, "ok"))
+    assert HttpClient("http://m/p", retries=5, connect=server, pause_s=0).post("x", {"Content-Type": "t"}) == "ok"
+    assert len(server.sent) == 5
+    with pytest.raises(ModelError):
+        HttpClient("http://m/p", retries=2, connect=Answers((500, ""), (500, "")), pause_s=0).post("x", {"Content-Type": "t"})
+
+
+@pytest.mark.parametrize("status", [301, 400, 401, 403, 404])
+def test_refusals_are_errors_at_once(status):
+    server = Answers((status, "{}"), (200, "ok"))
+    with pytest.raises(ModelError):
+        HttpClient("http://m/p", connect=server, pause_s=0).post("x", {"Content-Type": "t"})
+    assert len(server.sent) == 1
 
 
 def test_random_sweep_distinct_in_range(spark):
@@ -101,12 +138,13 @@ def test_random_sweep_distinct_in_range(spark):
 
 
 def test_model_path_filters_before_scoring(spark):
-    """Only valid late invoices reach the model: the filter sits below MapInPandas."""
+    """Only valid late invoices reach the model, and only their delays leave the JVM."""
     from payguard.plans.risk_job import late_invoice_risk
     df = spark.createDataFrame([("a", 10.0, "Late", 5)], "Invoice_ID STRING, Invoice_Amount FLOAT, "
                                                          "Pay_Type STRING, Pay_Delay INT")
     plan = late_invoice_risk(df, scorer=LinearScorer())._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("MapInPandas") < plan.index("Filter")  # printed top-down: filter is below
+    assert plan.index("ArrowEvalPython") < plan.index("Filter")  # printed top-down: filter is below
+    assert "Pay_Delay" in plan.split("ArrowEvalPython")[1].split("]")[0]
 
 
 def test_flagship_model_path_fails_on_missing_prediction(spark):
@@ -119,44 +157,19 @@ def test_flagship_model_path_fails_on_missing_prediction(spark):
         late_invoice_risk(df, scorer=EmptyScorer()).collect()
 
 
-def test_stream_batch_sets_unscored_aside(spark):
-    from payguard.config import RunSettings
-    from payguard.schemas import INVOICE_SCHEMA
-    from payguard.session import scratch_dir
-    from payguard.streaming.fanout import Sinks, process_batch, read_sink
-    rows = [(0, 0, json.dumps({"Invoice_ID": "A", "Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"}))]
-    batch = spark.createDataFrame(rows, "partition INT, offset BIGINT, value STRING")
-    sinks = Sinks(scratch_dir(spark, "t_unscored"))
-    process_batch(batch, 0, sinks, RunSettings(), scorer=EmptyScorer())
-    assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 0
-    q = spark.read.parquet(sinks.quarantine).collect()
-    assert [(r.Invoice_ID, r._error) for r in q] == [("A", "empty predictions")]
-
-
-def test_global_dedupe_matches_batch(spark):
-    df = spark.range(2000).select(F.col("id").cast("string").alias("Invoice_ID"),
-                                  (F.col("id") % 150).cast("int").alias("Pay_Delay"))
-    a = score_invoices(df, LinearScorer(), dedupe="batch").select("Invoice_ID", "output", "Risk")
-    b = score_invoices(df, LinearScorer(), dedupe="global").select("Invoice_ID", "output", "Risk")
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert a.count() == 2000
-
-
 def test_payload_with_leading_newline_is_an_object(spark):
     from payguard.operators.decode import decode_invoice
     df = spark.createDataFrame([('\n\t {"Invoice_Amount":"5"}',)], "value STRING")
     assert decode_invoice(df).first()._error is None
 
 
-def test_global_dedupe_null_delay_scores_as_zero(spark):
+def test_null_delay_scores_as_zero(spark):
     df = spark.createDataFrame([("a", None), ("b", 0)], "Invoice_ID STRING, Pay_Delay INT")
-    out = {r.Invoice_ID: r.output for r in score_invoices(df, LinearScorer(), dedupe="global").collect()}
+    out = {r.Invoice_ID: r.output for r in score_invoices(df, LinearScorer()).collect()}
     assert out == {"a": 1, "b": 1}
 
 
-def test_http_scorer_tls_needs_ca_file():
-    import pytest
-    with pytest.raises(ValueError):
-        HttpScorer("https://model:8443/v1/models/m:predict")
+@pytest.mark.parametrize("url", ["", "model:8443/v1"])
+def test_http_scorer_needs_a_url(url):
     with pytest.raises(ValueError):
-        HttpScorer("")
+        HttpScorer(url)

@@ -1,77 +1,194 @@
-"""Stream job: fan-out, quarantine, idempotent retries, stream == batch."""
+"""Stream job: fan-out, quarantine, replays, retries, forwarding, dated tables."""
 
+import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from payguard.config import RunSettings
 from payguard.operators.decode import decode_invoice, split_errors
+from payguard.operators.score import EmptyScorer, LinearScorer
 from payguard.plans.risk_job import late_invoice_risk
 from payguard.schemas import INVOICE_SCHEMA, RAW_SCHEMA
 from payguard.session import scratch_dir
-from payguard.streaming.fanout import Sinks, process_batch, read_sink, start_fanout
-from payguard.streaming.topic import high_water, read_topic, stream_topic, write_topic
+from payguard.sources.records import as_records, next_offsets, read_records, stream_records
+from payguard.streaming import tables
+from payguard.streaming.fanout import (PublishOnce, RiskEventTable, Sinks, active_run, process_batch, read_anomaly,
+                                       read_quarantine, read_raw, start_fanout)
 
 
-def _payloads():
-    rows = [
-        {"Invoice_ID": "", "Invoice_Amount": "0", "Pay_Type": "", "Pay_Delay": "0"},
-        {"Invoice_ID": "", "Invoice_Amount": "0", "Pay_Type": "", "Pay_Delay": "0"},
-        {"Invoice_ID": "I3", "Invoice_Amount": "1625", "Pay_Type": "Late", "Pay_Delay": "18"},
-        {"Invoice_ID": "I4", "Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "120"},
-    ]
-    return [(f"k{i}", json.dumps(r)) for i, r in enumerate(rows)] + [("k9", "{bad")]
+def late(i, amount="9000", delay="120"):
+    return json.dumps({"Invoice_ID": i, "Invoice_Amount": amount, "Pay_Type": "Late", "Pay_Delay": delay})
 
 
-def _topic(spark, name):
-    path = f"{scratch_dir(spark, name)}/raw_topic"
-    df = spark.createDataFrame(_payloads(), "key STRING, value STRING")
-    write_topic(df, path, "raw", 0, partitions=2)
-    return path
+def records(spark, values, first=0, day="2024-01-01"):
+    rows = [(f"k{first + i}", v, first + i) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "key STRING, value STRING, at BIGINT")
+    return as_records(df, "raw", F.col("at") % 2, F.col("at"), F.lit(day).cast("timestamp"))
+
+
+PAYLOADS = [late("", "0", "0").replace("Late", ""), late("", "0", "0").replace("Late", ""), late("I3", "1625", "18"), late("I4"), "{bad"]
+
+
+class Job:
+    """A topic folder, the job's tables and its risk events."""
+
+    def __init__(self, spark, name, values=PAYLOADS):
+        self.spark, root = spark, scratch_dir(spark, name)
+        self.topic, self.sinks, self.events = f"{root}/topic", Sinks(f"{root}/tables"), RiskEventTable(f"{root}/events")
+        self.sent = 0
+        for v in values:
+            self.publish(v)
+
+    def publish(self, value, day="2024-01-01"):
+        """One record, in a file of its own."""
+        records(self.spark, [value], self.sent, day).coalesce(1).write.mode("append").parquet(self.topic)
+        self.sent += 1
+
+    def drain(self, files=None, **options):
+        start_fanout(stream_records(self.spark, self.topic, files), self.sinks, options.pop("risk_sink", self.events), **options).awaitTermination()
+
+    def stored(self):
+        raw = sorted(str(r.Invoice_ID) for r in read_raw(self.spark, self.sinks).collect())
+        risk = sorted((r.Invoice_ID, r.Risk) for r in read_anomaly(self.spark, self.sinks).collect())
+        events = sorted(json.loads(bytes(r.value))["id"] for r in self.events.read(self.spark).collect())
+        aside = sorted((r.offset, r.reason, r.payload) for r in read_quarantine(self.spark, self.sinks).collect())
+        return raw, risk, events, aside
+
+
+ALL = (["", "", "I3", "I4"], [("I3", "Low"), ("I4", "High")], ["I3", "I4"], [(4, "malformed json", "{bad")])
 
 
 def test_fanout_sinks(spark):
-    topic = _topic(spark, "t_fanout")
-    sinks = Sinks(scratch_dir(spark, "t_fanout_out"))
-    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()
-    assert read_sink(spark, sinks.raw, RAW_SCHEMA).count() == 4
-    anomalies = {r.Invoice_ID: r.Risk for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
-    assert anomalies == {"I3": "Low", "I4": "High"}
-    q = spark.read.parquet(sinks.quarantine).collect()
-    assert [r._error for r in q] == ["malformed json"]
-    assert read_topic(spark, sinks.risk_topic).count() == 2
-
-
-def test_retried_batch_does_not_duplicate(spark):
-    topic = _topic(spark, "t_retry")
-    sinks = Sinks(scratch_dir(spark, "t_retry_out"))
-    batch = read_topic(spark, topic)
-    for _ in range(2):  # the same batch id twice, as after a failure
-        process_batch(batch, 0, sinks, RunSettings(), topic_partitions=2)
-    assert read_sink(spark, sinks.raw, RAW_SCHEMA).count() == 4
-    assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 2
-    t = read_topic(spark, sinks.risk_topic)
-    assert t.count() == 2 and t.select("partition", "offset").distinct().count() == 2
-
-
-def test_backlog_read_in_bounded_batches(spark):
-    """One file per micro-batch: several batches, the same sinks as one batch,
-    and dense, unique risk-topic offsets across the batches."""
-    topic = _topic(spark, "t_bounded")
-    files = spark.read.parquet(topic).inputFiles()
-    assert len(files) > 1
-    sinks = Sinks(scratch_dir(spark, "t_bounded_out"))
-    start_fanout(stream_topic(spark, topic, max_files_per_trigger=1), sinks,
-                 topic_partitions=2).awaitTermination()
-    raw, bad = spark.read.parquet(sinks.raw), spark.read.parquet(sinks.quarantine)
-    batches = raw.select("batch_id").union(bad.select("batch_id")).distinct().count()
-    assert batches == len(files)  # one file per batch; a batch may hold only a bad event
-    assert raw.count() == 4
-    anomalies = {r.Invoice_ID: r.Risk for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
-    assert anomalies == {"I3": "Low", "I4": "High"}
-    assert [r._error for r in spark.read.parquet(sinks.quarantine).collect()] == ["malformed json"]
-    t = read_topic(spark, sinks.risk_topic)
-    assert t.count() == 2 and t.select("partition", "offset").distinct().count() == 2
+    job = Job(spark, "t_fanout")
+    job.drain()
+    assert job.stored() == ALL
+
+
+def test_bounded_batches_store_the_same(spark):
+    job = Job(spark, "t_bounded")
+    job.drain(files=1)
+    assert job.stored() == ALL
+    assert read_raw(spark, job.sinks).count() == 4 and tables.read_index(spark, job.sinks.raw, RAW_SCHEMA).select("batch_id").distinct().count() == 4
+
+
+def test_restart_processes_only_new_records(spark):
+    job = Job(spark, "t_restart")
+    job.drain()
+    job.drain()  # nothing new
+    job.publish(late("I5"))
+    job.drain()
+    assert job.stored()[2] == ["I3", "I4", "I5"]
+
+
+def test_replay_then_plain_start_loses_and_doubles_nothing(spark):
+    """Batches of the replay are cut elsewhere than those before it."""
+    job = Job(spark, "t_replay", [late("a"), late("b")])
+    job.drain()
+    job.publish(late("c"))
+    job.drain(files=1, replay=True)
+    assert job.stored()[0] == ["a", "b", "c"]
+    job.drain()
+    job.publish(late("d"))
+    job.drain()
+    raw, risk, events, aside = job.stored()
+    assert raw == events == [i for i, _ in risk] == ["a", "b", "c", "d"] and aside == []
+
+
+def test_replay_empties_every_sink(spark):
+    job = Job(spark, "t_clear", ["{bad", late("a"), "{bad", late("b"), "{bad", late("c")])
+    job.drain(files=1)
+    job.drain(replay=True)
+    raw, risk, events, aside = job.stored()
+    assert raw == events == ["a", "b", "c"] and len(aside) == 3
+
+
+def test_interrupted_replay_is_cleaned_by_the_next_start(spark):
+    job = Job(spark, "t_cut")
+    job.drain()
+    active_run(spark, job.sinks, replay=True)  # the pointer moved, then the job was lost
+    job.drain()
+    assert job.stored() == ALL
+
+
+def test_retried_batch_replaces_its_first_attempt(spark):
+    job = Job(spark, "t_retry")
+    batch = read_records(spark, job.topic)
+    for _ in range(2):
+        process_batch(batch, 0, job.sinks, RunSettings(), job.events)
+    assert job.stored() == ALL
+    process_batch(batch, 0, job.sinks, RunSettings(), job.events, scorer=LinearScorer())
+    process_batch(batch, 0, job.sinks, RunSettings(), job.events, scorer=EmptyScorer())
+    raw, risk, events, aside = job.stored()
+    assert len(raw) == 4 and risk == [] and events == []
+    assert [(o, r) for o, r, _ in aside] == [(2, "empty predictions"), (3, "empty predictions"), (4, "malformed json")]
+    process_batch(batch.limit(0), 0, job.sinks, RunSettings(), job.events)
+    assert job.stored() == ([], [], [], [])
+
+
+def test_publish_once(spark):
+    job = Job(spark, "t_once")
+    calls = []
+    sink = PublishOnce(lambda events, n: calls.append((n, events.count())), f"{job.sinks.root}/_published")
+    batch = read_records(spark, job.topic)
+    for n in (0, 0, 1, 1, 0):
+        process_batch(batch, n, job.sinks, RunSettings(), sink)
+    assert calls == [(0, 2), (1, 2)]
+    assert len(tables.folders(spark, f"{sink.markers}/*")) == 1
+    calls.clear()
+    job.drain(risk_sink=sink)
+    job.drain(risk_sink=sink)  # nothing new
+    job.drain(risk_sink=sink, replay=True)
+    assert sum(n for _, n in calls) == 4  # two events, sent once in each run
+
+
+def test_quarantine_keeps_what_is_needed_to_send_again(spark):
+    rows = [late("x"), late("x").replace('"Invoice_ID": "x", ', ""), late(""), "{bad", '{"Pay_Delay":"17.0"}']
+    job = Job(spark, "t_aside", rows)
+    job.drain()
+    assert [r for r, _ in job.stored()[1]] == ["", "x"]
+    got = [(r.topic, r.partition, r.offset, r.reason, r.payload) for r in read_quarantine(spark, job.sinks).orderBy("offset").collect()]
+    assert got == [("raw", 1, 1, "null event id", rows[1]), ("raw", 1, 3, "malformed json", "{bad"), ("raw", 0, 4, "bad int Pay_Delay", rows[4])]
+
+
+def test_model_path_runs_in_a_stream(spark):
+    job = Job(spark, "t_model")
+    job.drain(scorer=LinearScorer())
+    # delay 18 -> 13.6 -> 14 Low; delay 120 -> 90.1 -> 91 Medium (the amount is not used)
+    got = {r.Invoice_ID: (r.Risk, r.Model_Name) for r in read_anomaly(spark, job.sinks).collect()}
+    assert got == {"I3": ("Low", "anomaly-classifier-predictor"), "I4": ("Medium", "anomaly-classifier-predictor")}
+
+
+def test_days_are_pruned_compacted_and_dropped(spark):
+    job = Job(spark, "t_days", [])
+    for day in range(1, 6):
+        for i in range(2):
+            job.publish(late(f"{day}{i}"), f"2024-01-0{day}")
+    job.drain(files=1)
+    everything = job.stored()
+    rows = tables.read_index(spark, job.sinks.raw, RAW_SCHEMA)
+    plan = rows.where(F.col("day") == F.lit("2024-01-02").cast("date"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and rows.where(F.col("day") == F.lit("2024-01-02").cast("date")).count() == 2
+    run = active_run(spark, job.sinks)
+    tables.compact_day(spark, job.sinks.raw, RAW_SCHEMA, dt.date(2024, 1, 1), run)
+    assert len(tables.folders(spark, f"{job.sinks.raw}/day=2024-01-01/run={run}/batch_id=*")) == 1
+    assert job.stored() == everything
+    gone = tables.drop_old_days(spark, job.sinks.raw, keep_days=2)
+    assert gone == [dt.date(2024, 1, 1), dt.date(2024, 1, 2)]
+    assert job.stored()[0] == [f"{d}{i}" for d in (3, 4, 5) for i in (0, 1)]
+
+
+def test_cut_short_compaction_is_finished(spark):
+    job = Job(spark, "t_compact", [late("a"), late("b")])
+    job.drain(files=1)
+    run, day = active_run(spark, job.sinks), dt.date(2024, 1, 1)
+    here = f"{job.sinks.raw}/day={day}"
+    tables.read_index(spark, job.sinks.raw, RAW_SCHEMA).drop(*tables.PARTS.names).write.parquet(f"{here}/{tables.STAGED}")
+    assert len(job.stored()[0]) == 2  # staged rows are not read
+    tables.drop(spark, f"{here}/run=*/batch_id=0")  # lost in the middle of the swap
+    tables.compact_day(spark, job.sinks.raw, RAW_SCHEMA, day, run)
+    assert job.stored()[0] == ["a", "b"]
 
 
 def test_kafka_source_caps_records_per_batch():
@@ -83,40 +200,11 @@ def test_kafka_source_caps_records_per_batch():
     assert raw_stream_options(RunSettings(), KafkaSecurity(), 500)["maxOffsetsPerTrigger"] == "500"
 
 
-def test_restart_processes_only_new_records(spark):
-    topic = _topic(spark, "t_restart")
-    sinks = Sinks(scratch_dir(spark, "t_restart_out"))
-    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()
-    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()  # nothing new
-    more = spark.createDataFrame([("k10", json.dumps({"Invoice_ID": "I5", "Invoice_Amount": "7000",
-                                                      "Pay_Type": "Late", "Pay_Delay": "30"}))],
-                                 "key STRING, value STRING")
-    write_topic(more, topic, "raw", 1, partitions=2)
-    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()
-    got = sorted(r.Invoice_ID for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect())
-    assert got == ["I3", "I4", "I5"]
-
-
-def test_topic_offsets_dense_and_continuing(spark):
-    path = f"{scratch_dir(spark, 't_offsets')}/topic"
-    df = spark.range(100).select(F.col("id").cast("string").alias("key"), F.col("id").cast("string").alias("value"))
-    write_topic(df, path, "t", 0, partitions=3)
-    write_topic(df, path, "t", 1, partitions=3)
-    t = read_topic(spark, path)
-    per = {r.partition: (r.n, r.lo, r.hi, r.d) for r in t.groupBy("partition").agg(
-        F.count("*").alias("n"), F.min("offset").alias("lo"), F.max("offset").alias("hi"),
-        F.countDistinct("offset").alias("d")).collect()}
-    assert sum(v[0] for v in per.values()) == 200
-    assert all(lo == 0 and hi == n - 1 and d == n for n, lo, hi, d in per.values())
-    hw = {r.partition: r.next_offset for r in high_water(spark, path).collect()}
-    assert hw == {p: v[0] for p, v in per.items()}
-
-
 def test_stream_equals_batch(spark):
-    topic = _topic(spark, "t_eq")
-    batch = late_invoice_risk(split_errors(decode_invoice(read_topic(spark, topic)))[0])
+    job = Job(spark, "t_eq")
+    batch = late_invoice_risk(split_errors(decode_invoice(read_records(spark, job.topic)))[0])
     out = scratch_dir(spark, "t_eq_out")
-    good = split_errors(decode_invoice(stream_topic(spark, topic)))[0]
+    good = split_errors(decode_invoice(stream_records(spark, job.topic)))[0]
     q = (late_invoice_risk(good).writeStream.format("parquet").option("path", f"{out}/d")
          .option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -124,130 +212,35 @@ def test_stream_equals_batch(spark):
 
 
 def test_forward_stream_delivers_only_new(spark):
-    from payguard.streaming.forward import forward_stream, subscribe
-    root = scratch_dir(spark, "t_fwd")
-    topic = f"{root}/risk"
-    first = spark.createDataFrame([("a", "old1"), ("b", "old2")], "key STRING, value STRING")
-    write_topic(first, topic, "risk", 0, partitions=2)
-    marks = subscribe(spark, topic, f"{root}/sub")
-    write_topic(spark.createDataFrame([("c", "new1")], "key STRING, value STRING"), topic, "risk", 1, partitions=2)
-    out = f"{root}/delivered"
+    from payguard.streaming.forward import forward_stream
+    job = Job(spark, "t_fwd", ["old0", "old1", "old2"])
+    out = scratch_dir(spark, "t_fwd_out")
+    next_offsets(read_records(spark, job.topic)).write.parquet(f"{out}/marks")
+    job.publish("new3")
 
     def deliver(df, batch_id):
-        df.write.mode("append").parquet(out)
+        df.write.mode("append").parquet(f"{out}/got")
 
-    forward_stream(spark, topic, marks, deliver, f"{root}/ck").awaitTermination()
-    got = spark.read.parquet(out).collect()
-    assert [r.data for r in got] == ["new1"]
-    r = got[0]
-    assert r.ce_id == f"partition:{r.partition}/offset:{r.offset}" and r.ce_type == "dev.knative.kafka.event"
-    assert r.ce_subject == f"partition:{r.partition}#{r.offset}" and r.ce_source.endswith("#risk")
+    forward_stream(stream_records(spark, job.topic), deliver, f"{out}/ck", spark.read.parquet(f"{out}/marks")).awaitTermination()
+    (r,) = spark.read.parquet(f"{out}/got").collect()
+    assert (r.data, r.ce_id, r.ce_subject) == ("new3", "partition:1/offset:3", "partition:1#3")
+    assert r.ce_type == "dev.knative.kafka.event" and r.ce_source == "/apis/v1/sources/subscriber#raw"
 
 
 def test_init_tables_idempotent(spark, tmp_path):
     from payguard.operators.readback import init_tables
-    tables = {"pg_raw_t": RAW_SCHEMA, "pg_risk_t": INVOICE_SCHEMA}
-    assert init_tables(spark, tables, str(tmp_path)) == list(tables)
+    names = {"pg_raw_t": RAW_SCHEMA, "pg_risk_t": INVOICE_SCHEMA}
+    assert init_tables(spark, names, str(tmp_path)) == list(names)
     spark.sql("INSERT INTO pg_risk_t VALUES ('I', 1.0, '', 'Late', 1, 'Low', NULL)")
-    init_tables(spark, tables, str(tmp_path))  # already there: no error, data kept
+    assert init_tables(spark, names, str(tmp_path)) == []  # already there: no error, data kept
     assert spark.table("pg_risk_t").count() == 1
     types = {f.name: f.dataType.simpleString() for f in spark.table("pg_raw_t").schema.fields}
     assert types["Invoice_Amount"] == "float" and types["Pay_Delay"] == "int" and types["Plant"] == "string"
 
 
-def test_repeat_forever_cycles_the_sample(spark):
-    from payguard.operators.replay import repeat_forever
-    sample = spark.createDataFrame([(i,) for i in range(3)], "event_id INT")
-    name = "pg_forever"
-    q = repeat_forever(sample, ["event_id"], rows_per_second=50).writeStream.format("memory") \
-        .queryName(name).start()
-    try:
-        import time
-        deadline = time.time() + 60
-        while time.time() < deadline and spark.table(name).count() < 9:
-            time.sleep(0.5)
-    finally:
-        q.stop()
-    rows = spark.table(name).collect()
-    assert len(rows) >= 9
-    assert all(r.event_id == r._i for r in rows) and max(r.rep for r in rows) >= 2
-
-
 def test_strict_mode_fails_even_when_only_filter_columns_are_read(spark):
     import pytest
     from pyspark.errors import PySparkException
     bad = spark.createDataFrame([('{"Invoice_Amount":"abc","Pay_Type":"On Time"}',)], "value STRING")
     with pytest.raises(PySparkException):
         decode_invoice(bad, mode="strict").where(F.col("Pay_Type") == "Late").count()
-
-
-def test_null_invoice_id_set_aside_blank_kept(spark):
-    rows = [(0, 0, json.dumps({"Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"})),
-            (0, 1, json.dumps({"Invoice_ID": "", "Invoice_Amount": "9000", "Pay_Type": "Late", "Pay_Delay": "5"}))]
-    batch = spark.createDataFrame(rows, "partition INT, offset BIGINT, value STRING")
-    sinks = Sinks(scratch_dir(spark, "t_nullid"))
-    process_batch(batch, 0, sinks, RunSettings())
-    assert [r.Invoice_ID for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()] == [""]
-    assert [r._error for r in spark.read.parquet(sinks.quarantine).collect()] == ["null event id"]
-
-
-def test_replay_starts_over_without_duplicates(spark):
-    topic = _topic(spark, "t_replay")
-    sinks = Sinks(scratch_dir(spark, "t_replay_out"))
-    start_fanout(stream_topic(spark, topic), sinks).awaitTermination()
-    start_fanout(stream_topic(spark, topic), sinks, replay=True).awaitTermination()
-    assert read_sink(spark, sinks.raw, RAW_SCHEMA).count() == 4
-    assert read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).count() == 2
-
-
-def test_model_path_runs_in_a_stream(spark):
-    from payguard.operators.score import LinearScorer
-    topic = _topic(spark, "t_model_stream")
-    sinks = Sinks(scratch_dir(spark, "t_model_stream_out"))
-    start_fanout(stream_topic(spark, topic), sinks, scorer=LinearScorer()).awaitTermination()
-    got = {r.Invoice_ID: (r.Risk, r.Model_Name) for r in read_sink(spark, sinks.anomaly, INVOICE_SCHEMA).collect()}
-    # delay 18 -> 13.6 -> 14 Low; delay 120 -> 90.1 -> 91 Medium (amount is not used)
-    assert got == {"I3": ("Low", "anomaly-classifier-predictor"), "I4": ("Medium", "anomaly-classifier-predictor")}
-
-
-def test_pluggable_risk_writer(spark):
-    topic = _topic(spark, "t_writer")
-    root = scratch_dir(spark, "t_writer_out")
-    seen = f"{root}/published"
-
-    def writer(events, batch_id):
-        events.withColumn("b", F.lit(batch_id)).write.mode("append").parquet(seen)
-
-    start_fanout(stream_topic(spark, topic), Sinks(f"{root}/s"), risk_writer=writer).awaitTermination()
-    ids = sorted(json.loads(bytes(r.value))["id"] for r in spark.read.parquet(seen).collect())
-    assert ids == ["I3", "I4"]
-
-
-def test_external_risk_writer_gets_each_batch_once(spark):
-    """A batch re-run after its publish finished does not publish again."""
-    topic = _topic(spark, "t_once")
-    sinks = Sinks(scratch_dir(spark, "t_once_out"))
-    calls = []
-
-    def writer(events, batch_id):
-        calls.append((batch_id, events.count()))
-
-    batch = read_topic(spark, topic)
-    for _ in range(2):  # the same batch id twice, as after a failure
-        process_batch(batch, 0, sinks, RunSettings(), topic_partitions=2, risk_writer=writer)
-    process_batch(batch, 1, sinks, RunSettings(), topic_partitions=2, risk_writer=writer)
-    assert calls == [(0, 2), (1, 2)]
-
-
-def test_replay_publishes_again_through_external_writer(spark):
-    topic = _topic(spark, "t_once_replay")
-    sinks = Sinks(scratch_dir(spark, "t_once_replay_out"))
-    calls = []
-
-    def writer(events, batch_id):
-        calls.append(events.count())
-
-    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer).awaitTermination()
-    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer).awaitTermination()  # nothing new
-    start_fanout(stream_topic(spark, topic), sinks, risk_writer=writer, replay=True).awaitTermination()
-    assert sum(calls) == 4  # two risk events, sent once per run from the start

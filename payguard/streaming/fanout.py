@@ -196,7 +196,9 @@ def create_index_tables(spark: SparkSession, sinks: Sinks) -> list[str]:
 
 def refresh_index_tables(spark: SparkSession, sinks: Sinks) -> None:
     """Make the catalog's tables see the folders that batches have added or dropped."""
-    for name in (sinks.raw_table, sinks.risk_table, sinks.quarantine_table):
+    for name, path in ((sinks.raw_table, sinks.raw), (sinks.risk_table, sinks.anomaly), (sinks.quarantine_table, sinks.quarantine)):
+        if not path_exists(spark, path):  # nothing is written yet
+            continue
         spark.sql(f"MSCK REPAIR TABLE {tables.catalog_name(name)} SYNC PARTITIONS")
 
 

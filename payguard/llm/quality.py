@@ -16,6 +16,8 @@ there are none); repeated rows repeat.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -27,13 +29,17 @@ LEVEL = 3
 #: Bound of the training sample, in labelled texts of each kind, and of what is read of each.
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 20_000
+#: Training texts that may hold a line of which dictionaries learn.
+SHARED = 2
 THRESHOLD = 0.7
 FOLDS, HELD = 4, 2
 SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 
 
 def blocks(data: bytes) -> list[bytes]:
-    return [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)] or [b""]
+    """Pieces of BLOCK bytes; a rest below half a block goes to the piece before it."""
+    stops = list(range(BLOCK, len(data) - BLOCK // 2, BLOCK)) + [len(data)]
+    return [data[a:b] for a, b in zip([0, *stops], stops)]
 
 
 class Compressors:
@@ -48,49 +54,69 @@ class Compressors:
             self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False))
 
     def features(self, text: str | None) -> list[float]:
-        """Difference and sizes over the whole text, and the worst and mean difference of its blocks."""
+        """Difference and sizes over the whole text, and how its blocks lean and repeat."""
         parts = blocks((text or "").encode())
         good, bad = (np.array([len(t.compress(p)) for p in parts], dtype=float) for t in self.tools)
         size = np.array([max(len(p), 1) for p in parts], dtype=float)
         g, b, n = good.sum(), bad.sum(), size.sum()
         diff = (b - g) / max(g, b)
         dense = np.log((g + 8) / (n + 8))
-        return [1.0, diff, diff * abs(diff), dense, max(0.0, -1.2 - dense), float(np.mean((bad - good) / np.maximum(good, bad) < 0)),
-                float(np.mean(good / size < 0.25)), min(n, 200.0) / 200.0]
+        lean = float((np.tanh(8 * (bad - good) / np.maximum(good, bad)) * size).sum() / n)
+        return [1.0, diff, diff * abs(diff), dense, max(0.0, -1.2 - dense), lean, float((size * (good / size < 0.25)).sum() / n),
+                min(n, 200.0) / 200.0]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> tuple:
-    """Weights, means and deviations of a ridge logistic regression (Newton steps)."""
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 100) -> tuple:
+    """Weights, means and deviations of a ridge logistic regression: Newton steps,
+    halved until the loss falls, so separable classes don't send it astray. The
+    first column is the constant, which is not shrunk."""
     mean, dev = x.mean(0), x.std(0)
     mean[0], dev[0] = 0.0, 1.0
     dev[dev < 1e-9] = 1.0
     z, w = (x - mean) / dev, np.zeros(x.shape[1])
+    shrink = np.full(x.shape[1], ridge)
+    shrink[0] = 1e-6
+
+    def loss(w):
+        m = z @ w
+        return (weight * (np.logaddexp(0, m) - y * m)).sum() + 0.5 * (shrink * w * w).sum()
+
+    now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge * w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w)) + 1e-9 * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= step
-        if np.abs(step).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -500, 500)))
+        grad = z.T @ (weight * (p - y)) + shrink * w
+        hess = (z * (weight * p * (1 - p))[:, None]).T @ z + np.diag(shrink)
+        step, size = np.linalg.solve(hess, grad), 1.0
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        new = loss(w - size * step)
+        if not now - new > 1e-9 * max(1.0, abs(now)):
             break
+        w, now = w - size * step, new
     return w, mean, dev
 
 
-def train_dictionary(texts: list[str]) -> bytes:
+def train_dictionary(texts: list[str], shared: set) -> bytes:
+    """A dictionary of the texts without the ``shared`` lines."""
     import zstandard
-    samples = [p for t in texts for p in blocks((t or "").encode()) if len(p) >= 16]
+    own = ("\n".join(x for x in (t or "").split("\n") if x not in shared) for t in texts)
+    samples = [p for t in own for p in blocks(t.encode()) if len(p) >= 16]
     try:
         return zstandard.train_dictionary(DICT_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples for a trained dictionary: they are the dictionary themselves
         return b"\n".join(samples)[:DICT_BYTES]
 
 
-def fit(labelled: list[tuple[str, int]]) -> dict:
+def fit(labelled: list[tuple[str, int]], share: float | None = None) -> dict:
     """The model from (text, label) rows: half trains the dictionaries, the other
-    half calibrates, then the roles change; the scoring dictionaries use both."""
+    half calibrates, then the roles change; the scoring dictionaries use both.
+    ``share`` is the share of label 1 before sampling, to which the score is calibrated."""
     y = np.array([v for _, v in labelled], dtype=float)
     if len(set(y.tolist())) < 2 or min(y.sum(), (1 - y).sum()) < 4:
         return {"share": float(y.mean()) if len(y) else 0.5}
+    # Lines of several texts (notices, boilerplate, copies) say nothing about quality, but would fill a dictionary.
+    held = Counter(line for t, _ in labelled for line in set((t or "").split("\n")))
+    shared = {line for line, n in held.items() if n > SHARED}
     rows, target = [], []
     half = np.zeros(len(y), dtype=int)
     for v in (0, 1):
@@ -98,18 +124,23 @@ def fit(labelled: list[tuple[str, int]]) -> dict:
         half[at[1::2]] = 1
     for h in (0, 1):
         seen = [labelled[i] for i in np.flatnonzero(half == h)]
-        c = Compressors(*(train_dictionary([t for t, v in seen if v == k]) for k in (1, 0)))
+        c = Compressors(*(train_dictionary([t for t, v in seen if v == k], shared) for k in (1, 0)))
         for i in np.flatnonzero(half != h):
             rows.append(c.features(labelled[i][0]))
             target.append(y[i])
-    w, mean, dev = logistic(np.array(rows), np.array(target))
-    return {"good": train_dictionary([t for t, v in labelled if v == 1]), "bad": train_dictionary([t for t, v in labelled if v == 0]),
+    target, share = np.array(target), float(y.mean()) if share is None else share
+    weight = np.where(target > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
+    w, mean, dev = logistic(np.array(rows), target, weight)
+    return {"good": train_dictionary([t for t, v in labelled if v == 1], shared),
+            "bad": train_dictionary([t for t, v in labelled if v == 0], shared),
             "w": w, "mean": mean, "dev": dev}
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int, chars: int) -> list[tuple[str, int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, held: int, per_class: int,
+                  chars: int) -> tuple[list[tuple[str, int]], float | None]:
     """A bounded sample of labelled training texts: per class the ``per_class``
-    with the smallest hash, at most ``chars`` characters of each."""
+    with the smallest hash, at most ``chars`` characters of each. And the share of
+    label 1 among all training rows."""
     seen = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(
         F.col("y").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod_col("doc_id", folds) != held))
     out = []
@@ -118,7 +149,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, he
         got = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "y").agg(
             F.min(F.substring(F.coalesce(F.col("text"), F.lit("")), 1, chars)).alias("text"))
         out += [(r["text"], r["y"]) for r in sorted(got.collect(), key=lambda r: r["doc_id"])]
-    return out
+    return out, seen.agg(F.avg("y")).first()[0]
 
 
 def score(df: DataFrame, model: dict, keep: list[str], text: str = "text") -> DataFrame:
@@ -140,7 +171,7 @@ def score(df: DataFrame, model: dict, keep: list[str], text: str = "text") -> Da
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
-    return fit(training_rows(docs, labels, "quality", FOLDS, HELD, TRAIN_DOCS, TRAIN_CHARS))
+    return fit(*training_rows(docs, labels, "quality", FOLDS, HELD, TRAIN_DOCS, TRAIN_CHARS))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from payguard.llm.common import crc_mod_col, map_text
-from payguard.llm.quality import training_rows
+from payguard.llm.quality import logistic, training_rows
 
 DECAY, SPAN, FLOOR = 0.6, 5, 0.5
 LANDMARKS, CANDIDATES, ALIKE = 96, 400, 0.75
@@ -239,17 +239,9 @@ def fit(labelled: list[tuple[str, int]]) -> dict:
         w, b = svm(np.array(pool[0.0] + pool[1.0]), np.repeat([0.0, 1.0], [len(pool[0.0]), len(pool[1.0])]))
         pick = [d[np.argmax(d @ w)] for d in docs]
     worst = np.array([(d @ w).max() + b for d in docs])
-    prior = np.where(y > 0, 1 / y.sum(), CLEAN / (1 - y).sum())
-    slope, shift = 1.0, 0.0
-    for _ in range(100):  # logistic calibration by Newton steps
-        p = 1 / (1 + np.exp(-np.clip(slope * worst + shift, -30, 30)))
-        g = np.array([(prior * (p - y) * worst).sum() + 1e-3 * slope, (prior * (p - y)).sum()])
-        q = prior * p * (1 - p)
-        h = np.array([[(q * worst * worst).sum() + 1e-3, (q * worst).sum()], [(q * worst).sum(), q.sum() + 1e-9]])
-        step = np.linalg.solve(h, g)
-        slope, shift = slope - step[0], shift - step[1]
-        if np.abs(step).max() < 1e-9:
-            break
+    prior = np.where(y > 0, 1 / y.sum(), CLEAN / (1 - y).sum()) * len(y) / (1 + CLEAN)
+    (shift, slope), (_, mean), (_, dev) = logistic(np.column_stack([np.ones(len(worst)), worst]), y, prior)
+    slope, shift = slope / dev, shift - slope * mean / dev
     return {"marks": marks, "u": root @ w, "b": b, "slope": slope, "shift": shift}
 
 
@@ -273,7 +265,7 @@ def score(df: DataFrame, model: dict, keep: list[str], text: str = "text") -> Da
 
 
 def train(docs: DataFrame, labels: DataFrame) -> dict:
-    return fit(training_rows(docs, labels, "toxic", FOLDS, HELD, TRAIN_DOCS, TRAIN_CHARS))
+    return fit(training_rows(docs, labels, "toxic", FOLDS, HELD, TRAIN_DOCS, TRAIN_CHARS)[0])
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

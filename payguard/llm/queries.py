@@ -64,4 +64,4 @@ QUERIES = {q.__name__: q for q in (
     op1_secret_scan, op2_html_text, op3_license_scan, op4_simhash_near_dedup, op5_poisson_mix, op6_toxicity, op7_ann,
     op8_language_id, op9_quality, op10_decontamination)}
 #: Which results DuckDB can state; the others are tested against brute force in tests/llm.
-ORACLE = {"op5_poisson_mix": mixing.SQL}
+ORACLE = {"op1_secret_scan": secrets.SQL, "op5_poisson_mix": mixing.SQL}

@@ -26,8 +26,8 @@ PATTERNS = {
 }
 MIN_CHARS = {"assign": 6, "access": 20, "hex": 24}
 #: The method's own kind: long runs that mix letters and digits. The look-behind
-#: makes one attempt per run.
-TOKEN = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}"
+#: makes one attempt per run, the look-ahead passes over runs without a digit.
+TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}"
 KINDS = [*PATTERNS, "token"]
 SPAN = "struct<start:bigint,ord:int,end:bigint,kind:string,value:string>"
 #: What a matching text must hold, as cheap tests before the spans are located.
@@ -173,3 +173,37 @@ def redact(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
         out[names[chars]] = F.when(F.size("spans") > 0, F.char_length("_new")).otherwise(held).cast(plain.schema[names[chars]].dataType)
     found = found.select(*[out.get(n, F.col(n)).alias(n) for n in plain.columns])
     return plain.filter(~test).unionByName(found).toDF(*cols)
+
+
+def _kind_sql(kind: str) -> str:
+    """Places of one kind: (rid, owner, repo, kind, ord, i, hits, gaps)."""
+    pattern = PATTERNS.get(kind, "[A-Za-z0-9_-]{20,}").replace("'", "''")
+    return (f"SELECT rid, owner, repo, '{kind}' AS kind, {KINDS.index(kind)} AS ord, regexp_extract_all(t, '{pattern}') AS hits, "
+            f"string_split_regex(t, '{pattern}') AS gaps FROM d")
+
+
+#: DuckDB text of :func:`scan` with the default parameters, over ``documents``.
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+    coalesce(doc_id::VARCHAR, '') AS repo FROM documents),
+m AS ({' UNION ALL '.join(_kind_sql(k) for k in KINDS)}),
+p AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m),
+q AS (SELECT rid, owner, repo, kind, ord, hits[i] AS h,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS a FROM p),
+v AS (SELECT rid, owner, repo, kind, ord, a::BIGINT AS a, (a + length(h))::BIGINT AS e,
+    CASE kind WHEN 'assign' THEN regexp_extract(h, '{PATTERNS['assign'].replace("'", "''")}', 2) ELSE h END AS value FROM q),
+b AS (SELECT * FROM v WHERE {' OR '.join(f"kind = '{k}' AND length(value) >= {n}" for k, n in MIN_CHARS.items())}),
+w AS (SELECT * FROM v WHERE kind = 'token' AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+    AND len(list_distinct(string_split(value, ''))) >= 10
+    AND NOT EXISTS (SELECT 1 FROM b WHERE b.rid = v.rid AND b.a < v.e AND v.a < b.e)),
+c AS (SELECT * FROM b UNION ALL SELECT * FROM w),
+f AS (SELECT value, count(DISTINCT owner) AS owners FROM c GROUP BY value),
+j AS (SELECT c.*, owners <= 2 AS live, kind || ':' || a || ':' || e AS span FROM c JOIN f USING (value)),
+r AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex, string_agg(span, ',' ORDER BY a, ord) FILTER (kind <> 'token') AS base,
+    string_agg(span, ',' ORDER BY a, ord) FILTER (kind <> 'token' OR live) AS spans,
+    count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live AND kind <> 'token') AS n_example FROM j GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN r USING (rid)
+"""

@@ -304,11 +304,12 @@ def deduplicated(df: DataFrame, doc_id: str = "doc_id", text: str = "text", shin
     chosen = materialise(named.filter(F.col(at) == F.col("component_id")).groupBy(F.col(at).alias("_id")).agg(
         F.count(F.lit(1)).alias("_rows")), "simhash-kept")
     once = chosen.filter("_rows = 1").select("_id")
-    kept = plain.join(once, plain[at] == once["_id"], "left_semi")
+    # The ids grow with the input: a sort-merge join at every size, never a broadcast.
+    kept = plain.join(once.hint("merge"), plain[at] == once["_id"], "left_semi")
     smallest = F.min(F.struct(*plain.columns)).alias("_row")
     more = chosen.filter("_rows > 1").select("_id")
     if not more.isEmpty():
-        some = plain.join(more, plain[at] == more["_id"], "left_semi")
+        some = plain.join(more.hint("merge"), plain[at] == more["_id"], "left_semi")
         kept = kept.unionByName(some.groupBy(at).agg(smallest).select("_row.*"))
     orphans = named.filter(F.col("component_id").isNull()).select("fp", "comp").distinct()
     if not orphans.isEmpty():

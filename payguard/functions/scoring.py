@@ -77,17 +77,27 @@ def round_up_text(s: Column) -> Column:
     The decimal point is moved through the digits. Of the whole part the last
     32 digits are enough for the low 32 bits, as 10**32 is a multiple of 2**32.
     """
+    def bind(value: Column, f) -> Column:  # names an intermediate value, so it is worked out once
+        return F.element_at(F.transform(F.array(value), f), 1)
+
+    def moved(x):
+        digits, point = x["digits"], x["point"]
+        more = F.least(point - F.length(digits), F.lit(32))
+        whole = F.when(point <= 0, F.lit("0")).when(more >= 0, F.concat(F.right(digits, F.lit(32)), F.repeat(F.lit("0"), more))) \
+            .otherwise(F.substring(digits, F.lit(1), point))
+        rest = F.when(point <= 0, digits).when(more >= 0, F.lit("")).otherwise(F.substring(digits, point + 1, F.length(digits)))
+        return F.struct(whole.alias("whole"), rest.alias("rest"), x["sign"].alias("sign"))
+
+    def low(x):
+        size = F.right(x["whole"], F.lit(32)).cast("decimal(38,0)") + F.when(x["rest"].rlike("[1-9]"), 1).otherwise(0)
+        return F.pmod(F.when(x["sign"] == "-", -size).otherwise(size), F.lit(2**32).cast("decimal(38,0)"))
+
     part = lambda n: F.regexp_extract(s, NUMBER_TEXT, n)
-    digits = F.concat(part(2), part(3))
     point = F.length(part(2)) + F.coalesce(F.nullif(part(4), F.lit("")).cast("int"), F.lit(0))
-    more = F.least(point - F.length(digits), F.lit(32))
-    whole = F.when(point <= 0, F.lit("0")).when(more >= 0, F.concat(F.right(digits, F.lit(32)), F.repeat(F.lit("0"), more))) \
-        .otherwise(F.substring(digits, F.lit(1), point))
-    rest = F.when(point <= 0, digits).when(more >= 0, F.lit("")).otherwise(F.substring(digits, point + 1, F.length(digits)))
-    size = F.right(whole, F.lit(32)).cast("decimal(38,0)") + F.when(rest.rlike("[1-9]"), 1).otherwise(0)
-    low = F.pmod(F.when(part(1) == "-", -size).otherwise(size), F.lit(2**32).cast("decimal(38,0)"))
-    out = F.when(low >= F.lit(2**31), low - F.lit(2**32)).otherwise(low).cast("int")
-    return F.when(s.rlike(NUMBER_TEXT) & (F.length(digits) > 0), out)
+    start = F.struct(F.concat(part(2), part(3)).alias("digits"), point.alias("point"), part(1).alias("sign"))
+    wrap = lambda v: F.when(v >= F.lit(2**31), v - F.lit(2**32)).otherwise(v).cast("int")
+    out = bind(bind(bind(start, moved), low), wrap)
+    return F.when(s.rlike(NUMBER_TEXT) & s.rlike("[0-9]"), out)
 
 
 def linear_score(delay: Column, slope: str = "0.75", intercept: str = "0.1") -> Column:

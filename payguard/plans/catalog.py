@@ -287,9 +287,9 @@ def q_predictions_decode(spark, sf_dir):
               .when(form == 4, F.lit("1e+25")).when(form == 5, F.lit("null")).otherwise(score.cast("string")))
     resp = F.when(F.col("Pay_Type") == "", F.lit('{"predictions":[]}')).otherwise(
         F.concat(F.lit('{"predictions":[['), number, F.lit("]]}")))
-    text = decode_predictions(resp)
-    out = round_up_text(text)
-    return inv.select("Invoice_ID", "Pay_Delay", text.cast("double").alias("score"), out.alias("output"),
+    got = inv.withColumn("text", decode_predictions(resp)).withColumn("output", round_up_text(F.col("text")))
+    out = F.col("output")
+    return got.select("Invoice_ID", "Pay_Delay", F.col("text").cast("double").alias("score"), "output",
                       model_risk(out).alias("Risk"), F.when(out.isNull(), F.lit("empty predictions")).alias("_error"))
 
 

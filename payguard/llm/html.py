@@ -9,6 +9,10 @@ the fused value is the article, and the paths in it whose branch of furniture
 (menus, adverts, forms, comments and the like) isn't marked so, or whose ratio
 is not below the threshold of a link list, are its content.
 
+Only elements that are furniture by name (``nav``, ``footer``, hidden ones and
+the like) go before that. Class words never mark ``html``, ``body``, ``main``
+or ``article``, nor an element with most of the page's text and of its articles'.
+
 Defined cases: a null or empty page has the text ''; broken markup is read as
 far as it goes (a tag that never closes ends with the page, a cut character
 reference stays as it is); rows are judged one by one, so repeated rows repeat.
@@ -28,7 +32,9 @@ from payguard.llm.common import map_text
 #: Fixed element lists of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object textarea title xmp noembed noframes".split())
-SKIP = frozenset("nav footer aside form button select option label fieldset dialog menu head figcaption".split())
+SKIP = frozenset("nav footer aside button select option label fieldset dialog menu head figcaption".split())
+#: Never marked by class words.
+FRAME = frozenset("html body main article".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong "
                    "sub sup time tt u var br wbr img".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre div table section article blockquote header footer nav aside main form hr address "
@@ -45,6 +51,9 @@ FURNITURE = frozenset(
     "form related recommended recommendations trending popular pagination pager toolbar skip copyright legal disclaimer tags contentinfo "
     "complementary alert toast paywall teaser outbrain taboola hidden print".split())
 CONTENT = frozenset("article main content post entry story body text".split())
+THREAD = frozenset("comment comments reply replies disqus respond".split())
+#: An element with this share of the text outside links isn't furniture; a comment thread can be longer than its article.
+MOST, NEARLY_ALL = 0.5, 0.9
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
@@ -57,38 +66,53 @@ MARKS = frozenset(",.;:!?…。，、؟।")
 SCHEMA = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
 
-def furniture(tag: str, attrs: str) -> bool:
-    """Whether an element says that it is no part of an article."""
+def hidden(tag: str, attrs: str) -> bool:
+    """Whether an element is no text of the page by its name or is hidden."""
     if tag in SKIP:
         return True
-    for name, *values in ATTR.findall(attrs):
-        value = "".join(values).lower()
-        name = name.lower()
+    for name, *values in ATTR.findall(attrs) if tag not in ("html", "body") else ():
+        value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role"):
+    return False
+
+
+def furniture(tag: str, attrs: str) -> float:
+    """0, or the share of the page's text from which an element that looks like furniture isn't."""
+    if tag in FRAME:
+        return 0.0
+    if tag == "form":
+        return MOST
+    for name, *values in ATTR.findall(attrs):
+        if name.lower() in ("class", "id", "role"):
             words = set(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()))
             if words & FURNITURE and not (words & CONTENT and not words & {"ad", "ads", "comment", "comments", "footer", "sidebar", "nav", "menu"}):
-                return True
-    return False
+                return NEARLY_ALL if words & THREAD else MOST
+    return 0.0
 
 
 def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
-    """Text blocks in page order: (path, text, whether a furniture element holds it,
-    characters in links). A path is a tuple of element numbers' labels."""
-    stack: list[tuple[str, bool, bool]] = []  # tag, whether it is in the path, furniture
+    """Text blocks in page order, without hidden ones: (path, text, whether an element
+    with class words of furniture holds it, characters in links). A path is a tuple of
+    element numbers' labels."""
+    stack: list[tuple[str, bool, bool, int]] = []  # tag, whether it is in the path, hidden, the marked element around it
+    around: list[int] = [-1]  # of each marked element the one around it; 0 is none
+    limit: list[float] = [0.0]
+    now = 0
     trail: list[str] = []
     held: Counter = Counter()
     out: list = []
     buffer: list[str] = []
     linked = 0
     owner: tuple = ()
-    bad = False
+    bad = named_text = False
+    mark = 0
 
     def pop():
-        tag, named, marked = stack.pop()
+        nonlocal now
+        tag, named, gone, now = stack.pop()
         held[tag] -= 1
-        held["!"] -= marked
+        held["!"] -= gone
         if named:
             trail.pop()
         return tag
@@ -97,15 +121,15 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
         nonlocal linked
         if buffer:
             text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip(" ")
-            if text:
-                out.append((owner, text, bad, linked))
+            if text and not bad:
+                out.append((owner, text, mark, linked, named_text))
             buffer.clear()
         linked = 0
 
     def say(text):
-        nonlocal owner, bad, linked
+        nonlocal owner, bad, mark, linked, named_text
         if not buffer:
-            owner, bad = tuple(trail), held["!"] > 0
+            owner, bad, mark, named_text = tuple(trail), held["!"] > 0, now, held["article"] + held["main"] > 0
         buffer.append(text)
         if held["a"] > 0:
             linked += len(text)
@@ -157,14 +181,31 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
         if label and attrs:
             found = [("".join(v)).lower() for name, *v in ATTR.findall(attrs) if name.lower() in ("class", "id")]
             label += "".join(f".{v}" for v in found)
-        marked = furniture(tag, attrs) or tag == "header" and not held["article"] and not held["main"]
-        stack.append((tag, named := bool(label) and len(trail) < DEEPEST, marked))
+        gone = hidden(tag, attrs) or tag == "header" and not held["article"] and not held["main"]
+        stack.append((tag, named := bool(label) and len(trail) < DEEPEST, gone, now))
         held[tag] += 1
-        held["!"] += marked
+        held["!"] += gone
+        if share := furniture(tag, attrs):
+            around.append(now)
+            limit.append(share)
+            now = len(around) - 1
         if named:
             trail.append(label)
     flush()
-    return out
+    # Text outside links in each marked element: all, and what articles hold of it.
+    size, own = [0] * len(around), [0] * len(around)
+    for _, text, m, links, inside in out:
+        n = len(text) - min(links, len(text))
+        size[m] += n
+        own[m] += n * inside
+    for m in range(len(around) - 1, 0, -1):
+        size[around[m]] += size[m]
+        own[around[m]] += own[m]
+    marked = [False] * len(around)
+    for m in range(1, len(around)):
+        wraps = size[m] and size[m] >= limit[m] * size[0] and own[m] >= limit[m] * own[0]
+        marked[m] = marked[around[m]] or not wraps
+    return [(path, text, marked[m], links) for path, text, m, links, _ in out]
 
 
 def smooth(values: list[float]) -> list[float]:

@@ -35,6 +35,21 @@ def test_pages_without_article_element():
     assert html.main_text("plain text only") == "plain text only"
 
 
+LONG = "A sentence of the article, and it is long enough. "
+
+
+def test_class_words_of_frames_and_wrappers_mark_nothing():
+    body = f"<h1>Title</h1><p>{LONG * 5}</p><p>{LONG * 3}</p>"
+    want = f"Title\n{(LONG * 5).strip()}\n{(LONG * 3).strip()}"
+    side = "<div class=sidebar><p>Side text, long enough. Really.</p></div>"
+    for page in (f"<body class='single-post right-sidebar'><div>{body}</div>{side}</body>", f"<body><main class='has-sidebar'>{body}</main>{side}</body>",
+                 f"<body><div id=wrapper class='no-sidebar'>{body}{side}</div></body>", f"<html class=menu-closed><body class='home header-fixed'>{body}{side}",
+                 f"<article class='post comments-open'>{body}</article>{side}", f"<form id=aspnetForm>{body}</form>{side}"):
+        assert html.main_text(page) == want, page
+    thread = "<div class=comments>" + f"<p>{LONG * 5}</p>" * 3 + "</div>"
+    assert html.main_text(f"<body><div>{body}</div>{thread}</body>") == want
+
+
 def test_broken_markup():
     assert html.main_text('<p>see <a href="foo>bar</a> baz</p><p>next &am') == "see bar baz\nnext &am"
     assert html.main_text("<p>a<p>b") == "a\nb"

@@ -3,11 +3,12 @@
 A page's text leaves are grouped by their tag path (element names with their
 classes and ids, root to leaf). Each path has a text ratio (characters per
 leaf) and a punctuation ratio (marks per leaf, and how they vary). The ratios
-are smoothed over the neighbouring leaves in page order, fused to one value,
-and fused again over the branch that the paths share: the branch with most of
-the fused value is the article, and the paths in it whose branch of furniture
-(menus, adverts, forms, comments and the like) isn't marked so, or whose ratio
-is not below the threshold of a link list, are its content.
+are smoothed over the neighbouring leaves in page order and fused to one value,
+which falls with the share of links (smoothed over the neighbouring paths) and
+with class words of furniture (menus, adverts, comments and the like). A path
+also has a part of the value of the branches that hold it, so short lines among
+long ones stand. The paths whose value reaches the threshold are the content;
+where the page names its articles (``article``, else ``main``), only theirs.
 
 Only elements that are furniture by name (``nav``, ``footer``, hidden ones and
 the like) go before that. Class words never mark ``html``, ``body``, ``main``
@@ -32,7 +33,7 @@ from payguard.llm.common import map_text
 #: Fixed element lists of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template svg math iframe object textarea title xmp noembed noframes".split())
-SKIP = frozenset("nav footer aside button select option label fieldset dialog menu head figcaption".split())
+SKIP = frozenset("nav footer aside button select option label fieldset dialog menu head".split())
 #: Never marked by class words.
 FRAME = frozenset("html body main article".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong "
@@ -54,6 +55,12 @@ CONTENT = frozenset("article main content post entry story body text".split())
 THREAD = frozenset("comment comments reply replies disqus respond".split())
 #: An element with this share of the text outside links isn't furniture; a comment thread can be longer than its article.
 MOST, NEARLY_ALL = 0.5, 0.9
+#: A path stays from this share of the page's fused value on.
+THRESHOLD = 0.05
+#: What class words of furniture leave of a path's value, and what a path has of its parents' values, level by level.
+MARKED, PARENT, LEVELS = 0.02, 0.5, 4
+#: The share of link text from which a path is a link list.
+LINKS = 0.7
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
@@ -220,47 +227,60 @@ def smooth(values: list[float]) -> list[float]:
 
 def main_text(page: str | None) -> str:
     """The blocks of the article, one per line."""
-    blocks = leaves(page or "")
-    good = [b for b in blocks if not b[2]]
-    if not good:
-        return ""
-    # Per tag path: text, punctuation, links and leaves.
+    blocks = [((path, marked), text, min(links, len(text))) for path, text, marked, links in leaves(page or "")]
+    # Per tag path (marked leaves apart): text, punctuation, links and leaves.
     paths: dict = defaultdict(lambda: [0, 0, 0, 0])
-    for path, text, _, links in good:
-        s = paths[path]
+    for key, text, links in blocks:
+        s = paths[key]
         s[0] += len(text)
         s[1] += sum(c in MARKS for c in text)
-        s[2] += min(links, len(text))
+        s[2] += links
         s[3] += 1
-    ratio = {p: s[0] / s[3] * (1 - s[2] / s[0]) for p, s in paths.items()}
-    marks = {p: s[1] / s[3] for p, s in paths.items()}
-    text_r = smooth([ratio[p] for p, *_ in good])
-    mark_r = smooth([marks[p] for p, *_ in good])
+    text_r = smooth([paths[k][0] / paths[k][3] for k, *_ in blocks])
+    mark_r = smooth([paths[k][1] / paths[k][3] for k, *_ in blocks])
+    runs = [k for i, (k, *_) in enumerate(blocks) if not i or k != blocks[i - 1][0]]
+    near: dict = defaultdict(list)  # link shares, smoothed over the neighbouring paths
+    for k, v in zip(runs, smooth([paths[k][2] / paths[k][0] for k in runs])):
+        near[k].append(v)
+    free = {k: 1 - sum(v) / len(v) for k, v in near.items()}
     fused: dict = defaultdict(float)
-    for (path, text, *_), t, m in zip(good, text_r, mark_r):
-        fused[path] += math.sqrt(t * (1 + m)) * len(text)
-    total = sum(fused.values())
+    for (k, *_), t, m in zip(blocks, text_r, mark_r):
+        fused[k] += math.sqrt(t * (1 + m)) * (MARKED if k[1] else 1) / paths[k][3]
+    value = {k: v * free[k] for k, v in fused.items()}
+    mass = {k: v * paths[k][0] for k, v in value.items()}
+    total = sum(mass.values())
     if total <= 0:
         return ""
-    # The branch that says it is the article, or the deepest one with most of the fused value.
-    branch: tuple = ()
-    marked = sorted({p[:i + 1] for p in fused for i, lab in enumerate(p) if lab.split(".")[0] in ("article", "main")}, key=len)
-    inside = lambda b: sum(v for p, v in fused.items() if p[:len(b)] == b)
-    articles = [b for b in marked if b[-1].split(".")[0] == "article"] or marked
-    if articles and (best := max(articles, key=lambda b: (inside(b), -len(b)))) and inside(best) >= 0.25 * total:
-        branch = best
-    else:
-        while True:
-            kids: dict = defaultdict(float)
-            for p, v in fused.items():
-                if len(p) > len(branch) + 1 and p[:len(branch)] == branch:
-                    kids[p[:len(branch) + 1]] += v
-            if not kids or kids[best := max(kids, key=kids.get)] < 0.6 * inside(branch):
-                break
-            branch = best
-    # Paths of link lists fall below the threshold.
-    keep = {p for p, s in paths.items() if p[:len(branch)] == branch and not (s[2] >= 0.7 * s[0] and marks[p] < 1)}
-    return "\n".join(text for path, text, _, _ in good if path in keep)
+    threshold = THRESHOLD * sum(v * value[k] for k, v in mass.items()) / total
+    # The value of each branch, and what the page itself says are its articles.
+    branch: dict = defaultdict(lambda: [0.0, 0])
+    for (path, marked), v in mass.items():
+        for i in range(1, len(path) + 1):
+            b = branch[path[:i]]
+            b[0] += v
+            b[1] += paths[path, marked][0]
+    named = [b for b in branch if b[-1].split(".")[0] == "article"] or [b for b in branch if b[-1].split(".")[0] == "main"]
+    most = max((branch[b][0] for b in named), default=0)
+    scope = {b for b in named if branch[b][0] >= most / 2} if most >= 0.25 * total else set()
+
+    def stays(key) -> bool:
+        path, marked = key
+        inside = any(path[:i] in scope for i in range(1, len(path) + 1))
+        if scope and not inside:
+            return False
+        best = value[key]
+        if inside or paths[key][2] < LINKS * paths[key][0]:  # link lists have no value of their parents outside articles
+            for up in range(1, min(LEVELS, len(path) - 1) + 1):
+                b = path[:-up]
+                if b[-1].split(".")[0] in ("html", "body"):
+                    break
+                best = max(best, branch[b][0] / branch[b][1] * PARENT ** up * free[key] * (MARKED if marked else 1))
+                if b in scope:
+                    break
+        return best >= threshold
+
+    keep = {k for k in paths if stays(k)}
+    return "\n".join(text for k, text, _ in blocks if k in keep)
 
 
 def extract(df: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -50,6 +50,19 @@ def test_class_words_of_frames_and_wrappers_mark_nothing():
     assert html.main_text(f"<body><div>{body}</div>{thread}</body>") == want
 
 
+def test_paths_above_the_threshold_stay():
+    para = f"<p>{LONG * 4}</p>"
+    refs = "<ul>" + "".join(f"<li><a href=r{i}>Reference {i}</a></li>" for i in range(8)) + "</ul>"
+    items = "<ul>" + "<li>ab</li>" * 20 + "</ul>"
+    line = (LONG * 4).strip()
+    got = html.main_text(f"<article><h1>T</h1>{para}<h2><a href=x>Linked heading</a></h2>{para}<figure><img src=x><figcaption>The caption</figcaption>"
+                         f"</figure>{para}{items}{para}{refs}</article>").split("\n")
+    assert got == ["T", line, "Linked heading", line, "The caption", line, *["ab"] * 20, line, *[f"Reference {i}" for i in range(8)]]
+    links = "<div><ul>" + "".join(f"<li><a href=m{i}>Menu {i}</a></li>" for i in range(8)) + "</ul></div>"
+    got = html.main_text(f"<body>{links}<div><h1>T</h1><p>The lead.</p><div class=body>{para}{para}</div></div>{links}</body>")
+    assert got == f"T\nThe lead.\n{line}\n{line}"
+
+
 def test_broken_markup():
     assert html.main_text('<p>see <a href="foo>bar</a> baz</p><p>next &am') == "see bar baz\nnext &am"
     assert html.main_text("<p>a<p>b") == "a\nb"

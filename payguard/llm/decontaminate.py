@@ -15,7 +15,10 @@ pivots, so only postings of the rare ones nominate blocks of items. A nominated
 block is opened if the sum of its block maxima over the passage's terms reaches
 the threshold, and its items are kept if their score does. Batches of passages
 go through each step together. Last, the item's shingles are checked against
-the passage: over the whole item, its question and its answer.
+the passage, which confirms an item that has no answer of its own. One that has
+(a column of the items) also needs its question's and its answer's words there.
+The overlaps of question and answer are reported for all, without an answer
+those of the last sentence and of what is before it.
 
 Defined cases: a null or empty text has no matches; items without words match
 nothing, items shorter than a shingle are one shingle; repeated items count
@@ -39,7 +42,7 @@ STRIDE = 64
 BLOCK = 16
 #: Characters of items that are indexed and broadcast at a time; more items take further passes.
 INDEX_CHARS = 16_000_000
-#: A verified item has this share of its question's words in the passage, and of the answer's if it has five words.
+#: An item with an answer has this share of its question's words in the passage, and of the answer's if it has five words.
 QUESTION, ANSWER = 0.8, 0.5
 SENTENCE = re.compile(r"(?<=[.!?。？！])\s+")
 #: Bytes of lower-cased text to themselves, or to a space where no word goes on.
@@ -57,21 +60,26 @@ def shingles(w: list[bytes]) -> set:
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if w else set()
 
 
-def parts(text: str) -> tuple[list[bytes], list[bytes]]:
-    """Question and answer: the last sentence with words is the answer if there is one before it."""
+def parts(text: str | None, answer: str | None = None) -> tuple[list[bytes], list[bytes]]:
+    """Question and answer of an item, which confirm it; without an answer column there is none."""
+    return words(text), words(answer)
+
+
+def sentences(text: str | None) -> tuple[list[bytes], list[bytes]]:
+    """What comes before the last sentence with words, and that sentence; all and nothing if it is the only one."""
     said = [w for s in SENTENCE.split(text or "") if (w := words(s))]
     return ([x for s in said[:-1] for x in s], said[-1]) if len(said) > 1 else (words(text), [])
 
 
 class Index:
-    """Postings of the items of one pass."""
-
-    def __init__(self, items: list[tuple[str, str]]):
-        kept = [(i, t, w) for i, t in items if (w := words(t))]
-        kept.sort(key=lambda x: (x[2], str(x[0])))  # like items (of one language, say) share blocks
-        self.ids = [i for i, _, _ in kept]
-        self.words = [w for _, _, w in kept]
-        self.parts = [parts(t) for _, t, _ in kept]
+    """Postings of the items of one pass: (id, text) or (id, text, answer)."""
+
+    def __init__(self, items: list[tuple]):
+        kept = [(i, t, w, answer) for i, t, *a in items for answer in [a[0] if a else None] if (w := words(t))]
+        kept.sort(key=lambda x: (x[2], str(x[0]), x[3] or ""))  # like items (of one language, say) share blocks
+        self.ids = [i for i, *_ in kept]
+        self.words = [w for _, _, w, _ in kept]
+        self.parts = [(*(parts(t, a) if words(a) else sentences(t)), bool(words(a))) for _, t, _, a in kept]  # and whether the answer is its own
         n, total = len(kept), sum(len(w) for w in self.words)
         df: dict = {}
         for w in self.words:
@@ -171,8 +179,8 @@ class Index:
             return None
         there = set(window)
         share = lambda w: sum(x in there for x in w) / len(w) if w else 1.0
-        q, a = self.parts[i]
-        if share(q) < QUESTION or len(a) >= SHINGLE and share(a) < ANSWER:
+        q, a, own_answer = self.parts[i]
+        if own_answer and (share(q) < QUESTION or len(a) >= SHINGLE and share(a) < ANSWER):
             return None
         return overlap, share(q), share(a)
 
@@ -194,18 +202,20 @@ class Index:
         return [[b[i] for i in sorted(b)] for b in best]
 
 
-def contaminated(df: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def contaminated(df: DataFrame, items: DataFrame, keep: list[str], text: str = "text", item_id: str = "item_id", item_text: str = "text",
+                 item_answer: str | None = None) -> DataFrame:
     """``keep`` and ``hits``, the confirmed items of each text (empty if none)."""
     spark = df.sparkSession
-    bench = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text")).distinct()
-    size = bench.agg(F.sum(F.char_length("text"))).first()[0] or 0
+    bench = items.select(F.col(item_id).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("text"),
+                         (F.col(item_answer).cast("string") if item_answer else F.lit(None).cast("string")).alias("answer")).distinct()
+    size = bench.agg(F.sum(F.char_length("text") + F.coalesce(F.char_length("answer"), F.lit(0)))).first()[0] or 0
     passes = int(size // INDEX_CHARS) + 1
     out, hits = df, []
     names = [f"k_{i}" for i in range(len(keep))]
     out = df.select(F.col(text).alias("_t"), *[F.col(c).alias(n) for c, n in zip(keep, names)])
     for p in range(passes):  # an item set within INDEX_CHARS, the usual case, is one pass
         rows = bench.filter(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == p).collect()
-        index = spark.sparkContext.broadcast(Index([(r["id"], r["text"]) for r in rows]))
+        index = spark.sparkContext.broadcast(Index([(r["id"], r["text"], r["answer"]) for r in rows]))
 
         def make(index=index, p=p):
             return lambda texts: {f"_hits_{p}": [[dict(zip(HIT.names, h)) for h in m] for m in index.value.matches(texts)]}
@@ -215,17 +225,19 @@ def contaminated(df: DataFrame, items: DataFrame, keep: list[str], text: str = "
     return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], F.concat(*hits).alias("hits"))
 
 
-def find(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def find(df: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
+         item_answer: str | None = None) -> DataFrame:
     """One row per contaminated document and item: ``doc_id, item_id, score, overlap, question_overlap, answer_overlap``."""
     kind = dict(items.dtypes)[item_id]
-    out = contaminated(df, items, [doc_id], text, item_id, item_text).select(F.col(doc_id).alias("doc_id"), F.explode("hits").alias("h"))
+    out = contaminated(df, items, [doc_id], text, item_id, item_text, item_answer).select(F.col(doc_id).alias("doc_id"), F.explode("hits").alias("h"))
     return out.select("doc_id", F.col("h.item").cast(kind).alias("item_id"), *[f"h.{n}" for n in HIT.names[1:]])
 
 
-def clean(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+def clean(df: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
+          item_answer: str | None = None) -> DataFrame:
     """``df`` without the contaminated documents."""
     cols = df.columns
     names = [f"in_{i}" for i in range(len(cols))]
     plain = df.select(*[F.col(c).alias(n) for c, n in zip(cols, names)])
-    found = contaminated(plain, items, names, names[cols.index(text)], item_id, item_text)
+    found = contaminated(plain, items, names, names[cols.index(text)], item_id, item_text, item_answer)
     return found.filter(F.size("hits") == 0).select(*[F.col(n).alias(c) for c, n in zip(cols, names)])

@@ -52,6 +52,27 @@ def test_altered_copies(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
 
 
+def test_copies_without_the_last_sentence(spark):
+    rng = random.Random(3)
+    heads, tails = [sentence(rng, 60) for _ in range(12)], [" ".join(f"only{i}x{k}" for k in range(8)) + "." for i in range(12)]
+    docs = spark.createDataFrame([(i, sentence(rng, 30) + " " + h) for i, h in enumerate(heads)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(i, f"{h} {t}") for i, (h, t) in enumerate(zip(heads, tails))], "item_id bigint, text string")
+    got = dec.find(docs, items).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i) for i in range(12)]
+    assert all(r["answer_overlap"] == 0 and r["question_overlap"] == 1 and 0.8 <= r["overlap"] < 1 for r in got)
+    assert dec.clean(docs, items).count() == 0
+
+
+def test_an_answer_of_its_own_is_asked_for(spark):
+    rng = random.Random(3)
+    ask, say = sentence(rng, 40), " ".join(f"answer{k}" for k in range(8))
+    docs = spark.createDataFrame([(1, ask), (2, f"{ask} {say}")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, ask, say), (2, ask, None)], "item_id bigint, text string, answer string")
+    pairs = sorted((r["doc_id"], r["item_id"], r["answer_overlap"]) for r in dec.find(docs, items, item_answer="answer").collect())
+    assert pairs == [(1, 2, 1.0), (2, 1, 1.0), (2, 2, 1.0)]
+    assert dec.clean(docs, items, item_answer="answer").count() == 0
+
+
 def test_scores_are_bm25():
     import math
     items = [("1", "alpha beta beta gamma delta eps"), ("2", "alpha zeta eta theta iota kappa lam")]

@@ -4,8 +4,11 @@ Candidates are found per row: the three base kinds (``assign``, ``access``,
 ``hex``), always reported, and ``token``, a wider net of long mixed strings too
 noisy to report alone. The hash of every candidate value is counted over the
 whole corpus by distinct owners and repositories. A value that more than
-``max_owners`` owners hold is a widely copied example; one that is bound to a
-few owners looks live, and only such ``token`` spans are reported.
+``max_owners`` owners or more than ``max_repos`` repositories hold is a widely
+copied example; one that is bound to a few of both looks live, and only such
+``token`` spans are reported. Masking (:func:`redact`) asks for both counts;
+:func:`scan` for the repositories only if it is given ``max_repos``, since its
+SQL goes by owners.
 
 Defined cases: a null text is empty; a null owner is one unknown owner; a null
 repository is one repository; repeated rows are reported row by row and count
@@ -29,6 +32,8 @@ MIN_CHARS = {"assign": 6, "access": 20, "hex": 24}
 #: makes one attempt per run, the look-ahead passes over runs without a digit.
 TOKEN = r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])[A-Za-z0-9_-]{20,}"
 KINDS = [*PATTERNS, "token"]
+#: The most repositories (documents) of a value that looks live.
+MAX_REPOS = 10
 SPAN = "struct<start:bigint,ord:int,end:bigint,kind:string,value:string>"
 #: What a matching text must hold, as cheap tests before the spans are located.
 NEED = {"assign": PATTERNS["assign"], "access": r"AKIA[A-Z0-9]{16}", "hex": r"[0-9a-f]{24}",
@@ -89,12 +94,13 @@ def ownership(cands: DataFrame) -> DataFrame:
     return per_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("r").alias("n_repos"), F.sum("n").alias("n_rows"))
 
 
-def judged(df: DataFrame, text: str, owner: str, repo: str, keep: list[str], max_owners: int = 2) -> DataFrame:
+def judged(df: DataFrame, text: str, owner: str, repo: str, keep: list[str], max_owners: int = 2,
+           max_repos: int | None = None) -> DataFrame:
     """The rows of ``df`` (columns ``keep``) with arrays of judged spans.
 
     Adds ``n_assign``, ``n_access``, ``n_hex`` (long), ``base`` and ``spans``
-    (arrays of ``start, ord, end, kind, value, n_owners, live``), the latter
-    with the live-looking token spans as well. The scanned rows are written
+    (arrays of ``start, ord, end, kind, value, n_owners, n_repos, live``), the
+    latter with the live-looking token spans as well. The scanned rows are written
     once, which fixes the row numbers they are joined by.
     """
     cols = [F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)]
@@ -108,8 +114,11 @@ def judged(df: DataFrame, text: str, owner: str, repo: str, keep: list[str], max
             .withColumn("hash", F.sha2(F.col("s.value").cast("binary"), 256)))
     freq = materialise(ownership(each.select("hash", "owner", "repo")), "secret-owners")
     spans = attach(each.select("_rid", "hash", "s"), freq, "hash", "n_rows", F.xxhash64("_rid", "s.start"))
+    live = F.col("n_owners") <= max_owners
+    if max_repos is not None:
+        live = live & (F.col("n_repos") <= max_repos)
     spans = spans.select("_rid", F.struct("s.start", "s.ord", "s.end", "s.kind", "s.value", "n_owners", "n_repos",
-                                          (F.col("n_owners") <= max_owners).alias("live")).alias("j"))
+                                          live.alias("live")).alias("j"))
     per_row = spans.groupBy("_rid").agg(F.array_sort(F.collect_list("j")).alias("_all"))
     kind = "array<struct<start:bigint,ord:int,end:bigint,kind:string,value:string,n_owners:bigint,n_repos:bigint,live:boolean>>"
     out = rows.select("_rid", *[f"k_{i}" for i in range(len(keep))], *[f"n_{k}" for k in PATTERNS]).join(per_row, "_rid", "left")
@@ -125,19 +134,23 @@ def span_text(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))))
 
 
-def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source", max_owners: int = 2) -> DataFrame:
+def scan(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source", max_owners: int = 2,
+         max_repos: int | None = None) -> DataFrame:
     """One digest row per document. A document is the repository, its source the owner.
 
     ``spans`` holds the base spans and the live-looking token spans; ``n_live``
-    and ``n_example`` count the spans of either verdict.
+    and ``n_example`` count the spans of either verdict. With ``max_repos`` the
+    verdict goes by repositories too, and ``n_repos`` is the most repositories
+    that hold a value of ``spans``.
     """
-    found = judged(df, text, owner, doc_id, [doc_id], max_owners)
+    found = judged(df, text, owner, doc_id, [doc_id], max_owners, max_repos)
+    repos = [] if max_repos is None else [F.coalesce(F.array_max(F.transform("spans", lambda x: x["n_repos"])), F.lit(0)).alias("n_repos")]
     return found.select(
         F.col(doc_id).alias("doc_id"), "n_assign", "n_access", "n_hex",
         F.sha2(span_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         span_text(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda x: x["live"])).cast("bigint").alias("n_live"),
-        F.size(F.filter("spans", lambda x: ~x["live"])).cast("bigint").alias("n_example"))
+        F.size(F.filter("spans", lambda x: ~x["live"])).cast("bigint").alias("n_example"), *repos)
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -156,7 +169,7 @@ def masked(text: Column, spans: Column) -> Column:
 
 
 def redact(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source", chars: str = "n_chars",
-           max_owners: int = 2) -> DataFrame:
+           max_owners: int = 2, max_repos: int = MAX_REPOS) -> DataFrame:
     """``df`` with the secrets in ``text`` masked and ``chars`` (if there is such a
     column) counted again for masked texts. Texts without any candidate, null
     ones included, go through untouched and unshuffled."""
@@ -165,7 +178,7 @@ def redact(df: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str
     plain = df.select(*[F.col(c).alias(n) for c, n in names.items()])
     body = F.col(names[text])
     test = has_candidate(F.coalesce(body, F.lit("")))
-    found = judged(plain.filter(test), names[text], names[owner], names[doc_id], plain.columns, max_owners)
+    found = judged(plain.filter(test), names[text], names[owner], names[doc_id], plain.columns, max_owners, max_repos)
     found = found.withColumn("_new", F.when(F.size("spans") > 0, masked(body, F.col("spans"))).otherwise(body))
     out = {names[text]: F.col("_new")}
     if chars in names:

@@ -75,6 +75,23 @@ def test_redact_masks_and_keeps_the_rest(spark):
     assert {r["text"] for r in secrets.redact(copies).collect()} == {"<example-secret>"}
 
 
+def test_one_owner_and_many_repositories(spark):
+    rows = [(i, f"{COPIED} password=copied99", "a") for i in range(12)] + [(20 + i, f"{WIDE} password=few{i}xyz", "a") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    repos = defaultdict(set)
+    for d, text, _ in rows:
+        for v in (text.split()[0], text.split("=")[1]):
+            repos[v].add(d)
+    got = {r["doc_id"]: r for r in secrets.scan(docs, max_repos=10).collect()}
+    for d, text, _ in rows:
+        token, value = text.split()[0], text.split("=")[1]
+        live = len(repos[token]) <= 10
+        assert ("token" in got[d]["spans"]) == live and (got[d]["n_live"], got[d]["n_example"]) == ((2, 0) if live else (0, 1))
+        assert got[d]["n_repos"] == max(len(repos[v]) for v in ((token, value) if live else (value,)))
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert all(masked[i] == f"{COPIED} <example-secret>" for i in range(12)) and all(masked[20 + i] == "<secret> <secret>" for i in range(10))
+
+
 def test_redact_with_clashing_columns(spark):
     docs = with_clashes(awkward_docs(spark))
     out = secrets.redact(docs)

@@ -2,9 +2,11 @@
 one-versus-one linear support vector machines between the languages of it.
 
 Features are hashed letter n-grams (1 to 3 letters, words padded by a space),
-as square roots of their shares. All machines are trained here, on at most
-``TRAIN_DOCS`` texts of each language, ``TRAIN_CHARS`` characters each;
-prediction reads whole texts.
+as square roots of their shares. All machines are trained here, for every
+language there is, on at most ``TRAIN_DOCS`` texts of each, ``TRAIN_CHARS``
+characters each; prediction reads whole texts. Where languages are so many that
+these would be over ``TRAIN_ROWS``, the languages that are families of their own
+give fewer texts each, ``LEAST_DOCS`` at least.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; a
 language without a family in ``FAMILIES`` is a family of its own; with a single
@@ -17,7 +19,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from payguard.llm.common import crc_mod_col, map_text
 
@@ -30,8 +32,7 @@ FAMILIES = {
 BUCKETS = 1 << 12
 TRAIN_DOCS = 250
 TRAIN_CHARS = 6000
-#: The most languages that are learned, the most frequent first: the bound of the model's size.
-MAX_LANGUAGES = 64
+TRAIN_ROWS, LEAST_DOCS = 16_000, 20
 FOLDS, HELD = 5, 0
 LETTER = re.compile(r"[^\W\d_]")
 SCHEMA = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -126,23 +127,22 @@ def predict(text: str | None, model: dict) -> tuple[str, float]:
 def training_rows(docs: DataFrame) -> list[tuple[str, str]]:
     """The bounded sample: of each language about ``TRAIN_DOCS`` texts by hash of the id."""
     seen = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod_col("doc_id", FOLDS) != HELD))
-    sizes = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = seen.groupBy("lang").count().collect()
+    few = min(TRAIN_DOCS, max(TRAIN_ROWS // max(len(sizes), 1), LEAST_DOCS))
+    want = [(r["lang"], r["count"], TRAIN_DOCS if r["lang"] in FAMILIES else few) for r in sizes]
+    limits = docs.sparkSession.createDataFrame(want, "lang string, count bigint, docs int")  # a row of each language
     u = F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    keep = F.lit(False)
-    for r in sizes:
-        keep = keep | ((F.col("lang") == r["lang"]) & (u < 1.5 * TRAIN_DOCS / r["count"]))
-    got = seen.filter(keep).select("lang", u.alias("u"), F.substring("text", 1, TRAIN_CHARS).alias("text"))
-    out = []
-    for r in sizes:  # at most 1.5 TRAIN_DOCS expected rows of each language come here, ties by text
-        some = got.filter(F.col("lang") == r["lang"]).orderBy("u", "text").limit(TRAIN_DOCS).collect()
-        out += [(x["text"], x["lang"]) for x in some]
-    return out
+    got = seen.select("lang", u.alias("u"), F.substring("text", 1, TRAIN_CHARS).alias("text")).join(F.broadcast(limits), "lang")
+    got = got.filter(F.col("u") < 1.5 * F.col("docs") / F.col("count"))  # 1.5 docs rows expected of each language, ties by text
+    got = got.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("u", "text"))).filter("n <= docs")
+    rows = got.select("lang", "count", "n", "text").collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (-r["count"], r["lang"], r["n"]))]
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``."""
     model = fit(training_rows(docs))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_LANGUAGES ** 2 machines of BUCKETS weights
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS weights of each family and of each pair of languages in a family
 
     def make():
         m = shared.value

@@ -5,11 +5,15 @@ The kernel compares two strings by the subsequences of three characters that
 they share, gaps included: every character a subsequence skips costs a factor
 ``DECAY``, up to ``SPAN`` characters in all. So an insult with inserted or
 exchanged characters stays close to itself. What is compared with a landmark is a window of a
-sentence: a word (word ends count as characters), a run of spelt-out single
-characters read as one word, or a piece of a very long word. Values below
+sentence: windows of the landmarks' lengths, with and without word ends, slide over the
+sentence's characters one by one, across words (``^a$^b$``) and inside them, so glued words
+show; marks inside a word split it and are also left out. Besides, a word (word ends count as
+characters), a run of spelt-out single characters read as one word, a piece of a very long
+word, and every second character of a word (a fully gapped insult). Values below
 ``FLOOR`` count as 0.
 
-Landmarks are words that set toxic training texts apart, no two of them alike.
+Landmarks are words that set toxic training texts apart, and pairs of neighbouring words
+that do so while neither word does, no two of them alike.
 A window's vector is multiplied by the inverse root of the landmarks' own
 kernel matrix. A sentence scores as its worst window and a text as its worst
 sentence, that is, as the worst of all its windows: the machine is trained on
@@ -28,6 +32,7 @@ there are none); repeated rows repeat.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,14 +47,20 @@ ROUNDS = 5
 CLEAN = 3.0
 WINDOW = 24
 TRAIN_DOCS, TRAIN_CHARS = 1500, 20_000
+TRAIN_BATCH = 100
 FOLDS, HELD = 5, 0
 THRESHOLD = 0.5
-#: Words that a task remembers before it starts afresh.
+#: The least log likelihood ratio by which a pair of words belongs to toxic texts, and the counters of the first look at pairs.
+PAIR_EVIDENCE, PAIR_SLOTS = 14.0, 1 << 22
+#: Characters of texts that windows slide over together and at a time, and the least letters of every second character of a word.
+SLIDE_CHARS, SLIDE_ROWS, GAPPED = 200_000, 8_000, 4
+#: Words, and windows, that a task remembers before it starts afresh.
 MEMORY = 400_000
 SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 SPELT = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 INNER = re.compile(r"[\W_]+")
+ENDS = re.compile(r"[.!?…。！？]\W*$")
 #: Fixed look-alikes of letters inside words.
 ALIKES = str.maketrans("013457@$!|€", "oieastasile")
 CODES = 64
@@ -64,6 +75,15 @@ def read(token: str) -> str:
     return INNER.sub("", t.translate(ALIKES)) if any(c.isalpha() for c in t) else ""
 
 
+def pieces(token: str) -> list[str]:
+    """The words of a lower-case token, split at its inner marks."""
+    t = token if token.isalpha() else EDGE.sub("", token)
+    if t.isalpha() or not t:
+        return [t] if t else []
+    out = [w for x in INNER.split(t) if any(c.isalpha() for c in x) and (w := read(x))]
+    return out if len(out) > 1 else [w] if (w := read(t)) else []
+
+
 def windows(word: str) -> list[str]:
     """The word with its ends marked; of a long one overlapping pieces."""
     w = f"^{word}$"
@@ -118,11 +138,42 @@ class Kernel:
         self.start = np.append(start, len(order))
         self.row = np.full(CODES ** 3, -1, dtype=np.int32)
         self.row[keys] = np.arange(len(keys))
+        # The windows that slide have a landmark's length, with its word ends or without: (length, least norm of such a
+        # window, its landmarks). And the weight of each triple in each landmark, sorted by length, the last row for all others.
+        sizes = np.array([len(m) for m in landmarks])
+        by = np.argsort(sizes, kind="stable")
+        least = lambda n: np.sqrt(sum(max(n - last, 0) * (last - 1) * DECAY ** (2 * (last - 2)) for last in range(2, SPAN + 1)))
+        self.slides = [(n, float(least(n)), slice(*np.searchsorted(sizes[by], [size, size + 1]))) for size in np.unique(sizes).tolist()
+                       for n in (size - 2, size) if n > 2]
+        self.dense = np.zeros((len(keys) + 1, self.m), dtype=np.float32)
+        self.dense[np.repeat(np.arange(len(keys)), np.diff(self.start)), np.argsort(by)[self.lm]] = self.w
+
+    def slide(self, stream: str) -> list[tuple[int, str]]:
+        """(start, window) of the sliding windows of a text that can reach FLOOR; none holds a line end."""
+        every = np.concatenate([codes([stream])[0][:len(stream)], np.zeros(WINDOW + SPAN, dtype=np.int32)])
+        lines = np.concatenate([[0], np.cumsum(np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 10)])
+        out = []
+        for a in range(0, len(stream), SLIDE_ROWS):
+            n = min(SLIDE_ROWS + WINDOW, len(stream) - a)
+            c = every[a:a + n + SPAN]
+            total = np.zeros((n + 1, self.m), dtype=np.float32)
+            for last in range(2, SPAN + 1):
+                for mid in range(1, last):
+                    r = self.row[(c[:n] * CODES + c[mid:mid + n]) * CODES + c[last:last + n]]
+                    i = np.flatnonzero(r >= 0)
+                    total[i + 1] += np.float32(DECAY ** (last - 2)) * self.dense[r[i]]
+            total = np.cumsum(np.ascontiguousarray(total.T), axis=1)
+            for size, least, cols in self.slides:
+                stop = min(SLIDE_ROWS, n - size + 1)  # the starts from there on are the next part's
+                if stop > 0:
+                    s = np.flatnonzero((total[cols, size - 2:size - 2 + stop] - total[cols, :stop]).max(0) >= FLOOR * least - 2e-3) + a
+                    out += [(i, stream[i:i + size]) for i in s[lines[s + size] == lines[s]].tolist()]
+        return out
 
     def __call__(self, strings: list[str]):
         """(string, values) of the strings that are close to any landmark."""
-        for i in range(0, len(strings), 20_000):
-            part = strings[i:i + 20_000]
+        for i in range(0, len(strings), 5_000):
+            part = strings[i:i + 5_000]
             row, key, weight = subsequences(codes(part))
             norm = np.bincount(row, weights=weight * weight, minlength=len(part))  # at most the true square
             k = self.row[key]
@@ -154,31 +205,67 @@ class Kernel:
 
 class Reader:
     """From texts to what their windows near a landmark hold: kernel vectors, or
-    with ``weights`` their scores. Remembered by word."""
+    with ``weights`` their scores. Remembered by word and by window."""
 
     def __init__(self, kernel: Kernel, weights: np.ndarray | None = None):
-        self.kernel, self.weights, self.known = kernel, weights, {}
+        self.kernel, self.weights, self.known, self.said, self.near = kernel, weights, {}, {}, {}
+
+    def compare(self, strings: set) -> None:
+        """Fill ``near``: the values of windows, None for those that are near no landmark."""
+        if len(self.near) + len(strings) > MEMORY:
+            self.near = {}
+        fresh = sorted((w for w in strings if w not in self.near), key=lambda w: (len(w), w))
+        self.near.update(dict.fromkeys(fresh))
+        for w, v in self.kernel(fresh):
+            self.near[w] = v.astype(np.float32) if self.weights is None else float(v @ self.weights)
+
+    def slide(self, streams: list[str]) -> list[set]:
+        """The sliding windows of each text that may be near a landmark."""
+        found: list[set] = [set() for _ in streams]
+        i = 0
+        while i < len(streams):
+            j, held = i, 0
+            while j < len(streams) and (j == i or held + len(streams[j]) < SLIDE_CHARS):
+                held += len(streams[j]) + 1
+                j += 1
+            ends = np.cumsum([len(x) + 1 for x in streams[i:j]])
+            hits = self.kernel.slide("\n".join(streams[i:j]))
+            for k, (_, w) in zip(np.searchsorted(ends, [h for h, _ in hits], side="right").tolist(), hits):
+                found[i + k].add(w)
+            i = j
+        return found
 
     def learn(self, tokens: set) -> None:
         if len(self.known) + len(tokens) > MEMORY:
-            self.known = {}
-        fresh = {t: read(t) for t in tokens if t not in self.known}
-        pieces = sorted({p for w in set(fresh.values()) if w for p in windows(w)}, key=len)
-        near = dict(self.kernel(pieces))
-        if self.weights is not None:
-            near = {p: float(v @ self.weights) for p, v in near.items()}
-        for t, w in fresh.items():
-            self.known[t] = [near[p] for p in windows(w) if p in near] if w and near else None
+            self.known, self.said = {}, {}
+        fresh = {t: (read(t), pieces(t)) for t in tokens if t not in self.known}
+        own = {t: set(windows(w)) if w else set() for t, (w, _) in fresh.items()}
+        extra = []  # what isn't in the sentence itself: joined pieces and every second character
+        for t, (w, said) in fresh.items():
+            self.said[t] = "".join(f"^{x}$" for x in said) + ("\n" if ENDS.search(t) else "")
+            if len(said) > 1 or "".join(t.split()) != t:
+                extra.append((t, f"^{w}$"))
+            if len(w) >= 2 * GAPPED - 1:
+                extra += [(t, f"^{w[k::2]}$") for k in (0, 1)]
+        for (t, x), found in zip(extra, self.slide([x for _, x in extra])):
+            own[t] |= found
+        self.compare(set().union(*own.values()))
+        for t, ws in own.items():
+            self.known[t] = [v for w in sorted(ws) if (v := self.near[w]) is not None]
 
     def __call__(self, texts: list) -> list[list]:
         low = [(t or "").lower() for t in texts]
-        tokens = [set(t.split()) for t in low]
+        split = [t.split() for t in low]
+        tokens = [set(t) for t in split]
         for t, own in zip(low, tokens):
             own.update(INNER.sub("", m) for m in SPELT.findall(t))
         every = set().union(*tokens)
         if not every <= self.known.keys():
             self.learn(every)
-        return [[v for t in own if (got := self.known[t]) for v in got] for own in tokens]
+        values = [[v for t in (sorted(own) if self.weights is None else own) for v in self.known[t]] for own in tokens]  # vectors in a fixed order
+        slid = self.slide(["".join(map(self.said.__getitem__, t)) for t in split])
+        self.compare(set().union(*slid))
+        return [v + [x for w in sorted(ws) if (x := self.near[w]) is not None] for v, ws in zip(values, slid)]
 
 
 def svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -198,15 +285,46 @@ def svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray,
     return w[:-1], float(w[-1])
 
 
+def pairs(text: str) -> set:
+    """The pairs of neighbouring words of a text's sentences, as sliding windows show them."""
+    out, before = set(), ""
+    for token in text.lower().split():
+        for w in pieces(token):
+            if before and 3 <= len(before) + len(w) <= WINDOW - 4:
+                out.add(f"{before}$^{w}")
+            before = w
+        if ENDS.search(token):
+            before = ""
+    return out
+
+
 def choose(texts: list[str], y: np.ndarray) -> list[str]:
-    """Landmark windows: words far more frequent in toxic texts, no two alike."""
+    """Landmark windows: words far more frequent in toxic texts, and pairs of words
+    that are so while neither word is, no two alike."""
     df: dict = {}
     for t, v in zip(texts, y):
-        for w in {read(x) for x in set(t.lower().split())}:
+        for w in {w for x in set(t.lower().split()) for w in {read(x), *pieces(x)}}:
             if 3 <= len(w) <= WINDOW - 2:
                 df.setdefault(w, [0, 0])[int(v)] += 1
     n0, n1 = max((y == 0).sum(), 1), max((y == 1).sum(), 1)
-    value = {w: b / n1 * np.log(((b + 0.5) / (n1 + 1)) / ((a + 0.5) / (n0 + 1))) for w, (a, b) in df.items() if b >= 2 and b / n1 > 4 * a / n0}
+    rate = lambda a, b: b / n1 * np.log(((b + 0.5) / (n1 + 1)) / ((a + 0.5) / (n0 + 1)))
+    value = {w: rate(a, b) for w, (a, b) in df.items() if b >= 2 and b / n1 > 4 * a / n0}
+    slots = np.zeros(PAIR_SLOTS, dtype=np.int32)  # toxic texts by hash of their pairs, to remember only frequent ones
+    spot = lambda p: zlib.crc32(p.encode("utf-8", "surrogatepass")) % PAIR_SLOTS
+    floor = PAIR_EVIDENCE / np.log((n0 + n1) / n1)
+    for t, v in zip(texts, y):
+        if v:
+            slots[list({spot(p) for p in pairs(t)})] += 1
+    both: dict = {}
+    if slots.max() >= floor:
+        for t, v in zip(texts, y):
+            for p in pairs(t):
+                if slots[spot(p)] >= floor and not any(w in value for w in p.split("$^")):
+                    both.setdefault(p, [0, 0])[int(v)] += 1
+    share = n1 / (n0 + n1)
+    for p, (a, b) in both.items():
+        if b / n1 > 4 * a / n0 and b * np.log(b / (a + b) / share) + (a * np.log(a / (a + b) / (1 - share)) if a else 0) >= PAIR_EVIDENCE:
+            value[p] = rate(a, b)
     words = [f"^{w}$" for w in sorted(value, key=lambda w: (-value[w], w))[:CANDIDATES]]
     if not words:
         return []
@@ -230,7 +348,10 @@ def fit(labelled: list[tuple[str, int]]) -> dict:
     values, vecs = np.linalg.eigh((own + own.T) / 2)
     root = vecs @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vecs.T
     none = np.zeros((1, len(marks)))
-    docs = [np.vstack([none, *f]) @ root for f in Reader(kernel)(texts)]
+    reader, docs = Reader(kernel), []
+    for i in range(0, len(texts), TRAIN_BATCH):  # the driver holds the windows of a few texts at a time, and what is near a landmark of all
+        docs += [(np.vstack([none, *f]) @ root).astype(np.float32) for f in reader(texts[i:i + TRAIN_BATCH])]
+        reader.near = {}
     pick = [d[np.argmax(np.linalg.norm(d, axis=1))] for d in docs]
     pool = {0.0: [none[0]], 1.0: []}
     for _ in range(ROUNDS):  # the worst window of each toxic text; of the clean ones all that was ever the worst

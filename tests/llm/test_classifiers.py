@@ -49,6 +49,33 @@ def test_gapped_insults(near):
     assert worst[0] > 0.2 > worst[1] and worst[2] == 0
 
 
+GLUED = ["theidiotperson", "youarearealidiot", "theidiotsaidhello", "you,friend,idiot", "a/real-idiot_here", "ixdxixoxt", "heisixdxixoxtok",
+         "i x d x i x o x t", "so an id iot he is", "halt mal das maul", "halt,maul"]
+
+
+@pytest.mark.parametrize("near", GLUED)
+def test_glued_gapped_and_many_word_insults(near):
+    rows = [(f"du bist ein idiot {i} heute", 1) for i in range(30)] + [(f"du bist ein freund {i} heute", 0) for i in range(60)]
+    rows += [(f"halt maul {i}", 1) for i in range(30)] + [(f"halt an {i} wo du willst", 0) for i in range(30)]
+    rows += [(f"das maul des pferdes {i}", 0) for i in range(30)]
+    model = toxicity.fit(rows)
+    assert "^halt$^maul$" in model["marks"] and not {"^halt$", "^maul$"} & set(model["marks"])
+    reader = toxicity.Reader(toxicity.Kernel(model["marks"]), model["u"])
+    clean = ["er ist ein freund", "halt an und warte", "das maul des pferdes", "halt. das maul"]
+    worst = [max(v, default=0) for v in reader([near.replace("halt mal das maul", "nun halt maul du"), *clean])]
+    assert worst[0] > 0.2 and worst[0] > max(worst[1:])
+
+
+def test_sliding_windows_miss_none():
+    kernel = toxicity.Kernel(["^idiot$", "^banana$", "^halt$^maul$"])
+    text = "^die$^idioten$^xhalt$^maulen$\n^ananas$^bananenidiot$^halt$^mal$"
+    for marks in (["^idiot$"], ["^banana$"], ["^halt$^maul$"]):
+        own = toxicity.Kernel(marks)
+        every = {text[i:i + n] for n, *_ in own.slides for i in range(len(text) - n + 1)}
+        near = {w for w, _ in own(sorted(w for w in every if "\n" not in w))}
+        assert near and near <= {w for _, w in own.slide(text)} & {w for _, w in kernel.slide(text)}
+
+
 def test_string_kernel_matches_brute_force():
     def plain(s, t):
         def vec(x):

@@ -3,8 +3,10 @@
 Payloads are JSON objects whose fields are text. Parsing uses an all-STRING
 schema (quoted numbers would be NULL under a typed schema), then the two
 numeric fields are coerced leniently. A payload is malformed when it is not
-a JSON object or a numeric field holds text that is not a number of its
-type. Three modes:
+a JSON object, a numeric field holds text that is not a number of its type,
+or a text field holds an object or an array. Where the parsed text can't tell
+(``12.5`` and ``"12.5"``, ``{..}`` and ``"{..}"``) the token's type is asked of
+the payload as a Variant; other rows don't pay for it. Three modes:
 
 * ``quarantine`` (default): keep every row, ``_error`` names the problem;
   split with :func:`split_errors`.
@@ -16,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from payguard.functions.coerce import bad_float, bad_int, lenient_float, lenient_int
+from payguard.functions.coerce import bad_float, bad_token_int, lenient_float, nested_token, token_int, token_type
 from payguard.functions.timefmt import parse_sample_time, rfc3339
 from payguard.schemas import (CORRUPT_COL, FLOAT_FIELDS, INT_FIELDS, INVOICE_FIELDS,
                               RAW_FIELDS, text_schema)
@@ -34,18 +36,21 @@ def _error_expr(parsed: Column, payload: Column, fields: tuple[str, ...]) -> Col
         if f in FLOAT_FIELDS:
             checks.append((bad_float(parsed[f]), f"bad float {f}"))
         elif f in INT_FIELDS:
-            checks.append((bad_int(parsed[f]), f"bad int {f}"))
+            checks.append((bad_token_int(parsed[f], token_type(payload, f)), f"bad int {f}"))
+    for f in fields:
+        if f not in FLOAT_FIELDS and f not in INT_FIELDS:
+            checks.append((nested_token(parsed[f], token_type(payload, f)), f"nested value {f}"))
     expr = F.lit(None).cast("string")
     for cond, msg in reversed(checks):
         expr = F.when(cond, F.lit(msg)).otherwise(expr)
     return expr
 
 
-def _typed(parsed: Column, f: str) -> Column:
+def _typed(parsed: Column, payload: Column, f: str) -> Column:
     if f in FLOAT_FIELDS:
         return lenient_float(parsed[f]).alias(f)
     if f in INT_FIELDS:
-        return lenient_int(parsed[f]).alias(f)
+        return token_int(parsed[f], token_type(payload, f)).alias(f)
     return parsed[f].alias(f)
 
 
@@ -60,7 +65,7 @@ def decode(df: DataFrame, fields: tuple[str, ...], value_col: str = "value",
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
     staged = df.select(*keep, payload.alias("_payload"), parsed.alias(_PARSED))
     p = F.col(_PARSED)
-    cols = [F.col(k) for k in keep] + [_typed(p, f) for f in fields]
+    cols = [F.col(k) for k in keep] + [_typed(p, F.col("_payload"), f) for f in fields]
     if mode == "lenient":
         return staged.select(*cols)
     err = _error_expr(p, F.col("_payload"), fields)
@@ -72,8 +77,8 @@ def decode(df: DataFrame, fields: tuple[str, ...], value_col: str = "value",
         guarded = F.when(err.isNotNull(),
                          F.raise_error(F.concat(F.lit("malformed event: "), err)).cast(schema)).otherwise(p)
         g = F.col("_guarded")
-        return staged.select(*keep, guarded.alias("_guarded")).select(
-            *[F.col(k) for k in keep], *[_typed(g, f) for f in fields])
+        return staged.select(*keep, "_payload", guarded.alias("_guarded")).select(
+            *[F.col(k) for k in keep], *[_typed(g, F.col("_payload"), f) for f in fields])
     if mode != "quarantine":
         raise ValueError(f"unknown mode {mode!r}")
     return staged.select(*cols, err.alias(ERROR_COL))

@@ -29,7 +29,7 @@ from payguard.plans.risk_job import late_invoice_risk
 from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 from payguard.session import prepare, scratch_dir
 from payguard.sources.adapter import (defective_payloads, invoice_adapter, invoice_view, raw_payloads,
-                                      raw_text_adapter)
+                                      raw_text_adapter, token_payloads)
 from payguard.sources.files import read_sample_csv, write_sample_csv
 from payguard.sources.tables import read_table
 from payguard.sources.records import as_records, next_offsets, stream_records
@@ -188,6 +188,31 @@ def q_quarantine(spark, sf_dir):
                                    for c in ("Invoice_ID", "Invoice_Amount", "Pay_Delay")], "_error")
 
 
+@register("token_typed_decode", """
+SELECT src_key, CASE WHEN err IS NULL THEN CASE WHEN ln >= 7 THEN '{' || activity || '}' ELSE activity END END AS Activity,
+       CASE WHEN err IS NULL THEN CAST(amount_text AS FLOAT) END AS Invoice_Amount,
+       CASE WHEN err IS NULL THEN CASE ln WHEN 2 THEN -quantity WHEN 4 THEN quantity * 10 + 5 ELSE quantity * 4 END END AS Pay_Delay,
+       err AS _error
+FROM (
+  SELECT concat(cast(l_orderkey AS VARCHAR), '-', cast(l_linenumber AS VARCHAR)) AS src_key, l_linenumber AS ln, CAST(l_quantity AS INTEGER) AS quantity,
+         CASE WHEN l_linestatus = 'F' THEN 'Settled' ELSE 'Ordered' END AS activity,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN '0'
+              ELSE cast(cast(l_extendedprice AS DECIMAL(15,2)) AS VARCHAR) END AS amount_text,
+         CASE WHEN l_linenumber IN (3, 5) OR (l_linenumber = 1 AND l_tax = 0) THEN 'bad int Pay_Delay'
+              WHEN l_linenumber = 6 THEN 'nested value Activity' END AS err
+  FROM lineitem) q
+""")
+def q_token_typed_decode(spark, sf_dir):
+    """The decoder by token type: a bare 12.5 for an INT is cut to 12 while "12.5" in
+    quotes, an array or a number out of range is set aside, and an object in a text
+    field is set aside while text that looks like one is kept. Planted by line number."""
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    src_key = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    dec = decode_raw(token_payloads(li.withColumn("src_key", src_key), keep=("src_key",)), keep=("src_key",))
+    ok = F.col("_error").isNull()
+    return dec.select("src_key", *[F.when(ok, F.col(c)).alias(c) for c in ("Activity", "Invoice_Amount", "Pay_Delay")], "_error")
+
+
 @register("normalise_datetime", """
 SELECT event_id, strftime(date_trunc('minute', ts), '%Y-%m-%dT%H:%M:%SZ') AS DateTime,
        date_trunc('minute', ts) AS event_time, false AS _time_error

@@ -137,3 +137,29 @@ def defective_payloads(lineitem: DataFrame, keep: tuple = ()) -> DataFrame:
     payload = F.to_json(F.struct(*RAW_FIELDS))
     return staged.select(*keep, *RAW_FIELDS, F.when(F.col("l_tax") == 0, F.concat(F.lit("{"), payload))
                          .otherwise(payload).alias("value"))
+
+
+def token_payloads(lineitem: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Raw payloads whose tokens differ in type from line to line, for checks of the
+    decoder's rules: by line number the delay is a bare fraction (2), the same in
+    quotes (3), bare with an exponent (4), an array (5), and the activity an object
+    (6) or text that looks like one (7). Line 1 has bare amount and delay, and its
+    delay is beyond the range of an INT where the tax is zero."""
+    ln, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int").cast(S)
+    cols = raw_text_columns()
+    staged = lineitem.select(*keep, ln.alias("_line"), quantity.alias("_quantity"), F.col("l_tax").alias("_tax"),
+                             *[c.alias(n) for n, c in cols.items()])
+    text = F.to_json(F.struct(*RAW_FIELDS))
+    quoted = lambda field: F.concat(F.lit(f'"{field}":"'), F.col(field), F.lit('"'))
+    put = lambda body, field, token: F.replace(body, quoted(field), F.concat(F.lit(f'"{field}":'), token))
+    line = F.col("_line")
+    bare = put(put(text, "Invoice_Amount", F.col("Invoice_Amount")), "Pay_Delay",
+               F.when(F.col("_tax") == 0, F.lit("3000000000")).otherwise(F.col("Pay_Delay")))
+    half = F.concat(F.col("_quantity"), F.lit(".5"))
+    value = (F.when(line == 1, bare).when(line == 2, put(text, "Pay_Delay", F.concat(F.lit("-"), half)))
+             .when(line == 3, put(text, "Pay_Delay", F.concat(F.lit('"'), half, F.lit('"'))))
+             .when(line == 4, put(text, "Pay_Delay", F.concat(half, F.lit("e1"))))
+             .when(line == 5, put(text, "Pay_Delay", F.concat(F.lit("["), F.col("_quantity"), F.lit("]"))))
+             .when(line == 6, put(text, "Activity", F.concat(F.lit('{"name":"'), F.col("Activity"), F.lit('"}'))))
+             .otherwise(put(text, "Activity", F.concat(F.lit('"{'), F.col("Activity"), F.lit('}"')))))
+    return staged.select(*keep, value.alias("value"))

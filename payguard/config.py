@@ -53,6 +53,8 @@ class RunSettings:
     bulk_interval_ms: int = 3000
     # Index tables: days that are kept (None: all).
     retention_days: int | None = None
+    # How far behind the newest record a record that is delivered again is still known ("7 days"); None: not asked.
+    dedupe_within: str | None = None
     # Bound of a micro-batch. A fresh checkpoint reads the topic from its first
     # record, and the fan-out keeps a batch's decode while it writes the sinks:
     # 20M events of ~1 KB is ~20 GB over the whole cluster, however long the
@@ -69,7 +71,8 @@ class RunSettings:
     # Job argument names (``--name value``) -> fields.
     ARG_NAMES = {"groupId": "group_id", "rawTopic": "raw_topic", "riskTopic": "risk_topic",
                  "esRawIndex": "raw_table", "esRiskIndex": "risk_table",
-                 "modelPredictorURL": "model_predictor_url", "modelName": "model_name", "modelCaFile": "model_ca_file"}
+                 "modelPredictorURL": "model_predictor_url", "modelName": "model_name", "modelCaFile": "model_ca_file",
+                 "dedupeWithin": "dedupe_within"}
 
     @classmethod
     def from_argv(cls, argv: list[str]) -> "RunSettings":

@@ -14,8 +14,9 @@ index tables are; default ``<spark.checkpoint.dir>/tables``; ``esRawIndex`` and
 ``esRiskIndex`` name them), ``modelName``, ``modelCaFile``, Kafka connection
 and security (``bootstrapServers scramUser scramPasswordFile truststore
 truststorePasswordFile``), the bound of a micro-batch (``maxOffsetsPerTrigger``),
-``availableNow`` (drain what is there and stop) and ``replay`` (start over from
-the first record). Archived records stand in for Kafka where they are named:
+``availableNow`` (drain what is there and stop), ``dedupeWithin`` (take records that
+are delivered again once, e.g. ``7 days``) and ``replay`` (start over from the first
+record). Archived records stand in for Kafka where they are named:
 ``recordsPath`` (Kafka-shaped parquet to read, with ``maxFilesPerTrigger``) and
 ``riskPath`` or ``outPath`` (a table for what would be published).
 ``repetitions`` below 0 replays without end.
@@ -192,29 +193,29 @@ def forward_job(argv: list[str], spark: SparkSession | None = None, connect=None
 def upkeep_job(argv: list[str], spark: SparkSession | None = None) -> dict[str, list]:
     """Retention and compaction of the index tables; returns the days dropped of each.
 
-    Run it beside the stream job: only days before the newest one are
-    compacted (``compact``), which no batch writes any more once the topic's
-    records have moved on to the newest.
+    Run it beside the stream job: ``compact`` rewrites only batches that the run's
+    checkpoint has committed. ``today`` (a date) is the clock that ``retentionDays``
+    counts back from; without it, the newest stored day that isn't in the future.
     """
     import datetime as dt
 
     from payguard.schemas import INVOICE_SCHEMA, RAW_SCHEMA
     from payguard.streaming import tables
-    from payguard.streaming.fanout import QUARANTINE_SCHEMA, active_run
+    from payguard.streaming.fanout import QUARANTINE_SCHEMA
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, ("tableRoot", "retentionDays"))
+    opts = parse_options(argv, ("tableRoot", "retentionDays", "today"))
     sinks = _tables(spark, settings, opts)
     keep = _limit(opts, "retentionDays")
+    clock = dt.date.fromisoformat(opts["today"]) if opts.get("today") else None
+    run = tables.read_text(spark, sinks.pointer)
     gone = {}
     for path, schema in ((sinks.raw, RAW_SCHEMA), (sinks.anomaly, INVOICE_SCHEMA), (sinks.quarantine, QUARANTINE_SCHEMA)):
-        gone[path.rsplit("/", 1)[1]] = tables.drop_old_days(spark, path, keep) if keep is not None else []
-        if "compact" in opts:
-            run = active_run(spark, sinks)
-            days = sorted(dt.date.fromisoformat(f.rsplit("=", 1)[1]) for f in tables.folders(spark, f"{path}/day=[0-9]*"))
-            for day in days[:-1]:
-                if len(tables.folders(spark, f"{path}/day={day}/run={run}/batch_id=*")) > 1 or tables.folders(spark, f"{path}/day={day}/{tables.STAGED}"):
-                    tables.compact_day(spark, path, schema, day, run)
+        gone[path.rsplit("/", 1)[1]] = tables.drop_old_days(spark, path, keep, clock) if keep is not None else []
+        if "compact" in opts and run is not None:
+            upto = tables.committed(spark, sinks.checkpoint(run))
+            for day in sorted(tables.days_of(spark, path)):
+                tables.compact_day(spark, path, schema, day, run, upto=upto)
     return gone
 
 

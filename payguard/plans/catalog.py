@@ -501,6 +501,66 @@ def q_stream_retry_empty(spark, sf_dir):
     return names.join(counts, "sink", "left").select("sink", F.coalesce("n", F.lit(0)).alias("total"))
 
 
+@register("stream_redelivered", _SINKS_SQL)
+def q_stream_redelivered(spark, sf_dir):
+    """Records that come more than once: a third of all line items is delivered again, in the same
+    batch, in later ones and after a restart. Every sink has each once, also line items that are equal
+    in all columns, because a record is known by its place in the topic. Rows of all sinks, as hashes."""
+    from payguard.operators.replay import dense_index
+    run = scenario.new_run(spark, "redelivered")
+    settings = RunSettings(dedupe_within="30 days")
+    lines = dense_index(read_table(spark, sf_dir, "lineitem", spread=True), None, index_col="_seq", total_col=None)
+    records = [scenario.raw_records(wave, settings, offset=F.col("_seq")) for wave in scenario.waves(lines)]
+    again = [r.where(F.pmod("offset", F.lit(3)) == 0) for r in records]
+    scenario.append(records[0].unionByName(again[0]), run)
+    scenario.append(again[0], run)
+    run.drain(spark, max_files=5, settings=settings)
+    scenario.append(records[1].unionByName(again[0]), run)
+    scenario.append(again[1], run)
+    run.drain(spark, max_files=7, settings=settings)
+    run.drain(spark, settings=settings)
+    return _sink_rows(spark, run)
+
+
+_UNDATED, _FUTURE = "l_orderkey % 50 = 9", "l_orderkey % 50 = 7"
+
+
+@register("stream_upkeep", f"""
+WITH lineitem AS (SELECT * FROM main.lineitem WHERE l_linenumber >= 3 OR {_UNDATED} OR {_FUTURE})
+SELECT * FROM ({_SINKS_SQL}) every""")
+def q_stream_upkeep(spark, sf_dir):
+    """Upkeep between batches that also write to older days: a compaction that is cut after its copy is
+    made, a batch that Spark runs again, compaction up to the committed batches, and seven days'
+    retention on the clock of 11 January. Records with a time in the year 2100 drop nothing, records without
+    a time stay. Rows of all sinks, as hashes: every line of the days that are kept, once."""
+    import datetime as dt
+
+    from payguard.schemas import INVOICE_SCHEMA as INV
+    from payguard.streaming.fanout import EVENT_SCHEMA
+    settings = RunSettings()
+    run = scenario.new_run(spark, "upkeep")
+    time = F.when(F.expr(_UNDATED), F.lit(None)).when(F.expr(_FUTURE), F.lit("2100-01-01").cast("date")).otherwise(
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("l_linenumber").cast("int")))
+    waves = [scenario.raw_records(w, settings, time=time) for w in scenario.waves(read_table(spark, sf_dir, "lineitem", spread=True))]
+    stored = ((run.sinks.raw, RAW_SCHEMA), (run.sinks.anomaly, INV), (run.events.path, EVENT_SCHEMA))
+    scenario.append(waves[0], run)
+    run.drain(spark, max_files=3)
+    name = active_run(spark, run.sinks)
+    done = tables.committed(spark, run.sinks.checkpoint(name))
+    for path, schema in stored:
+        for day in (dt.date(2024, 1, 4), dt.date(2024, 1, 5)):
+            tables.stage_day(spark, path, schema, day, name, upto=done)  # cut here
+        tables.compact_day(spark, path, schema, dt.date(2024, 1, 6), name, upto=done)
+    scenario.append(waves[1], run)
+    run.drain(spark, max_files=1000)
+    process_batch(waves[1], done + 1, run.sinks, settings, run.events, name)  # Spark runs it again
+    for path, schema in stored:
+        for day in sorted(tables.days_of(spark, path)):
+            tables.compact_day(spark, path, schema, day, name, upto=done)
+        tables.drop_old_days(spark, path, 7, dt.date(2024, 1, 11))
+    return _sink_rows(spark, run)
+
+
 _MARK = "TIMESTAMP '2024-01-15 00:00:00'"
 _PART_SQL = "user_id % 4"
 

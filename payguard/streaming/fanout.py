@@ -15,6 +15,9 @@ earlier attempt wrote, also where it has no rows now. A run is named in a
 pointer file beside the tables and owns a checkpoint; plain starts go on with
 that run. ``replay`` starts a new run from the first record: it becomes the
 pointer's run, and every start removes what other runs left in any sink.
+
+``RunSettings.dedupe_within`` takes each record once, however often it is
+delivered (keyed state, bounded by a watermark on the records' time).
 """
 
 from __future__ import annotations
@@ -136,8 +139,8 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
     decoded = decode(batch, ALL_FIELDS, "value", mode=mode, keep=(*ORIGIN, "payload"))
     if ERROR_COL not in decoded.columns:
         decoded = decoded.withColumn(ERROR_COL, F.lit(None).cast("string"))
-    # A record without a time counts for the first day of all.
-    decoded = decoded.withColumn("day", F.coalesce(F.to_date("timestamp"), F.to_date(F.lit("1970-01-01")))).persist(StorageLevel.MEMORY_AND_DISK)
+    # A record without a time has no day; retention and compaction leave those alone.
+    decoded = decoded.withColumn("day", F.to_date("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
     graded = None
     try:
         good = decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL)
@@ -161,19 +164,35 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
 
 
 def active_run(spark: SparkSession, sinks: Sinks, replay: bool = False) -> str:
-    """The run to go on with; a new one if there is none or on ``replay``."""
+    """The run to go on with; a new one if there is none or on ``replay``.
+
+    A pointer that is missing though runs have left checkpoints is an error: a new
+    run would remove their rows, of which the topic may hold only the newest."""
     run = None if replay else tables.read_text(spark, sinks.pointer)
     if run is None:
+        if not replay and (left := tables.folders(spark, sinks.checkpoint("*"))):
+            raise RuntimeError(f"{sinks.pointer} is missing but there are runs ({len(left)}): write the run's name there, or start with replay")
         run = f"run-{uuid.uuid4().hex[:12]}"
         tables.write_text(spark, sinks.pointer, run)
     return run
 
 
+def once(source: DataFrame, within: str) -> DataFrame:
+    """Each record once, though a broker or an archive delivers it again, in the same batch, a later
+    one or after a restart. A record is known by topic, partition and offset, never by its fields.
+
+    The state holds one key for each record whose time is within ``within`` of the newest; what is
+    older than that is dropped as late, so ``within`` should be no less than the tables' retention."""
+    return source.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["topic", "partition", "offset"])
+
+
 def start_fanout(source: DataFrame, sinks: Sinks, risk_sink: RiskSink, settings: RunSettings | None = None,
                  scorer=None, mode: str = "quarantine", available_now: bool = True, replay: bool = False):
     """Start the fan-out stream over a Kafka-shaped source. Returns the StreamingQuery."""
     settings = settings or RunSettings()
     spark = source.sparkSession
+    if settings.dedupe_within:
+        source = once(source, settings.dedupe_within)
     run = active_run(spark, sinks, replay)
     for path in (sinks.raw, sinks.anomaly, sinks.quarantine):
         tables.drop_other_runs(spark, path, run)

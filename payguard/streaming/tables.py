@@ -1,9 +1,15 @@
 """Index tables of the stream job: parquet, dated, one folder per run and batch.
 
 ``<root>/<table>/day=<date>/run=<run>/batch_id=<n>``. The day comes from the
-records' own time, so a batch that runs again lands on the same days. A batch
-replaces what an earlier attempt of it wrote, also when it has no rows now;
-retention drops whole days; compaction rewrites a closed day as a few files.
+records' own time, so a batch that runs again lands on the same days; records
+without a time have no day, and upkeep leaves them alone. A batch replaces what
+an earlier attempt of it wrote, also when it has no rows now.
+
+Retention drops whole days before a limit that a clock sets, never the newest
+record. Compaction rewrites batches that the stream has committed, which it
+never runs again, and deletes exactly those: batches that are written meanwhile,
+to whatever day, stay. A reader that lists a day in the moment of the swap can
+miss it; nothing is lost.
 """
 
 from __future__ import annotations
@@ -17,9 +23,10 @@ from pyspark.sql import types as T
 from payguard.session import file_system, path_exists
 
 PARTS = T.StructType([T.StructField("day", T.DateType()), T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
-#: The batch number of compacted files.
-COMPACTED = -1
-STAGED = "_compacting"
+#: Where a day's rows are staged (readers skip the name), and the file there that lists what they replace.
+STAGED, SOURCES = "_compacting", "_sources"
+#: Bytes of a compacted file, about.
+FILE_BYTES = 128 * 1024 * 1024
 
 
 def catalog_name(name: str) -> str:
@@ -69,39 +76,85 @@ def read_index(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
+def days_of(spark: SparkSession, path: str) -> dict[dt.date, str]:
+    """The dated folders of a table."""
+    return {dt.date.fromisoformat(f.rsplit("=", 1)[1]): f for f in folders(spark, f"{path}/day=[0-9]*")}
+
+
 def drop_old_days(spark: SparkSession, path: str, keep_days: int, newest: dt.date | None = None) -> list[dt.date]:
-    """Retention: delete the days more than ``keep_days`` days before ``newest``
-    (default: the newest day there is). Only folder names are read."""
-    days = {f: dt.date.fromisoformat(f.rsplit("=", 1)[1]) for f in folders(spark, f"{path}/day=[0-9]*")}
+    """Retention: delete the days more than ``keep_days`` days before ``newest``, the caller's
+    clock. Without one it is the newest day there is, but never later than today, so
+    records with a future time drop nothing. Only folder names are read."""
+    days = days_of(spark, path)
     if not days:
         return []
-    limit = (newest or max(days.values())) - dt.timedelta(days=keep_days)
-    gone = {f: d for f, d in days.items() if d < limit}
-    for f in gone:
-        drop(spark, f)
-    return sorted(gone.values())
+    now = newest or min(max(days), dt.datetime.now(dt.timezone.utc).date())
+    gone = sorted(d for d in days if d < now - dt.timedelta(days=keep_days))
+    for d in gone:
+        drop(spark, days[d])
+    return gone
+
+
+def committed(spark: SparkSession, checkpoint: str) -> int:
+    """The newest batch that a checkpoint has committed, -1 if none: Spark runs none of them again."""
+    done = [f.rsplit("/", 1)[1] for f in folders(spark, f"{checkpoint}/commits/[0-9]*")]
+    return max((int(n) for n in done if n.isdigit()), default=-1)
+
 
+def _modified(spark: SparkSession, path: str) -> int:
+    fs, p = file_system(spark, path)
+    return fs.getFileStatus(p).getModificationTime()
 
-def compact_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, run: str, files: int = 1) -> None:
-    """Rewrite a closed day (one that no batch writes any more) as ``files`` files.
 
-    The rewritten rows are staged under a name that readers skip. Only when they
-    are complete do the batch folders go and the staged one takes their place;
-    a call that was cut short is finished by the next one.
-    """
+def stage_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, run: str, files: int | None = None, upto: int | None = None) -> bool:
+    """Copy the rows of a day's batches up to ``upto`` (default: all there are) to the staged folder
+    and list the folders they came from; False if there is only one."""
+    here = f"{path}/day={day.isoformat()}"
+    staged = f"{here}/{STAGED}"
+    drop(spark, staged)
+    number = lambda f: int(f.rsplit("=", 1)[1])
+    sources = sorted((f for f in folders(spark, f"{here}/run={run}/batch_id=*") if upto is None or number(f) <= upto), key=number)
+    if len(sources) < 2:
+        return False
+    if files is None:
+        fs, _ = file_system(spark, here)
+        size = sum(fs.getContentSummary(file_system(spark, f)[1]).getLength() for f in sources)
+        files = size // FILE_BYTES + 1
+    spark.read.schema(schema).parquet(*sources).repartition(files).write.parquet(staged)
+    write_text(spark, f"{staged}/{SOURCES}", "\n".join(f.rsplit("/", 1)[1] for f in sources))
+    return True
+
+
+def swap_day(spark: SparkSession, path: str, day: dt.date, run: str) -> None:
+    """Put a complete staged folder in the place of what it lists. A call that is cut short is
+    finished by the next one; folders that aren't listed stay."""
     here = f"{path}/day={day.isoformat()}"
     staged = f"{here}/{STAGED}"
-    if not path_exists(spark, f"{staged}/_SUCCESS"):
-        drop(spark, staged)
-        rows = read_index(spark, path, schema).filter((F.col("day") == F.lit(day)) & (F.col("run") == run))
-        rows.drop(*PARTS.names).repartition(files).write.parquet(staged)
-    drop(spark, f"{here}/run=*")
+    listed = read_text(spark, f"{staged}/{SOURCES}")
+    if listed is None:  # cut before the list was written: what is older than the copy is in it
+        made = _modified(spark, f"{staged}/_SUCCESS")
+        listed = "\n".join(f.rsplit("/", 1)[1] for f in folders(spark, f"{here}/run={run}/batch_id=*") if _modified(spark, f) <= made)
+    names = listed.split()
+    for name in names:
+        drop(spark, f"{here}/run={run}/{name}")
+    # Below zero, so no batch is ever written there, and of its own: the newest batch in it makes the number.
+    number = -2 - max((int(n.rsplit("=", 1)[1]) for n in names), default=0)
     fs, source = file_system(spark, staged)
-    _, target = file_system(spark, f"{here}/run={run}/batch_id={COMPACTED}")
+    _, target = file_system(spark, f"{here}/run={run}/batch_id={number}")
     fs.mkdirs(target.getParent())
     fs.rename(source, target)
 
 
+def compact_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, run: str, files: int | None = None, upto: int | None = None) -> None:
+    """Rewrite a day's batches up to ``upto`` (the newest committed one, while a stream runs) as
+    ``files`` files (default: by their bytes)."""
+    staged = f"{path}/day={day.isoformat()}/{STAGED}"
+    if path_exists(spark, f"{staged}/_SUCCESS"):
+        swap_day(spark, path, day, run)
+    if stage_day(spark, path, schema, day, run, files, upto):
+        swap_day(spark, path, day, run)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file, None if there is none."""
     if not path_exists(spark, path):
@@ -115,7 +168,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Replace a small text file in one step (written beside it, then renamed)."""
+    """Replace a small text file in one step: written beside it, then renamed over it."""
     fs, temp = file_system(spark, f"{path}.new")
     out = fs.create(temp, True)
     try:
@@ -123,5 +176,9 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     finally:
         out.close()
     _, p = file_system(spark, path)
-    fs.delete(p, False)
-    fs.rename(temp, p)
+    sc = spark.sparkContext
+    kind = getattr(sc._jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = sc._gateway.new_array(kind, 1)
+    over[0] = kind.OVERWRITE
+    sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(temp), fs.makeQualified(p), over)

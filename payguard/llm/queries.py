@@ -11,7 +11,7 @@ DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets in every document, judged by how many sources hold them."""
+    """Secrets in every document, judged by how many sources and documents hold them."""
     return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 

@@ -103,3 +103,20 @@ def test_hot_value(spark, share):
     rows = [(i, "token=samesame1" if i % share == 0 else f"token=value{i:06d}", f"s{i % 7}") for i in range(3000)]
     got = secrets.scan(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
     assert got.filter("n_example = 1").count() == 1000 and got.filter("n_live = 1").count() == 2000
+
+
+def test_time_grows_with_the_length_of_a_text(spark):
+    import time
+    took = []
+    many, one = f"a café token=abcdef%05d by {WIDE} ", "the bead of a cafe in decade 12ab34 and face "
+    for n in (55_000, 110_000):  # about 2.5 and 5 MB, many spans in the first text and one at the end of the second
+        texts = [(1, "".join(many % i for i in range(n)), "a", n), (2, one * n + "0123456789abcdef" * 2, "a", n)]
+        docs = spark.createDataFrame(texts, "doc_id bigint, text string, source string, n_chars bigint")
+        start = time.time()
+        got = {r["doc_id"]: r for r in secrets.scan(docs).collect()}
+        out = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+        took.append(time.time() - start)
+        assert got[1]["n_assign"] == n and got[2]["spans"] == f"hex:{len(one) * n}:{len(one) * n + 32}"
+        same = out[1] == "a café <secret> by <secret> " * n, out[2] == one * n + "<secret>"
+        assert same == (True, True)
+    assert took[1] <= 2.5 * took[0] + 3, took

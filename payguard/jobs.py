@@ -164,12 +164,17 @@ def _sender(settings: RunSettings, opts: dict[str, str]):
 
 
 def forward_job(argv: list[str], spark: SparkSession | None = None, connect=None):
-    """Forward risk events that arrive from now on to a subscriber's URL; returns the StreamingQuery."""
-    from payguard.session import scratch_dir
-    from payguard.streaming.forward import forward_stream, post_to
+    """Forward risk events to a subscriber's URL; returns the StreamingQuery.
+
+    The subscription is named by ``groupId`` (or ``subscription``): its offsets are kept
+    under the table root. It begins with what arrives after its first start and goes on
+    where it stopped at every later one, so what came in between is delivered then.
+    ``checkpoint`` keeps it elsewhere.
+    """
+    from payguard.streaming.forward import Subscription, forward_stream, post_to
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, _SECURITY + ("subscriberURL", "outPath", "recordsPath", "sourcePrefix", "checkpoint"))
+    opts = parse_options(argv, _SECURITY + ("tableRoot", "subscriberURL", "outPath", "recordsPath", "sourcePrefix", "checkpoint", "subscription"))
     if opts.get("outPath"):
         from payguard.streaming.tables import write_batch
         deliver = lambda batch, n: write_batch(batch.withColumn("day", F.current_date()), opts["outPath"], "forwarded", n)
@@ -177,17 +182,17 @@ def forward_job(argv: list[str], spark: SparkSession | None = None, connect=None
         deliver = post_to(opts["subscriberURL"], ca_data=settings.ca_data(), connect=connect)
     else:
         raise ValueError("forward needs --subscriberURL or --outPath")
-    marks = None
+    place = opts.get("checkpoint") or f"{_tables(spark, settings, opts).root}/_subscriptions/{opts.get('subscription') or settings.group_id}"
+    subscription, marks = Subscription(place), None
     if opts.get("recordsPath"):
-        from payguard.session import materialise
-        from payguard.sources.records import next_offsets, read_records, stream_records
+        from payguard.sources.records import read_records, stream_records
         records = stream_records(spark, opts["recordsPath"])
-        marks = materialise(next_offsets(read_records(spark, opts["recordsPath"])), "subscription")
+        marks = subscription.marks(read_records(spark, opts["recordsPath"]))
     else:
         from payguard.sources.kafka import risk_stream_new_only
         records = risk_stream_new_only(spark, settings, security_from(opts))
     more = {"source_prefix": opts["sourcePrefix"]} if opts.get("sourcePrefix") else {}
-    return forward_stream(records, deliver, opts.get("checkpoint") or scratch_dir(spark, "forward"), marks, available_now="availableNow" in opts, **more)
+    return forward_stream(records, deliver, subscription.checkpoint, marks, available_now="availableNow" in opts, **more)
 
 
 def upkeep_job(argv: list[str], spark: SparkSession | None = None) -> dict[str, list]:

@@ -586,6 +586,34 @@ def q_forward_new(spark, sf_dir):
                       F.date_format("ce_time", "yyyy-MM-dd HH:mm:ss").alias("ce_time"), "data")
 
 
+@register("forward_resume", """
+SELECT 'partition:' || (l_orderkey % 4) || '/offset:' || (1000000000000 + l_orderkey * 10 + l_linenumber) AS ce_id,
+       '/apis/v1/sources/subscriber#procure-raw' AS ce_source, count(*) AS delivered
+FROM lineitem WHERE l_linestatus <> 'F' GROUP BY ALL""")
+def q_forward_resume(spark, sf_dir):
+    """A named subscription that is stopped and taken up again: it begins after the closed lines, sees
+    nothing of them, and gets what came while it was down when it starts again, each record once."""
+    from payguard.streaming.forward import Subscription, forward_stream
+    run = scenario.new_run(spark, "forward_resume")
+    closed, open_ = scenario.waves(read_table(spark, sf_dir, "lineitem", spread=True))
+    out = f"{scratch_dir(spark, 'forwarded')}/events"
+    place = scratch_dir(spark, "subscriptions")
+
+    def start():
+        subscription = Subscription(f"{place}/group-a")
+        marks = subscription.marks(spark.read.parquet(run.topic))
+        forward_stream(stream_records(spark, run.topic), lambda batch, n: tables.write_batch(
+            batch.withColumn("day", F.to_date("ce_time")), out, "forwarded", n), subscription.checkpoint, marks).awaitTermination()
+
+    scenario.append(scenario.raw_records(closed, RunSettings()), run)
+    start()
+    for half in (0, 1):  # what comes while the subscription is down, twice
+        later = F.lit(10 ** 12) + F.col("l_orderkey") * 10 + F.col("l_linenumber")
+        scenario.append(scenario.raw_records(open_.where(F.floor(F.pmod("l_orderkey", F.lit(8)) / 4) == half), RunSettings(), offset=later), run)
+        start()
+    return spark.read.parquet(out).groupBy("ce_id", "ce_source").agg(F.count(F.lit(1)).alias("delivered"))
+
+
 @register("retention_prune", """
 SELECT * FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) FROM events) - INTERVAL 7 DAY""")
 def q_retention_prune(spark, sf_dir):

@@ -1,8 +1,9 @@
 """Forward new risk events to a subscriber as a stream.
 
-A subscription sees only what arrives after it started. On Kafka that is
+A subscription sees only what arrives after it first started. On Kafka that is
 ``startingOffsets=latest`` on a fresh checkpoint; on archived records it is a
-table of the offsets that each partition had then. Every micro-batch of new
+table of the offsets that each partition had then. Both are kept in the
+subscription's folder, so a later start goes on where it stopped. Every micro-batch of new
 records goes, with its delivery attributes, to ``deliver(batch, batch_id)``.
 """
 
@@ -14,6 +15,27 @@ from pyspark.sql import DataFrame
 
 from payguard.config import JSON_CONTENT_TYPE
 from payguard.operators.forward import delivery_attributes, new_records
+from payguard.session import path_exists
+from payguard.sources.records import next_offsets
+
+class Subscription:
+    """A named subscription: the folder of its checkpoint and of the offsets at which it began."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    @property
+    def checkpoint(self) -> str:
+        return f"{self.path}/checkpoint"
+
+    def marks(self, records: DataFrame) -> DataFrame:
+        """The offsets of ``records`` at the subscription's first start (one row per topic partition):
+        written then, read at every later start."""
+        spark, path = records.sparkSession, f"{self.path}/began"
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            next_offsets(records).coalesce(1).write.mode("overwrite").parquet(path)
+        return spark.read.schema("partition int, next_offset bigint").parquet(path)
+
 
 ATTRIBUTES = ("ce_id", "ce_subject", "ce_source", "ce_type", "ce_specversion", "ce_time")
 

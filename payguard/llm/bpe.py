@@ -8,9 +8,11 @@ by their hash, where each distinct word is encoded once, and their ids go back
 to the chunks, in which every position takes the ids of its word. A word that
 holds a third of all tokens is one row of each chunk, so there is no hot key.
 
-What is shuffled are packed columns (Arrow record batches, compressed): of a
-chunk the word numbers of its texts, and of each chunk and hash part the words
-or their ids. Both streams are read in order with memory for one chunk's words.
+Words travel as packed columns (Arrow record batches, compressed), one for each
+chunk and part of the hash space, and so do their ids on the way back. The texts
+don't travel: their word numbers are written once, bucketed by chunk, and the
+ids are shuffled to those buckets (a co-located join; the bucketed table is in
+the scratch folder and has an entry in the catalog). Memory is one chunk's.
 
 Decoding looks each id up in the table of token bytes (a vocabulary's size),
 which every task holds, and joins the bytes.
@@ -25,18 +27,21 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from payguard.llm.common import cuts, materialise
-from payguard.session import plan_bytes
+from payguard.llm.common import cuts
+from payguard.session import plan_bytes, scratch_dir
 
 #: Characters (bytes) of the texts of a chunk: bounds the words that a task holds.
 CHUNK = 32_000_000
 #: Input bytes for each part of the words' hash space: bounds the distinct words that a task encodes.
 PART_BYTES = 64_000_000
+#: Ids that are decoded together.
+DECODED = 500_000
 #: Part number of the rows that hold a chunk's texts.
 TEXTS = -1
 
@@ -81,7 +86,7 @@ def packed(names: list[str], arrays: list) -> bytes:
     import pyarrow as pa
     batch = pa.RecordBatch.from_arrays(arrays, names=names)
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as w:
         w.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
@@ -91,9 +96,14 @@ def unpacked(body: bytes):
     return pa.ipc.open_stream(body).read_next_batch()
 
 
-def narrow(values, top: int) -> np.ndarray:
-    """Unsigned numbers below ``top`` in as few bytes as that allows."""
-    return np.asarray(values, dtype=np.uint16 if top <= 65536 else np.uint32)
+def planes(values: np.ndarray, lengths) -> list:
+    """List columns with the low and the high 16 bits of numbers: the high ones are nearly all 0."""
+    return [ragged(lengths, (values & 0xFFFF).astype(np.uint16)), ragged(lengths, (values >> 16).astype(np.uint16))]
+
+
+def joined_planes(low, high) -> np.ndarray:
+    """All numbers of two such columns."""
+    return low.flatten().to_numpy().astype(np.int64) | high.flatten().to_numpy().astype(np.int64) << 16
 
 
 def ragged(lengths, flat: np.ndarray):
@@ -109,7 +119,8 @@ def spread_ids(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, flat: n
     return flat[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-_ROWS = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("body", T.BinaryType())])
+_ROWS = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("body", T.BinaryType()),
+                      T.StructField("texts", T.BooleanType())])
 
 
 def numbered(df: DataFrame, text: str, keep: list[str], pattern: str, parts: int, chunk_chars: int) -> DataFrame:
@@ -125,7 +136,8 @@ def numbered(df: DataFrame, text: str, keep: list[str], pattern: str, parts: int
         size = 0
 
         def row(part, body):
-            return pa.RecordBatch.from_arrays([pa.array([base + count]), pa.array([part], pa.int32()), pa.array([body], pa.binary())], names=_ROWS.names)
+            return pa.RecordBatch.from_arrays([pa.array([base + count]), pa.array([part], pa.int32()), pa.array([body], pa.binary()), pa.array([part == TEXTS])],
+                                             names=_ROWS.names)
 
         def end():
             by_part: dict[int, tuple[list, list]] = {}
@@ -151,7 +163,7 @@ def numbered(df: DataFrame, text: str, keep: list[str], pattern: str, parts: int
                     found = find(t) if t else []
                     lengths.append(len(found))
                     codes += [words.setdefault(w, len(words)) for w in found]
-                body = [part.column(1 + i) for i in range(len(keep))] + [ragged(lengths, narrow(codes, len(words)))]
+                body = [part.column(1 + i) for i in range(len(keep))] + planes(np.array(codes, dtype=np.int64), lengths)
                 yield row(TEXTS, packed([f"c{i}" for i in range(len(body))], body))
         if size or count:
             yield from end()
@@ -178,44 +190,39 @@ def encoded_words(rows: DataFrame, ranks) -> DataFrame:
                         got = known[w] = merge(w, ranks.value)
                     ids.append(got)
                 flat = np.array([i for got in ids for i in got], dtype=np.int64)
-                out = packed(["code", "ids"], [held.column(0), ragged([len(got) for got in ids], narrow(flat, len(ranks.value)))])
-                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([part], pa.int32()), pa.array([out], pa.binary())], names=_ROWS.names)
+                out = packed(["code", "low", "high"], [held.column(0), *planes(flat, [len(got) for got in ids])])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([part], pa.int32()), pa.array([out], pa.binary())], names=["chunk", "part", "body"])
 
-    return rows.sortWithinPartitions("part").mapInArrow(run, _ROWS)
+    return rows.sortWithinPartitions("part").mapInArrow(run, "chunk bigint, part int, body binary")
 
 
-def reassembled(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per chunk first the words' ids, then the texts: each position takes its word's ids."""
-    def run(batches):
+def reassembled(texts: DataFrame, words: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per chunk (of bounded size): each position of its texts takes its word's ids."""
+    def run(texts, words):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
         out = to_arrow_schema(schema)
-        here, codes, sizes, flats, table = None, [], [], [], None
-        for batch in batches:
-            for chunk, part, body in zip(*[c.to_pylist() for c in batch.columns]):
-                if chunk != here:
-                    here, codes, sizes, flats, table = chunk, [], [], [], None
-                held = unpacked(body)
-                if part != TEXTS:
-                    ids = held.column(1)
-                    codes.append(held.column(0).to_numpy())
-                    sizes.append(np.diff(ids.offsets.to_numpy()))
-                    flats.append(ids.flatten().to_numpy().astype(np.int32))
-                    continue
-                if table is None:
-                    code, size, flat = (np.concatenate(v) if v else np.zeros(0, dtype=np.int64) for v in (codes, sizes, flats))
-                    starts, lengths = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
-                    starts[code], lengths[code] = np.cumsum(size) - size, size
-                    table, codes, sizes, flats = (starts, lengths, flat), [], [], []
-                words = held.column(held.num_columns - 1)
-                at = words.flatten().to_numpy().astype(np.int64)
-                starts, lengths, flat = table
-                total = np.concatenate([[0], np.cumsum(lengths[at])])
-                ids = ragged(np.diff(total[words.offsets.to_numpy()]), spread_ids(at, starts, lengths, flat).astype(np.int32))
-                arrays = [held.column(i).cast(out.field(i).type) for i in range(held.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*arrays, ids.cast(out.field(len(arrays)).type)], schema=out)
-
-    return rows.sortWithinPartitions("chunk", F.desc("part")).mapInArrow(run, schema)
+        codes, sizes, flats = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for body in words.column("body").to_pylist():
+            held = unpacked(body)
+            codes.append(held.column(0).to_numpy())
+            sizes.append(np.diff(held.column(1).offsets.to_numpy()))
+            flats.append(joined_planes(held.column(1), held.column(2)))
+        code, size, flat = (np.concatenate(v).astype(np.int64) for v in (codes, sizes, flats))
+        starts, lengths = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
+        starts[code], lengths[code] = np.cumsum(size) - size, size
+        done = []
+        for body in texts.column("body").to_pylist():
+            held = unpacked(body)
+            low, high = held.columns[-2:]
+            at = joined_planes(low, high)
+            total = np.concatenate([[0], np.cumsum(lengths[at])])
+            ids = ragged(np.diff(total[low.offsets.to_numpy()]), spread_ids(at, starts, lengths, flat).astype(np.int32))
+            arrays = [held.column(i).cast(out.field(i).type) for i in range(held.num_columns - 2)]
+            done.append(pa.RecordBatch.from_arrays([*arrays, ids.cast(out.field(len(arrays)).type)], schema=out))
+        return pa.Table.from_batches(done, schema=out)
+
+    return texts.groupBy("chunk").cogroup(words.groupBy("chunk")).applyInArrow(run, schema)
 
 
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: list[str] | None = None, chunk_chars: int = CHUNK) -> DataFrame:
@@ -225,12 +232,28 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", kee
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))  # the vocabulary
     known = plan_bytes(df)  # nothing to go by where Catalyst can't estimate
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), known // PART_BYTES + 1 if known < 2 ** 60 else 0)
-    rows = materialise(numbered(df, text, keep, pattern, parts, chunk_chars), "bpe-words")
-    words = encoded_words(rows.filter(F.col("part") != TEXTS).repartition(parts, "part"), ranks)
+    # A task writes its few chunks to their buckets: no shuffle, and texts and words in files of their own.
+    name = f"payguard_bpe_{uuid.uuid4().hex[:12]}"
+    numbered(df, text, keep, pattern, parts, chunk_chars).write.partitionBy("texts").bucketBy(parts, "chunk").format("parquet").option(
+        "path", scratch_dir(spark, "bpe-words")).saveAsTable(name)
+    rows = spark.table(name)
+    words = encoded_words(rows.filter(~F.col("texts")).select("chunk", "part", "body").repartition(parts, "part"), ranks)
     kinds = {f.name: f.dataType for f in df.schema.fields}
     schema = T.StructType([T.StructField(f"k_{i}", kinds[c]) for i, c in enumerate(keep)] + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    both = rows.filter(F.col("part") == TEXTS).unionByName(words).repartition(parts, "chunk")
-    return reassembled(both, schema).select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "ids")
+    got = reassembled(rows.filter("texts").select("chunk", "body"), words, schema)
+    return got.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "ids")
+
+
+def slices(lengths: np.ndarray, most: int):
+    """(start, stop) of runs of rows with about ``most`` values together, one row at least."""
+    start, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if held and held + n > most:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
@@ -243,14 +266,23 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark.sql.pandas.types import to_arrow_schema
         out = to_arrow_schema(schema)
-        table: list[bytes | None] = [None] * (max(tokens.value.values(), default=-1) + 1)
+        size = np.zeros(max(tokens.value.values(), default=-1) + 1, dtype=np.int64)
         for token, rank in tokens.value.items():
-            table[rank] = token
+            size[rank] = len(token)
+        flat = np.frombuffer(b"".join(sorted(tokens.value, key=tokens.value.get)), dtype=np.uint8)
+        starts = np.cumsum(size) - size
         for batch in batches:
-            got = pa.array([b"".join([table[i] for i in row]) if row else b"" for row in batch.column(at).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(out.field(i).type) for i in range(len(keep))], got], schema=out)
+            lengths = pc.fill_null(pc.list_value_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, j in slices(lengths, DECODED):
+                part = batch.slice(i, j - i)
+                got = part.column(at).flatten().to_numpy(zero_copy_only=False)
+                ends = np.concatenate([[0], np.cumsum(size[got])])[np.concatenate([[0], np.cumsum(lengths[i:j])])]
+                data = spread_ids(got, starts, size, flat)
+                body = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays([*[part.column(c).cast(out.field(c).type) for c in range(len(keep))], body], schema=out)
 
     mapped = df.select(*[F.col(c).alias(f"k_{i}") for i, c in enumerate(keep)]).mapInArrow(run, schema)
     return mapped.select(*[F.col(f"k_{i}").alias(c) for i, c in enumerate(keep)], "decoded")

@@ -5,20 +5,20 @@ The kernel compares two strings by the subsequences of three characters that
 they share, gaps included: every character a subsequence skips costs a factor
 ``DECAY``, up to ``SPAN`` characters in all. So an insult with inserted or
 exchanged characters stays close to itself. What is compared with a landmark is a window of a
-sentence: windows of the landmarks' lengths, with and without word ends, slide over the
-sentence's characters one by one, across words (``^a$^b$``) and inside them, so glued words
-show; marks inside a word split it and are also left out. Besides, a word (word ends count as
-characters), a run of spelt-out single characters read as one word, a piece of a very long
-word, and every second character of a word (a fully gapped insult). Values below
-``FLOOR`` count as 0.
+sentence: a word (word ends count as characters), windows of the landmarks' lengths that slide
+over a word's characters one by one, with and without word ends, so glued words show, and the
+same across words (``^a$^b$``) in runs of short words and of words near half of a landmark of
+two; marks inside a word split it and are also left out. Besides, a run of spelt-out single
+characters read as one word, a piece of a very long word, and every second character of a word
+(a fully gapped insult). Values below ``FLOOR`` count as 0.
 
 Landmarks are words that set toxic training texts apart, and pairs of neighbouring words
 that do so while neither word does, no two of them alike.
-A window's vector is multiplied by the inverse root of the landmarks' own
-kernel matrix. A sentence scores as its worst window and a text as its worst
-sentence, that is, as the worst of all its windows: the machine is trained on
-those windows, which are picked again by its own scores, and the score is
-calibrated on the training texts.
+A text's vector holds, for each landmark, the sum of the values of its different
+words (or its nearest window's, if that is more) in logarithms: one harmless relative
+of an insult is less than several insults.
+The vector is multiplied by the inverse root of the landmarks' own kernel matrix,
+the machine is trained on the labelled texts, and its distances are calibrated.
 
 The training sample is bounded: at most ``TRAIN_DOCS`` labelled texts of each
 kind (smallest hashes), ``TRAIN_CHARS`` characters each. Scoring covers whole
@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -42,9 +43,10 @@ from payguard.llm.quality import logistic, training_rows
 
 DECAY, SPAN, FLOOR = 0.6, 5, 0.5
 LANDMARKS, CANDIDATES, ALIKE = 96, 400, 0.75
-ROUNDS = 5
+#: Hashes by which copies of a training text are told.
+SKETCH = 16
 #: What all clean texts weigh in the calibration, the toxic ones weighing 1.
-CLEAN = 3.0
+CLEAN = 2.0
 WINDOW = 24
 TRAIN_DOCS, TRAIN_CHARS = 1500, 20_000
 TRAIN_BATCH = 100
@@ -56,6 +58,8 @@ PAIR_EVIDENCE, PAIR_SLOTS = 14.0, 1 << 22
 SLIDE_CHARS, SLIDE_ROWS, GAPPED = 200_000, 8_000, 4
 #: Words, and windows, that a task remembers before it starts afresh.
 MEMORY = 400_000
+#: Letters of a word that may be part of an insult cut by spaces, and the longest run of words that is remembered.
+SHORT, REMEMBERED = 4, 200
 SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 SPELT = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -130,7 +134,7 @@ class Kernel:
     """The normalised kernel between any windows and the landmarks."""
 
     def __init__(self, landmarks: list[str]):
-        self.m = len(landmarks)
+        self.landmarks, self.m = landmarks, len(landmarks)
         lm, key, w = vectors(landmarks)
         order = np.argsort(key, kind="stable")
         self.lm, self.w = lm[order], w[order]
@@ -139,35 +143,50 @@ class Kernel:
         self.row = np.full(CODES ** 3, -1, dtype=np.int32)
         self.row[keys] = np.arange(len(keys))
         # The windows that slide have a landmark's length, with its word ends or without: (length, least norm of such a
-        # window, its landmarks). And the weight of each triple in each landmark, sorted by length, the last row for all others.
+        # window, which of the landmarks' lengths).
         sizes = np.array([len(m) for m in landmarks])
         by = np.argsort(sizes, kind="stable")
         least = lambda n: np.sqrt(sum(max(n - last, 0) * (last - 1) * DECAY ** (2 * (last - 2)) for last in range(2, SPAN + 1)))
-        self.slides = [(n, float(least(n)), slice(*np.searchsorted(sizes[by], [size, size + 1]))) for size in np.unique(sizes).tolist()
-                       for n in (size - 2, size) if n > 2]
-        self.dense = np.zeros((len(keys) + 1, self.m), dtype=np.float32)
-        self.dense[np.repeat(np.arange(len(keys)), np.diff(self.start)), np.argsort(by)[self.lm]] = self.w
+        self.least = np.array([float(least(n)) for n in range(WINDOW + 1)])
+        self.slides = [(n, float(least(n)), g) for g, size in enumerate(np.unique(sizes).tolist()) for n in (size - 2, size) if n > 2]
+        # The most that a triple adds to any landmark of a length (none for triples of no landmark), by length.
+        dense = np.zeros((len(keys), self.m), dtype=np.float32)
+        dense[np.repeat(np.arange(len(keys)), np.diff(self.start)), np.argsort(by)[self.lm]] = self.w
+        self.used = self.row >= 0
+        self.most = np.stack([dense[:, slice(*np.searchsorted(sizes[by], [size, size + 1]))].max(1) for size in np.unique(sizes)], axis=1)
 
     def slide(self, stream: str) -> list[tuple[int, str]]:
-        """(start, window) of the sliding windows of a text that can reach FLOOR; none holds a line end."""
+        """(start, window) of the sliding windows, and of the whole lines, of a text that can reach FLOOR; no window holds a line end.
+
+        What a window's triples add at most to any landmark of its length bounds its value: a running
+        sum for each length instead of each landmark."""
         every = np.concatenate([codes([stream])[0][:len(stream)], np.zeros(WINDOW + SPAN, dtype=np.int32)])
-        lines = np.concatenate([[0], np.cumsum(np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 10)])
+        ends = np.append(np.flatnonzero(np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 10), len(stream))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        short = (ends - starts >= 3) & (ends - starts <= WINDOW)
+        starts, stops = starts[short], ends[short]
         out = []
         for a in range(0, len(stream), SLIDE_ROWS):
             n = min(SLIDE_ROWS + WINDOW, len(stream) - a)
             c = every[a:a + n + SPAN]
-            total = np.zeros((n + 1, self.m), dtype=np.float32)
-            for last in range(2, SPAN + 1):
-                for mid in range(1, last):
-                    r = self.row[(c[:n] * CODES + c[mid:mid + n]) * CODES + c[last:last + n]]
-                    i = np.flatnonzero(r >= 0)
-                    total[i + 1] += np.float32(DECAY ** (last - 2)) * self.dense[r[i]]
-            total = np.cumsum(np.ascontiguousarray(total.T), axis=1)
-            for size, least, cols in self.slides:
+            bound = np.zeros((n + 1, self.most.shape[1]), dtype=np.float32)
+            for mid in range(1, SPAN):
+                two = (c[:n] * CODES + c[mid:mid + n]) * CODES
+                for last in range(max(mid + 1, 2), SPAN + 1):
+                    k = two + c[last:last + n]
+                    i = np.flatnonzero(self.used[k])
+                    bound[i + 1] += np.float32(DECAY ** (last - 2)) * self.most[self.row[k[i]]]
+            bound = np.cumsum(bound, axis=0)
+            for size, least, g in self.slides:
                 stop = min(SLIDE_ROWS, n - size + 1)  # the starts from there on are the next part's
                 if stop > 0:
-                    s = np.flatnonzero((total[cols, size - 2:size - 2 + stop] - total[cols, :stop]).max(0) >= FLOOR * least - 2e-3) + a
-                    out += [(i, stream[i:i + size]) for i in s[lines[s + size] == lines[s]].tolist()]
+                    s = np.flatnonzero(bound[size - 2:size - 2 + stop, g] - bound[:stop, g] >= FLOOR * least - 2e-3) + a
+                    s = s[np.searchsorted(ends, s) == np.searchsorted(ends, s + size)] if len(s) else s
+                    out += [(i, stream[i:i + size]) for i in s.tolist()]
+            u, v = np.searchsorted(starts, [a, a + SLIDE_ROWS])
+            b, e = starts[u:v], stops[u:v]
+            near = (bound[e - a - 2] - bound[b - a]).max(axis=1, initial=0) >= FLOOR * self.least[e - b] - 2e-3
+            out += [(i, stream[i:j]) for i, j in zip(b[near].tolist(), e[near].tolist())]
         return out
 
     def __call__(self, strings: list[str]):
@@ -205,16 +224,21 @@ class Kernel:
 
 class Reader:
     """From texts to what their windows near a landmark hold: kernel vectors, or
-    with ``weights`` their scores. Remembered by word and by window."""
+    with ``weights`` their scores. Remembered by word, by run of words and by window."""
 
     def __init__(self, kernel: Kernel, weights: np.ndarray | None = None):
-        self.kernel, self.weights, self.known, self.said, self.near = kernel, weights, {}, {}, {}
+        self.kernel, self.weights = kernel, weights
+        # Of a word: the values of its windows, its pieces as a sentence shows them, and whether windows reach beyond it.
+        self.known, self.said, self.open, self.runs, self.near = {}, {}, {}, {}, {}
+        self.hot: set = set()  # words with any value
+        halves = sorted({f"{h.strip('^$')}" for m in kernel.landmarks for h in m.split("$^") if "$^" in m})
+        self.halves = Kernel([f"^{h}$" for h in halves]) if halves else None
 
     def compare(self, strings: set) -> None:
         """Fill ``near``: the values of windows, None for those that are near no landmark."""
         if len(self.near) + len(strings) > MEMORY:
             self.near = {}
-        fresh = sorted((w for w in strings if w not in self.near), key=lambda w: (len(w), w))
+        fresh = sorted((w for w in strings if w not in self.near), key=len)
         self.near.update(dict.fromkeys(fresh))
         for w, v in self.kernel(fresh):
             self.near[w] = v.astype(np.float32) if self.weights is None else float(v @ self.weights)
@@ -236,24 +260,51 @@ class Reader:
         return found
 
     def learn(self, tokens: set) -> None:
+        """Read new words: as a whole, by their pieces, and every second character of the long ones."""
         if len(self.known) + len(tokens) > MEMORY:
-            self.known, self.said = {}, {}
-        fresh = {t: (read(t), pieces(t)) for t in tokens if t not in self.known}
-        own = {t: set(windows(w)) if w else set() for t, (w, _) in fresh.items()}
-        extra = []  # what isn't in the sentence itself: joined pieces and every second character
-        for t, (w, said) in fresh.items():
-            self.said[t] = "".join(f"^{x}$" for x in said) + ("\n" if ENDS.search(t) else "")
-            if len(said) > 1 or "".join(t.split()) != t:
-                extra.append((t, f"^{w}$"))
-            if len(w) >= 2 * GAPPED - 1:
-                extra += [(t, f"^{w[k::2]}$") for k in (0, 1)]
-        for (t, x), found in zip(extra, self.slide([x for _, x in extra])):
-            own[t] |= found
-        self.compare(set().union(*own.values()))
-        for t, ws in own.items():
-            self.known[t] = [v for w in sorted(ws) if (v := self.near[w]) is not None]
+            self.known, self.said, self.open, self.hot = {}, {}, {}, set()
+        fresh, long, streams = [t for t in tokens if t not in self.known], {}, []
+        for t in fresh:
+            if t.isalpha():
+                w, shown, stop = t, f"^{t}$", ""
+            else:
+                w = EDGE.sub("", t)
+                w, said = (w, [w]) if w.isalpha() else (read(t), pieces(t))
+                shown, stop = "".join([f"^{x}$" for x in said]), "\n" if ENDS.search(t) else ""
+            n = len(w)
+            self.said[t], self.open[t] = shown + stop, 0 < n <= SHORT
+            lines = shown if not n or shown == f"^{w}$" else f"{shown}\n^{w}$"
+            if n >= 2 * GAPPED - 1:
+                lines = f"{lines}\n^{w[::2]}$\n^{w[1::2]}$"
+                if n > WINDOW - 2:
+                    long[t] = windows(w)
+            streams.append(lines)
+        own = self.slide(streams)
+        for t, found in zip(fresh, own):
+            if t in long:
+                found.update(long[t])
+        self.compare(set().union(*own))
+        for t, ws in zip(fresh, own):
+            self.known[t] = [v for w in sorted(ws) if (v := self.near[w]) is not None] if ws else []
+            if self.known[t]:
+                self.hot.add(t)
+        if self.halves is not None:
+            whole = {t: f"^{w}$" for t in fresh if (w := read(t)) and len(w) <= WINDOW - 2}
+            near = {w for w, _ in self.halves(sorted(set(whole.values()), key=len))}
+            for t, w in whole.items():
+                self.open[t] = self.open[t] or w in near
+
+    def across(self, words: list[str]) -> set:
+        """The runs of words that windows slide across: short words, which may be an insult's
+        parts, and words near half of a landmark of two."""
+        out = set()
+        for is_open, run in groupby(words, self.open.__getitem__):
+            if is_open and len(run := list(run)) > 1:
+                out.add("".join(map(self.said.__getitem__, run)))
+        return out
 
-    def __call__(self, texts: list) -> list[list]:
+    def places(self, texts: list) -> list[tuple[list, list]]:
+        """Per text the values of the windows of each of its different words, and of those across words."""
         low = [(t or "").lower() for t in texts]
         split = [t.split() for t in low]
         tokens = [set(t) for t in split]
@@ -262,10 +313,32 @@ class Reader:
         every = set().union(*tokens)
         if not every <= self.known.keys():
             self.learn(every)
-        values = [[v for t in (sorted(own) if self.weights is None else own) for v in self.known[t]] for own in tokens]  # vectors in a fixed order
-        slid = self.slide(["".join(map(self.said.__getitem__, t)) for t in split])
-        self.compare(set().union(*slid))
-        return [v + [x for w in sorted(ws) if (x := self.near[w]) is not None] for v, ws in zip(values, slid)]
+        runs = [self.across(t) for t in split]
+        if len(self.runs) > MEMORY:
+            self.runs = {}
+        fresh = list(set().union(*runs).difference(self.runs))
+        found = self.slide(fresh)
+        self.compare(set().union(*found))
+        new = {r: [v for w in sorted(ws) if (v := self.near[w]) is not None] for r, ws in zip(fresh, found)}
+        out = [([self.known[t] for t in sorted(own & self.hot)],
+                [v for r in sorted(mine) for v in (new[r] if r in new else self.runs[r])]) for own, mine in zip(tokens, runs)]
+        self.runs.update((r, v) for r, v in new.items() if len(r) <= REMEMBERED)
+        return out
+
+    def __call__(self, texts: list) -> list[list]:
+        """Per text the values of all its words' and sentences' windows."""
+        return [[v for word in words for v in word] + slid for words, slid in self.places(texts)]
+
+    def pooled(self, texts: list) -> np.ndarray:
+        """Per text and landmark how much of its words is near the landmark, or how near its nearest
+        window is if that is more; in logarithms."""
+        out = np.zeros((len(texts), self.kernel.m))
+        for row, (words, slid) in zip(out, self.places(texts)):
+            for word in words:
+                row += np.max(word, axis=0)
+            for v in slid:
+                np.maximum(row, v, out=row)
+        return np.log1p(out)
 
 
 def svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[np.ndarray, float]:
@@ -298,9 +371,27 @@ def pairs(text: str) -> set:
     return out
 
 
+def firsts(texts: list[str]) -> list[int]:
+    """The texts that aren't near copies of one before: of their smallest hashes of three
+    neighbouring words at most three quarters were there together."""
+    seen: dict[int, int] = {}
+    out = []
+    for i, t in enumerate(texts):
+        words = t.lower().split()
+        marks = sorted({zlib.crc32(" ".join(words[j:j + 3]).encode("utf-8", "surrogatepass")) for j in range(max(len(words) - 2, 1))})[:SKETCH]
+        met = [seen[m] for m in marks if m in seen]
+        if not met or 4 * max(map(met.count, set(met))) <= 3 * len(marks):
+            out.append(i)
+            seen.update(dict.fromkeys(marks, i))
+    return out
+
+
 def choose(texts: list[str], y: np.ndarray) -> list[str]:
     """Landmark windows: words far more frequent in toxic texts, and pairs of words
-    that are so while neither word is, no two alike."""
+    that are so while neither word is, no two alike. Copies of a text count once:
+    what they repeat is no evidence."""
+    own = firsts(texts)
+    texts, y = [texts[i] for i in own], y[own]
     df: dict = {}
     for t, v in zip(texts, y):
         for w in {w for x in set(t.lower().split()) for w in {read(x), *pieces(x)}}:
@@ -308,7 +399,12 @@ def choose(texts: list[str], y: np.ndarray) -> list[str]:
                 df.setdefault(w, [0, 0])[int(v)] += 1
     n0, n1 = max((y == 0).sum(), 1), max((y == 1).sum(), 1)
     rate = lambda a, b: b / n1 * np.log(((b + 0.5) / (n1 + 1)) / ((a + 0.5) / (n0 + 1)))
+    share = n1 / (n0 + n1)
+    proof = lambda a, b: b * np.log(b / (a + b) / share) + (a * np.log(a / (a + b) / (1 - share)) if a else 0)
     value = {w: rate(a, b) for w, (a, b) in df.items() if b >= 2 and b / n1 > 4 * a / n0}
+    # Of the many words of a few toxic texts some are there by chance: the evidence for a word must outweigh their number.
+    least = min(np.log(max(len(df), 2)) / 2, max((proof(*df[w]) for w in value), default=0) / 2)
+    value = {w: v for w, v in value.items() if proof(*df[w]) >= least}
     slots = np.zeros(PAIR_SLOTS, dtype=np.int32)  # toxic texts by hash of their pairs, to remember only frequent ones
     spot = lambda p: zlib.crc32(p.encode("utf-8", "surrogatepass")) % PAIR_SLOTS
     floor = PAIR_EVIDENCE / np.log((n0 + n1) / n1)
@@ -321,9 +417,8 @@ def choose(texts: list[str], y: np.ndarray) -> list[str]:
             for p in pairs(t):
                 if slots[spot(p)] >= floor and not any(w in value for w in p.split("$^")):
                     both.setdefault(p, [0, 0])[int(v)] += 1
-    share = n1 / (n0 + n1)
     for p, (a, b) in both.items():
-        if b / n1 > 4 * a / n0 and b * np.log(b / (a + b) / share) + (a * np.log(a / (a + b) / (1 - share)) if a else 0) >= PAIR_EVIDENCE:
+        if b / n1 > 4 * a / n0 and proof(a, b) >= PAIR_EVIDENCE:
             value[p] = rate(a, b)
     words = [f"^{w}$" for w in sorted(value, key=lambda w: (-value[w], w))[:CANDIDATES]]
     if not words:
@@ -347,21 +442,15 @@ def fit(labelled: list[tuple[str, int]]) -> dict:
     own = kernel.matrix(marks)
     values, vecs = np.linalg.eigh((own + own.T) / 2)
     root = vecs @ np.diag(1 / np.sqrt(np.maximum(values, 0.05))) @ vecs.T
-    none = np.zeros((1, len(marks)))
-    reader, docs = Reader(kernel), []
-    for i in range(0, len(texts), TRAIN_BATCH):  # the driver holds the windows of a few texts at a time, and what is near a landmark of all
-        docs += [(np.vstack([none, *f]) @ root).astype(np.float32) for f in reader(texts[i:i + TRAIN_BATCH])]
+    reader, seen = Reader(kernel), []
+    for i in range(0, len(texts), TRAIN_BATCH):  # the driver holds the windows of a few texts at a time, and a row of each text
+        seen.append(reader.pooled(texts[i:i + TRAIN_BATCH]))
         reader.near = {}
-    pick = [d[np.argmax(np.linalg.norm(d, axis=1))] for d in docs]
-    pool = {0.0: [none[0]], 1.0: []}
-    for _ in range(ROUNDS):  # the worst window of each toxic text; of the clean ones all that was ever the worst
-        pool[1.0] = [p for p, v in zip(pick, y) if v == 1]
-        pool[0.0] += [p for p, v in zip(pick, y) if v == 0]
-        w, b = svm(np.array(pool[0.0] + pool[1.0]), np.repeat([0.0, 1.0], [len(pool[0.0]), len(pool[1.0])]))
-        pick = [d[np.argmax(d @ w)] for d in docs]
-    worst = np.array([(d @ w).max() + b for d in docs])
+    x = np.vstack(seen)
+    w, b = svm(x @ root, y)
+    far = x @ (root @ w) + b
     prior = np.where(y > 0, 1 / y.sum(), CLEAN / (1 - y).sum()) * len(y) / (1 + CLEAN)
-    (shift, slope), (_, mean), (_, dev) = logistic(np.column_stack([np.ones(len(worst)), worst]), y, prior)
+    (shift, slope), (_, mean), (_, dev) = logistic(np.column_stack([np.ones(len(far)), far]), y, prior)
     slope, shift = slope / dev, shift - slope * mean / dev
     return {"marks": marks, "u": root @ w, "b": b, "slope": slope, "shift": shift}
 
@@ -374,12 +463,11 @@ def score(df: DataFrame, model: dict, keep: list[str], text: str = "text") -> Da
 
     def make():
         m = shared.value
-        reader = Reader(Kernel(m["marks"]), m["u"])
+        reader = Reader(Kernel(m["marks"]))
 
         def run(texts):
-            worst = np.array([max(found, default=0.0) for found in reader(texts)])
-            worst = np.maximum(worst, 0.0) + m["b"]
-            return {"score": 1 / (1 + np.exp(-np.clip(m["slope"] * worst + m["shift"], -30, 30)))}
+            far = reader.pooled(texts) @ m["u"] + m["b"]
+            return {"score": 1 / (1 + np.exp(-np.clip(m["slope"] * far + m["shift"], -30, 30)))}
         return run
 
     return map_text(df, text, keep, SCHEMA, make)

@@ -51,6 +51,9 @@ FURNITURE = frozenset(
     "share sharing social cookie cookies consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login search "
     "form related recommended recommendations trending popular pagination pager toolbar skip copyright legal disclaimer tags contentinfo "
     "complementary alert toast paywall teaser outbrain taboola hidden print".split())
+#: Elements of running text, and the words that don't mark them: a heading may be the page's header.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p li blockquote figcaption dd dt td th caption pre".split())
+MILD = frozenset("header legal copyright disclaimer tags print side".split())
 CONTENT = frozenset("article main content post entry story body text".split())
 THREAD = frozenset("comment comments reply replies disqus respond".split())
 #: An element with this share of the text outside links isn't furniture; a comment thread can be longer than its article.
@@ -67,6 +70,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 #: Levels of a tag path; what lies deeper has the path of its last named level.
 DEEPEST = 256
 ATTR = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?=[\s=/>]|\Z)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+HREF = re.compile(r"(?<![^\s\"'/])href(?=[\s=/>]|\Z)", re.I)
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"[ \t\n\r\f\v  -     　 \u0085]+")
 MARKS = frozenset(",.;:!?…。，、؟।")
@@ -93,6 +97,8 @@ def furniture(tag: str, attrs: str) -> float:
     for name, *values in ATTR.findall(attrs):
         if name.lower() in ("class", "id", "role"):
             words = set(WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()))
+            if tag in PROSE:
+                words -= MILD
             if words & FURNITURE and not (words & CONTENT and not words & {"ad", "ads", "comment", "comments", "footer", "sidebar", "nav", "menu"}):
                 return NEARLY_ALL if words & THREAD else MOST
     return 0.0
@@ -110,14 +116,23 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
     held: Counter = Counter()
     out: list = []
     buffer: list[str] = []
-    linked = 0
+    blocks: list[int] = []  # places in the stack of the elements that aren't inline
+    # The open link and its place in the stack; of each block the characters in each link; the block in which a link
+    # begins. A link that is never closed counts in that block only.
+    link, depth, links = -1, 0, 0
+    linked: Counter = Counter()
+    begins: dict[int, int] = {}
     owner: tuple = ()
     bad = named_text = False
     mark = 0
 
     def pop():
-        nonlocal now
+        nonlocal now, link
         tag, named, gone, now = stack.pop()
+        if link >= 0 and len(stack) <= depth:
+            link = -1
+        if blocks and blocks[-1] == len(stack):
+            blocks.pop()
         held[tag] -= 1
         held["!"] -= gone
         if named:
@@ -125,21 +140,21 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
         return tag
 
     def flush():
-        nonlocal linked
         if buffer:
             text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip(" ")
             if text and not bad:
-                out.append((owner, text, mark, linked, named_text))
+                out.append((owner, text, mark, dict(linked), named_text))
             buffer.clear()
-        linked = 0
+        linked.clear()
 
     def say(text):
-        nonlocal owner, bad, mark, linked, named_text
+        nonlocal owner, bad, mark, named_text
         if not buffer:
             owner, bad, mark, named_text = tuple(trail), held["!"] > 0, now, held["article"] + held["main"] > 0
         buffer.append(text)
-        if held["a"] > 0:
-            linked += len(text)
+        if link >= 0:
+            begins.setdefault(link, len(out))
+            linked[link] += len(text)
 
     pos, n = 0, len(page)
     while pos < n:
@@ -158,6 +173,8 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
         if close:
             if tag not in INLINE:
                 flush()
+            if tag == "a" and link >= 0:
+                begins[link] = -1  # closed
             if held[tag] > 0:
                 while pop() != tag:
                     pass
@@ -174,21 +191,26 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
             flush()
         closes = CLOSES.get(tag)
         if closes:
-            for i in range(len(stack) - 1, max(len(stack) - 65, -1), -1):
+            for i in reversed(blocks):
                 t = stack[i][0]
                 if t in closes:
                     while len(stack) > i:
                         pop()
                     break
-                if t not in INLINE and not (t == "p" or t in ("td", "th") and tag == "tr"):
+                if not (t == "p" or t in ("td", "th") and tag == "tr"):
                     break
         if tag in VOID or attrs.rstrip().endswith("/") and tag in INLINE:
             continue
+        if tag == "a":  # a link ends the one before; an anchor without a target is none
+            link, depth = (links, len(stack)) if HREF.search(attrs) else (-1, 0)
+            links += 1
         label = "" if tag in INLINE else tag
         if label and attrs:
             found = [("".join(v)).lower() for name, *v in ATTR.findall(attrs) if name.lower() in ("class", "id")]
             label += "".join(f".{v}" for v in found)
         gone = hidden(tag, attrs) or tag == "header" and not held["article"] and not held["main"]
+        if label:
+            blocks.append(len(stack))
         stack.append((tag, named := bool(label) and len(trail) < DEEPEST, gone, now))
         held[tag] += 1
         held["!"] += gone
@@ -199,6 +221,7 @@ def leaves(page: str) -> list[tuple[tuple, str, bool, int]]:
         if named:
             trail.append(label)
     flush()
+    out = [(path, text, m, sum(n for a, n in chars.items() if begins[a] in (-1, i)), inside) for i, (path, text, m, chars, inside) in enumerate(out)]
     # Text outside links in each marked element: all, and what articles hold of it.
     size, own = [0] * len(around), [0] * len(around)
     for _, text, m, links, inside in out:
@@ -249,8 +272,13 @@ def main_text(page: str | None) -> str:
     value = {k: v * free[k] for k, v in fused.items()}
     mass = {k: v * paths[k][0] for k, v in value.items()}
     total = sum(mass.values())
-    if total <= 0:
-        return ""
+    if total <= 0:  # all text is in links
+        value = dict(fused)
+        free = dict.fromkeys(free, 1.0)
+        mass = {k: v * paths[k][0] for k, v in value.items()}
+        total = sum(mass.values())
+        if total <= 0:
+            return ""
     threshold = THRESHOLD * sum(v * value[k] for k, v in mass.items()) / total
     # The value of each branch, and what the page itself says are its articles.
     branch: dict = defaultdict(lambda: [0.0, 0])

@@ -1,6 +1,8 @@
 import html as entities
 import re
 
+import pytest
+
 from llm.helpers import SMOKE, empty
 from payguard.llm import html
 from payguard.llm.queries import op2_html_text
@@ -75,3 +77,36 @@ def test_awkward_rows(spark):
     got = html.extract(pages).collect()
     assert sorted(r["n_chars"] for r in got) == [0, 0, *[len(html.main_text(PAGE))] * 2]
     assert html.extract(empty(spark, pages)).count() == 0
+
+
+BODY = "<p>The harbour was rebuilt in 1987, after the storm, and ships returned.</p><p>Then, years later, the town grew; people came, and stayed.</p>"
+TEXT = "The harbour was rebuilt in 1987, after the storm, and ships returned.\nThen, years later, the town grew; people came, and stayed."
+
+
+@pytest.mark.parametrize("page,want", [
+    (f"<body><a name=top><h1>Title</h1>{BODY}</body>", f"Title\n{TEXT}"),
+    (f"<body><article><a name=top>{BODY}</article></body>", TEXT),
+    (f"<body><div>{BODY}<a name=end></div></body>", TEXT),
+    (f"<body><article><a href='/x'>{BODY}</article></body>", TEXT),
+    (f"<div><h1 class='page-header'>Big title</h1>{BODY}<p class='legal'>A legal, but real paragraph of it.</p></div>",
+     f"Big title\n{TEXT}\nA legal, but real paragraph of it."),
+    ("<p><a href=u>all of it</a></p>", "all of it"),
+    ("<p>" + "<b>" * 300 + "one</p><p>two", "one\ntwo"),
+])
+def test_open_links_and_class_words(page, want):
+    assert html.main_text(page) == want
+
+
+def test_link_text_is_what_closed_links_hold():
+    blocks = html.leaves("<div><a href=1>one</a> two <a href=3>three</a></div><a href=4>four <a href=5>five</a><p>six</p><a name=x>seven")
+    assert [(text, links) for _, text, _, links in blocks] == [("one two three", 8), ("four five", 9), ("six", 0), ("seven", 0)]
+
+
+def test_time_of_a_long_page_grows_with_its_length():
+    import time
+    took = []
+    for n in (4000, 8000):
+        start = time.time()
+        html.main_text(("<div class=a><i><p>some text, and more<b>" + BODY) * n)
+        took.append(time.time() - start)
+    assert took[1] < 4 * took[0] + 1

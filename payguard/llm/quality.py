@@ -2,7 +2,8 @@
 labelled text. A text is compressed block by block with either dictionary; the
 normalised difference of the compressed sizes, with the sizes themselves
 (repetition compresses well under any dictionary), is calibrated to a score by
-a logistic fit on labelled texts that the dictionaries haven't seen.
+a logistic fit on labelled texts that the dictionaries haven't seen; few texts
+shrink the fit towards the share of good ones.
 
 Blocks are compressed on their own, so a dictionary counts in every part of a
 long text alike. The model is fitted on at most ``TRAIN_DOCS`` labelled texts
@@ -33,6 +34,8 @@ TRAIN_CHARS = 20_000
 SHARED = 2
 THRESHOLD = 0.7
 FOLDS, HELD = 4, 2
+#: Parts of the training texts, each calibrated with dictionaries of the others, and how strongly the fit is shrunk.
+PARTS, RIDGE = 6, 3.0
 SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 
 
@@ -62,8 +65,7 @@ class Compressors:
         diff = (b - g) / max(g, b)
         dense = np.log((g + 8) / (n + 8))
         lean = float((np.tanh(8 * (bad - good) / np.maximum(good, bad)) * size).sum() / n)
-        return [1.0, diff, diff * abs(diff), dense, max(0.0, -1.2 - dense), lean, float((size * (good / size < 0.25)).sum() / n),
-                min(n, 200.0) / 200.0]
+        return [1.0, diff, diff * abs(diff), dense, max(0.0, -1.2 - dense), lean, float((size * (good / size < 0.25)).sum() / n)]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0, steps: int = 100) -> tuple:
@@ -108,8 +110,8 @@ def train_dictionary(texts: list[str], shared: set) -> bytes:
 
 
 def fit(labelled: list[tuple[str, int]], share: float | None = None) -> dict:
-    """The model from (text, label) rows: half trains the dictionaries, the other
-    half calibrates, then the roles change; the scoring dictionaries use both.
+    """The model from (text, label) rows: each part is calibrated with dictionaries
+    trained on the others, nearly as rich as the scoring ones, which use all.
     ``share`` is the share of label 1 before sampling, to which the score is calibrated."""
     y = np.array([v for _, v in labelled], dtype=float)
     if len(set(y.tolist())) < 2 or min(y.sum(), (1 - y).sum()) < 4:
@@ -118,19 +120,19 @@ def fit(labelled: list[tuple[str, int]], share: float | None = None) -> dict:
     held = Counter(line for t, _ in labelled for line in set((t or "").split("\n")))
     shared = {line for line, n in held.items() if n > SHARED}
     rows, target = [], []
-    half = np.zeros(len(y), dtype=int)
+    part = np.zeros(len(y), dtype=int)
     for v in (0, 1):
         at = np.flatnonzero(y == v)
-        half[at[1::2]] = 1
-    for h in (0, 1):
-        seen = [labelled[i] for i in np.flatnonzero(half == h)]
+        part[at] = np.arange(len(at)) % PARTS
+    for h in range(PARTS):
+        seen = [labelled[i] for i in np.flatnonzero(part != h)]
         c = Compressors(*(train_dictionary([t for t, v in seen if v == k], shared) for k in (1, 0)))
-        for i in np.flatnonzero(half != h):
+        for i in np.flatnonzero(part == h):
             rows.append(c.features(labelled[i][0]))
             target.append(y[i])
     target, share = np.array(target), float(y.mean()) if share is None else share
     weight = np.where(target > 0, share / y.mean(), (1 - share) / (1 - y.mean()))
-    w, mean, dev = logistic(np.array(rows), target, weight)
+    w, mean, dev = logistic(np.array(rows), target, weight, RIDGE)
     return {"good": train_dictionary([t for t, v in labelled if v == 1], shared),
             "bad": train_dictionary([t for t, v in labelled if v == 0], shared),
             "w": w, "mean": mean, "dev": dev}

@@ -27,9 +27,9 @@ def lists(df):
 
 
 def test_recall_on_given_vectors(spark):
-    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").orderBy("vec_id").collect()
     ids, x = np.array([r[0] for r in rows]), [r[1] for r in rows]
-    want, got = exact(ids, x), lists(op7_ann(spark, "/root/testdata/check_s"))
+    want, got = exact(ids, x), lists(op7_ann(spark, "/root/testdata/sf0.1"))
     hits = sum(len({v for v, _ in want[q]} & {v for v, _ in got.get(q, [])}) for q in want)
     assert hits / (20 * len(want)) >= 0.9
 

@@ -33,7 +33,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import groupby
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -64,6 +63,8 @@ SCHEMA = T.StructType([T.StructField("score", T.DoubleType())])
 SPELT = re.compile(r"(?<!\S)\S(?:\s\S){3,}(?!\S)")
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 INNER = re.compile(r"[\W_]+")
+#: Two open words and more, in a byte for each word.
+OPEN_RUN = re.compile(b"\x01{2,}")
 ENDS = re.compile(r"[.!?…。！？]\W*$")
 #: Fixed look-alikes of letters inside words.
 ALIKES = str.maketrans("013457@$!|€", "oieastasile")
@@ -176,7 +177,7 @@ class Kernel:
                     k = two + c[last:last + n]
                     i = np.flatnonzero(self.used[k])
                     bound[i + 1] += np.float32(DECAY ** (last - 2)) * self.most[self.row[k[i]]]
-            bound = np.cumsum(bound, axis=0)
+            bound = np.cumsum(bound, axis=0, dtype=np.float64)  # single precision drifts by more than the slack below
             for size, least, g in self.slides:
                 stop = min(SLIDE_ROWS, n - size + 1)  # the starts from there on are the next part's
                 if stop > 0:
@@ -233,6 +234,8 @@ class Reader:
         self.hot: set = set()  # words with any value
         halves = sorted({f"{h.strip('^$')}" for m in kernel.landmarks for h in m.split("$^") if "$^" in m})
         self.halves = Kernel([f"^{h}$" for h in halves]) if halves else None
+        if halves:
+            self.halves.slides = []  # whole words only
 
     def compare(self, strings: set) -> None:
         """Fill ``near``: the values of windows, None for those that are near no landmark."""
@@ -243,6 +246,11 @@ class Reader:
         for w, v in self.kernel(fresh):
             self.near[w] = v.astype(np.float32) if self.weights is None else float(v @ self.weights)
 
+    def values(self, ws: set) -> list:
+        """The values of those of the windows that are near a landmark, in the windows' order."""
+        near = [w for w in ws if self.near[w] is not None]
+        return [self.near[w] for w in (sorted(near) if len(near) > 1 else near)]
+
     def slide(self, streams: list[str]) -> list[set]:
         """The sliding windows of each text that may be near a landmark."""
         found: list[set] = [set() for _ in streams]
@@ -285,23 +293,22 @@ class Reader:
                 found.update(long[t])
         self.compare(set().union(*own))
         for t, ws in zip(fresh, own):
-            self.known[t] = [v for w in sorted(ws) if (v := self.near[w]) is not None] if ws else []
+            self.known[t] = self.values(ws) if ws else []
             if self.known[t]:
                 self.hot.add(t)
         if self.halves is not None:
-            whole = {t: f"^{w}$" for t in fresh if (w := read(t)) and len(w) <= WINDOW - 2}
-            near = {w for w, _ in self.halves(sorted(set(whole.values()), key=len))}
+            whole = {t: f"^{w}$" for t in fresh if not self.open[t] and (w := read(t)) and len(w) <= WINDOW - 2}
+            lines = list(set(whole.values()))
+            may = {w for i in range(0, len(lines), SLIDE_ROWS) for _, w in self.halves.slide("\n".join(lines[i:i + SLIDE_ROWS]))}
+            near = {w for w, _ in self.halves(sorted(may, key=len))}
             for t, w in whole.items():
-                self.open[t] = self.open[t] or w in near
+                self.open[t] = w in near
 
     def across(self, words: list[str]) -> set:
         """The runs of words that windows slide across: short words, which may be an insult's
         parts, and words near half of a landmark of two."""
-        out = set()
-        for is_open, run in groupby(words, self.open.__getitem__):
-            if is_open and len(run := list(run)) > 1:
-                out.add("".join(map(self.said.__getitem__, run)))
-        return out
+        return {"".join(map(self.said.__getitem__, words[m.start():m.end()]))
+                for m in OPEN_RUN.finditer(bytes(map(self.open.__getitem__, words)))}
 
     def places(self, texts: list) -> list[tuple[list, list]]:
         """Per text the values of the windows of each of its different words, and of those across words."""
@@ -319,7 +326,7 @@ class Reader:
         fresh = list(set().union(*runs).difference(self.runs))
         found = self.slide(fresh)
         self.compare(set().union(*found))
-        new = {r: [v for w in sorted(ws) if (v := self.near[w]) is not None] for r, ws in zip(fresh, found)}
+        new = {r: self.values(ws) for r, ws in zip(fresh, found)}
         out = [([self.known[t] for t in sorted(own & self.hot)],
                 [v for r in sorted(mine) for v in (new[r] if r in new else self.runs[r])]) for own, mine in zip(tokens, runs)]
         self.runs.update((r, v) for r, v in new.items() if len(r) <= REMEMBERED)
@@ -335,7 +342,7 @@ class Reader:
         out = np.zeros((len(texts), self.kernel.m))
         for row, (words, slid) in zip(out, self.places(texts)):
             for word in words:
-                row += np.max(word, axis=0)
+                row += word[0] if len(word) == 1 else np.max(word, axis=0)
             for v in slid:
                 np.maximum(row, v, out=row)
         return np.log1p(out)

@@ -47,10 +47,11 @@ class RunSettings:
     event_source: str = "urn:payguard:producer"
     raw_event_type: str = "procure.events.sample"
     risk_event_type: str = "procure.risk"
-    # The stream job starts a micro-batch, which flushes every sink, this often.
-    # Row and size limits of a bulk request have no use here: a batch's rows go
-    # to files, whose number follows Spark's partitions.
+    # The stream job starts a micro-batch, which flushes every sink, this often. Of
+    # one request to a search index (``sources.bulk``) these are the greatest age, documents and bytes.
     bulk_interval_ms: int = 3000
+    bulk_rows: int = 3000
+    bulk_bytes: int = 50 * 1024 * 1024
     # Index tables: days that are kept (None: all).
     retention_days: int | None = None
     # How far behind the newest record a record that is delivered again is still known ("7 days"); None: not asked.

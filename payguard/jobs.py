@@ -14,7 +14,8 @@ index tables are; default ``<spark.checkpoint.dir>/tables``; ``esRawIndex`` and
 ``esRiskIndex`` name them), ``modelName``, ``modelCaFile``, Kafka connection
 and security (``bootstrapServers scramUser scramPasswordFile truststore
 truststorePasswordFile``), the bound of a micro-batch (``maxOffsetsPerTrigger``),
-``availableNow`` (drain what is there and stop), ``dedupeWithin`` (take records that
+``indexURL`` (a search index's bulk address; its requests are bounded by ``bulk_rows``,
+``bulk_bytes`` and ``bulk_interval_ms`` of the settings), ``availableNow`` (drain what is there and stop), ``dedupeWithin`` (take records that
 are delivered again once, e.g. ``7 days``) and ``replay`` (start over from the first
 record). Archived records stand in for Kafka where they are named:
 ``recordsPath`` (Kafka-shaped parquet to read, with ``maxFilesPerTrigger``) and
@@ -79,13 +80,13 @@ def _tables(spark: SparkSession, settings: RunSettings, opts: dict[str, str]):
     return Sinks(opts.get("tableRoot") or f"{scratch_root(spark).rstrip('/')}/tables", settings.raw_table, settings.risk_table)
 
 
-def stream_job(argv: list[str], spark: SparkSession | None = None, scorer=None):
-    """Start the processor; returns the StreamingQuery."""
+def stream_job(argv: list[str], spark: SparkSession | None = None, scorer=None, connect=None):
+    """Start the processor; returns the StreamingQuery. ``connect`` makes the index's connections (default: http)."""
     from payguard.streaming.fanout import RiskEventTable, create_index_tables, kafka_risk_sink, refresh_index_tables, start_fanout
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
     settings.ca_data()  # a missing file is an error now, not in the first batch
-    opts = parse_options(argv, _SECURITY + ("tableRoot", "recordsPath", "riskPath", "maxOffsetsPerTrigger", "maxFilesPerTrigger"))
+    opts = parse_options(argv, _SECURITY + ("tableRoot", "recordsPath", "riskPath", "maxOffsetsPerTrigger", "maxFilesPerTrigger", "indexURL"))
     sinks = _tables(spark, settings, opts)
     create_index_tables(spark, sinks)
     refresh_index_tables(spark, sinks)
@@ -96,7 +97,11 @@ def stream_job(argv: list[str], spark: SparkSession | None = None, scorer=None):
         from payguard.sources.kafka import raw_stream
         source = raw_stream(spark, settings, security_from(opts), _limit(opts, "maxOffsetsPerTrigger"))
     risk = RiskEventTable(opts["riskPath"]) if opts.get("riskPath") else kafka_risk_sink(settings, security_from(opts), sinks)
-    return start_fanout(source, sinks, risk, settings, scorer, available_now="availableNow" in opts, replay="replay" in opts)
+    index = None
+    if opts.get("indexURL"):
+        from payguard.sources.bulk import BulkIndex, Limits
+        index = BulkIndex(opts["indexURL"], f"{sinks.root}/_bulk", Limits(settings.bulk_rows, settings.bulk_bytes, settings.bulk_interval_ms), connect)
+    return start_fanout(source, sinks, risk, settings, scorer, available_now="availableNow" in opts, replay="replay" in opts, index=index)
 
 
 def producer_events(rows: DataFrame, settings: RunSettings, seed: str) -> DataFrame:

@@ -27,6 +27,11 @@ def anomaly_documents(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*INVOICE_FIELDS, *keep)
 
 
+def json_document(fields: tuple[str, ...]) -> Column:
+    """The JSON object of ``fields``, nulls written, as an index takes it."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
 def name_based_id(*cols: str) -> Column:
     """Deterministic event id from natural-key columns (md5 hex). Use it, or
     materialise random ids once, so a retried write re-sends the same ids."""

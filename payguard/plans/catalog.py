@@ -614,6 +614,53 @@ def q_forward_resume(spark, sf_dir):
     return spark.read.parquet(out).groupBy("ce_id", "ce_source").agg(F.count(F.lit(1)).alias("delivered"))
 
 
+_BULK = {"rows": 300, "size": 40_000, "lane_offsets": 100_000}
+_BULK_OFFSET = "l_orderkey * 10 + l_linenumber"
+_BULK_DOC = ("concat('{\"order\":', l_orderkey, ',\"line\":', l_linenumber, ',\"flag\":\"', coalesce(l_returnflag, ''), "
+             "'\",\"note\":\"', CASE WHEN l_orderkey % 4 = 0 THEN repeat('n', CAST(l_linenumber * 20 AS INTEGER)) ELSE '' END, '\"}')")
+
+
+@register("bulk_requests", f"""
+WITH RECURSIVE docs AS (SELECT l_orderkey % 4 AS p, {_BULK_OFFSET} AS place, {_BULK_DOC} AS doc FROM lineitem),
+parts AS (SELECT 'procure-raw-' || p || '-' || CAST(place // {_BULK["lane_offsets"]} AS BIGINT) AS lane, place,
+                 'procure-raw-' || p || '-' || place AS id, doc FROM docs),
+sized AS (SELECT *, octet_length(encode('{{"index": {{"_index": "procure_raw", "_id": "' || id || '"}}}}' || doc)) + 2 AS size FROM parts),
+lined AS MATERIALIZED (SELECT lane, id, size, row_number() OVER w AS i, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) AS upto
+          FROM sized WINDOW w AS (PARTITION BY lane ORDER BY place, id, doc)),
+nexts AS MATERIALIZED (SELECT a.lane, a.i, least(a.i + {_BULK["rows"]}, coalesce(b.i, a.i + {_BULK["rows"]})) AS next_i
+          FROM lined a ASOF LEFT JOIN lined b ON a.lane = b.lane AND a.upto - a.size + {_BULK["size"]} < b.upto),
+counts AS MATERIALIZED (SELECT lane, count(*) AS n FROM lined GROUP BY lane),
+starts AS (SELECT lane, CAST(1 AS BIGINT) AS i, CAST(0 AS BIGINT) AS request FROM counts
+           UNION ALL SELECT s.lane, n.next_i, s.request + 1 FROM starts s JOIN nexts n ON n.lane = s.lane AND n.i = s.i
+                     JOIN counts c ON c.lane = s.lane WHERE n.next_i <= c.n)
+SELECT l.id, l.lane, s.request, count(*) OVER g AS rows, CAST(sum(l.size) OVER g AS BIGINT) AS bytes, 'sent' AS outcome, CAST(1 AS BIGINT) AS stored
+FROM lined l ASOF JOIN starts s ON l.lane = s.lane AND l.i >= s.i WINDOW g AS (PARTITION BY l.lane, s.request)""")
+def q_bulk_requests(spark, sf_dir):
+    """Index writes in bounded bulk requests: for each line item its request's number in its lane, the request's documents and
+    bytes, and how often the index got that request. The index goes down after two requests of a lane; the batch fails, runs
+    again when the index is back, and sends only what isn't there yet. A third run of the done batch sends nothing."""
+    from payguard.session import free
+    from payguard.sources.bulk import BulkIndex, FolderIndex, Limits
+    place, got = scratch_dir(spark, "bulk_receipts"), scratch_dir(spark, "bulk_index")
+    down = f"{got}/_down"
+    tables.write_text(spark, down, "")
+    index = BulkIndex("http://index/_bulk", place, Limits(_BULK["rows"], _BULK["size"], None), lambda *_: FolderIndex(got, 2), 0.0, _BULK["lane_offsets"])
+    lines = read_table(spark, sf_dir, "lineitem", spread=True)
+    docs = lines.select(F.lit("procure-raw").alias("topic"), F.expr("CAST(l_orderkey % 4 AS INT) AS partition"),
+                        F.expr(f"{_BULK_OFFSET} AS offset"), F.expr(f"{_BULK_DOC} AS doc"))
+    for turn in range(3):
+        try:
+            index.write(docs, "procure_raw", "run-0", 0, F.col("doc"))
+        except Exception as e:  # the failed task's error reaches the driver in Spark's own classes
+            if turn or "ModelError" not in str(e):
+                raise
+            free(spark, down)
+    seen = (spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson").load(got).select(
+        F.regexp_extract("path", r"([^/]+)~[0-9a-f]+\.ndjson$", 1).alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("stored")))
+    out = index.outcomes(spark, "run-0", "procure_raw").withColumn("name", F.concat_ws("~", "lane", "request"))
+    return out.join(seen, "name", "left").select("id", "lane", "request", "rows", "bytes", "outcome", F.coalesce("stored", F.lit(0)).cast("bigint").alias("stored"))
+
+
 @register("retention_prune", """
 SELECT * FROM events WHERE CAST(ts AS DATE) >= (SELECT CAST(max(ts) AS DATE) FROM events) - INTERVAL 7 DAY""")
 def q_retention_prune(spark, sf_dir):

@@ -16,6 +16,9 @@ pointer file beside the tables and owns a checkpoint; plain starts go on with
 that run. ``replay`` starts a new run from the first record: it becomes the
 pointer's run, and every start removes what other runs left in any sink.
 
+With an ``index`` both index tables' documents also go to a search index, in
+bounded bulk requests (:mod:`payguard.sources.bulk`).
+
 ``RunSettings.dedupe_within`` takes each record once, however often it is
 delivered (keyed state, bounded by a watermark on the records' time).
 """
@@ -32,10 +35,11 @@ from pyspark.sql import types as T
 
 from payguard.config import RunSettings
 from payguard.operators.decode import ERROR_COL, decode
-from payguard.operators.encode import anomaly_documents, raw_documents, structured_risk_events
+from payguard.operators.encode import anomaly_documents, json_document, raw_documents, structured_risk_events
 from payguard.plans.risk_job import grade_late_invoices
 from payguard.schemas import INVOICE_FIELDS, INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 from payguard.session import path_exists
+from payguard.sources.bulk import BulkIndex
 from payguard.streaming import tables
 
 ALL_FIELDS = RAW_FIELDS + ("Risk", "Model_Name")
@@ -129,7 +133,7 @@ def kafka_risk_sink(settings: RunSettings, security, sinks: Sinks) -> PublishOnc
 
 
 def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSettings, risk_sink: RiskSink, run: str = "run-0",
-                  scorer=None, mode: str = "quarantine") -> None:
+                  scorer=None, mode: str = "quarantine", index: BulkIndex | None = None) -> None:
     """One micro-batch: four writes, one decode."""
     uses_model = settings.uses_model or scorer is not None
     for c in set(ORIGIN) - set(batch.columns):
@@ -145,6 +149,8 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
     try:
         good = decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL)
         tables.write_batch(raw_documents(good, ("day",)), sinks.raw, run, batch_id)
+        if index is not None:
+            index.write(good, settings.raw_table, run, batch_id, json_document(RAW_FIELDS))
         graded = grade_late_invoices(good.select(*ORIGIN, "payload", "day", *INVOICE_FIELDS), settings, scorer)
         # A risk event is keyed by its Invoice_ID: a NULL id can't be
         # published (a blank one can), and an ungraded invoice has no risk.
@@ -153,6 +159,8 @@ def process_batch(batch: DataFrame, batch_id: int, sinks: Sinks, settings: RunSe
             graded = graded.persist(StorageLevel.MEMORY_AND_DISK)
         risk = graded.where(F.col(ERROR_COL).isNull())
         tables.write_batch(anomaly_documents(risk, ("day",)), sinks.anomaly, run, batch_id)
+        if index is not None:
+            index.write(risk, settings.risk_table, run, batch_id, json_document(INVOICE_FIELDS))
         risk_sink.write(structured_risk_events(risk, settings, keep=("day",)), run, batch_id)
         aside = [df.where(F.col(ERROR_COL).isNotNull()).select(*ORIGIN[:3], "payload", F.col(ERROR_COL).alias("reason"), "day")
                  for df in (decoded, graded)]
@@ -187,7 +195,7 @@ def once(source: DataFrame, within: str) -> DataFrame:
 
 
 def start_fanout(source: DataFrame, sinks: Sinks, risk_sink: RiskSink, settings: RunSettings | None = None,
-                 scorer=None, mode: str = "quarantine", available_now: bool = True, replay: bool = False):
+                 scorer=None, mode: str = "quarantine", available_now: bool = True, replay: bool = False, index: BulkIndex | None = None):
     """Start the fan-out stream over a Kafka-shaped source. Returns the StreamingQuery."""
     settings = settings or RunSettings()
     spark = source.sparkSession
@@ -199,7 +207,7 @@ def start_fanout(source: DataFrame, sinks: Sinks, risk_sink: RiskSink, settings:
     risk_sink.keep_only(spark, run)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, sinks, settings, risk_sink, run, scorer, mode)
+        process_batch(batch, batch_id, sinks, settings, risk_sink, run, scorer, mode, index)
 
     w = source.writeStream.foreachBatch(work).option("checkpointLocation", sinks.checkpoint(run)).queryName(f"fanout_{uuid.uuid4().hex[:8]}")
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=settings.trigger_interval)

@@ -679,6 +679,29 @@ def q_retention_window(spark, sf_dir):
     return retention_window(read_table(spark, sf_dir, "events"), "ts")
 
 
+@register("retention_exact", "SELECT * FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY")
+def q_retention_exact(spark, sf_dir):
+    """Retention to the millisecond on a stored table: the events are stored by day in three batches, the day that the
+    limit cuts is compacted in part, then whole days go by name and that one day is rewritten; a second call and one that
+    was cut after its copy was made change nothing more."""
+    import datetime as dt
+    ev = read_table(spark, sf_dir, "events")
+    path = f"{scratch_dir(spark, 'retention_exact')}/events"
+    for n in range(3):
+        tables.write_batch(ev.where(F.pmod("event_id", F.lit(3)) == n).withColumn("day", F.to_date("ts")).repartition("day"), path, "run-0", n)
+    newest = ev.select(F.date_format(F.max("ts"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    if newest is None:
+        return ev
+    limit = dt.datetime.fromisoformat(newest) - dt.timedelta(days=7)
+    tables.compact_day(spark, path, ev.schema, limit.date(), "run-0", upto=1)
+    tables.drop_older(spark, path, ev.schema, limit - dt.timedelta(hours=1), "run-0", "ts")
+    since = F.lit(limit.isoformat(sep=" ")).cast(ev.schema["ts"].dataType)
+    tables.stage_day(spark, path, ev.schema, limit.date(), "run-0", where=F.col("ts") >= since)  # cut here
+    for _ in range(2):
+        tables.drop_older(spark, path, ev.schema, limit, "run-0", "ts")
+    return tables.read_index(spark, path, ev.schema).select(*ev.columns)
+
+
 @register("replay_repeat", O.with_inv(f"SELECT {INV_COLS}, CAST(r.rep AS INTEGER) AS rep FROM inv CROSS JOIN range(3) AS r(rep)"))
 def q_replay_repeat(spark, sf_dir):
     """The sample sent three times, each row tagged with its repetition."""

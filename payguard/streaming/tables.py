@@ -6,7 +6,8 @@ without a time have no day, and upkeep leaves them alone. A batch replaces what
 an earlier attempt of it wrote, also when it has no rows now.
 
 Retention drops whole days before a limit that a clock sets, never the newest
-record. Compaction rewrites batches that the stream has committed, which it
+record; where rows hold their time, the one day that a limit cuts can be rewritten
+to the instant. Compaction rewrites batches that the stream has committed, which it
 never runs again, and deletes exactly those: batches that are written meanwhile,
 to whatever day, stay. A reader that lists a day in the moment of the swap can
 miss it; nothing is lost.
@@ -17,7 +18,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from payguard.session import file_system, path_exists
@@ -106,21 +107,29 @@ def _modified(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(p).getModificationTime()
 
 
-def stage_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, run: str, files: int | None = None, upto: int | None = None) -> bool:
+def stage_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.date, run: str, files: int | None = None, upto: int | None = None,
+              where: Column | None = None) -> bool:
     """Copy the rows of a day's batches up to ``upto`` (default: all there are) to the staged folder
-    and list the folders they came from; False if there is only one."""
+    and list the folders they came from; False if there is only one. With ``where`` only the rows
+    that meet it, of one folder too; False if all do."""
     here = f"{path}/day={day.isoformat()}"
     staged = f"{here}/{STAGED}"
     drop(spark, staged)
     number = lambda f: int(f.rsplit("=", 1)[1])
     sources = sorted((f for f in folders(spark, f"{here}/run={run}/batch_id=*") if upto is None or number(f) <= upto), key=number)
-    if len(sources) < 2:
+    if len(sources) < (2 if where is None else 1):
         return False
+    rows = spark.read.schema(schema).parquet(*sources)
+    if where is not None:
+        kept = rows.where(where)
+        if rows.where(~where).isEmpty():
+            return False
+        rows = kept
     if files is None:
         fs, _ = file_system(spark, here)
         size = sum(fs.getContentSummary(file_system(spark, f)[1]).getLength() for f in sources)
         files = size // FILE_BYTES + 1
-    spark.read.schema(schema).parquet(*sources).repartition(files).write.parquet(staged)
+    rows.repartition(files).write.parquet(staged)
     write_text(spark, f"{staged}/{SOURCES}", "\n".join(f.rsplit("/", 1)[1] for f in sources))
     return True
 
@@ -138,7 +147,8 @@ def swap_day(spark: SparkSession, path: str, day: dt.date, run: str) -> None:
     for name in names:
         drop(spark, f"{here}/run={run}/{name}")
     # Below zero, so no batch is ever written there, and of its own: the newest batch in it makes the number.
-    number = -2 - max((int(n.rsplit("=", 1)[1]) for n in names), default=0)
+    numbers = [int(n.rsplit("=", 1)[1]) for n in names]
+    number = -2 - max((n if n >= 0 else -2 - n for n in numbers), default=0)
     fs, source = file_system(spark, staged)
     _, target = file_system(spark, f"{here}/run={run}/batch_id={number}")
     fs.mkdirs(target.getParent())
@@ -155,6 +165,21 @@ def compact_day(spark: SparkSession, path: str, schema: T.StructType, day: dt.da
         swap_day(spark, path, day, run)
 
 
+def drop_older(spark: SparkSession, path: str, schema: T.StructType, limit: dt.datetime, run: str, time: str = "timestamp",
+               upto: int | None = None) -> list[dt.date]:
+    """Retention to the instant: the rows of ``run`` whose ``time`` is before ``limit`` (UTC) go. Days before the limit's
+    are dropped by name; of the limit's own day the batches up to ``upto`` are rewritten, staged and swapped as
+    in compaction, so a call that is cut short loses nothing; no other day is read. Rows without a time stay. Returns the days dropped."""
+    day = limit.date()
+    gone = drop_old_days(spark, path, 0, day)
+    if path_exists(spark, f"{path}/day={day.isoformat()}/{STAGED}/_SUCCESS"):
+        swap_day(spark, path, day, run)
+    since = F.lit(limit.isoformat(sep=" ")).cast(schema[time].dataType)
+    if stage_day(spark, path, schema, day, run, upto=upto, where=F.coalesce(F.col(time) >= since, F.lit(True))):
+        swap_day(spark, path, day, run)
+    return gone
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small text file, None if there is none."""
     if not path_exists(spark, path):

@@ -244,3 +244,30 @@ def test_strict_mode_fails_even_when_only_filter_columns_are_read(spark):
     bad = spark.createDataFrame([('{"Invoice_Amount":"abc","Pay_Type":"On Time"}',)], "value STRING")
     with pytest.raises(PySparkException):
         decode_invoice(bad, mode="strict").where(F.col("Pay_Type") == "Late").count()
+
+
+def test_retention_to_the_instant_rewrites_one_day(spark):
+    """Rows before the limit go, whatever batch they are in; files of other days stay as they are."""
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("i", T.IntegerType()), T.StructField("timestamp", T.TimestampType())])
+    path = f"{scratch_dir(spark, 't_exact')}/t"
+    times = ["2024-01-01 05:00:00", "2024-01-02 05:59:59.999", "2024-01-02 06:00:00", "2024-01-02 07:00:00", "2024-01-03 00:00:00", None]
+    for n in range(2):
+        df = spark.createDataFrame(list(enumerate(times)), "i INT, t STRING").select("i", F.col("t").cast("timestamp").alias("timestamp"))
+        tables.write_batch(df.withColumn("day", F.to_date("timestamp")), path, "r", n)
+    files = lambda day: {f.rsplit("/", 1)[1] for f in tables.folders(spark, f"{path}/day={day}/run=*/batch_id=*/*.parquet")}
+    rows = lambda: sorted(r.i for r in tables.read_index(spark, path, schema).collect())
+    later = files("2024-01-03")
+    limit = dt.datetime(2024, 1, 2, 6)
+    assert tables.drop_older(spark, path, schema, limit, "r", upto=0) == [dt.date(2024, 1, 1)]
+    assert rows() == [1, 2, 2, 3, 3, 4, 4, 5, 5]  # batch 1 isn't committed
+    tables.drop_older(spark, path, schema, limit, "r")
+    assert rows() == [2, 2, 3, 3, 4, 4, 5, 5] and files("2024-01-03") == later
+    cut = files("2024-01-02")
+    tables.drop_older(spark, path, schema, limit, "r")
+    assert files("2024-01-02") == cut  # nothing to drop, nothing rewritten
+    tables.write_batch(df.where("i = 3").withColumn("day", F.to_date("timestamp")), path, "r", 2)
+    tables.compact_day(spark, path, schema, limit.date(), "r")
+    assert rows() == [2, 2, 3, 3, 3, 4, 4, 5, 5]
+    tables.drop_older(spark, path, schema, dt.datetime(2024, 1, 2, 23), "r")
+    assert rows() == [4, 4, 5, 5]

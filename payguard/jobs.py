@@ -119,7 +119,7 @@ def produce_job(argv: list[str], spark: SparkSession | None = None, tick_s: floa
     """Publish the sample, paced by one streaming query. Returns that query; it
     ends by itself after the last step of a finite replay (:func:`finish`)."""
     from payguard.operators.decode import normalise_datetime
-    from payguard.operators.replay import Pacing, last_step, paced_stream
+    from payguard.operators.replay import PacedSample, Pacing, last_step, step_ticks
     from payguard.session import materialise, scratch_dir
     from payguard.sources.files import POSITION, read_sample_csv
     spark = spark or _session()
@@ -133,10 +133,12 @@ def produce_job(argv: list[str], spark: SparkSession | None = None, tick_s: floa
     checkpoint = opts.get("checkpoint") or scratch_dir(spark, "producer")
     seed = f"{settings.event_source}|{checkpoint}"
 
-    def step(batch: DataFrame, batch_id: int) -> None:
-        send(producer_events(batch, settings, seed), batch_id)
+    paced = PacedSample(sample, list(POSITION), pacing)
 
-    ticks = paced_stream(sample, list(POSITION), pacing, tick_s)
+    def step(ticks: DataFrame, batch_id: int) -> None:
+        send(producer_events(paced.due(ticks), settings, seed), batch_id)
+
+    ticks = step_ticks(spark, pacing, tick_s)
     query = ticks.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).queryName(f"produce_{uuid.uuid4().hex[:8]}").start()
     return query, last_step(sample.count(), pacing), pacing
 

@@ -21,11 +21,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from payguard.session import materialise
+from payguard.session import materialise, scratch_dir
 
 INT32_MAX = 2**31 - 1
+#: Rows of a stored range of steps, about (one step at least).
+RANGE_ROWS = 100_000
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id in the upper 31 bits
 
 
@@ -125,38 +127,59 @@ def pace(df: DataFrame, order: list[str], pacing: Pacing, rep_col: str = "rep",
     return reps.withColumn(offset_col, offset.cast("bigint")).drop("_n")
 
 
-def paced_stream(static: DataFrame, order: list[str], pacing: Pacing, tick_s: float = 1.0) -> DataFrame:
-    """The paced replay as a stream, also endless (``repetitions`` below 0).
-
-    A ``rate`` source counts the steps: step ``t`` comes ``t`` pauses after the
-    start. Row ``i`` of pass ``r`` is due at step ``r * (N div g) + i div g``, so
-    a step finds its rows by an equi-join on the step modulo ``N div g``. A sample
-    shorter than a group has all its passes at step 0 if they are finite, and one
-    pass a step if they are endless. Adds ``rep``, ``seq`` and ``step``.
-    """
-    spark = static.sparkSession
-    rows = materialise(dense_index(static, order, index_col="seq", total_col="_n"), "paced-sample")
-    n = rows.select(F.max("_n")).first()[0] or 0
-    pass_steps = n // pacing.group_size
-    endless = pacing.repetitions < 0
-    rows = rows.drop("_n").withColumn("_k", F.floor(F.col("seq") / F.lit(pacing.group_size)).cast("bigint"))
-    if pass_steps == 0 and not endless:
-        rows = repeat(rows, pacing.repetitions).withColumn("_k", F.lit(0).cast("bigint")).withColumnRenamed("rep", "_rep")
-    cycle = pass_steps or 1
+def step_ticks(spark: SparkSession, pacing: Pacing, tick_s: float = 1.0) -> DataFrame:
+    """A stream of steps: a ``rate`` source counts them, step ``t`` comes ``t`` pauses after the start."""
     pause = max(pacing.pause_s * tick_s, 0.001)
     ticks = spark.readStream.format("rate").option("rowsPerSecond", max(int(1 / pause), 1)).load()
     if pause > 1:  # the source counts whole seconds
-        ticks = ticks.where(F.col("value") % int(pause) == 0).select((F.col("value") / int(pause)).cast("bigint").alias("step"))
-    else:
-        ticks = ticks.select(F.col("value").alias("step"))
-    ticks = ticks.withColumn("_slot", F.col("step") % cycle)
-    due = ticks.join(rows.withColumn("_slot", F.col("_k") % cycle), "_slot")
-    if pass_steps == 0 and not endless:
-        return due.where(F.col("step") == 0).withColumnRenamed("_rep", "rep").drop("_slot", "_k")
-    due = due.withColumn("rep", ((F.col("step") - F.col("_k")) / cycle).cast("bigint")).where(F.col("step") >= F.col("_k"))
-    if not endless:
-        due = due.where(F.col("rep") < pacing.repetitions)
-    return due.drop("_slot", "_k")
+        return ticks.where(F.col("value") % int(pause) == 0).select((F.col("value") / int(pause)).cast("bigint").alias("step"))
+    return ticks.select(F.col("value").alias("step"))
+
+
+class PacedSample:
+    """The paced replay of a sample, also endless (``repetitions`` below 0), step by step.
+
+    Row ``i`` of pass ``r`` is due at step ``r * (N div g) + i div g``. The sample is
+    stored once, partitioned by ranges of about ``RANGE_ROWS`` rows' steps; :meth:`due`
+    finds the rows of some steps by an equi-join on the step modulo ``N div g`` that
+    reads only those steps' ranges. So a step's work doesn't depend on the sample's size.
+    A sample shorter than a group has all its passes at step 0 if they are finite, and
+    one pass a step if they are endless. An empty sample is never due.
+    """
+
+    def __init__(self, static: DataFrame, order: list[str], pacing: Pacing):
+        self.spark, self.pacing = static.sparkSession, pacing
+        rows = dense_index(static, order, index_col="seq", total_col="_n")
+        n = rows.select(F.max("_n")).first()[0] or 0
+        self.pass_steps = n // pacing.group_size
+        self.at_once = self.pass_steps == 0 and pacing.repetitions >= 0
+        self.cycle = self.pass_steps or 1
+        self.span = max(RANGE_ROWS // pacing.group_size, 1)  # steps of a range
+        rows = rows.drop("_n").withColumn("_k", F.floor(F.col("seq") / F.lit(pacing.group_size)).cast("bigint"))
+        rows = rows.withColumn("_slot", F.col("_k") % self.cycle).withColumn("_range", F.floor(F.col("_slot") / F.lit(self.span)).cast("bigint"))
+        # A step may hold more rows than a range should: its blocks are tasks of their own.
+        path = scratch_dir(self.spark, "paced-sample")
+        rows.repartition("_range", F.floor(F.col("seq") / F.lit(RANGE_ROWS))).write.mode("overwrite").partitionBy("_range").parquet(path)
+        self.rows = self.spark.read.schema(rows.schema).parquet(path)
+
+    def due(self, ticks: DataFrame) -> DataFrame:
+        """The rows that are due at the steps of ``ticks`` (a batch), with ``rep``, ``seq`` and ``step``."""
+        first, last = ticks.agg(F.min("step"), F.max("step")).first()
+        rows = self.rows
+        if first is None:
+            rows = rows.where(F.lit(False))
+        elif last - first + 1 < self.cycle:  # literals, so the scan's partitions are pruned
+            a, b = first % self.cycle, last % self.cycle
+            after, before = F.col("_range") >= a // self.span, F.col("_range") <= b // self.span
+            rows = rows.where(after & before if a <= b else after | before)
+        due = ticks.select("step").withColumn("_slot", F.col("step") % self.cycle).join(rows.drop("_range"), "_slot")
+        if self.at_once:
+            due = repeat(due.where(F.col("step") == 0), self.pacing.repetitions)
+        else:
+            due = due.withColumn("rep", F.floor((F.col("step") - F.col("_k")) / self.cycle)).where(F.col("step") >= F.col("_k"))
+            if self.pacing.repetitions >= 0:
+                due = due.where(F.col("rep") < self.pacing.repetitions)
+        return due.withColumn("rep", F.col("rep").cast("bigint")).drop("_slot", "_k")
 
 
 def last_step(n: int, pacing: Pacing) -> int | None:

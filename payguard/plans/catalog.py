@@ -719,6 +719,25 @@ def q_replay_pacing(spark, sf_dir):
     return pace(ev, ["event_id"], Pacing.from_text("10", "1", "2"))
 
 
+@register("replay_steps", """
+WITH s AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS seq, count(*) OVER () AS n FROM events)
+SELECT event_id, r.rep AS rep, seq, CAST(r.rep * (n // 7) + seq // 7 AS BIGINT) AS step FROM s CROSS JOIN range(2) AS r(rep)""")
+def q_replay_steps(spark, sf_dir):
+    """The producer's stream, step by step: the events in groups of 7 over 2 passes, on ticks that come in ten
+    batches. Each batch reads only its own steps' ranges of the stored sample."""
+    from payguard.operators.replay import PacedSample, last_step
+    ev = read_table(spark, sf_dir, "events").select("event_id")
+    pacing = Pacing.from_text("7", "1", "2")
+    paced = PacedSample(ev, ["event_id"], pacing)
+    place = scratch_dir(spark, "replay_steps")
+    last = last_step(ev.count(), pacing)
+    (spark.range(0, last + 1, 1, 10).select(F.col("id").alias("step")).write.parquet(f"{place}/ticks"))
+    (spark.readStream.schema("step BIGINT").option("maxFilesPerTrigger", 1).parquet(f"{place}/ticks").writeStream
+     .foreachBatch(lambda ticks, n: paced.due(ticks).write.mode("overwrite").parquet(f"{place}/sent/batch_id={n}"))
+     .option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema("event_id BIGINT, seq BIGINT, step BIGINT, rep BIGINT").parquet(f"{place}/sent").select("event_id", "rep", "seq", "step")
+
+
 _CSV_TEXT_SQL = "concat('say \"', Role, '\", ', Activity, chr(10), Plant, chr(92))"
 
 

@@ -1,7 +1,7 @@
 """Kafka sources and sinks (needs the spark-sql-kafka package on the cluster).
 
 Not exercised in this repository's tests: the Kafka connector is not on the
-local classpath. Offline, :mod:`payguard.streaming.topic` provides the same
+local classpath. Offline, :mod:`payguard.sources.records` provides the same
 record shape on files.
 """
 

@@ -121,3 +121,25 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(ValueError):
         scratch_root(Session())
+
+
+def test_paced_sample_reads_only_its_ranges(spark, monkeypatch):
+    """Steps that wrap into the next pass, the remainder of a pass, a sample within one group, an empty one; the scan is pruned."""
+    from payguard.operators import replay
+    monkeypatch.setattr(replay, "RANGE_ROWS", 4)
+    ticks = lambda *steps: spark.createDataFrame([(s,) for s in steps], "step BIGINT")
+    got = lambda paced, *steps: sorted((r.step, r.rep, r.seq) for r in paced.due(ticks(*steps)).collect())
+    want = lambda n, g, reps: sorted((r * (n // g) + i // g, r, i) for r in range(reps) for i in range(n))
+    paced = replay.PacedSample(spark.range(23), ["id"], replay.Pacing(2, 1, 3))
+    every = want(23, 2, 3)
+    for a in range(0, 36, 4):
+        assert got(paced, *range(a, a + 4)) == [x for x in every if a <= x[0] < a + 4]
+    assert got(paced, *range(40)) == every
+    plan = paced.due(ticks(12, 13))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_range" in plan and "(_range" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    endless = replay.PacedSample(spark.range(23), ["id"], replay.Pacing(2, 1, -1))
+    assert got(endless, 100, 101) == [x for x in want(23, 2, 12) if x[0] in (100, 101)]
+    assert got(replay.PacedSample(spark.range(3), ["id"], replay.Pacing(5, 1, 2)), 0, 1) == [(0, r, i) for r in (0, 1) for i in range(3)]
+    assert got(replay.PacedSample(spark.range(3), ["id"], replay.Pacing(5, 1, -1)), 4) == [(4, 4, i) for i in range(3)]
+    assert got(replay.PacedSample(spark.range(0), ["id"], replay.Pacing(2, 1, -1)), 0, 1) == []
+    assert paced.due(spark.createDataFrame([], "step BIGINT")).count() == 0

@@ -153,15 +153,18 @@ class Kernel:
         # The most that a triple adds to any landmark of a length (none for triples of no landmark), by length.
         dense = np.zeros((len(keys), self.m), dtype=np.float32)
         dense[np.repeat(np.arange(len(keys)), np.diff(self.start)), np.argsort(by)[self.lm]] = self.w
-        self.used = self.row >= 0
         self.most = np.stack([dense[:, slice(*np.searchsorted(sizes[by], [size, size + 1]))].max(1) for size in np.unique(sizes)], axis=1)
+        # The same by distance of the triple's ends, the last row for triples of no landmark.
+        none = np.zeros((1, self.most.shape[1]), dtype=np.float32)
+        self.by_last = {last: np.concatenate([np.float32(DECAY ** (last - 2)) * self.most, none]) for last in range(2, SPAN + 1)}
+        self.spot = np.where(self.row >= 0, self.row, len(keys)).astype(np.intp)
 
     def slide(self, stream: str) -> list[tuple[int, str]]:
         """(start, window) of the sliding windows, and of the whole lines, of a text that can reach FLOOR; no window holds a line end.
 
         What a window's triples add at most to any landmark of its length bounds its value: a running
         sum for each length instead of each landmark."""
-        every = np.concatenate([codes([stream])[0][:len(stream)], np.zeros(WINDOW + SPAN, dtype=np.int32)])
+        every = np.concatenate([codes([stream])[0][:len(stream)], np.zeros(WINDOW + SPAN, dtype=np.int32)]).astype(np.intp)
         ends = np.append(np.flatnonzero(np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), dtype="<u4") == 10), len(stream))
         starts = np.concatenate([[0], ends[:-1] + 1])
         short = (ends - starts >= 3) & (ends - starts <= WINDOW)
@@ -171,22 +174,21 @@ class Kernel:
             n = min(SLIDE_ROWS + WINDOW, len(stream) - a)
             c = every[a:a + n + SPAN]
             bound = np.zeros((n + 1, self.most.shape[1]), dtype=np.float32)
-            for mid in range(1, SPAN):
-                two = (c[:n] * CODES + c[mid:mid + n]) * CODES
-                for last in range(max(mid + 1, 2), SPAN + 1):
-                    k = two + c[last:last + n]
-                    i = np.flatnonzero(self.used[k])
-                    bound[i + 1] += np.float32(DECAY ** (last - 2)) * self.most[self.row[k[i]]]
-            bound = np.cumsum(bound, axis=0, dtype=np.float64)  # single precision drifts by more than the slack below
+            part, two = np.empty((n, self.most.shape[1]), dtype=np.float32), {mid: c[:n] * CODES ** 2 + c[mid:mid + n] * CODES for mid in range(1, SPAN)}
+            for last in range(2, SPAN + 1):
+                for mid in range(1, last):
+                    np.take(self.by_last[last], self.spot.take(two[mid] + c[last:last + n]), axis=0, out=part, mode="clip")
+                    bound[1:] += part
+            sums = np.cumsum(bound.T, axis=1, dtype=np.float64)  # single precision drifts by more than the slack below
             for size, least, g in self.slides:
                 stop = min(SLIDE_ROWS, n - size + 1)  # the starts from there on are the next part's
                 if stop > 0:
-                    s = np.flatnonzero(bound[size - 2:size - 2 + stop, g] - bound[:stop, g] >= FLOOR * least - 2e-3) + a
+                    s = np.flatnonzero(sums[g, size - 2:size - 2 + stop] - sums[g, :stop] >= FLOOR * least - 2e-3) + a
                     s = s[np.searchsorted(ends, s) == np.searchsorted(ends, s + size)] if len(s) else s
                     out += [(i, stream[i:i + size]) for i in s.tolist()]
             u, v = np.searchsorted(starts, [a, a + SLIDE_ROWS])
             b, e = starts[u:v], stops[u:v]
-            near = (bound[e - a - 2] - bound[b - a]).max(axis=1, initial=0) >= FLOOR * self.least[e - b] - 2e-3
+            near = (sums[:, e - a - 2] - sums[:, b - a]).max(axis=0, initial=0) >= FLOOR * self.least[e - b] - 2e-3
             out += [(i, stream[i:j]) for i, j in zip(b[near].tolist(), e[near].tolist())]
         return out
 
@@ -251,58 +253,67 @@ class Reader:
         near = [w for w in ws if self.near[w] is not None]
         return [self.near[w] for w in (sorted(near) if len(near) > 1 else near)]
 
-    def slide(self, streams: list[str]) -> list[set]:
-        """The sliding windows of each text that may be near a landmark."""
-        found: list[set] = [set() for _ in streams]
+    def slide(self, streams: list[str]) -> dict[int, set]:
+        """The sliding windows that may be near a landmark, by the number of the text that holds any."""
+        found: dict[int, set] = {}
         i = 0
         while i < len(streams):
             j, held = i, 0
             while j < len(streams) and (j == i or held + len(streams[j]) < SLIDE_CHARS):
                 held += len(streams[j]) + 1
                 j += 1
-            ends = np.cumsum([len(x) + 1 for x in streams[i:j]])
             hits = self.kernel.slide("\n".join(streams[i:j]))
-            for k, (_, w) in zip(np.searchsorted(ends, [h for h, _ in hits], side="right").tolist(), hits):
-                found[i + k].add(w)
+            if hits:
+                ends = np.cumsum(np.fromiter(map(len, streams[i:j]), dtype=np.int64, count=j - i) + 1)
+                for k, (_, w) in zip(np.searchsorted(ends, [h for h, _ in hits], side="right").tolist(), hits):
+                    found.setdefault(i + k, set()).add(w)
             i = j
         return found
 
     def learn(self, tokens: set) -> None:
         """Read new words: as a whole, by their pieces, and every second character of the long ones."""
-        if len(self.known) + len(tokens) > MEMORY:
+        new = tokens.difference(self.known)
+        if not new:
+            return
+        if len(self.known) + len(new) > MEMORY:
             self.known, self.said, self.open, self.hot = {}, {}, {}, set()
-        fresh, long, streams = [t for t in tokens if t not in self.known], {}, []
-        for t in fresh:
+            new = tokens
+        fresh, long, streams, whole = list(new), {}, [], {}
+        for i, t in enumerate(fresh):
             if t.isalpha():
-                w, shown, stop = t, f"^{t}$", ""
+                w, lines = t, f"^{t}$"
+                self.said[t] = lines
             else:
                 w = EDGE.sub("", t)
                 w, said = (w, [w]) if w.isalpha() else (read(t), pieces(t))
-                shown, stop = "".join([f"^{x}$" for x in said]), "\n" if ENDS.search(t) else ""
+                lines = "".join([f"^{x}$" for x in said])
+                self.said[t] = lines + "\n" if ENDS.search(t) else lines
+                if w and lines != f"^{w}$":
+                    lines = f"{lines}\n^{w}$"
             n = len(w)
-            self.said[t], self.open[t] = shown + stop, 0 < n <= SHORT
-            lines = shown if not n or shown == f"^{w}$" else f"{shown}\n^{w}$"
+            self.open[t] = 0 < n <= SHORT
+            if self.halves is not None and SHORT < n <= WINDOW - 2:
+                whole.setdefault(f"^{w}$", []).append(t)
             if n >= 2 * GAPPED - 1:
                 lines = f"{lines}\n^{w[::2]}$\n^{w[1::2]}$"
                 if n > WINDOW - 2:
-                    long[t] = windows(w)
+                    long[i] = windows(w)
             streams.append(lines)
         own = self.slide(streams)
-        for t, found in zip(fresh, own):
-            if t in long:
-                found.update(long[t])
-        self.compare(set().union(*own))
-        for t, ws in zip(fresh, own):
-            self.known[t] = self.values(ws) if ws else []
-            if self.known[t]:
-                self.hot.add(t)
+        for i, ws in long.items():
+            own.setdefault(i, set()).update(ws)
+        self.compare(set().union(*own.values()))
+        self.known.update(dict.fromkeys(fresh, ()))
+        for i, ws in own.items():
+            if got := self.values(ws):
+                self.known[fresh[i]] = got
+                self.hot.add(fresh[i])
         if self.halves is not None:
-            whole = {t: f"^{w}$" for t in fresh if not self.open[t] and (w := read(t)) and len(w) <= WINDOW - 2}
-            lines = list(set(whole.values()))
+            lines = list(whole)
             may = {w for i in range(0, len(lines), SLIDE_ROWS) for _, w in self.halves.slide("\n".join(lines[i:i + SLIDE_ROWS]))}
-            near = {w for w, _ in self.halves(sorted(may, key=len))}
-            for t, w in whole.items():
-                self.open[t] = w in near
+            for w, _ in self.halves(sorted(may, key=len)):
+                for t in whole[w]:
+                    self.open[t] = True
 
     def across(self, words: list[str]) -> set:
         """The runs of words that windows slide across: short words, which may be an insult's
@@ -318,15 +329,15 @@ class Reader:
         for t, own in zip(low, tokens):
             own.update(INNER.sub("", m) for m in SPELT.findall(t))
         every = set().union(*tokens)
-        if not every <= self.known.keys():
-            self.learn(every)
+        self.learn(every)
         runs = [self.across(t) for t in split]
         if len(self.runs) > MEMORY:
             self.runs = {}
         fresh = list(set().union(*runs).difference(self.runs))
         found = self.slide(fresh)
-        self.compare(set().union(*found))
-        new = {r: self.values(ws) for r, ws in zip(fresh, found)}
+        self.compare(set().union(*found.values()))
+        new = dict.fromkeys(fresh, ())
+        new.update((fresh[i], self.values(ws)) for i, ws in found.items())
         out = [([self.known[t] for t in sorted(own & self.hot)],
                 [v for r in sorted(mine) for v in (new[r] if r in new else self.runs[r])]) for own, mine in zip(tokens, runs)]
         self.runs.update((r, v) for r, v in new.items() if len(r) <= REMEMBERED)

@@ -20,7 +20,7 @@ are delivered again once, e.g. ``7 days``) and ``replay`` (start over from the f
 record). Archived records stand in for Kafka where they are named:
 ``recordsPath`` (Kafka-shaped parquet to read, with ``maxFilesPerTrigger``) and
 ``riskPath`` or ``outPath`` (a table for what would be published).
-``repetitions`` below 0 replays without end.
+``repetitions`` below 0 replays without end; ``splitSample`` reads a large sample file in splits.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from payguard.config import KafkaSecurity, RunSettings
 
-_FLAGS = ("availableNow", "replay", "compact")
+_FLAGS = ("availableNow", "replay", "compact", "splitSample")
 
 
 def parse_options(argv: list[str], names: tuple[str, ...]) -> dict[str, str]:
@@ -121,13 +121,14 @@ def produce_job(argv: list[str], spark: SparkSession | None = None, tick_s: floa
     from payguard.operators.decode import normalise_datetime
     from payguard.operators.replay import PacedSample, Pacing, last_step, step_ticks
     from payguard.session import materialise, scratch_dir
-    from payguard.sources.files import POSITION, read_sample_csv
+    from payguard.sources.files import POSITION, read_large_csv, read_sample_csv
     spark = spark or _session()
     settings = RunSettings.from_argv(argv)
-    opts = parse_options(argv, _SECURITY + ("sample", "outPath", "messagesPerGroup", "secondsToPause", "repetitions", "checkpoint"))
+    opts = parse_options(argv, _SECURITY + ("sample", "outPath", "messagesPerGroup", "secondsToPause", "repetitions", "checkpoint", "splitSample"))
     pacing = Pacing.from_text(opts.get("messagesPerGroup"), opts.get("secondsToPause"), opts.get("repetitions"))
     # The rows' order is their place in the files; a bad time fails the job.
-    sample = normalise_datetime(read_sample_csv(spark, opts["sample"], position=True), strict=True).drop("event_time")
+    read = read_large_csv if opts.get("splitSample") else read_sample_csv
+    sample = normalise_datetime(read(spark, opts["sample"], position=True), strict=True).drop("event_time")
     sample = materialise(sample, "producer-sample")
     send = _sender(settings, opts)
     checkpoint = opts.get("checkpoint") or scratch_dir(spark, "producer")

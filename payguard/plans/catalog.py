@@ -30,7 +30,7 @@ from payguard.schemas import INVOICE_SCHEMA, RAW_FIELDS, RAW_SCHEMA
 from payguard.session import prepare, scratch_dir
 from payguard.sources.adapter import (defective_payloads, invoice_adapter, invoice_view, raw_payloads,
                                       raw_text_adapter, token_payloads)
-from payguard.sources.files import read_sample_csv, write_sample_csv
+from payguard.sources.files import read_large_csv, read_sample_csv, write_sample_csv
 from payguard.sources.tables import read_table
 from payguard.sources.records import as_records, next_offsets, stream_records
 from payguard.streaming import scenario, tables
@@ -741,18 +741,32 @@ def q_replay_steps(spark, sf_dir):
 _CSV_TEXT_SQL = "concat('say \"', Role, '\", ', Activity, chr(10), Plant, chr(92))"
 
 
-@register("csv_source", O.with_raw(f"SELECT * REPLACE ({_CSV_TEXT_SQL} AS Activity, '' AS UserType) FROM raw"))
-def q_csv_source(spark, sf_dir):
-    """Sample CSV with its columns in another order and one missing, bound by
-    header name; quotes, commas, line breaks and a trailing backslash in a field;
-    event time text normalised to RFC3339."""
+_CSV_SQL = O.with_raw(f"SELECT * REPLACE ({_CSV_TEXT_SQL} AS Activity, '' AS UserType) FROM raw")
+
+
+def _sample_file(spark, sf_dir) -> str:
     from payguard.functions.timefmt import sample_time_text
     raw = raw_text_adapter(spark, sf_dir)
     raw = raw.withColumn("DateTime", sample_time_text(F.to_timestamp(F.col("DateTime"), "yyyy-MM-dd'T'HH:mm:ss'Z'")))
     raw = raw.withColumn("Activity", F.concat(F.lit('say "'), "Role", F.lit('", '), "Activity", F.lit("\n"), "Plant", F.lit("\\")))
     path = f"{scratch_dir(spark, 'sample_csv')}/sample"
     write_sample_csv(raw.select(*[c for c in reversed(RAW_FIELDS) if c != "UserType"]), path)
-    return normalise_datetime(read_sample_csv(spark, path)).select(*RAW_FIELDS)
+    return path
+
+
+@register("csv_source", _CSV_SQL)
+def q_csv_source(spark, sf_dir):
+    """Sample CSV with its columns in another order and one missing, bound by
+    header name; quotes, commas, line breaks and a trailing backslash in a field;
+    event time text normalised to RFC3339."""
+    return normalise_datetime(read_sample_csv(spark, _sample_file(spark, sf_dir))).select(*RAW_FIELDS)
+
+
+@register("csv_large", _CSV_SQL)
+def q_csv_large(spark, sf_dir):
+    """The same files read in splits: every record holds a line break, and is put together from its
+    lines by the parity of the quotes before them, also where a split cuts it."""
+    return normalise_datetime(read_large_csv(spark, _sample_file(spark, sf_dir))).select(*RAW_FIELDS)
 
 
 @register("event_publish", O.with_raw("""

@@ -136,3 +136,39 @@ def test_sample_files(spark, tmp_path):
     assert [r.Role for r in rows[:3]] == ['say "hi", x', "two\nlines", "back\\"] and {r.Plant for r in rows} == {""}
     with pytest.raises(ValueError):
         read_sample_csv(spark, str(tmp_path), ("Invoice_ID", "Plant"), strict=True)
+
+
+def test_large_sample_files(spark, tmp_path):
+    """Splits of a few lines: fields that reach over several splits, CRLF, empty lines in and between records, and the rows' order."""
+    import csv
+
+    import pytest
+    from payguard.sources.files import POSITION, read_large_csv
+    fields = ("Invoice_ID", "Role", "Plant")
+    body = "".join(f'"say ""{i}"", x\n\n{"long, line\n" * (i % 40)}",{i}\n' + ("\n" if i % 7 == 0 else "") + f'plain,{i + 1000}\n"",{i + 2000}\n' for i in range(300))
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "a.csv").write_text('Role,"Invoice_ID"\n' + body)
+    (tmp_path / "a" / "b.csv").write_text('\nRole,"Invoice_ID"\r\n"two\r\nlines",1\r\nback\\,2\r\n\r\nlast,3', newline="")
+    (tmp_path / "a" / "c.csv").write_text('Role,"Invoice_ID"\n')
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "400")
+        got = read_large_csv(spark, str(tmp_path / "a"), fields, position=True)
+        rows = got.orderBy(*POSITION).collect()
+        assert len({(r._file, r._block) for r in rows}) > 50  # many splits
+        assert read_large_csv(spark, str(tmp_path / "a" / "c.csv"), fields).count() == 0
+        (tmp_path / "bad.csv").write_text('Role,Invoice_ID\nx,1\n"never closed,2\n')
+        with pytest.raises(ValueError, match="inside a quoted field"):
+            read_large_csv(spark, str(tmp_path / "bad.csv"), fields)
+        with pytest.raises(ValueError, match="lacks columns"):
+            read_large_csv(spark, str(tmp_path / "a"), fields, strict=True)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = []
+    for name in ("a", "b", "c"):
+        with open(tmp_path / "a" / f"{name}.csv", newline="") as f:
+            want += [(r[1], r[0], "") for r in csv.reader(f) if r and r != ["Role", "Invoice_ID"]]
+    assert [tuple(r[:3]) for r in rows] == want and len(rows) == 903
+    assert rows[-3].Role == "two\r\nlines" and rows[-2].Role == "back\\"

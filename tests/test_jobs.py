@@ -71,6 +71,8 @@ def test_produce_without_pause_sends_all_passes(spark):
     sample, n = _sample_csv(spark)
     sent = _produce(spark, sample, f"{scratch_dir(spark, 't_jobs1')}/sent", "--repetitions", "2")
     assert sent.count() == 2 * n and sent.select("key").distinct().count() == 2 * n
+    split = _produce(spark, sample, f"{scratch_dir(spark, 't_jobs1')}/split", "--repetitions", "2", "--splitSample")
+    assert split.count() == 2 * n and split.select("value").exceptAll(sent.select("value")).count() == 0
 
 
 def test_endless_replay_starts_and_stops(spark):

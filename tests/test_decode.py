@@ -158,6 +158,9 @@ def test_large_sample_files(spark, tmp_path):
         rows = got.orderBy(*POSITION).collect()
         assert len({(r._file, r._block) for r in rows}) > 50  # many splits
         assert read_large_csv(spark, str(tmp_path / "a" / "c.csv"), fields).count() == 0
+        (tmp_path / "empty.csv").write_text("")
+        none = read_large_csv(spark, str(tmp_path / "empty.csv"), fields, position=True)
+        assert none.columns == [*fields, *POSITION] and none.count() == 0
         (tmp_path / "bad.csv").write_text('Role,Invoice_ID\nx,1\n"never closed,2\n')
         with pytest.raises(ValueError, match="inside a quoted field"):
             read_large_csv(spark, str(tmp_path / "bad.csv"), fields)

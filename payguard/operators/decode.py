@@ -44,7 +44,8 @@ def _error_expr(parsed: Column, payload: Column, fields: tuple[str, ...]) -> Col
             checks.append((bad_token_int(parsed[f], _token(f)), f"bad int {f}"))
     # Nothing is nested in a payload with one opening brace and no bracket.
     inner = payload.contains("[") | (F.substring_index(payload, "{", 2) != payload)
-    nested = bind(F.struct(parsed.alias("parsed"), payload.alias("payload")), lambda x: _nested_expr(x["parsed"], x["payload"], fields))
+    texts = F.struct(*[parsed[f].alias(f) for f in fields if f not in FLOAT_FIELDS and f not in INT_FIELDS])
+    nested = bind(F.struct(texts.alias("parsed"), payload.alias("payload")), lambda x: _nested_expr(x["parsed"], x["payload"], fields))
     expr = F.when(inner, nested)
     for cond, msg in reversed(checks):
         expr = F.when(cond, F.lit(msg)).otherwise(expr)
@@ -77,8 +78,15 @@ def decode(df: DataFrame, fields: tuple[str, ...], value_col: str = "value",
     payload = F.col(value_col).cast("string")
     parsed = F.from_json(payload, text_schema(fields, corrupt=True),
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    staged = df.select(*keep, payload.alias("_payload"), parsed.alias(_PARSED))
-    p = F.col(_PARSED)
+    if mode == "strict":
+        staged = df.select(*keep, payload.alias("_payload"), parsed.alias(_PARSED))
+        p = F.col(_PARSED)
+    else:
+        # The optimizer moves a filter on the decoded columns below a projection, with a parse of its own for
+        # every field it reads; not below a generator. Here it makes one row of each.
+        names = text_schema(fields, corrupt=True).fieldNames()
+        staged = df.select(*keep, payload.alias("_payload"), F.inline(F.array(parsed)).alias(*[f"_in_{f}" for f in names]))
+        p = {f: F.col(f"_in_{f}") for f in names}
     tokens = [open_token(p[f], F.col("_payload"), f).alias(f"_token_{f}") for f in fields if f in INT_FIELDS]
     staged = staged.select("*", *tokens)
     cols = [F.col(k) for k in keep] + [_typed(p, f) for f in fields]

@@ -27,6 +27,11 @@ def test_methods_are_small_enough_to_be_compiled(spark, decoder, payloads):
     assert method_bytes(df) <= 8000
 
 
+def test_a_filter_on_decoded_columns_parses_once(spark):
+    good = decode_raw(to_payload(raw_text_view(spark.read.parquet(f"{SMOKE}/lineitem.parquet")))).where("_error IS NULL").drop("_error")
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_tasks_of_row_work_are_bounded(spark):
     big = spark.range(TASK_BYTES * 5)  # 8 bytes a row
     assert plan_bytes(big) == 40 * TASK_BYTES

@@ -35,4 +35,5 @@ def test_a_filter_on_decoded_columns_parses_once(spark):
 def test_tasks_of_row_work_are_bounded(spark):
     big = spark.range(TASK_BYTES * 5)  # 8 bytes a row
     assert plan_bytes(big) == 40 * TASK_BYTES
-    assert spread(big)._jdf.queryExecution().optimizedPlan().numPartitions() == 40
+    tasks = spread(big)._jdf.queryExecution().optimizedPlan().numPartitions()
+    assert tasks >= 40 and tasks % spark.sparkContext.defaultParallelism == 0

@@ -195,3 +195,27 @@ def test_large_sample_files(spark, tmp_path):
             want += [(r[1], r[0], "") for r in csv.reader(f) if r and r != ["Role", "Invoice_ID"]]
     assert [tuple(r[:3]) for r in rows] == want and len(rows) == 903
     assert rows[-3].Role == "two\r\nlines" and rows[-2].Role == "back\\"
+
+
+def test_large_sample_files_without_stored_lines(spark, tmp_path):
+    """What a split holds whole isn't shuffled or stored, also where the splits' states come by a shuffle the rows are the same."""
+    from payguard.sources.files import read_large_csv
+    body = "".join(f'"two\nlines {i}",{i}\n' + ("\n" if i % 50 == 0 else "") for i in range(400)) + '"' + "long\n" * 500 + '",400\n'
+    (tmp_path / "a.csv").write_text('\n"Ro\nle",Invoice_ID\n' + body)
+    (tmp_path / "b.csv").write_text("\n" * 900 + '"Ro\nle",Invoice_ID\n' + body)  # the header is in a later split
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k) for k in keys}
+    want = sorted([(str(i), f"two\nlines {i}") for i in range(400)] * 2 + [("400", "long\n" * 500)] * 2)
+    try:
+        for k in keys[:2]:
+            spark.conf.set(k, "700")
+        for limit in (before[keys[2]], "0"):
+            spark.conf.set(keys[2], limit)
+            got = read_large_csv(spark, str(tmp_path), ("Invoice_ID", "Ro\nle"))
+            assert sorted(map(tuple, got.collect())) == want
+            if limit != "0":
+                plan = got._jdf.queryExecution().optimizedPlan().toString()
+                assert "MapInArrow" in plan and "csv-lines" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -219,3 +219,20 @@ def test_large_sample_files_without_stored_lines(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_plain_reader_splits_a_large_file(spark, tmp_path, monkeypatch):
+    """One file over the bound is read by many tasks, with the rows that one task gives."""
+    from payguard.sources import files
+    (tmp_path / "a.csv").write_text("Role,Invoice_ID\n" + "".join(f'"two\nlines {i}",{i}\n' for i in range(400)))
+    read = lambda: files.read_sample_csv(spark, str(tmp_path), ("Invoice_ID", "Role"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        one = read()
+        assert one.rdd.getNumPartitions() == 1
+        monkeypatch.setattr(files, "LARGE_FILE", 5000)
+        many = read()
+        assert many.rdd.getNumPartitions() > 8 and sorted(many.collect()) == sorted(one.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

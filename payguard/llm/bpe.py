@@ -37,7 +37,7 @@ from payguard.llm.common import cuts
 from payguard.session import plan_bytes, scratch_dir
 
 #: Characters (bytes) of the texts of a chunk: bounds the words that a task holds.
-CHUNK = 32_000_000
+CHUNK = 16_000_000
 #: Input bytes for each part of the words' hash space: bounds the distinct words that a task encodes.
 PART_BYTES = 64_000_000
 #: Ids that are decoded together.
@@ -106,6 +106,11 @@ def joined_planes(low, high) -> np.ndarray:
     return low.flatten().to_numpy().astype(np.int64) | high.flatten().to_numpy().astype(np.int64) << 16
 
 
+def whole(values: np.ndarray):
+    """All values as the one row of an Arrow list column: no offsets."""
+    return ragged([len(values)], values)
+
+
 def ragged(lengths, flat: np.ndarray):
     """An Arrow list column of the given row lengths."""
     import pyarrow as pa
@@ -147,7 +152,10 @@ def numbered(df: DataFrame, text: str, keep: list[str], pattern: str, parts: int
                 held[0].append(code)
                 held[1].append(b)
             for part, (codes, held) in by_part.items():
-                yield row(part, packed(["code", "word"], [pa.array(np.array(codes, dtype=np.uint32)), pa.array(held, pa.binary())]))
+                # Codes grow, so their steps and the words' sizes are small numbers, which compress well.
+                steps = np.diff(np.array(codes, dtype=np.int64), prepend=0).astype(np.uint32)
+                sizes = np.array([len(b) for b in held], dtype=np.uint32)
+                yield row(part, packed(["step", "size", "words"], [whole(steps), whole(sizes), pa.array([b"".join(held)], pa.binary())]))
 
         for batch in batches:
             for start, stop in cuts(batch.column(0)):
@@ -183,14 +191,16 @@ def encoded_words(rows: DataFrame, ranks) -> DataFrame:
                 if part != here:
                     known, here = {}, part
                 held = unpacked(body)
-                ids = []
-                for w in held.column(1).to_pylist():
+                data, ids, start = held.column(2)[0].as_py(), [], 0
+                for stop in np.cumsum(held.column(1).flatten().to_numpy(), dtype=np.int64).tolist():
+                    w, start = data[start:stop], stop
                     got = known.get(w)
                     if got is None:
                         got = known[w] = merge(w, ranks.value)
                     ids.append(got)
                 flat = np.array([i for got in ids for i in got], dtype=np.int64)
-                out = packed(["code", "low", "high"], [held.column(0), *planes(flat, [len(got) for got in ids])])
+                sizes = np.array([len(got) for got in ids], dtype=np.uint32)
+                out = packed(["step", "size", "low", "high"], [held.column(0), whole(sizes), *planes(flat, [len(flat)])])
                 yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([part], pa.int32()), pa.array([out], pa.binary())], names=["chunk", "part", "body"])
 
     return rows.sortWithinPartitions("part").mapInArrow(run, "chunk bigint, part int, body binary")
@@ -205,9 +215,9 @@ def reassembled(texts: DataFrame, words: DataFrame, schema: T.StructType) -> Dat
         codes, sizes, flats = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for body in words.column("body").to_pylist():
             held = unpacked(body)
-            codes.append(held.column(0).to_numpy())
-            sizes.append(np.diff(held.column(1).offsets.to_numpy()))
-            flats.append(joined_planes(held.column(1), held.column(2)))
+            codes.append(np.cumsum(held.column(0).flatten().to_numpy(), dtype=np.int64))
+            sizes.append(held.column(1).flatten().to_numpy())
+            flats.append(joined_planes(held.column(2), held.column(3)))
         code, size, flat = (np.concatenate(v).astype(np.int64) for v in (codes, sizes, flats))
         starts, lengths = np.zeros(len(code), dtype=np.int64), np.zeros(len(code), dtype=np.int64)
         starts[code], lengths[code] = np.cumsum(size) - size, size

@@ -64,3 +64,15 @@ def test_digest_of_nulls_and_empty_tables(spark):
     nothing = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     assert {tuple(r)[1:] for r in rows if r["doc_id"] in (4, 5)} == {(0, nothing, nothing)} and len(rows) == docs.count()
     assert bpe.digest(empty(spark, docs), "doc_id", PATH, PATTERN).count() == 0
+
+
+def test_words_travel_without_offsets(spark):
+    """The words of a chunk and part are one row of joined bytes, and a chunk is small enough for an executor of 3 GB."""
+    import numpy as np
+    from payguard.llm import bpe
+    df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(500)))], "doc_id LONG, text STRING")
+    rows = bpe.numbered(df, "text", ["doc_id"], r"\S+", 2, bpe.CHUNK).where("not texts").collect()
+    held = [bpe.unpacked(bytes(r.body)) for r in rows]
+    assert [b.num_rows for b in held] == [1, 1] and sum(len(b.column(1)[0]) for b in held) == 500
+    codes = np.concatenate([np.cumsum(b.column(0).flatten().to_numpy()) for b in held])
+    assert sorted(codes) == list(range(500)) and bpe.CHUNK <= 16_000_000

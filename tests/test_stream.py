@@ -127,6 +127,16 @@ def test_retried_batch_replaces_its_first_attempt(spark):
     assert job.stored() == ([], [], [], [])
 
 
+def test_a_batch_is_read_once(spark):
+    """Ids that differ from reading to reading are the same in all sinks; nothing is left of what was staged."""
+    job = Job(spark, "t_read_once", [])
+    body = F.concat(F.lit(late("x").split("x")[0]), F.expr("uuid()"), F.lit(late("x").split("x")[1]))
+    process_batch(spark.range(20).select(body.alias("value")), 0, job.sinks, RunSettings(), job.events)
+    raw, risk, events, _ = job.stored()
+    assert raw == events == [i for i, _ in risk] and len(set(raw)) == 20
+    assert tables.folders(spark, f"{job.sinks.staged}/*") == []
+
+
 def test_publish_once(spark):
     job = Job(spark, "t_once")
     calls = []

@@ -434,7 +434,7 @@ def q_stream_raw(spark, sf_dir):
     scenario.append(scenario.raw_records(read_table(spark, sf_dir, "lineitem", spread=True), RunSettings()), run)
     out = scratch_dir(spark, "stream_raw_out")
     decoded = decode_raw(stream_records(spark, run.topic))
-    q = (decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL).writeStream.format("parquet")
+    q = (decoded.where(F.col(ERROR_COL).isNull()).drop(ERROR_COL).writeStream.format("parquet").options(**WIDE)
          .option("path", f"{out}/data").option("checkpointLocation", f"{out}/_checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -128,18 +128,20 @@ SPLIT_BYTES = 128 * 1024 * 1024
 TASK_BYTES = 32 * 1024 * 1024
 
 
-def spread(df, partitions: int | None = None):
+def spread(df, partitions: int | None = None, by=None):
     """Deal out a stored table for CPU-heavy narrow stages (JSON, Python scoring).
 
     A row there costs many times its stored bytes, so a read split of 128 MB, or a single small file,
     would be a task of minutes: a task gets at most about TASK_BYTES, and the tasks are a multiple of
-    the cores. What is shuffled is the table's own rows, before they are widened.
+    the cores. What is shuffled is the table's own rows, before they are widened. They are dealt out by the
+    hash of ``by``, if given, which should differ from row to row: dealt out in turn, each task sorts all its
+    rows first, and spills those that don't fit its memory.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     rounds = max(1, -(-plan_bytes(df) // (TASK_BYTES * cores)))
-    return df.repartition(partitions or rounds * cores)
+    return df.repartition(partitions or rounds * cores, *([] if by is None else [by]))
 
 
 def broadcast_if_small(df, rows: int, row_bytes: int = 64):

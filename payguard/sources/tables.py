@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -11,10 +11,9 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Read a table. ``spread=True`` for CPU-heavy row work (JSON, Python):
-    a table stored as fewer splits than the cluster has cores is spread
-    round-robin first; a large table is left as it is (no shuffle)."""
+    its rows are dealt out first, by the hash of their numbers in their files."""
     df = spark.read.parquet(table_path(sf_dir, name))
     if spread:
         from payguard.session import spread as _spread
-        df = _spread(df)
+        df = _spread(df, by=F.col("_metadata.row_index"))
     return df

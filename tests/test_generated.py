@@ -53,3 +53,20 @@ def test_topics_and_dated_tables_are_stored_as_zstd(spark):
     assert len(files) == 2
     for f in files:
         assert pq.ParquetFile(f.removeprefix("file:")).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_a_table_is_dealt_out_without_a_sort(spark):
+    """Dealt out in turn, each task sorts all its rows first and spills what its memory doesn't hold."""
+    from payguard.sources.tables import read_table
+    table = read_table(spark, "/root/testdata/sf0.001", "lineitem")
+    spread = read_table(spark, "/root/testdata/sf0.001", "lineitem", spread=True)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobin" not in plan and "hashpartitioning" in plan and spread.columns == table.columns
+    assert sorted(map(str, spread.collect())) == sorted(map(str, table.collect()))
+    rows = spread.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()
+    assert max(rows) < 2 * sum(rows) / len(rows)
+
+
+def test_stream_raw_stores_zstd(spark):
+    from payguard.plans.catalog import REGISTRY
+    assert all(f.endswith(".zstd.parquet") for f in REGISTRY["stream_raw"].run(spark, "/root/testdata/sf0.001").inputFiles())

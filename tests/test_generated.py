@@ -70,3 +70,15 @@ def test_a_table_is_dealt_out_without_a_sort(spark):
 def test_stream_raw_stores_zstd(spark):
     from payguard.plans.catalog import REGISTRY
     assert all(f.endswith(".zstd.parquet") for f in REGISTRY["stream_raw"].run(spark, "/root/testdata/sf0.001").inputFiles())
+
+
+def test_empty_text_takes_no_bytes_of_a_sample_file(spark, tmp_path):
+    from payguard.sources.files import read_large_csv, read_sample_csv, write_sample_csv
+    rows = [("a", "", None), ("", "", ""), ('say "x"', "two\nlines", "")]
+    write_sample_csv(spark.createDataFrame(rows, "x STRING, y STRING, z STRING").coalesce(1), f"{tmp_path}/three")
+    (text,) = [f.read_text() for f in (tmp_path / "three").glob("*.csv")]
+    assert text == 'x,y,z\na,,\n,,\n"say ""x""","two\nlines",\n'
+    for read in (read_sample_csv, read_large_csv):
+        assert sorted(map(tuple, read(spark, f"{tmp_path}/three", ("x", "y", "z")).collect())) == sorted(tuple(v or "" for v in r) for r in rows)
+    write_sample_csv(spark.createDataFrame([("a",), ("",)], "x STRING"), f"{tmp_path}/one")
+    assert sorted(r.x for r in read_sample_csv(spark, f"{tmp_path}/one", ("x",)).collect()) == ["", "a"]

@@ -129,3 +129,22 @@ def test_records_delivered_again_are_taken_once(spark):
     state = spark.read.format("statestore").load(job.sinks.checkpoint(active_run(spark, job.sinks)))
     assert {r["key"]["offset"] for r in state.collect()} == {9}
     assert job.ids() == ["r0", "r0", "r1", "r3", "r4", "r9"]
+
+
+def test_compaction_shuffles_nothing(spark):
+    """Rows dealt out anew are sorted and spilled on the way: a day's files are only put together."""
+    from pyspark.sql import types as T
+    path, day = f"{scratch_dir(spark, 't_together')}/t", dt.date(2024, 1, 1)
+    for n in range(3):
+        tables.write_batch(spark.range(n, n + 2).withColumn("day", F.lit(day)), path, "r", n)
+    plans = []
+    from pyspark.sql.readwriter import DataFrameWriter
+    write = DataFrameWriter.parquet
+    try:
+        DataFrameWriter.parquet = lambda self, *a, **k: (plans.append(self._df._jdf.queryExecution().executedPlan().toString()), write(self, *a, **k))[1]
+        tables.compact_day(spark, path, T.StructType([T.StructField("id", T.LongType())]), day, "r")
+    finally:
+        DataFrameWriter.parquet = write
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    assert len(tables.folders(spark, f"{path}/day={day}/run=r/batch_id=*/*.parquet")) == 1
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 1, 2, 2, 3]

@@ -148,3 +148,20 @@ def test_compaction_shuffles_nothing(spark):
     assert len(plans) == 1 and "Exchange" not in plans[0]
     assert len(tables.folders(spark, f"{path}/day={day}/run=r/batch_id=*/*.parquet")) == 1
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 1, 2, 2, 3]
+
+
+@pytest.mark.parametrize("heap_first", [False, True])
+def test_keys_of_delivered_records_are_kept_off_the_heap(spark, heap_first):
+    """A checkpoint that began with another store goes on with it."""
+    from payguard.streaming.fanout import STATE_STORE
+    job = Job(spark, RunSettings(dedupe_within="30 days"))
+    if heap_first:
+        spark.conf.set(STATE_STORE, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        job.batch((0, "a", "2024-01-01 10:00:00"), (0, "a", "2024-01-01 10:00:00"))
+    finally:
+        spark.conf.unset(STATE_STORE)
+    job.batch((0, "a", "2024-01-01 10:00:00"), (1, "b", "2024-01-01 10:00:00"))
+    assert job.ids() == ["a", "b"] and spark.conf.get(STATE_STORE, None) is None
+    state = f"{job.sinks.checkpoint(active_run(spark, job.sinks))}/state/0/0"
+    assert bool(tables.folders(spark, f"{state}/*.delta")) == heap_first and bool(tables.folders(spark, f"{state}/*.zip")) != heap_first
